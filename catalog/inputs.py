@@ -10,132 +10,118 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 AS_OF = dt.date(2001, 8, 1)
 PROCESSED_AT = dt.datetime(2001, 8, 1, 12, 0, 0)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[str, T.StructType] = {}
 
 
-def _text(prefix: str, number: Column | str) -> Column:
-    return F.concat(F.lit(prefix), F.col(number) if isinstance(number, str) else number)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its footer is read for the schema once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def historical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as versions of the member's policy record."""
-    key = F.col("o_orderkey")
-    day = F.col("o_orderdate").cast("date")
-    return table(spark, sf_dir, "orders").select(
-        F.when(key % 31 != 0, _text("L", "o_custkey")).alias("legacy_member_id"),
-        F.when(key % 37 != 0, day).alias("effective_date"),
-        F.when(key % 5 != 0, day + F.lit(1)).alias("record_updated_ts"),
-        F.when(key % 13 != 0, (F.lit(1890) + key % 150)).cast("int").alias("birth_year"),
-        F.when(F.col("o_orderstatus") == "F", "F")
-        .when(F.col("o_orderstatus") == "O", "M")
-        .when(key % 3 == 0, "X")
-        .when(key % 3 == 1, "M")
-        .alias("gender"),
-        F.when(key % 17 != 0, day).alias("coverage_start_date"),
-        F.when(key % 4 == 1, F.date_sub(day, 10))
-        .when(key % 4 == 2, F.date_add(day, 400))
-        .when(key % 4 == 3, F.date_add(day, 4000))
-        .alias("coverage_end_date"),
-        _text("P", "o_orderkey").alias("policy_id"),
-        F.col("o_orderpriority").alias("policy_type"),
-        _text("S", F.col("o_custkey") % 25).alias("state"),
-        F.date_sub(day, 30).alias("enrollment_date"),
-        F.col("o_orderstatus").alias("member_segment"),
+    day = "CAST(o_orderdate AS DATE)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 31 <> 0 THEN concat('L', o_custkey) END AS legacy_member_id",
+        f"CASE WHEN o_orderkey % 37 <> 0 THEN {day} END AS effective_date",
+        f"CASE WHEN o_orderkey % 5 <> 0 THEN date_add({day}, 1) END AS record_updated_ts",
+        "CASE WHEN o_orderkey % 13 <> 0 THEN CAST(1890 + o_orderkey % 150 AS INT) END AS birth_year",
+        """CASE WHEN o_orderstatus = 'F' THEN 'F' WHEN o_orderstatus = 'O' THEN 'M'
+                WHEN o_orderkey % 3 = 0 THEN 'X' WHEN o_orderkey % 3 = 1 THEN 'M' END AS gender""",
+        f"CASE WHEN o_orderkey % 17 <> 0 THEN {day} END AS coverage_start_date",
+        f"""CASE o_orderkey % 4 WHEN 1 THEN date_sub({day}, 10) WHEN 2 THEN date_add({day}, 400)
+                 WHEN 3 THEN date_add({day}, 4000) END AS coverage_end_date""",
+        "concat('P', o_orderkey) AS policy_id",
+        "o_orderpriority AS policy_type",
+        "concat('S', o_custkey % 25) AS state",
+        f"date_sub({day}, 30) AS enrollment_date",
+        "o_orderstatus AS member_segment",
     )
 
 
 def migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as migrated members; every 40th is listed twice and every 9th
     missing."""
-    customer = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 9 != 0)
-    copies = F.when(F.col("c_custkey") % 40 == 0, 2).otherwise(1)
-    return customer.select(
-        _text("L", "c_custkey").alias("legacy_member_id"),
-        _text("M", "c_custkey").alias("member_id"),
-        F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")).alias("ssn_raw"),
-        F.col("c_mktsegment").alias("patient_first_name"),
-        F.col("c_name").alias("patient_last_name"),
-        _text("mail", "c_custkey").alias("email"),
-        _text("555", "c_custkey").alias("phone_number"),
-        _text("street ", "c_nationkey").alias("address_line"),
-        _text("city ", "c_nationkey").alias("city"),
-        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip_code"),
-        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
-    ).select("*", _text("wave", "copy").alias("migration_flag")).drop("copy")
+    listed = table(spark, sf_dir, "customer").filter("c_custkey % 9 <> 0").selectExpr(
+        "*", "explode(sequence(1, IF(c_custkey % 40 = 0, 2, 1))) AS copy"
+    )
+    return listed.selectExpr(
+        "concat('L', c_custkey) AS legacy_member_id",
+        "concat('M', c_custkey) AS member_id",
+        "CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS ssn_raw",
+        "c_mktsegment AS patient_first_name",
+        "c_name AS patient_last_name",
+        "concat('mail', c_custkey) AS email",
+        "concat('555', c_custkey) AS phone_number",
+        "concat('street ', c_nationkey) AS address_line",
+        "concat('city ', c_nationkey) AS city",
+        "lpad(CAST(c_nationkey AS STRING), 5, '0') AS zip_code",
+        "concat('wave', copy) AS migration_flag",
+    )
 
 
 def members_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers outside one segment, some listed twice."""
-    customer = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING")
-    copies = F.when(F.col("c_custkey") % 10 == 0, 2).otherwise(1)
-    return customer.select(
-        _text("M", "c_custkey").alias("member_id"),
-        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
-    ).drop("copy")
+    listed = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").selectExpr(
+        "c_custkey", "explode(sequence(1, IF(c_custkey % 10 = 0, 2, 1))) AS copy"
+    )
+    return listed.selectExpr("concat('M', c_custkey) AS member_id")
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as claims."""
-    key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        F.when(key % 41 != 0, _text("C", "o_orderkey")).alias("claim_id"),
-        _text("M", "o_custkey").alias("member_id"),
-        F.when(key % 43 != 0, F.col("o_orderdate").cast("date")).alias("claim_date"),
-        F.when(key % 29 == 0, F.lit(-0.01))
-        .when(key % 23 == 0, F.lit(75000.0))
-        .when(key % 19 != 0, F.col("o_totalprice"))
-        .alias("claim_amount"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 41 <> 0 THEN concat('C', o_orderkey) END AS claim_id",
+        "concat('M', o_custkey) AS member_id",
+        "CASE WHEN o_orderkey % 43 <> 0 THEN CAST(o_orderdate AS DATE) END AS claim_date",
+        """CASE WHEN o_orderkey % 29 = 0 THEN -0.01D WHEN o_orderkey % 23 = 0 THEN 75000D
+                WHEN o_orderkey % 19 <> 0 THEN o_totalprice END AS claim_amount""",
     )
 
 
 def adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned lineitems as adjustments of their order's claim."""
-    line = F.col("l_linenumber")
-    returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
     owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = returned.join(owner, returned.l_orderkey == owner.o_orderkey)
-    amount = F.col("l_extendedprice")
-    return joined.select(
-        F.when(line != 6, _text("A", F.col("l_orderkey") * 10 + line)).alias("adjustment_id"),
-        _text("C", "l_orderkey").alias("claim_id"),
-        F.when(line == 3, F.lit("M-other"))
-        .otherwise(_text("M", "o_custkey"))
-        .alias("member_id"),
-        amount.alias("original_claim_amount"),
-        F.col("l_quantity").alias("adjustment_amount"),
-        F.when(line == 7, amount)
-        .otherwise(amount + F.col("l_quantity"))
-        .alias("adjusted_final_amount"),
-        F.col("l_shipdate").cast("date").alias("adjustment_date"),
+    return joined.selectExpr(
+        "CASE WHEN l_linenumber <> 6 THEN concat('A', l_orderkey * 10 + l_linenumber) END AS adjustment_id",
+        "concat('C', l_orderkey) AS claim_id",
+        "CASE WHEN l_linenumber = 3 THEN 'M-other' ELSE concat('M', o_custkey) END AS member_id",
+        "l_extendedprice AS original_claim_amount",
+        "l_quantity AS adjustment_amount",
+        """CASE WHEN l_linenumber = 7 THEN l_extendedprice
+                ELSE l_extendedprice + l_quantity END AS adjusted_final_amount""",
+        "CAST(l_shipdate AS DATE) AS adjustment_date",
     )
 
 
 def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order totals as premiums, some negative or missing."""
-    key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        _text("M", "o_custkey").alias("member_id"),
-        F.when(key % 7 == 0, -F.col("o_totalprice"))
-        .when(key % 11 != 0, F.col("o_totalprice"))
-        .alias("premium_collected"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('M', o_custkey) AS member_id",
+        """CASE WHEN o_orderkey % 7 = 0 THEN -o_totalprice
+                WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS premium_collected""",
     )
 
 
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events as violations, each reported twice."""
-    errors = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    return errors.select(
-        _text("V", "event_id").alias("violation_id"),
-        _text("M", "user_id").alias("member_id"),
-        F.explode(F.sequence(F.lit(1), F.lit(2))).alias("copy"),
-    ).drop("copy")
+    reported = table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(
+        "event_id", "user_id", "explode(array(1, 2)) AS copy"
+    )
+    return reported.selectExpr(
+        "concat('V', event_id) AS violation_id", "concat('M', user_id) AS member_id"
+    )
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,66 +131,61 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     version; arrays hold zero to two elements; some fields are missing, amounts
     are numbers, and some are text or not positive.
     """
-    source = table(spark, sf_dir, "events")
-    event, n = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
-    nested, flat = event % 2 == 0, event % 2 == 1
-    size = (n % 3).cast("int")
-
-    def of(kind: str, shape: Column, value: Column) -> Column:
-        return F.when((F.col("event_type") == kind) & shape, value)
-
-    def first(size: Column, *values: str) -> Column:
-        return F.slice(F.array(*[F.lit(v) for v in values]), 1, size)
-
-    category = (
-        F.when(F.col("event_type") == "purchase", "CLAIMS")
-        .when(F.col("event_type") == "click", "BILLING")
-        .when(F.col("event_type") == "view", "POLICY")
-        .when(F.col("event_type") == "signup", "MEMBER")
-        .otherwise("OTHER")
-    )
-    number = F.col("value").cast("string")
-    amount = (
-        F.when(n % 20 == 4, "abc").when(n % 20 == 6, "-1.5").when(n % 20 == 8, "0").otherwise(number)
+    fields = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id",
+        "user_id",
+        "event_type AS kind",
+        "event_id % 2 = 0 AS nested",
+        "CAST(ts AS STRING) AS moment",
+        "CAST(value AS STRING) AS value",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    ).selectExpr(
+        "*",
+        "CASE WHEN k % 20 = 4 THEN 'abc' WHEN k % 20 = 6 THEN '-1.5' WHEN k % 20 = 8 THEN '0' ELSE value END AS amount",
+        "CASE WHEN k % 11 <> 0 THEN concat('C', id) END AS claim",
+        "CASE WHEN k % 13 <> 0 THEN concat('P', k) END AS provider",
+        "CASE WHEN k % 7 <> 0 THEN concat('P', id) END AS policy",
+        "CASE WHEN k % 17 <> 0 THEN concat('F', k) END AS given",
+        "CASE WHEN k % 19 <> 0 THEN concat('G', k) END AS family",
+        "concat('mail', user_id) AS mail",
+        "concat('city', k) AS city",
     )
-    claim_id = F.when(n % 11 != 0, _text("C", "event_id"))
-    provider = F.when(n % 13 != 0, _text("P", n))
-    policy = F.when(n % 7 != 0, _text("P", "event_id"))
-    given, family = F.when(n % 17 != 0, _text("F", n)), F.when(n % 19 != 0, _text("G", n))
-    email, city = _text("mail", "user_id"), _text("city", n)
-    day = F.substring(F.col("ts").cast("string"), 1, 10)
-    payload = F.struct(
-        of("purchase", nested, F.struct(
-            claim_id.alias("id"), amount.alias("amount"), first(size, "D0", "D1").alias("diagnosis_codes")
-        )).alias("claim"),
-        of("purchase", nested, F.struct(provider.alias("id"))).alias("provider"),
-        of("purchase", flat, claim_id).alias("claim_id"),
-        of("purchase", flat, amount).alias("claim_amount"),
-        of("purchase", flat, provider).alias("provider_id"),
-        of("click", nested, F.struct(
-            amount.alias("amount"), first(size, "CARD", "BANK").alias("methods")
-        )).alias("payment"),
-        of("click", flat, amount).alias("payment_amount"),
-        of("view", nested, F.struct(
-            policy.alias("id"),
-            F.struct(day.alias("start_date"), F.lit("2030-01-01").alias("end_date")).alias("coverage"),
-        )).alias("policy"),
-        of("view", flat, policy).alias("policy_id"),
-        of("signup", nested, F.struct(
-            given.alias("first_name"), family.alias("last_name"), email.alias("email"),
-            F.struct(city.alias("city")).alias("address"),
-        )).alias("profile"),
-        of("signup", flat, given).alias("first_name"),
-        of("signup", flat, family).alias("last_name"),
-        of("signup", flat, email).alias("email"),
-        of("signup", flat, city).alias("city"),
+    nested = {
+        "purchase": {
+            "claim": "struct(claim AS id, amount, slice(array('D0', 'D1'), 1, k % 3) AS diagnosis_codes)",
+            "provider": "struct(provider AS id)",
+        },
+        "click": {
+            "payment": "struct(amount, slice(array('CARD', 'BANK'), 1, k % 3) AS methods)",
+        },
+        "view": {
+            "policy": """struct(policy AS id, struct(substr(moment, 1, 10) AS start_date,
+                                '2030-01-01' AS end_date) AS coverage)""",
+        },
+        "signup": {
+            "profile": """struct(given AS first_name, family AS last_name, mail AS email,
+                                 struct(city) AS address)""",
+        },
+    }
+    flat = {
+        "purchase": {"claim_id": "claim", "claim_amount": "amount", "provider_id": "provider"},
+        "click": {"payment_amount": "amount"},
+        "view": {"policy_id": "policy"},
+        "signup": {"first_name": "given", "last_name": "family", "email": "mail", "city": "city"},
+    }
+    payload = ", ".join(
+        f"IF(kind = '{kind}' AND {shape}, {value}, NULL) AS {name}"
+        for shape, kinds in (("nested", nested), ("NOT nested", flat))
+        for kind, members in kinds.items()
+        for name, value in members.items()
     )
-    envelope = F.struct(
-        F.when(event % 107 != 0, _text("E", "event_id")).alias("event_id"),
-        F.substring(F.col("ts").cast("string"), 1, 19).alias("event_timestamp"),
-        F.when(event % 101 != 0, _text("M", "user_id")).alias("member_id"),
-        category.alias("event_category"),
-        F.when(event % 50 == 49, "v3").when(nested, "v2").otherwise("v1").alias("schema_version"),
-        F.when(event % 103 != 0, payload).alias("payload"),
+    return fields.selectExpr(
+        f"""to_json(struct(
+            IF(id % 107 <> 0, concat('E', id), NULL) AS event_id,
+            substr(moment, 1, 19) AS event_timestamp,
+            IF(id % 101 <> 0, concat('M', user_id), NULL) AS member_id,
+            CASE kind WHEN 'purchase' THEN 'CLAIMS' WHEN 'click' THEN 'BILLING'
+                 WHEN 'view' THEN 'POLICY' WHEN 'signup' THEN 'MEMBER' ELSE 'OTHER' END AS event_category,
+            CASE WHEN id % 50 = 49 THEN 'v3' WHEN nested THEN 'v2' ELSE 'v1' END AS schema_version,
+            IF(id % 103 <> 0, struct({payload}), NULL) AS payload)) AS doc"""
     )
-    return source.select(F.to_json(envelope).alias("doc"))

@@ -70,12 +70,12 @@ def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> G.Facts:
-    wide = E.normalize_all(_events(spark, sf_dir))
+    events = _events(spark, sf_dir)
     return G.Facts(
         _fact(spark, sf_dir),
         C.clean_revenue(I.revenue(spark, sf_dir), PROCESSED_AT),
         C.clean_violations(I.violations(spark, sf_dir), PROCESSED_AT),
-        *[E.valid_rows(wide, domain) for domain in E.DOMAINS],
+        *[E.split_domain(events, domain).valid for domain in E.DOMAINS],
     )
 
 
@@ -582,10 +582,10 @@ def _event_queries(domain: E.Domain) -> None:
         return E.normalize(_events(spark, sf_dir), domain)
 
     def valid(spark, sf_dir):
-        return E.valid_rows(E.normalize_all(_events(spark, sf_dir)), domain)
+        return E.split_domain(_events(spark, sf_dir), domain).valid
 
     def bad(spark, sf_dir):
-        return E.bad_rows(E.normalize_all(_events(spark, sf_dir)), domain)
+        return E.split_domain(_events(spark, sf_dir), domain).rejected
 
     for function, suffix in ((rows, ""), (valid, "_valid"), (bad, "_bad")):
         function.__name__ = name + suffix

@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas
-from ..functions.money import amount_from_text
-from .quality import Rule, all_hold, not_null, positive
+from .quality import Rule, Split, all_hold, not_null, positive, split_by_rules
 
 VALID, BAD, REJECTED = "valid", "bad", "rejected"
 ENVELOPE = ["event_id", "event_timestamp", "member_id"]
@@ -122,20 +121,20 @@ MEMBER = Domain(
 DOMAINS = (CLAIMS, BILLING, POLICY, MEMBER)
 
 
-def envelope_problem(events: DataFrame) -> Column:
-    """Why an event cannot enter any domain; null when it can."""
+def _problem(events: DataFrame) -> str:
+    """SQL for why an event cannot enter any domain; null when it can."""
     problems = [
-        F.when(F.col(name).isNull(), F.lit(f"{name}_missing"))
+        f"WHEN {name} IS NULL THEN '{name}_missing'"
         for name in ("event_id", "member_id", "payload")
     ]
     if schemas.MALFORMED in events.columns:
-        problems.insert(0, F.when(F.col(schemas.MALFORMED).isNotNull(), F.lit("malformed")))
-    return F.coalesce(*problems)
+        problems.insert(0, f"WHEN {schemas.MALFORMED} IS NOT NULL THEN 'malformed'")
+    return f"CASE {' '.join(problems)} END"
 
 
 def validate_events(events: DataFrame) -> DataFrame:
     """Events whose envelope is complete."""
-    return events.filter(envelope_problem(events).isNull())
+    return events.filter(f"{_problem(events)} IS NULL")
 
 
 def route(events: DataFrame, domain: Domain, version: str) -> DataFrame:
@@ -143,61 +142,61 @@ def route(events: DataFrame, domain: Domain, version: str) -> DataFrame:
     return events.filter(_is(domain, version))
 
 
-def _is(domain: Domain, version: str) -> Column:
-    return (F.col("event_category") == domain.category) & (F.col("schema_version") == version)
+def _is(domain: Domain, version: str) -> str:
+    return f"(event_category = '{domain.category}' AND schema_version = '{version}')"
 
 
-def _known(domains: Sequence[Domain]) -> Column:
-    """Category of a routable event, null for an unknown category or version."""
-    return F.coalesce(
-        *[
-            F.when(
-                (F.col("event_category") == d.category)
-                & F.col("schema_version").isin(*d.shapes),
-                F.lit(d.category),
-            )
-            for d in domains
-        ]
-    )
+def _routable(domain: Domain) -> str:
+    versions = ", ".join(f"'{version}'" for version in domain.shapes)
+    return f"(event_category = '{domain.category}' AND schema_version IN ({versions}))"
 
 
-def _by_version(domain: Domain, name: str) -> Column:
-    """An output column from whichever path its version uses."""
+def _by_version(domain: Domain, name: str) -> str:
+    """SQL for an output column from whichever path its version uses."""
     picks = [
-        F.when(_is(domain, version), F.col(f"payload.{paths[name]}"))
+        f"WHEN {_is(domain, version)} THEN payload.{paths[name]}"
         for version, paths in domain.shapes.items()
-        if name in paths and name != domain.repeated
+        if name in paths
     ]
-    value = F.coalesce(*picks) if picks else F.lit(None).cast("string")
-    return amount_from_text(value) if name in domain.amounts else value
-
+    value = f"CASE {' '.join(picks)} END" if picks else "CAST(NULL AS STRING)"
+    return f"try_cast({value} AS DOUBLE)" if name in domain.amounts else value
 
-def _elements(domains: Sequence[Domain]) -> Column:
-    """The array an event yields rows from; one null element where its version
-    has none, so that such an event yields one row."""
-    arrays = F.when(F.lit(False), F.array(F.lit(None).cast("string")))
-    for domain in domains:
-        for version, paths in domain.shapes.items():
-            path = paths.get(domain.repeated or "")
-            if path:
-                array = F.col(f"payload.{path.removesuffix('[]')}")
-                arrays = arrays.when(_routed_to(domain) & _is(domain, version), array)
-    return arrays.otherwise(F.array(F.lit(None).cast("string")))
 
-
-def _routed_to(domain: Domain) -> Column:
-    return F.coalesce(F.col("domain") == domain.category, F.lit(False))
+def _elements(domains: Sequence[Domain], accepted: str) -> str:
+    """SQL for the array an event yields rows from; one null element where its
+    version has none, so that such an event yields one row."""
+    one_null = "array(CAST(NULL AS STRING))"
+    arrays = [
+        f"WHEN {_is(domain, version)} THEN payload.{paths[domain.repeated].removesuffix('[]')}"
+        for domain in domains
+        for version, paths in domain.shapes.items()
+        if domain.repeated in paths
+    ]
+    return f"CASE WHEN NOT ({accepted}) THEN {one_null} {' '.join(arrays)} ELSE {one_null} END"
 
 
-def _verdict(domains: Sequence[Domain]) -> Column:
-    """Outcome of a flattened row."""
-    passed = F.coalesce(
-        *[F.when(_routed_to(d), all_hold(d.rules)) for d in domains]
+def _flatten(
+    events: DataFrame,
+    domains: Sequence[Domain],
+    kept: Sequence[str],
+    accepted: str,
+    keep_empty: bool,
+) -> DataFrame:
+    """Envelope, ``kept`` columns and the columns of the domains, a row per
+    element."""
+    spread = "explode_outer" if keep_empty else "explode"
+    single = [(d, name) for d in domains for name in d.columns if name != d.repeated]
+    repeated = [d for d in domains if d.repeated]
+    rows = events.selectExpr(
+        *ENVELOPE,
+        "event_category",
+        *kept,
+        *[f"{_by_version(d, name)} AS {name}" for d, name in single],
+        f"{spread}({_elements(domains, accepted)}) AS element",
     )
-    return (
-        F.when(F.col("reject_reason").isNotNull(), F.lit(REJECTED))
-        .when(passed, F.lit(VALID))
-        .otherwise(F.lit(BAD))
+    return rows.selectExpr(
+        *[name for name in rows.columns if name != "element"],
+        *[f"CASE WHEN event_category = '{d.category}' THEN element END AS {d.repeated}" for d in repeated],
     )
 
 
@@ -212,45 +211,46 @@ def normalize_all(
     keeps it with a null element. Events that enter no domain come out once as
     ``rejected``, with the reason and their text in ``raw_event``. Works on batch
     and streaming frames.
+
+    Meant to be written, laid out by outcome and domain. For one domain without a
+    table between, :func:`normalize` gives the narrower plan.
     """
-    raw = F.to_json(F.struct(*[name for name in events.columns if name != schemas.MALFORMED]))
+    text = ", ".join(name for name in events.columns if name != schemas.MALFORMED)
+    raw = f"to_json(struct({text}))"
     if schemas.MALFORMED in events.columns:
-        raw = F.coalesce(F.col(schemas.MALFORMED), raw)
-    unroutable = F.when(_known(domains).isNull(), F.lit("unknown_category_or_version"))
-    routed = events.withColumn(
-        "reject_reason", F.coalesce(envelope_problem(events), unroutable)
-    ).withColumn("domain", F.when(F.col("reject_reason").isNull(), _known(domains)))
-    spread = F.explode_outer if keep_empty else F.explode
-    rows = routed.select(
-        *ENVELOPE,
-        "domain",
-        "reject_reason",
-        F.when(F.col("reject_reason").isNotNull(), raw).alias("raw_event"),
-        *[
-            F.when(_routed_to(d), _by_version(d, name)).alias(name)
-            for d in domains
-            for name in d.columns
-            if name != d.repeated
-        ],
-        spread(_elements(domains)).alias("element"),
-    )
-    named = rows.withColumns(
-        {d.repeated: F.when(_routed_to(d), F.col("element")) for d in domains if d.repeated}
-    )
-    return named.withColumn("outcome", _verdict(domains)).select(
+        raw = f"coalesce({schemas.MALFORMED}, {raw})"
+    routable = " OR ".join(_routable(d) for d in domains)
+    unknown = f"CASE WHEN ({routable}) IS NOT TRUE THEN 'unknown_category_or_version' END"
+    judged = events.selectExpr("*", f"coalesce({_problem(events)}, {unknown}) AS reject_reason")
+    accepted = "reject_reason IS NULL"
+    kept = ["reject_reason", f"CASE WHEN NOT ({accepted}) THEN {raw} END AS raw_event"]
+    rows = _flatten(judged, domains, kept, accepted, keep_empty)
+    outcome = F.when(F.col("reject_reason").isNotNull(), F.lit(REJECTED))
+    for d in domains:
+        own = F.col("event_category") == d.category
+        outcome = outcome.when(own, F.when(all_hold(d.rules), F.lit(VALID)).otherwise(F.lit(BAD)))
+    return rows.select(
         *ENVELOPE,
         *[name for d in domains for name in d.columns],
         "reject_reason",
         "raw_event",
-        "outcome",
-        F.coalesce("domain", F.lit("NONE")).alias("domain"),
+        outcome.alias("outcome"),
+        F.expr(f"CASE WHEN {accepted} THEN event_category ELSE 'NONE' END").alias("domain"),
     )
 
 
 def normalize(events: DataFrame, domain: Domain, keep_empty: bool = False) -> DataFrame:
-    """Rows of one domain before quality rules."""
-    own = validate_events(events).filter(_known([domain]).isNotNull())
-    return normalize_all(own, [domain], keep_empty).select(*domain.output)
+    """Rows of one domain before quality rules, from its own events only."""
+    own = validate_events(events).filter(_routable(domain))
+    rows = _flatten(own, [domain], [], "true", keep_empty)
+    return rows.select(*domain.output)
+
+
+def split_domain(
+    events: DataFrame, domain: Domain, keep_empty: bool = False, distinct_rejects: bool = True
+) -> Split:
+    """Rows of one domain that meet its rules, and the rest once each."""
+    return split_by_rules(normalize(events, domain, keep_empty), domain.rules, distinct_rejects)
 
 
 def valid_rows(wide: DataFrame, domain: Domain) -> DataFrame:
