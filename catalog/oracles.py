@@ -390,6 +390,10 @@ _BODIES: dict[str, str] = {
                    adjustment_amount, adjusted_final_amount, adjustment_date
             FROM claims LEFT JOIN adjustments USING (claim_id, member_id))""",
     "dedup_exact": "SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem",
+    "count_distinct_rows": """
+        SELECT count(*) AS orders, (SELECT count(*) FROM (
+            SELECT DISTINCT effective_date, coverage_start_date, gender FROM historical)) AS distinct_rows
+        FROM orders""",
     "union_by_name": """
         SELECT c_name, c_custkey, c_acctbal FROM customer
         UNION ALL SELECT c_name, c_custkey, NULL FROM customer""",
@@ -410,6 +414,13 @@ _BODIES: dict[str, str] = {
     "agg_member_events": """
         SELECT member_id, count(event_id) AS member_update_count FROM ev_member GROUP BY member_id""",
     "agg_all_facts": "SELECT * FROM activity",
+    "agg_domain_tables": """
+        SELECT member_id, lifetime_claim_amount, total_claim_count, lifetime_revenue, violation_count,
+               coalesce(c.n, 0) AS streaming_claim_events, coalesce(b.n, 0) AS streaming_payment_events,
+               policy_change_count, member_update_count
+        FROM activity
+        LEFT JOIN (SELECT member_id, count(DISTINCT event_id) AS n FROM good_claims GROUP BY ALL) c USING (member_id)
+        LEFT JOIN (SELECT member_id, count(DISTINCT event_id) AS n FROM good_billing GROUP BY ALL) b USING (member_id)""",
     "agg_distinct_events": """
         SELECT member_id, count(DISTINCT event_id) AS streaming_claim_events FROM ev_claims GROUP BY member_id""",
     "join_aggregates": """

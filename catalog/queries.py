@@ -57,10 +57,18 @@ def _valid_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.valid_adjustments(I.adjustments(spark, sf_dir), _valid_claims(spark, sf_dir))
 
 
+def _claims_tables(spark, sf_dir, latest_only: bool = False):
+    return C.build_claims_fact(
+        I.members_current(spark, sf_dir),
+        I.claims(spark, sf_dir),
+        I.adjustments(spark, sf_dir),
+        PROCESSED_AT,
+        latest_only,
+    )
+
+
 def _fact(spark: SparkSession, sf_dir: str, latest_only: bool = False) -> DataFrame:
-    valid = _valid_claims(spark, sf_dir)
-    adjustments = C.valid_adjustments(I.adjustments(spark, sf_dir), valid)
-    return C.claims_fact(valid, adjustments, PROCESSED_AT, latest_only)
+    return _claims_tables(spark, sf_dir, latest_only)[0]
 
 
 def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,12 +78,11 @@ def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> G.Facts:
-    events = _events(spark, sf_dir)
     return G.Facts(
         _fact(spark, sf_dir),
         C.clean_revenue(I.revenue(spark, sf_dir), PROCESSED_AT),
         C.clean_violations(I.violations(spark, sf_dir), PROCESSED_AT),
-        *[E.split_domain(events, domain).valid for domain in E.DOMAINS],
+        E.normalize_all(_events(spark, sf_dir)),
     )
 
 
@@ -209,7 +216,7 @@ def run_log(spark, sf_dir):
     with runlog.logged_run(spark, "member_records", log) as run:
         checked = M.check_history(I.historical(spark, sf_dir))
         counts = sinks.write_counted(
-            checked,
+            quality.distinct_rows(checked),
             lambda df: sinks.write_partitioned(df, out, ["is_valid"]),
             valid=F.count_if(F.col("is_valid")),
             bad=F.count_if(~F.col("is_valid")),
@@ -285,9 +292,7 @@ def adjust_valid(spark, sf_dir):
 @query
 def adjust_bad(spark, sf_dir):
     """Adjustments whose id is on no valid adjustment."""
-    return C.rejected_adjustments(
-        I.adjustments(spark, sf_dir), _valid_adjustments(spark, sf_dir)
-    )
+    return _claims_tables(spark, sf_dir)[2]
 
 
 @query
@@ -452,6 +457,16 @@ def dedup_exact(spark, sf_dir):
     return quality.distinct_rows(lines.unionAll(lines))
 
 
+@query
+def count_distinct_rows(spark, sf_dir):
+    """Distinct rows of a table with copies, nulls told apart by their place."""
+    h = I.historical(spark, sf_dir).select("effective_date", "coverage_start_date", "gender")
+    count = quality.count_distinct_rows(h.unionAll(h))
+    return table(spark, sf_dir, "orders").agg(
+        F.count("*").alias("orders"), F.lit(count).cast("bigint").alias("distinct_rows")
+    )
+
+
 @query
 def union_by_name(spark, sf_dir):
     """Two shapes of one table, matched by column name."""
@@ -517,6 +532,15 @@ def agg_all_facts(spark, sf_dir):
     return A.fill_zero(G.member_activity(_facts(spark, sf_dir)), K.ZERO_FILLED)
 
 
+@query
+def agg_domain_tables(spark, sf_dir):
+    """All measures, from one table per event domain, each event counted once."""
+    events = _events(spark, sf_dir)
+    tables = {d.category: E.split_domain(events, d).valid for d in E.DOMAINS}
+    facts = _facts(spark, sf_dir)._replace(events=G.domain_events(tables))
+    return A.fill_zero(G.member_activity(facts, count_events_once=True), K.ZERO_FILLED)
+
+
 @query
 def agg_distinct_events(spark, sf_dir):
     """Events per member, each counted once however many rows it gave."""

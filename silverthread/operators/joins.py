@@ -7,9 +7,10 @@ splits the partitions that hot keys make large.
 
 AQE can split only where both inputs of a join are plain shuffles. An input that
 is already partitioned by the key (an aggregate or a window) would be joined in
-place and not be split, so the joins add to the key one bit of the key's own
-hash. That changes no match, and makes Spark shuffle both inputs for this join.
-The input that is shuffled once more is the reduced one, one row per key.
+place and not be split. One bit of the key's own hash prevents that: added to a
+join or grouping key it changes no match and no group, but makes the partitioning
+differ from what the next join asks for. The input that is then shuffled once
+more is the reduced one, one row per key.
 """
 
 from __future__ import annotations
@@ -17,42 +18,47 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _BIT = "__key_bit"
 
 
+def _bit(*keys: str) -> Column:
+    return F.hash(*keys).bitwiseAND(F.lit(1))
+
+
 def hot_key_join(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
 ) -> DataFrame:
     """Equi-join whose skewed partitions AQE can always split."""
     keys = [on] if isinstance(on, str) else list(on)
-    bit = F.hash(*keys).bitwiseAND(F.lit(1))
-    joined = left.withColumn(_BIT, bit).join(right.withColumn(_BIT, bit), [*keys, _BIT], how)
-    return joined.drop(_BIT)
+    tagged = [df.withColumn(_BIT, _bit(*keys)) for df in (left, right)]
+    return tagged[0].join(tagged[1], [*keys, _BIT], how).drop(_BIT)
 
 
-def unique_keys(df: DataFrame, *keys: str) -> DataFrame:
-    """Distinct non-null keys; copies collapse before the shuffle."""
-    return df.select(*keys).dropna().distinct()
+def unique_keys(df: DataFrame, key: str) -> DataFrame:
+    """Distinct non-null keys, not partitioned by the key. Copies collapse before
+    the shuffle."""
+    keys = df.select(key, _bit(key).alias(_BIT)).filter(F.col(key).isNotNull())
+    return keys.distinct().drop(_BIT)
 
 
 def flag_parent(df: DataFrame, parent: DataFrame, key: str, name: str) -> DataFrame:
     """Add whether ``key`` exists in ``parent``; keeps every row once."""
     known = unique_keys(parent, key).withColumn(name, F.lit(True))
-    found = hot_key_join(df, known, key, "left")
+    found = df.join(known, key, "left")
     return found.select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
 
 
 def require_parent(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` exists in ``parent``, each once however often the
     parent lists it."""
-    return hot_key_join(df, unique_keys(parent, key), key, "left_semi")
+    return df.join(unique_keys(parent, key), key, "left_semi").select(*df.columns)
 
 
 def without_match(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows whose ``key`` is null or not in ``other``, copies included."""
-    return hot_key_join(df, unique_keys(other, key), key, "left_anti")
+    return df.join(unique_keys(other, key), key, "left_anti").select(*df.columns)
 
 
 def join_migrated(members: DataFrame, migrated: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions.money import settled_amount
 from ..operators import joins, quality
 from ..operators.latest import latest_per_key
 from ..schemas import MALFORMED
+from ..sinks import stage
 
 
 def claim_rules(amounts: tuple[float, float] = K.CLAIM_AMOUNT_RANGE) -> list[quality.Rule]:
@@ -26,8 +27,13 @@ def check_claims(
     members: DataFrame,
     amounts: tuple[float, float] = K.CLAIM_AMOUNT_RANGE,
 ) -> DataFrame:
-    """Distinct claims with ``is_valid``: the rules hold and the member exists."""
-    known = joins.flag_parent(quality.distinct_rows(claims), members, "member_id", "has_member")
+    """Distinct claims with ``is_valid``: the rules hold and the member exists.
+
+    The member flag depends on the claim alone, so the dedup may follow the join
+    and use its partitioning: one shuffle of the claims does for both.
+    """
+    flagged = joins.flag_parent(claims, members, "member_id", "has_member")
+    known = quality.distinct_rows(flagged)
     rules = [
         *quality.readable(claims),
         quality.Rule("member_unknown", F.col("has_member")),
@@ -98,10 +104,20 @@ def build_claims_fact(
     adjustments: DataFrame,
     processed_at: dt.datetime,
     latest_only: bool = False,
+    staged: bool = True,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The fact table, rejected claims and rejected adjustments."""
-    split = quality.split_on_flag(check_claims(claims, members), distinct_rejects=False)
+    """The fact table, rejected claims and rejected adjustments.
+
+    Checked claims and valid adjustments have several consumers each; they are
+    written once to the shared scratch folder, unless ``staged`` is off.
+    """
+    checked = check_claims(claims, members)
+    if staged:
+        checked, _ = stage(checked, "checked_claims", ["is_valid"])
+    split = quality.split_on_flag(checked, distinct_rejects=False)
     valid = valid_adjustments(adjustments, split.valid)
+    if staged:
+        valid, _ = stage(valid, "valid_adjustments")
     fact = claims_fact(split.valid, valid, processed_at, latest_only)
     return fact, split.rejected, rejected_adjustments(adjustments, valid)
 

@@ -3,45 +3,72 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import member, scoring
-from ..operators import aggregates as A, joins
+from ..operators import aggregates as A, events as E, joins, quality
 from ..sources import active_members
 
 
 class Facts(NamedTuple):
-    """Silver tables the gold table is built from."""
+    """Silver tables the gold table is built from. ``events`` has the columns
+    ``member_id``, ``event_id``, ``domain`` and ``outcome``."""
 
     claims: DataFrame
     revenue: DataFrame
     violations: DataFrame
-    claim_events: DataFrame
-    billing_events: DataFrame
-    policy_events: DataFrame
-    member_events: DataFrame
+    events: DataFrame
+
+
+def domain_events(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Valid rows kept in one table per domain, as one ``events`` frame."""
+    parts = [
+        df.select("member_id", "event_id", F.lit(domain).alias("domain"), F.lit(E.VALID).alias("outcome"))
+        for domain, df in tables.items()
+    ]
+    return quality.union_by_name(*parts)
+
+
+# Gold column counting the events of each domain
+EVENT_COUNTS = {
+    "CLAIMS": "streaming_claim_events",
+    "BILLING": "streaming_payment_events",
+    "POLICY": "policy_change_count",
+    "MEMBER": "member_update_count",
+}
 
 
 def member_activity(facts: Facts, count_events_once: bool = False) -> DataFrame:
     """All measures of all facts, one row per member, by a single shuffle.
 
-    Events are counted per flattened row; ``count_events_once`` counts each event
-    once.
+    The domains are counted in one scan of the events. Events are counted per
+    flattened row; ``count_events_once`` counts each event once.
     """
-    once = A.distinct_events if count_events_once else (lambda df: df)
+    events = facts.events.filter(F.col("outcome") == E.VALID).select(
+        "member_id", "event_id", "domain"
+    )
+    if count_events_once:
+        events = events.distinct()
+    by_domain = events.selectExpr(
+        "member_id",
+        *[
+            f"CASE WHEN domain = '{domain}' THEN event_id END AS {domain}"
+            for domain in EVENT_COUNTS
+        ],
+    )
     return A.aggregate_facts(
         [
             (facts.claims, A.CLAIM_MEASURES),
             (facts.revenue, A.REVENUE_MEASURES),
             (facts.violations, A.VIOLATION_MEASURES),
-            (once(facts.claim_events), A.CLAIM_EVENT_MEASURES[:1]),
-            (once(facts.billing_events), A.BILLING_EVENT_MEASURES),
-            (once(facts.policy_events), A.POLICY_EVENT_MEASURES),
-            (once(facts.member_events), A.MEMBER_EVENT_MEASURES),
+            (
+                by_domain,
+                [A.Measure(name, domain, "count") for domain, name in EVENT_COUNTS.items()],
+            ),
         ],
         "member_id",
     )

@@ -82,13 +82,14 @@ def run_members(
             keep_malformed=True,
         )
         migrated = read_csv(spark, layout.raw("migrated_members"), schemas.MIGRATED_MEMBERS)
-        checked, run.counts = stage(
-            M.check_history(historical), "checked_history", ["is_valid"], **_verdicts()
-        )
-        split = quality.split_on_flag(checked, distinct_rejects=False)
-        write_table(
-            _quarantined(split.rejected, mask_quarantine), layout.quarantine("member_records")
+        checked, _ = stage(M.check_history(historical), "checked_history", ["is_valid"])
+        split = quality.split_on_flag(checked)
+        run.counts = write_counted(
+            _quarantined(split.rejected, mask_quarantine),
+            lambda df: write_table(df, layout.quarantine("member_records")),
+            bad=_rows(),
         )
+        run.counts["valid"] = quality.count_distinct_rows(split.valid)
         dimension = M.dimension_from_valid(
             split.valid, migrated, as_of, processed_at or run.start_time, salt
         )
@@ -226,12 +227,11 @@ def run_events(
 
 def silver_facts(spark: SparkSession, layout: Layout) -> G.Facts:
     """The facts of the gold table, as earlier runs left them."""
-    events = events_table(spark, layout)
     return G.Facts(
         read_table(spark, layout.silver("claims_fact")),
         read_table(spark, layout.silver("revenue")),
         read_table(spark, layout.silver("violations")),
-        *[E.valid_rows(events, domain) for domain in E.DOMAINS],
+        events_table(spark, layout),
     )
 
 
