@@ -389,6 +389,9 @@ _BODIES: dict[str, str] = {
             SELECT claim_id, member_id, claim_date, claim_amount, adjustment_id, original_claim_amount,
                    adjustment_amount, adjusted_final_amount, adjustment_date
             FROM claims LEFT JOIN adjustments USING (claim_id, member_id))""",
+    "unused_adjustments": f"""
+        SELECT {_text_days("adjustments")} FROM adjustments_good a
+        WHERE NOT EXISTS (SELECT 1 FROM claims_good c WHERE c.claim_id = a.claim_id AND c.member_id = a.member_id)""",
     "dedup_exact": "SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem",
     "count_distinct_rows": """
         SELECT count(*) AS orders, (SELECT count(*) FROM (

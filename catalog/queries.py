@@ -450,6 +450,13 @@ def claims_with_adjustments(spark, sf_dir):
     return joins.claims_with_adjustments(I.claims(spark, sf_dir), I.adjustments(spark, sf_dir))
 
 
+@query
+def unused_adjustments(spark, sf_dir):
+    """Valid adjustments that name another member than their claim."""
+    valid = _valid_claims(spark, sf_dir)
+    return joins.unused_adjustments(C.valid_adjustments(I.adjustments(spark, sf_dir), valid), valid)
+
+
 @query
 def dedup_exact(spark, sf_dir):
     """Lineitems delivered twice, once each."""
@@ -563,14 +570,7 @@ def join_aggregates(spark, sf_dir):
 @query
 def dq_metrics(spark, sf_dir):
     """Rows per event domain and outcome, bad rows once each."""
-    wide = E.normalize_all(_events(spark, sf_dir))
-    kept = wide.filter(F.col("outcome") == E.VALID)
-    bad = wide.filter(F.col("outcome") == E.BAD).distinct()
-    return (
-        kept.unionByName(bad)
-        .groupBy("domain", "outcome")
-        .agg(F.count("*").alias("records"))
-    )
+    return E.outcome_counts(E.normalize_all(_events(spark, sf_dir)))
 
 
 # --- events ----------------------------------------------------------------

@@ -274,3 +274,20 @@ def rejected_events(wide: DataFrame) -> DataFrame:
 def _rows(wide: DataFrame, domain: Domain, outcome: str) -> DataFrame:
     wanted = (F.col("outcome") == outcome) & (F.col("domain") == domain.category)
     return wide.filter(wanted).select(*domain.output)
+
+
+def outcome_counts(wide: DataFrame) -> DataFrame:
+    """Rows per domain and outcome, copies of a bad row counted once.
+
+    One pass: valid rows collapse to a count before the shuffle, and only bad
+    rows travel with their columns.
+    """
+    content = [name for name in wide.columns if name not in ("domain", "outcome")]
+    bad = F.when(F.col("outcome") == BAD, F.struct(*content))
+    grouped = (
+        wide.filter(F.col("outcome") != REJECTED)
+        .groupBy("domain", "outcome", bad.alias("bad_row"))
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    counted = F.when(F.col("outcome") == BAD, F.lit(1)).otherwise(F.col("copies"))
+    return grouped.groupBy("domain", "outcome").agg(F.sum(counted).alias("records"))

@@ -78,6 +78,14 @@ def claims_with_adjustments(claims: DataFrame, adjustments: DataFrame) -> DataFr
     return hot_key_join(claims, adjustments, ["claim_id", "member_id"], "left")
 
 
+def unused_adjustments(adjustments: DataFrame, claims: DataFrame) -> DataFrame:
+    """Adjustments that no claim takes up, as they name another member."""
+    keys = ["claim_id", "member_id"]
+    return hot_key_join(adjustments, claims.select(*keys).distinct(), keys, "left_anti").select(
+        *adjustments.columns
+    )
+
+
 def join_aggregates(df: DataFrame, aggregates: Sequence[DataFrame], key: str) -> DataFrame:
     """``df`` with the columns of several frames that are unique on ``key``.
 

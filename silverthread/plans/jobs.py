@@ -8,13 +8,15 @@ writes themselves, so no job runs only to count.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import constants as K, schemas
 from ..functions import privacy
-from ..operators import events as E, quality
+from ..operators import events as E, joins, quality
 from ..operators.aggregates import total
 from ..operators.latest import latest_per_key
 from ..sinks import (
@@ -24,6 +26,7 @@ from ..sinks import (
     write_partitioned,
     write_snapshot,
     write_table,
+    write_together,
 )
 from ..sources import latest_partition, read_csv, read_events, read_table
 from . import claims as C, gold as G, members as M
@@ -84,18 +87,24 @@ def run_members(
         migrated = read_csv(spark, layout.raw("migrated_members"), schemas.MIGRATED_MEMBERS)
         checked, _ = stage(M.check_history(historical), "checked_history", ["is_valid"])
         split = quality.split_on_flag(checked)
-        run.counts = write_counted(
-            _quarantined(split.rejected, mask_quarantine),
-            lambda df: write_table(df, layout.quarantine("member_records")),
-            bad=_rows(),
-        )
-        run.counts["valid"] = quality.count_distinct_rows(split.valid)
+        rejected = _quarantined(split.rejected, mask_quarantine)
         dimension = M.dimension_from_valid(
             split.valid, migrated, as_of, processed_at or run.start_time, salt
         )
-        write_partitioned(
-            dimension, layout.silver("member_dimension"), ["processing_date", "active_flag"]
-        )
+
+        def quarantine() -> None:
+            path = layout.quarantine("member_records")
+            found = write_counted(rejected, lambda df: write_table(df, path), rows=_rows())
+            run.counts["bad"] = found["rows"]
+
+        def count() -> None:
+            run.counts["valid"] = quality.count_distinct_rows(split.valid)
+
+        def save() -> None:
+            path = layout.silver("member_dimension")
+            write_partitioned(dimension, path, ["processing_date", "active_flag"])
+
+        write_together(save, quarantine, count)
         run.processed, run.failed = run.counts["valid"], run.counts["bad"]
     return run
 
@@ -105,8 +114,13 @@ def run_claims(
     layout: Layout,
     processed_at: dt.datetime | None = None,
     latest_only: bool = False,
+    report_unused: bool = False,
 ) -> Run:
-    """Raw claims, adjustments, revenue and violations to silver tables."""
+    """Raw claims, adjustments, revenue and violations to silver tables.
+
+    ``report_unused`` also counts valid adjustments that name another member than
+    their claim and so reach neither the fact table nor quarantine.
+    """
     with logged_run(spark, "claims_fact", layout.run_log) as run:
         moment = processed_at or run.start_time
 
@@ -122,47 +136,41 @@ def run_claims(
         )
         run.counts.update(claims=found["valid"], claims_bad=found["bad"])
         split = quality.split_on_flag(checked, distinct_rejects=False)
-        write_table(split.rejected, layout.quarantine("claims"))
-
         adjustments = raw("claims_adjustments", schemas.CLAIMS_ADJUSTMENTS)
         valid, found = stage(
             C.valid_adjustments(adjustments, split.valid), "valid_adjustments", rows=_rows()
         )
         run.counts["adjustments"] = found["rows"]
 
-        def save(name: str, df: DataFrame, write) -> None:
-            run.counts[name] = write_counted(df, write, rows=_rows())["rows"]
-
-        save(
-            "adjustments_bad",
-            C.rejected_adjustments(adjustments, valid),
-            lambda df: write_table(df, layout.quarantine("adjustments")),
-        )
-        save(
-            "claims_fact",
-            rebalance_for_write(
-                C.claims_fact(split.valid, valid, moment, latest_only), "claim_year"
-            ),
-            lambda df: write_partitioned(
-                df, layout.silver("claims_fact"), ["claim_year"], replace="all"
-            ),
-        )
         revenue = raw("revenue", schemas.REVENUE)
-        save(
-            "revenue",
-            C.clean_revenue(revenue, moment),
-            lambda df: write_table(df, layout.silver("revenue")),
-        )
-        save(
-            "revenue_bad",
-            C.rejected_revenue(revenue),
-            lambda df: write_table(df, layout.quarantine("revenue")),
-        )
         violations = read_csv(spark, layout.raw("violations"), schemas.VIOLATIONS)
-        save(
-            "violations",
-            C.clean_violations(violations, moment),
-            lambda df: write_table(df, layout.silver("violations")),
+        fact = C.claims_fact(split.valid, valid, moment, latest_only)
+
+        def save(name: str, df: DataFrame, write: Callable[[DataFrame], None]) -> None:
+            run.counts[name] = write_counted(df, write, rows=_rows())["rows"]
+
+        def table(name: str, df: DataFrame, path: str) -> Callable[[], None]:
+            return lambda: save(name, df, lambda out: write_table(out, path))
+
+        def fact_table() -> None:
+            path = layout.silver("claims_fact")
+            save(
+                "claims_fact",
+                rebalance_for_write(fact, "claim_year"),
+                lambda df: write_partitioned(df, path, ["claim_year"], replace="all"),
+            )
+
+        if report_unused:
+            unused = joins.unused_adjustments(valid, split.valid)
+            run.counts["adjustments_unused"] = unused.count()
+        bad = C.rejected_adjustments(adjustments, valid)
+        write_together(
+            fact_table,
+            table("adjustments_bad", bad, layout.quarantine("adjustments")),
+            table("revenue", C.clean_revenue(revenue, moment), layout.silver("revenue")),
+            table("revenue_bad", C.rejected_revenue(revenue), layout.quarantine("revenue")),
+            table("violations", C.clean_violations(violations, moment), layout.silver("violations")),
+            lambda: write_table(split.rejected, layout.quarantine("claims")),
         )
         run.processed = total(run.counts, "claims", "adjustments", "revenue", "violations")
         run.failed = total(run.counts, "claims_bad", "adjustments_bad", "revenue_bad")
@@ -171,7 +179,7 @@ def run_claims(
 
 def events_table(spark: SparkSession, layout: Layout) -> DataFrame:
     """The normalized events of all domains and outcomes."""
-    return read_table(spark, layout.silver("events"))
+    return read_table(spark, layout.silver("events"), schemas.EVENT_ROWS)
 
 
 def run_events(
@@ -209,17 +217,22 @@ def run_events(
             **verdicts,
         )
         stored = events_table(spark, layout)
-        for domain in E.DOMAINS:
-            name = f"{domain.category.lower()}_events"
-            found = write_counted(
-                E.bad_rows(stored, domain),
-                lambda df, name=name: write_table(df, layout.quarantine(name)),
-                rows=_rows(),
-            )
+
+        def quarantine(domain: E.Domain) -> None:
+            path = layout.quarantine(f"{domain.category.lower()}_events")
+            bad = E.bad_rows(stored, domain)
+            found = write_counted(bad, lambda df: write_table(df, path), rows=_rows())
             run.counts[f"{domain.category}_BAD"] = found["rows"]
-            if domain_tables:
-                write_table(E.valid_rows(stored, domain), layout.silver(name))
-        write_table(E.rejected_events(stored), layout.quarantine("rejected_events"))
+
+        def table(domain: E.Domain) -> None:
+            path = layout.silver(f"{domain.category.lower()}_events")
+            write_table(E.valid_rows(stored, domain), path)
+
+        write_together(
+            *[partial(quarantine, domain) for domain in E.DOMAINS],
+            *[partial(table, domain) for domain in E.DOMAINS if domain_tables],
+            lambda: write_table(E.rejected_events(stored), layout.quarantine("rejected_events")),
+        )
         run.processed = total(run.counts, *[d.category for d in E.DOMAINS])
         run.failed = total(run.counts, *[f"{d.category}_BAD" for d in E.DOMAINS])
     return run
@@ -228,7 +241,7 @@ def run_events(
 def silver_facts(spark: SparkSession, layout: Layout) -> G.Facts:
     """The facts of the gold table, as earlier runs left them."""
     return G.Facts(
-        read_table(spark, layout.silver("claims_fact")),
+        read_table(spark, layout.silver("claims_fact"), schemas.CLAIMS_FACT_AMOUNTS),
         read_table(spark, layout.silver("revenue")),
         read_table(spark, layout.silver("violations")),
         events_table(spark, layout),
@@ -250,9 +263,8 @@ def run_gold(
     than once: ``keep`` all rows, ``fail``, or keep the ``latest`` one.
     """
     with logged_run(spark, "member_360", layout.run_log) as run:
-        dimension = latest_partition(
-            read_table(spark, layout.silver("member_dimension")), "processing_date"
-        )
+        stored = read_table(spark, layout.silver("member_dimension"), schemas.MEMBER_DIMENSION)
+        dimension = latest_partition(stored, "processing_date")
         if on_repeated_member == "fail" and not G.repeated_members(dimension).isEmpty():
             raise ValueError("the member dimension holds some member_id more than once")
         if on_repeated_member == "latest":

@@ -117,6 +117,57 @@ EVENT = struct(
     payload=EVENT_PAYLOAD,
 )
 
+#: Silver tables that are laid out by a column, as readers need them. With the
+#: schema given, a table without rows (and so without directories) still reads.
+MEMBER_DIMENSION = struct(
+    member_key="string",
+    member_id="string",
+    legacy_member_id="string",
+    age_band="string",
+    gender="string",
+    state="string",
+    enrollment_date="date",
+    policy_id="string",
+    policy_type="string",
+    coverage_start_date="date",
+    coverage_end_date="date",
+    member_segment="string",
+    active_flag="string",
+    migration_flag="string",
+    masked_ssn="string",
+    processing_timestamp="timestamp",
+    record_status="string",
+    dq_flag="string",
+    processing_date="date",
+)
+
+CLAIMS_FACT_AMOUNTS = struct(
+    claim_id="string", member_id="string", final_claim_amount="double", claim_year="int"
+)
+
+EVENT_ROWS = struct(
+    event_id="string",
+    event_timestamp="string",
+    member_id="string",
+    claim_id="string",
+    claim_amount="double",
+    provider_id="string",
+    diagnosis_code="string",
+    payment_amount="double",
+    payment_method="string",
+    policy_id="string",
+    start_date="string",
+    end_date="string",
+    first_name="string",
+    last_name="string",
+    email="string",
+    city="string",
+    reject_reason="string",
+    raw_event="string",
+    outcome="string",
+    domain="string",
+)
+
 RUN_LOG = struct(
     run_id="string",
     job_name="string",

@@ -9,22 +9,36 @@ from pyspark.sql import SparkSession
 
 #: Runtime settings under which the plans were designed. AQE sizes and splits
 #: partitions; forcing the skew-join rule lets it split a hot key even where the
-#: split costs one more shuffle above the join.
+#: split costs one more shuffle above the join; the last setting is what makes
+#: joins on more keys than an input is partitioned by shuffle that input anew.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
+#: Shuffled bytes that one reduce task should get, before AQE merges small ones.
+BYTES_PER_PARTITION = 128 << 20
+
 _own_scratch: str | None = None
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`RUNTIME_SETTINGS` to the session and return it."""
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply :data:`RUNTIME_SETTINGS` to the session and return it.
+
+    AQE can merge shuffle partitions but not add any, so for a large input say
+    how many bytes its widest shuffle moves; shuffles then start from enough
+    partitions (never fewer than the session has).
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(least, -(-shuffle_bytes // BYTES_PER_PARTITION))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 

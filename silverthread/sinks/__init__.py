@@ -8,6 +8,7 @@ from .tables import (
     write_partitioned,
     write_snapshot,
     write_table,
+    write_together,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "write_partitioned",
     "write_snapshot",
     "write_table",
+    "write_together",
 ]

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import session
 
@@ -87,6 +89,15 @@ def write_counted(
     return {name: int(found.get(name) or 0) for name in counts}
 
 
+def write_together(*writes: Callable[[], object]) -> None:
+    """Run independent writes at the same time, so that the last tasks of one do
+    not leave the cluster idle. Raises the first error once all have ended."""
+    in_thread = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for done in [pool.submit(in_thread(write)) for write in writes]:
+            done.result()
+
+
 def stage(
     df: DataFrame, name: str, keys: Sequence[str] = (), **counts: Column
 ) -> tuple[DataFrame, dict[str, int]]:

@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from silverthread import constants as K, sources
+from silverthread import constants as K, schemas, sinks, sources
 from silverthread.operators import events as E
 from silverthread.plans import jobs
 
@@ -136,8 +136,47 @@ def test_gold_rerun_and_repeated_members(spark, lake):
     assert row["streaming_claim_events"] == 1  # both claim events have the id E1
 
 
+def test_unused_adjustments_are_reported_on_request(spark, lake):
+    layout, _ = lake
+    run = jobs.run_claims(spark, layout, report_unused=True)
+    assert run.counts["adjustments_unused"] == 0 and run.counts["claims_fact"] == 1
+
+
 def test_masked_quarantine(spark, lake):
     layout, _ = lake
     jobs.run_members(spark, layout, AS_OF, salt="s", mask_quarantine=True)
     bad = sources.read_table(spark, layout.quarantine("member_records")).collect()
     assert all(len(r["_malformed"]) == 64 for r in bad if r["_malformed"] is not None)
+
+
+def test_runs_on_tables_without_rows(spark, tmp_path):
+    for name, text in RAW.items():
+        folder = tmp_path / "bronze" / name
+        folder.mkdir(parents=True)
+        (folder / "part.csv").write_text(text.splitlines()[0] + "\n")
+    (tmp_path / "bronze" / "events").mkdir()
+    (tmp_path / "bronze" / "events" / "e.json").write_text("")
+    runs = jobs.run_all(spark, jobs.Layout(str(tmp_path)), AS_OF)
+    assert [(r.processed, r.failed) for r in runs] == [(0, 0)] * 4
+
+
+def test_stored_schemas_are_those_the_plans_write(spark, lake):
+    layout, _ = lake
+    for name, schema in (
+        ("member_dimension", schemas.MEMBER_DIMENSION),
+        ("events", schemas.EVENT_ROWS),
+        ("claims_fact", schemas.CLAIMS_FACT_AMOUNTS),
+    ):
+        stored = dict(sources.read_table(spark, layout.silver(name)).dtypes)
+        assert {f.name: f.dataType.simpleString() for f in schema}.items() <= stored.items()
+
+
+def test_all_writes_end_before_an_error_is_raised(spark, tmp_path):
+    done = []
+
+    def fails():
+        raise RuntimeError("boom")
+
+    with pytest.raises(RuntimeError):
+        sinks.write_together(fails, lambda: done.append(spark.range(3).count()))
+    assert done == [3]

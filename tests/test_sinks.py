@@ -79,6 +79,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         session.shared_scratch(Session())
 
 
+def test_shuffles_start_from_enough_partitions(spark, conf):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    conf(key, "8")
+    session.tune(spark, shuffle_bytes=10 << 40)
+    assert spark.conf.get(key) == str(10 * (1 << 40) // (128 << 20))
+    session.tune(spark, shuffle_bytes=1)
+    assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+
+
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path, conf):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     df = spark.range(0, 200000, 1, 8).select(
