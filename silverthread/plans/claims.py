@@ -11,6 +11,7 @@ from ..functions.money import settled_amount
 from ..operators import joins, quality
 from ..operators.latest import latest_per_key
 from ..schemas import MALFORMED
+from ..session import scratch_path
 from ..sinks import stage
 
 
@@ -109,15 +110,16 @@ def build_claims_fact(
     """The fact table, rejected claims and rejected adjustments.
 
     Checked claims and valid adjustments have several consumers each; they are
-    written once to the shared scratch folder, unless ``staged`` is off.
+    written once to the shared scratch folder, and stay there for the returned
+    frames to read, unless ``staged`` is off.
     """
-    checked = check_claims(claims, members)
+    checked, spark = check_claims(claims, members), claims.sparkSession
     if staged:
-        checked, _ = stage(checked, "checked_claims", ["is_valid"])
+        checked, _ = stage(checked, scratch_path(spark, "checked_claims"), ["is_valid"])
     split = quality.split_on_flag(checked, distinct_rejects=False)
     valid = valid_adjustments(adjustments, split.valid)
     if staged:
-        valid, _ = stage(valid, "valid_adjustments")
+        valid, _ = stage(valid, scratch_path(spark, "valid_adjustments"))
     fact = claims_fact(split.valid, valid, processed_at, latest_only)
     return fact, split.rejected, rejected_adjustments(adjustments, valid)
 

@@ -14,7 +14,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import constants as K, schemas
+from .. import constants as K, schemas, session
 from ..functions import privacy
 from ..operators import events as E, joins, quality
 from ..operators.aggregates import total
@@ -77,7 +77,10 @@ def run_members(
     mask_quarantine: bool = False,
 ) -> Run:
     """Raw member history and migrated members to the member dimension."""
-    with logged_run(spark, "member_dimension", layout.run_log) as run:
+    with (
+        logged_run(spark, "member_dimension", layout.run_log) as run,
+        session.scratch_folder(spark) as scratch,
+    ):
         historical = read_csv(
             spark,
             layout.raw("historical_member_policy"),
@@ -85,7 +88,9 @@ def run_members(
             keep_malformed=True,
         )
         migrated = read_csv(spark, layout.raw("migrated_members"), schemas.MIGRATED_MEMBERS)
-        checked, _ = stage(M.check_history(historical), "checked_history", ["is_valid"])
+        checked, _ = stage(
+            M.check_history(historical), f"{scratch}/history", ["is_valid"]
+        )
         split = quality.split_on_flag(checked)
         rejected = _quarantined(split.rejected, mask_quarantine)
         dimension = M.dimension_from_valid(
@@ -121,7 +126,10 @@ def run_claims(
     ``report_unused`` also counts valid adjustments that name another member than
     their claim and so reach neither the fact table nor quarantine.
     """
-    with logged_run(spark, "claims_fact", layout.run_log) as run:
+    with (
+        logged_run(spark, "claims_fact", layout.run_log) as run,
+        session.scratch_folder(spark) as scratch,
+    ):
         moment = processed_at or run.start_time
 
         def raw(table: str, schema) -> DataFrame:
@@ -130,7 +138,7 @@ def run_claims(
         members = read_csv(spark, layout.raw("members_current"), schemas.MEMBERS_CURRENT)
         checked, found = stage(
             C.check_claims(raw("claims", schemas.CLAIMS), members),
-            "checked_claims",
+            f"{scratch}/claims",
             ["is_valid"],
             **_verdicts(),
         )
@@ -138,7 +146,7 @@ def run_claims(
         split = quality.split_on_flag(checked, distinct_rejects=False)
         adjustments = raw("claims_adjustments", schemas.CLAIMS_ADJUSTMENTS)
         valid, found = stage(
-            C.valid_adjustments(adjustments, split.valid), "valid_adjustments", rows=_rows()
+            C.valid_adjustments(adjustments, split.valid), f"{scratch}/adjustments", rows=_rows()
         )
         run.counts["adjustments"] = found["rows"]
 

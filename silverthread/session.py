@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +64,15 @@ def shared_scratch(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path for ``name`` in the shared scratch folder."""
     return f"{shared_scratch(spark)}/silverthread/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A fresh folder in the shared scratch folder, removed with what a block
+    staged in it when the block ends or fails."""
+    folder = scratch_path(spark, "staged")
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

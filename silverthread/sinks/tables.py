@@ -10,8 +10,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from .. import session
-
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace an unpartitioned table."""
@@ -99,15 +97,15 @@ def write_together(*writes: Callable[[], object]) -> None:
 
 
 def stage(
-    df: DataFrame, name: str, keys: Sequence[str] = (), **counts: Column
+    df: DataFrame, path: str, keys: Sequence[str] = (), **counts: Column
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Write ``df`` to the shared scratch folder and read it back.
+    """Write ``df`` below the shared scratch folder and read it back.
 
     Cuts lineage with a table that outlives any executor, and computes ``df`` once
     for all its consumers. ``keys`` lay it out so that readers of one outcome skip
-    the files of the others. Returns the table and the observed ``counts``.
+    the files of the others. Returns the table and the observed ``counts``. For
+    ``path`` see :func:`silverthread.session.scratch_path` and ``scratch_folder``.
     """
-    path = session.scratch_path(df.sparkSession, name)
 
     def write(rows: DataFrame) -> None:
         writer = rows.write.mode("overwrite")

@@ -60,13 +60,24 @@ def test_counts_come_with_the_write(spark, tmp_path):
 
 def test_stage_lives_in_the_checkpoint_folder(spark):
     df = spark.range(10).withColumn("odd", F.col("id") % 2 == 1)
-    staged, counts = sinks.stage(df, "numbers", ["odd"], odd=F.count_if("odd"))
+    path = session.scratch_path(spark, "numbers")
+    staged, counts = sinks.stage(df, path, ["odd"], odd=F.count_if("odd"))
     assert counts == {"odd": 5} and staged.filter("odd").count() == 5
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(folder in name for name in staged.inputFiles())
     assert staged.schema["odd"].dataType == df.schema["odd"].dataType
 
 
+def test_scratch_folder_is_removed(spark):
+    with pytest.raises(RuntimeError):
+        with session.scratch_folder(spark) as folder:
+            assert sinks.stage(spark.range(3), f"{folder}/t")[0].count() == 3
+            assert os.path.isdir(folder)
+            raise RuntimeError
+    assert not os.path.exists(os.path.dirname(folder))
+    assert os.path.isdir(spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Conf:
         def get(self, key, default=None):
