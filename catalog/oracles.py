@@ -393,10 +393,9 @@ _BODIES: dict[str, str] = {
         SELECT {_text_days("adjustments")} FROM adjustments_good a
         WHERE NOT EXISTS (SELECT 1 FROM claims_good c WHERE c.claim_id = a.claim_id AND c.member_id = a.member_id)""",
     "dedup_exact": "SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem",
-    "count_distinct_rows": """
-        SELECT count(*) AS orders, (SELECT count(*) FROM (
-            SELECT DISTINCT effective_date, coverage_start_date, gender FROM historical)) AS distinct_rows
-        FROM orders""",
+    "distinct_row_count": """
+        SELECT count(*) AS records FROM (
+            SELECT DISTINCT effective_date, coverage_start_date, gender FROM historical)""",
     "union_by_name": """
         SELECT c_name, c_custkey, c_acctbal FROM customer
         UNION ALL SELECT c_name, c_custkey, NULL FROM customer""",

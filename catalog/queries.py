@@ -57,18 +57,12 @@ def _valid_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.valid_adjustments(I.adjustments(spark, sf_dir), _valid_claims(spark, sf_dir))
 
 
-def _claims_tables(spark, sf_dir, latest_only: bool = False):
-    return C.build_claims_fact(
-        I.members_current(spark, sf_dir),
-        I.claims(spark, sf_dir),
-        I.adjustments(spark, sf_dir),
-        PROCESSED_AT,
-        latest_only,
-    )
-
-
 def _fact(spark: SparkSession, sf_dir: str, latest_only: bool = False) -> DataFrame:
-    return _claims_tables(spark, sf_dir, latest_only)[0]
+    path = session.scratch_path(spark, "checked_claims")
+    checked, _ = sinks.stage(_checked_claims(spark, sf_dir), path, ["is_valid"])
+    valid = quality.split_on_flag(checked, distinct_rejects=False).valid
+    adjustments = C.valid_adjustments(I.adjustments(spark, sf_dir), valid)
+    return C.claims_fact(valid, adjustments, PROCESSED_AT, latest_only)
 
 
 def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,7 +286,12 @@ def adjust_valid(spark, sf_dir):
 @query
 def adjust_bad(spark, sf_dir):
     """Adjustments whose id is on no valid adjustment."""
-    return _claims_tables(spark, sf_dir)[2]
+    return C.build_claims_fact(
+        I.members_current(spark, sf_dir),
+        I.claims(spark, sf_dir),
+        I.adjustments(spark, sf_dir),
+        PROCESSED_AT,
+    )[2]
 
 
 @query
@@ -391,11 +390,9 @@ def amount_cast(spark, sf_dir):
 @query
 def settled_amounts(spark, sf_dir):
     """The adjusted amount, else the claimed amount."""
-    joined = joins.claims_with_adjustments(
-        _valid_claims(spark, sf_dir), _valid_adjustments(spark, sf_dir)
-    )
+    fact = _fact(spark, sf_dir).drop("final_claim_amount")
     final = money.settled_amount("claim_amount", "adjusted_final_amount")
-    return joined.select("claim_id", "adjustment_id", final.alias("final_claim_amount"))
+    return fact.select("claim_id", "adjustment_id", final.alias("final_claim_amount"))
 
 
 # --- joins, latest version, set operations ---------------------------------
@@ -465,13 +462,10 @@ def dedup_exact(spark, sf_dir):
 
 
 @query
-def count_distinct_rows(spark, sf_dir):
+def distinct_row_count(spark, sf_dir):
     """Distinct rows of a table with copies, nulls told apart by their place."""
     h = I.historical(spark, sf_dir).select("effective_date", "coverage_start_date", "gender")
-    count = quality.count_distinct_rows(h.unionAll(h))
-    return table(spark, sf_dir, "orders").agg(
-        F.count("*").alias("orders"), F.lit(count).cast("bigint").alias("distinct_rows")
-    )
+    return quality.distinct_row_count(h.unionAll(h))
 
 
 @query

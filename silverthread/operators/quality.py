@@ -116,8 +116,8 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def count_distinct_rows(df: DataFrame) -> int:
-    """Number of distinct rows, a job of its own.
+def distinct_row_count(df: DataFrame) -> DataFrame:
+    """Number of distinct rows, as one row ``records``.
 
     Rows are compared by a 128-bit digest, so 16 bytes per row are shuffled in
     place of the row; null flags are part of it, as hashing skips nulls.
@@ -126,7 +126,7 @@ def count_distinct_rows(df: DataFrame) -> int:
     digest = df.select(
         F.xxhash64(*parts).alias("low"), F.xxhash64(F.lit(1), *parts).alias("high")
     )
-    return digest.distinct().count()
+    return digest.distinct().agg(F.count(F.lit(1)).alias("records"))
 
 
 def except_distinct(df: DataFrame, other: DataFrame) -> DataFrame:

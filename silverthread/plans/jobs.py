@@ -103,7 +103,7 @@ def run_members(
             run.counts["bad"] = found["rows"]
 
         def count() -> None:
-            run.counts["valid"] = quality.count_distinct_rows(split.valid)
+            run.counts["valid"] = quality.distinct_row_count(split.valid).first()["records"]
 
         def save() -> None:
             path = layout.silver("member_dimension")

@@ -1,4 +1,4 @@
-"""Parquet sinks. Only this module and the run log trigger Spark jobs."""
+"""Parquet sinks. Each call here runs a Spark job at once."""
 
 from __future__ import annotations
 

@@ -108,12 +108,17 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path, conf):
         F.sha2(F.col("id").cast("string"), 256).alias("payload"),
     )
     path = str(tmp_path / "w")
-    sinks.write_partitioned(sinks.rebalance_for_write(df, "state"), path, ["state"])
+    found = sinks.write_counted(
+        sinks.rebalance_for_write(df, "state"),
+        lambda out: sinks.write_partitioned(out, path, ["state"]),
+        rows=F.count(F.lit(1)),
+    )
     files = {
         name: len([f for f in os.listdir(f"{path}/{name}") if f.endswith(".parquet")])
         for name in os.listdir(path)
         if name.startswith("state=")
     }
+    assert found == {"rows": 200000}
     assert files["state=hot"] > 4 and sources.read_table(spark, path).count() == 200000
 
 
