@@ -391,7 +391,8 @@ _BODIES: dict[str, str] = {
             FROM claims LEFT JOIN adjustments USING (claim_id, member_id))""",
     "unused_adjustments": f"""
         SELECT {_text_days("adjustments")} FROM adjustments_good a
-        WHERE NOT EXISTS (SELECT 1 FROM claims_good c WHERE c.claim_id = a.claim_id AND c.member_id = a.member_id)""",
+        WHERE NOT EXISTS (SELECT 1 FROM claims_good c
+                          WHERE c.claim_id = a.claim_id AND c.member_id = a.member_id)""",
     "dedup_exact": "SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem",
     "distinct_row_count": """
         SELECT count(*) AS records FROM (

@@ -131,8 +131,16 @@ def distinct_row_count(df: DataFrame) -> DataFrame:
 
 def except_distinct(df: DataFrame, other: DataFrame) -> DataFrame:
     """Distinct rows of ``df`` that are not in ``other``, by column position and
-    null-safe. Where ``other`` is a filter of ``df``, prefer a split."""
-    return df.subtract(other)
+    null-safe.
+
+    One aggregate over both, so copies on either side collapse before the single
+    shuffle. Where ``other`` is a filter of ``df``, a split needs one side only.
+    """
+    side = "__side"
+    left = df.withColumn(side, F.lit(0))
+    right = other.toDF(*df.columns).withColumn(side, F.lit(1))
+    sides = left.union(right).groupBy(*df.columns).agg(F.max(side).alias(side))
+    return sides.filter(F.col(side) == 0).drop(side)
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

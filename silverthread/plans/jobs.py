@@ -2,7 +2,8 @@
 
 Every expensive intermediate that has several consumers is staged once as a
 table (see :func:`silverthread.sinks.stage`); row counts are observed by the
-writes themselves, so no job runs only to count.
+writes themselves, and only the distinct valid history takes a job to count.
+Runners apply :func:`silverthread.session.tune` to the session.
 """
 
 from __future__ import annotations
@@ -78,7 +79,7 @@ def run_members(
 ) -> Run:
     """Raw member history and migrated members to the member dimension."""
     with (
-        logged_run(spark, "member_dimension", layout.run_log) as run,
+        logged_run(session.tune(spark), "member_dimension", layout.run_log) as run,
         session.scratch_folder(spark) as scratch,
     ):
         historical = read_csv(
@@ -120,14 +121,18 @@ def run_claims(
     processed_at: dt.datetime | None = None,
     latest_only: bool = False,
     report_unused: bool = False,
+    rebalance: bool = True,
 ) -> Run:
     """Raw claims, adjustments, revenue and violations to silver tables.
 
+    ``rebalance`` shuffles the fact table once more by year before it is written;
+    without it each task writes a file per year it meets.
+
     ``report_unused`` also counts valid adjustments that name another member than
     their claim and so reach neither the fact table nor quarantine.
     """
     with (
-        logged_run(spark, "claims_fact", layout.run_log) as run,
+        logged_run(session.tune(spark), "claims_fact", layout.run_log) as run,
         session.scratch_folder(spark) as scratch,
     ):
         moment = processed_at or run.start_time
@@ -164,7 +169,7 @@ def run_claims(
             path = layout.silver("claims_fact")
             save(
                 "claims_fact",
-                rebalance_for_write(fact, "claim_year"),
+                rebalance_for_write(fact, "claim_year") if rebalance else fact,
                 lambda df: write_partitioned(df, path, ["claim_year"], replace="all"),
             )
 
@@ -197,15 +202,18 @@ def run_events(
     keep_empty: bool = False,
     mask_members: bool = False,
     multiline: bool = False,
+    rebalance: bool = True,
 ) -> Run:
     """Landed events to normalized domain tables and quarantine.
 
     The events are parsed once, into one table laid out by outcome and domain.
     ``domain_tables`` also writes each domain as a table of its own, from the
     pruned files of that table; turn it off where readers use
-    :func:`silverthread.operators.events.valid_rows`.
+    :func:`silverthread.operators.events.valid_rows`. ``rebalance`` shuffles the
+    parsed rows by outcome and domain before they are written; without it every
+    task writes a file for each pair it meets, millions of them for a large feed.
     """
-    with logged_run(spark, "event_domains", layout.run_log) as run:
+    with logged_run(session.tune(spark), "event_domains", layout.run_log) as run:
         events = read_events(spark, layout.raw("events"), multiline=multiline)
         wide = E.normalize_all(events, keep_empty=keep_empty)
         if mask_members:
@@ -217,7 +225,7 @@ def run_events(
             for d in E.DOMAINS
         }
         run.counts = write_counted(
-            wide,
+            rebalance_for_write(wide, "outcome", "domain") if rebalance else wide,
             lambda df: write_partitioned(
                 df, layout.silver("events"), ["outcome", "domain"], replace="all"
             ),
@@ -270,7 +278,7 @@ def run_gold(
     ``on_repeated_member`` decides about members that the dimension holds more
     than once: ``keep`` all rows, ``fail``, or keep the ``latest`` one.
     """
-    with logged_run(spark, "member_360", layout.run_log) as run:
+    with logged_run(session.tune(spark), "member_360", layout.run_log) as run:
         stored = read_table(spark, layout.silver("member_dimension"), schemas.MEMBER_DIMENSION)
         dimension = latest_partition(stored, "processing_date")
         if on_repeated_member == "fail" and not G.repeated_members(dimension).isEmpty():

@@ -142,6 +142,20 @@ def test_unused_adjustments_are_reported_on_request(spark, lake):
     assert run.counts["adjustments_unused"] == 0 and run.counts["claims_fact"] == 1
 
 
+def test_rebalance_is_a_choice_of_layout_only(spark, lake, rows):
+    layout, runs = lake
+    before = {
+        name: rows(sources.read_table(spark, layout.silver(name)).drop("processing_timestamp"))
+        for name in ("events", "claims_fact")
+    }
+    jobs.run_claims(spark, layout, rebalance=False)
+    run = jobs.run_events(spark, layout, rebalance=False)
+    assert run.counts == runs["event_domains"].counts
+    for name, found in before.items():
+        stored = sources.read_table(spark, layout.silver(name)).drop("processing_timestamp")
+        assert rows(stored) == found
+
+
 def test_masked_quarantine(spark, lake):
     layout, _ = lake
     jobs.run_members(spark, layout, AS_OF, salt="s", mask_quarantine=True)

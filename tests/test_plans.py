@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import inputs as I
 from silverthread import schemas, sources
 from silverthread.operators import aggregates as A, events as E, joins, latest, quality
 from silverthread.plans import claims as C, gold as G, members as M
@@ -50,6 +49,15 @@ def hot(spark, n=300000):
     )
 
 
+def claims_of_hot(spark):
+    return hot(spark).select(
+        F.concat(F.lit("C"), "n").alias("claim_id"),
+        "member_id",
+        F.lit(dt.date(2024, 1, 1)).alias("claim_date"),
+        F.col("n").cast("double").alias("claim_amount"),
+    )
+
+
 def keys(spark):
     return spark.range(0, 5000, 1, 4).select(
         F.concat(F.lit("k"), "id").alias("member_id"), (F.col("id") * 2).alias("v")
@@ -82,13 +90,7 @@ def test_hot_key_is_split_in_existence_joins(spark, skewable, join):
 
 
 def test_hot_member_is_split_when_claims_are_checked(spark, skewable):
-    claims = hot(spark).select(
-        F.concat(F.lit("C"), "n").alias("claim_id"),
-        "member_id",
-        F.lit(dt.date(2024, 1, 1)).alias("claim_date"),
-        F.col("n").cast("double").alias("claim_amount"),
-    )
-    checked = C.check_claims(claims, keys(spark).select("member_id"))
+    checked = C.check_claims(claims_of_hot(spark), keys(spark).select("member_id"))
     assert "SortMergeJoin(skew=true)" in plan(touched(checked), final=True)
     assert checked.count() == 300000
 
@@ -99,21 +101,11 @@ def test_no_join_asks_for_a_broadcast(spark, big):
 
 
 def test_claims_are_shuffled_once_for_join_and_dedup(spark, big):
-    claims = spark.createDataFrame([], schemas.CLAIMS).unionAll(I_claims(spark))
-    text = plan(C.check_claims(claims, keys(spark).select("member_id")))
+    text = plan(C.check_claims(claims_of_hot(spark), keys(spark).select("member_id")))
     assert text.count("Exchange hashpartitioning") == 3  # claims once, parent keys twice
     assert "LeftAnti" not in text
 
 
-def I_claims(spark):
-    return hot(spark).select(
-        F.concat(F.lit("C"), "n").alias("claim_id"),
-        "member_id",
-        F.current_date().alias("claim_date"),
-        F.col("n").cast("double").alias("claim_amount"),
-    )
-
-
 def test_all_facts_take_one_shuffle(spark):
     facts = [
         (hot(spark), [A.Measure("a", "n", "money")]),
@@ -137,6 +129,13 @@ def test_split_needs_no_anti_join(spark):
     assert shuffles(split.valid) == 0
 
 
+def test_except_takes_one_shuffle_of_reduced_rows(spark):
+    df = hot(spark)
+    text = plan(quality.except_distinct(df, df.filter("n > 10")))
+    assert text.count("Exchange") == 1 and "Join" not in text
+    assert text.count("partial_max") == 1
+
+
 def test_latest_keeps_one_row_per_task_before_the_shuffle(spark):
     text = plan(latest.latest_per_key(hot(spark), ["member_id"], ["n"]))
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
