@@ -89,9 +89,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned lineitems as adjustments of their order's claim."""
+    """Returned lineitems as adjustments of their order's claim. Copies of an
+    order are dropped first, so that they do not multiply its lineitems."""
     returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").distinct()
     joined = returned.join(owner, returned.l_orderkey == owner.o_orderkey)
     return joined.selectExpr(
         "CASE WHEN l_linenumber <> 6 THEN concat('A', l_orderkey * 10 + l_linenumber) END AS adjustment_id",

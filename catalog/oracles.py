@@ -51,7 +51,8 @@ _CTES: dict[str, str] = {
                CASE WHEN l_linenumber = 7 THEN l_extendedprice
                     ELSE l_extendedprice + l_quantity END AS adjusted_final_amount,
                CAST(l_shipdate AS DATE) AS adjustment_date
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        FROM lineitem
+        JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) ON l_orderkey = o_orderkey
         WHERE l_returnflag = 'R'""",
     "revenue": """
         SELECT 'M' || o_custkey AS member_id,
@@ -104,6 +105,7 @@ _CTES: dict[str, str] = {
                'ACTIVE' AS record_status, 'VALID' AS dq_flag, {_AS_OF} AS processing_date
         FROM newest JOIN migrated USING (legacy_member_id)""",
     # --- claims ---
+    "claims_distinct": "SELECT DISTINCT * FROM claims",
     "claims_good": """
         SELECT DISTINCT * FROM claims
         WHERE member_id IN (SELECT member_id FROM members_current)
@@ -379,7 +381,7 @@ _BODIES: dict[str, str] = {
     "adjust_with_claim": """
         SELECT a.* REPLACE (CAST(adjustment_date AS VARCHAR) AS adjustment_date),
                CAST(claim_date AS VARCHAR) AS claim_date
-        FROM adjustments a JOIN claims c ON a.claim_id = c.claim_id""",
+        FROM adjustments a JOIN claims_distinct c ON a.claim_id = c.claim_id""",
     "without_match": f"""
         SELECT {_text_days("adjustments")} FROM adjustments
         WHERE claim_id IS NULL OR claim_id NOT IN (
@@ -388,7 +390,7 @@ _BODIES: dict[str, str] = {
         SELECT {_text_days("fact")} FROM (
             SELECT claim_id, member_id, claim_date, claim_amount, adjustment_id, original_claim_amount,
                    adjustment_amount, adjusted_final_amount, adjustment_date
-            FROM claims LEFT JOIN adjustments USING (claim_id, member_id))""",
+            FROM claims_distinct LEFT JOIN adjustments USING (claim_id, member_id))""",
     "unused_adjustments": f"""
         SELECT {_text_days("adjustments")} FROM adjustments_good a
         WHERE NOT EXISTS (SELECT 1 FROM claims_good c

@@ -430,8 +430,9 @@ def require_parent(spark, sf_dir):
 
 @query
 def adjust_with_claim(spark, sf_dir):
-    """Adjustments with the date of their claim."""
-    return joins.adjust_with_claim(I.adjustments(spark, sf_dir), I.claims(spark, sf_dir))
+    """Adjustments with the date of their claim, copies of claims dropped."""
+    claims = quality.distinct_rows(I.claims(spark, sf_dir))
+    return joins.adjust_with_claim(I.adjustments(spark, sf_dir), claims)
 
 
 @query
@@ -443,8 +444,9 @@ def without_match(spark, sf_dir):
 
 @query
 def claims_with_adjustments(spark, sf_dir):
-    """Claims with their adjustments, by claim and member."""
-    return joins.claims_with_adjustments(I.claims(spark, sf_dir), I.adjustments(spark, sf_dir))
+    """Distinct claims with their adjustments, by claim and member."""
+    claims = quality.distinct_rows(I.claims(spark, sf_dir))
+    return joins.claims_with_adjustments(claims, I.adjustments(spark, sf_dir))
 
 
 @query
