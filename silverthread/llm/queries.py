@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverthread import session
 
-from . import bpe, leaks, lines, near, quality, toxicity
+from . import bpe, leaks, lines, near, pii, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,19 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs)
+    everything = F.sort_array(F.concat("base", "added"))
+    return found.select(
+        "doc_id",
+        *[pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.describe(F.col("base")), 256).alias("base_sha256"),
+        pii.describe(everything).alias("spans"),
+    )
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
