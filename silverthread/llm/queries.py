@@ -9,14 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from silverthread import session
 
-from . import bpe, leaks, lines, near, pii, quality, toxicity
+from . import bpe, counts, idfiles, leaks, licenses, lines, near, pii, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+ORACLES: dict[str, str] = {}
+
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 1
 
 
 def query(function: Query) -> Query:
@@ -65,12 +69,42 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan_licenses(docs, licenses.known_licenses(spark))
+    return found.select("doc_id", "license", F.array_join("licenses", ",").alias("licenses"))
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return leaks.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text with three edits: its source is inserted after the first quarter, the
+    middle 40 characters go, and its language takes the place of the 20 characters
+    before the end."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    size = F.coalesce(F.length("text"), F.lit(0))
+    half = F.floor(size / 2).cast("int")
+    edit = lambda start, end, new: F.struct(
+        start.alias("start"), end.alias("end"), new.alias("replacement")
+    )
+    edits = F.array(
+        edit(F.floor(size / 4).cast("int"), F.floor(size / 4).cast("int"), F.concat(F.lit(" "), "source", F.lit(": "))),
+        edit(half, half + 40, F.lit("")),
+        edit(F.greatest(size - 20, half + 40), size, F.concat(F.lit("\n["), "lang", F.lit("]"))),
+    )
+    counted = docs.select(
+        "doc_id",
+        counts.count_edited(F.col("text"), edits, BPE_RANKS, public_tokenizers.PATTERN).alias("c"),
+    )
+    return counted.select("doc_id", "c.*")
+
+
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,6 +124,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = session.scratch_path(spark, "token_ids")
+    idfiles.write_ids(docs, path, WORD_BPE, END_ID)
+    return idfiles.read_ids(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,3 +141,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, forest, out="q").select(
         "doc_id", *[f"q.{name}" for name in quality.COUNTS], "q.base_failed", "q.kept", "q.score"
     )
+
+
+#: The trimmed key of a line in DuckDB; A-Z only in lower case.
+_KEY = (
+    "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),"
+    " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+#: The lines of a table ``{docs}`` and those that stay, for one query or one stage.
+LINES_SQL = f"""
+all_lines AS (
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at,
+    unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM {{docs}}),
+keyed AS (SELECT doc_id, at, line, {_KEY} AS key FROM all_lines),
+frequent AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f USING (key)),
+deduped AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '') AS text
+  FROM marked GROUP BY doc_id)"""
+
+ORACLES["op2_line_dedup"] = f"""
+WITH {LINES_SQL.format(docs="documents")}
+SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM deduped"""
