@@ -6,6 +6,7 @@ import sys
 import pytest
 
 import __spark_entry__ as contract
+from catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -24,14 +25,15 @@ def con():
 
 
 def test_each_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query(spark, con, name):
     problem = compare(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name])
-    assert problem in ("", "no rows")
+    assert problem == ""
