@@ -271,11 +271,15 @@ def without_leaks(
     """``docs`` without the rows that hold a benchmark item; see :func:`find_leaks`."""
     flag = free_name(docs.columns, "leaked")
     for index in _indexes(benchmark, item_id, item_text):
+        docs = docs.withColumn(flag, _leaked(index, min_score)(F.col(text)))
+        docs = docs.where(~F.col(flag)).drop(flag)
+    return docs
 
-        @F.pandas_udf(BooleanType())
-        def leaked(texts: pd.Series, index=index) -> pd.Series:
-            found = {i for i, *_ in index.value.search(texts.tolist(), min_score)}
-            return pd.Series([i in found for i in range(len(texts))], dtype=bool)
 
-        docs = docs.withColumn(flag, leaked(F.col(text))).where(~F.col(flag)).drop(flag)
-    return docs
+def _leaked(index, min_score: float):
+    @F.pandas_udf(BooleanType())
+    def run(texts: pd.Series) -> pd.Series:
+        found = {i for i, *_ in index.value.search(texts.tolist(), min_score)}
+        return pd.Series([i in found for i in range(len(texts))], dtype=bool)
+
+    return run
