@@ -2,8 +2,8 @@
 
 Texts with the same words are one node. A node's signature comes from the arrivals
 of one Poisson process per five-word shingle. Nodes that share a band are linked to
-the band's first node if their shingles agree, linked nodes form components, and
-bands that still hold several components are compared across these.
+its most central one if their shingles agree, linked nodes form components, and bands
+that still hold several components are compared across these.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ REGISTERS = BANDS * ROWS
 #: Pairs with fewer equal registers are not compared: at similarity 0.8 the count is
 #: 96 on average, and below 72 with chance 1e-7.
 MIN_EQUAL = 72
-#: The nodes of a band are dealt to so many tasks when they meet its first node.
+#: The nodes of a band are dealt to so many tasks when they meet its central node.
 SALTS = 8
 #: Shingles whose arrivals are drawn at a time.
 SHINGLES_AT_ONCE = 4_000_000
@@ -202,22 +202,33 @@ def similarity(a: Column, b: Column) -> Column:
 _EQUAL = "aggregate(zip_with({}, {}, (x, y) -> if(x = y, 1, 0)), 0, (s, v) -> s + v)"
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, doc_id: str, least: float) -> DataFrame:
-    """The pairs (a, b) of at least that similarity; the texts are read once more,
-    and only those of nodes in a pair go on from there."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = nodes.join(ends, "node").select("node", "doc", "row")
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(node, text) of the nodes in ``wanted``; the texts are read once more, and only
+    those go on from there."""
+    needed = nodes.join(wanted, "node").select("node", "doc", "row")
     texts = docs.select(
         F.col(doc_id).alias("__doc"),
         content_id(F.col(doc_id), F.col(text)).alias("__row"),
         F.col(text).alias("text"),
     )
     same = (F.col("__row") == F.col("row")) & F.col("__doc").eqNullSafe(F.col("doc"))
-    held = stage(
-        texts.join(needed, same).select("node", "text").dropDuplicates(["node"]), "near_texts"
-    )
-    both = pairs.join(held.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
-        held.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"
+    return texts.join(needed, same).select("node", "text").dropDuplicates(["node"])
+
+
+def _shingle_array(text: Column) -> Column:
+    @F.pandas_udf("array<bigint>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(
+            [np.unique(shingles(words(t))).view(np.int64) for t in texts], dtype=object
+        )
+
+    return run(text)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of at least that similarity."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"
     )
     return both.where(similarity(F.col("ta"), F.col("tb")) >= least).select("a", "b")
 
@@ -275,55 +286,71 @@ def classes(
     sketched = stage(sketch(docs, text, doc_id), "near_sketch")
     nodes = stage(sketched.dropDuplicates(["node"]), "near_nodes")
     banded = nodes.where("size > 0").select("node", F.explode("bands").alias("band"))
-    firsts = (
-        banded.groupBy("band")
-        .agg(F.min("node").alias("first"), F.max("node").alias("last"))
-        .where(F.col("first") != F.col("last"))
-        .select("band", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    crowds = (
+        banded.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1")
+        .select("band", "crowd", salts)
     )
     shared = stage(
-        banded.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-        .join(firsts, ["band", "salt"])
-        .select("band", "node", "first"),
+        banded.withColumn("salt", salt).join(crowds, ["band", "salt"]).select("band", "node", "crowd"),
         "near_bands",
     )
-    star = shared.where(F.col("node") != F.col("first")).select(
-        F.col("node").alias("a"), F.col("first").alias("b")
-    ).distinct()
-    edges = stage(
-        _verified(stage(_likely(star, nodes), "near_pairs"), nodes, docs, text, doc_id, min_similarity),
-        "near_edges",
+    # What the others were copied from shares bands with most of them.
+    central = shared.groupBy("node").agg(F.sum("crowd").alias("central"))
+    firsts = (
+        shared.join(central, "node")
+        .groupBy("band")
+        .agg(F.max(F.struct("central", "node")).alias("first"))
+        .select("band", F.col("first.node").alias("first"), salts)
     )
+    star = stage(
+        shared.withColumn("salt", salt)
+        .join(firsts, ["band", "salt"])
+        .where(F.col("node") != F.col("first"))
+        .select(F.col("node").alias("a"), F.col("first").alias("b"))
+        .distinct(),
+        "near_star",
+    )
+    likely = stage(_likely(star, nodes), "near_pairs")
+    ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = stage(_texts(ends, nodes, docs, text, doc_id), "near_texts")
+    edges = stage(_verified(likely, texts, min_similarity), "near_edges")
     rooted = components(edges)
 
-    # Bands that hold several components: pairs across them, if sizes and registers allow.
+    # Bands that hold several components: links across them. The shingles themselves
+    # are compared as the pairs meet, so that only links come out.
     placed = shared.join(rooted, "node", "left").select(
         "band", "node", F.coalesce("root", "node").alias("root")
     )
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
         F.col("x") != F.col("y")
     ).select("band")
-    members = stage(
-        placed.join(mixed, "band").join(nodes.select("node", "size", "sig"), "node"), "near_mixed"
-    )
-    left, right = (
-        members.select("band", *[F.col(c).alias(c + side) for c in ("node", "root", "size", "sig")])
-        for side in ("_a", "_b")
-    )
-    fits = (
-        (F.col("root_a") < F.col("root_b"))
-        & (F.least("size_a", "size_b") >= min_similarity * F.greatest("size_a", "size_b"))
-        & (F.expr(_EQUAL.format("sig_a", "sig_b")) >= MIN_EQUAL)
-    )
-    more = (
-        left.join(right, "band").where(fits)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    )
-    tried = star.select("a", "b").union(star.select("b", "a").toDF("a", "b"))
-    more = stage(more.join(tried, ["a", "b"], "left_anti"), "near_pairs")
-    if not more.isEmpty():
-        found = _verified(more, nodes, docs, text, doc_id, min_similarity)
-        rooted = components(stage(edges.unionAll(found), "near_edges"))
+    members = stage(placed.join(mixed, "band"), "near_mixed")
+    if not members.isEmpty():
+        held = _texts(members.select("node").distinct(), nodes, docs, text, doc_id).select(
+            "node", _shingle_array(F.col("text")).alias("sh")
+        )
+        held = stage(held.join(nodes.select("node", "size", "sig"), "node"), "near_shingles")
+        left, right = (
+            members.join(held, "node").select(
+                "band", *[F.col(c).alias(c + side) for c in ("node", "root", "size", "sig", "sh")]
+            )
+            for side in ("_a", "_b")
+        )
+        common = F.size(F.array_intersect("sh_a", "sh_b"))
+        fits = (
+            (F.col("root_a") < F.col("root_b"))
+            & (F.least("size_a", "size_b") >= min_similarity * F.greatest("size_a", "size_b"))
+            & (F.expr(_EQUAL.format("sig_a", "sig_b")) >= MIN_EQUAL)
+            & (common >= min_similarity * (F.col("size_a") + F.col("size_b") - common))
+        )
+        found = left.join(right, "band").where(fits).select(
+            F.col("node_a").alias("a"), F.col("node_b").alias("b")
+        )
+        found = stage(found.distinct(), "near_edges")
+        if not found.isEmpty():
+            rooted = components(edges.unionAll(found))
 
     least = sketched.groupBy("node").agg(F.min("doc").alias("least"))
     named = least.join(rooted, "node", "left").select(
