@@ -152,15 +152,15 @@ _KEY = (
 #: The lines of a table ``{docs}`` and those that stay, for one query or one stage.
 LINES_SQL = f"""
 all_lines AS (
-  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at,
+  SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
     unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM {{docs}}),
-keyed AS (SELECT doc_id, at, line, {_KEY} AS key FROM all_lines),
+keyed AS (SELECT doc_id, pos, line, {_KEY} AS key FROM all_lines),
 frequent AS (
   SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
 marked AS (SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f USING (key)),
 deduped AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-    coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '') AS text
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
   FROM marked GROUP BY doc_id)"""
 
 ORACLES["op2_line_dedup"] = f"""
