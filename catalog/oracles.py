@@ -395,17 +395,18 @@ _BODIES: dict[str, str] = {
         SELECT {_text_days("adjustments")} FROM adjustments_good a
         WHERE NOT EXISTS (SELECT 1 FROM claims_good c
                           WHERE c.claim_id = a.claim_id AND c.member_id = a.member_id)""",
-    "dedup_exact": "SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem",
-    "distinct_row_count": """
-        SELECT count(*) AS records FROM (
-            SELECT DISTINCT effective_date, coverage_start_date, gender FROM historical)""",
+    "dedup_exact": """
+        SELECT DISTINCT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem""",
+    "distinct_row_count": "SELECT count(*) AS records FROM (SELECT DISTINCT * FROM historical)",
+    "join_mixed_types": """
+        SELECT CAST(o_custkey AS BIGINT) AS key, o_orderkey, c_name
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "union_by_name": """
         SELECT c_name, c_custkey, c_acctbal FROM customer
         UNION ALL SELECT c_name, c_custkey, NULL FROM customer""",
     "except_distinct": """
-        SELECT member_id, CAST(claim_date AS VARCHAR) AS claim_date FROM (
-            SELECT member_id, claim_date FROM claims
-            EXCEPT SELECT member_id, claim_date FROM claims WHERE claim_date >= DATE '1998-01-01')""",
+        SELECT * REPLACE (CAST(claim_date AS VARCHAR) AS claim_date) FROM (
+            SELECT * FROM claims EXCEPT SELECT * FROM claims WHERE claim_date >= DATE '1998-01-01')""",
     "agg_claims": "SELECT * FROM sum_claims",
     "agg_revenue": "SELECT * FROM sum_revenue",
     "agg_violations": "SELECT * FROM sum_violations",
@@ -439,6 +440,8 @@ _BODIES: dict[str, str] = {
         for d in ("claims", "billing", "policy", "member")
         for outcome, table in (("valid", "good"), ("bad", "bad"))
     ),
+    "json_array_text": """
+        SELECT event_id, event_timestamp, member_id, event_category, schema_version FROM feed""",
     "events_envelope_valid": """
         SELECT event_id, member_id, event_category, schema_version FROM accepted""",
     "events_rejected": """

@@ -459,17 +459,37 @@ def unused_adjustments(spark, sf_dir):
 @query
 def dedup_exact(spark, sf_dir):
     """Lineitems delivered twice, once each."""
-    lines = table(spark, sf_dir, "lineitem").drop("l_shipdate")
+    lines = table(spark, sf_dir, "lineitem")
     return quality.distinct_rows(lines.unionAll(lines))
 
 
 @query
 def distinct_row_count(spark, sf_dir):
     """Distinct rows of a table with copies, nulls told apart by their place."""
-    h = I.historical(spark, sf_dir).select("effective_date", "coverage_start_date", "gender")
+    h = I.historical(spark, sf_dir)
     return quality.distinct_row_count(h.unionAll(h))
 
 
+@query
+def join_mixed_types(spark, sf_dir):
+    """Orders of customers by a key that is int on one side and bigint on the other."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("key"), "c_name")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey")
+    return joins.hot_key_join(orders, customer, "key", "inner")
+
+
+@query
+def json_array_text(spark, sf_dir):
+    """Events of texts that hold an array of a day's events each."""
+    by_day = (
+        I.envelopes(spark, sf_dir)
+        .groupBy(F.substring(F.get_json_object("doc", "$.event_timestamp"), 1, 10).alias("day"))
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ","), F.lit("]")).alias("doc"))
+    )
+    events = sources.parse_events(by_day, "doc")
+    return events.select("event_id", "event_timestamp", "member_id", "event_category", "schema_version")
+
+
 @query
 def union_by_name(spark, sf_dir):
     """Two shapes of one table, matched by column name."""
@@ -482,7 +502,7 @@ def union_by_name(spark, sf_dir):
 @query
 def except_distinct(spark, sf_dir):
     """Distinct rows of one table that another lacks, nulls equal."""
-    claims = I.claims(spark, sf_dir).select("member_id", "claim_date")
+    claims = I.claims(spark, sf_dir)
     late = claims.filter(F.col("claim_date") >= F.lit(dt.date(1998, 1, 1)))
     return quality.except_distinct(claims, late)
 
@@ -625,27 +645,30 @@ def events_keep_empty(spark, sf_dir):
 @query
 def events_stream(spark, sf_dir):
     """The claims domain, ingested as a stream."""
-    wide = _streamed(spark, sf_dir, lambda events: events)
+    wide = _streamed(spark, sf_dir, streaming.ingest_events)
     return E.valid_rows(wide, E.CLAIMS)
 
 
 @query
 def events_dedup_stream(spark, sf_dir):
-    """The billing domain of a feed delivered twice, deduplicated as a stream."""
-    wide = _streamed(
-        spark, sf_dir, lambda events: streaming.dedup_events(events, "60 days"), copies=2
-    )
+    """The billing domain of a feed that comes in three deliveries, each event once.
+
+    The first has the later half of the days, the second the whole feed, so most of
+    its events are late by weeks, and the third the whole feed again.
+    """
+    feed = I.envelopes(spark, sf_dir)
+    moment = F.get_json_object("doc", "$.event_timestamp")
+    late_half = feed.where(F.dayofmonth(F.to_date(F.substring(moment, 1, 10))) > 15)
+    wide = _streamed(spark, sf_dir, streaming.ingest_once, [late_half, feed, feed])
     return E.valid_rows(wide, E.BILLING)
 
 
-def _streamed(spark, sf_dir, change, copies: int = 1) -> DataFrame:
+def _streamed(spark, sf_dir, ingest, deliveries=None) -> DataFrame:
     landing = session.scratch_path(spark, "landing")
-    for _ in range(copies):
-        I.envelopes(spark, sf_dir).write.mode("append").text(landing)
-    out = session.scratch_path(spark, "events")
-    events = change(streaming.events_stream(spark, landing))
-    running = streaming.ingest_events(events, out, session.scratch_path(spark, "progress"))
-    running.awaitTermination()
+    out, progress = session.scratch_path(spark, "events"), session.scratch_path(spark, "progress")
+    for delivery in deliveries or [I.envelopes(spark, sf_dir)]:
+        delivery.write.mode("append").text(landing)
+        ingest(streaming.events_stream(spark, landing), out, progress).awaitTermination()
     return sources.read_table(spark, out)
 
 

@@ -23,16 +23,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 _BIT = "__key_bit"
 
 
-def _bit(*keys: str) -> Column:
+def _bit(*keys: str | Column) -> Column:
     return F.hash(*keys).bitwiseAND(F.lit(1))
 
 
 def hot_key_join(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str
 ) -> DataFrame:
-    """Equi-join whose skewed partitions AQE can always split."""
+    """Equi-join whose skewed partitions AQE can always split.
+
+    The bit is taken from the keys in the type that both sides have in common, so
+    keys of different types (int and bigint, say) match as in a plain join.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    tagged = [df.withColumn(_BIT, _bit(*keys)) for df in (left, right)]
+    common = left.select(*keys).union(right.select(*keys)).schema
+    bit = _bit(*[F.col(f.name).cast(f.dataType) for f in common.fields])
+    tagged = [df.withColumn(_BIT, bit) for df in (left, right)]
     return tagged[0].join(tagged[1], [*keys, _BIT], how).drop(_BIT)
 
 
@@ -74,8 +80,16 @@ def adjust_with_claim(adjustments: DataFrame, claims: DataFrame) -> DataFrame:
 
 def claims_with_adjustments(claims: DataFrame, adjustments: DataFrame) -> DataFrame:
     """Claims with their adjustments by claim and member; a claim adjusted twice
-    gives two rows, a claim never adjusted one."""
-    return hot_key_join(claims, adjustments, ["claim_id", "member_id"], "left")
+    gives two rows, a claim never adjusted one.
+
+    An inner join, which AQE can split on both sides, and the claims without an
+    adjustment: an outer join could be split on the left side only.
+    """
+    keys = ["claim_id", "member_id"]
+    adjusted = hot_key_join(claims, adjustments, keys, "inner")
+    known = adjustments.select(*keys).distinct()
+    other = hot_key_join(claims, known, keys, "left_anti")
+    return adjusted.unionByName(other, allowMissingColumns=True)
 
 
 def unused_adjustments(adjustments: DataFrame, claims: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.money import money
 from ..schemas import MALFORMED
@@ -120,9 +120,16 @@ def distinct_row_count(df: DataFrame) -> DataFrame:
     """Number of distinct rows, as one row ``records``.
 
     Rows are compared by a 128-bit digest, so 16 bytes per row are shuffled in
-    place of the row; null flags are part of it, as hashing skips nulls.
+    place of the row. Hashing skips nulls, so their places are part of it; nested
+    columns go in as JSON text that spells their nulls out.
     """
-    parts = [c for name in df.columns for c in (F.col(name), F.col(name).isNull())]
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    parts = []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, nested):
+            value = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
+        parts += [value, F.col(f"`{field.name}`").isNull()]
     digest = df.select(
         F.xxhash64(*parts).alias("low"), F.xxhash64(F.lit(1), *parts).alias("high")
     )

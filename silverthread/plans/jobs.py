@@ -29,7 +29,7 @@ from ..sinks import (
     write_table,
     write_together,
 )
-from ..sources import latest_partition, read_csv, read_events, read_table
+from ..sources import dated_partition, read_csv, read_events, read_table
 from . import claims as C, gold as G, members as M
 from .runlog import Run, logged_run
 
@@ -107,8 +107,11 @@ def run_members(
             run.counts["valid"] = quality.distinct_row_count(split.valid).first()["records"]
 
         def save() -> None:
-            path = layout.silver("member_dimension")
-            write_partitioned(dimension, path, ["processing_date", "active_flag"])
+            # The whole date is replaced, so a flag that no member has any more goes.
+            path = f"{layout.silver('member_dimension')}/processing_date={as_of:%Y-%m-%d}"
+            write_partitioned(
+                dimension.drop("processing_date"), path, ["active_flag"], replace="all"
+            )
 
         write_together(save, quarantine, count)
         run.processed, run.failed = run.counts["valid"], run.counts["bad"]
@@ -272,15 +275,23 @@ def run_gold(
     on_repeated_member: str = "keep",
     count_events_once: bool = False,
     append: bool = False,
+    dimension_date: dt.date | None = None,
 ) -> Run:
     """Silver tables to the member-360 snapshot of ``as_of``.
 
+    Reads the dimension of ``dimension_date``, by default that of ``as_of``, and
+    fails if there is none.
     ``on_repeated_member`` decides about members that the dimension holds more
     than once: ``keep`` all rows, ``fail``, or keep the ``latest`` one.
     """
     with logged_run(session.tune(spark), "member_360", layout.run_log) as run:
-        stored = read_table(spark, layout.silver("member_dimension"), schemas.MEMBER_DIMENSION)
-        dimension = latest_partition(stored, "processing_date")
+        dimension = dated_partition(
+            spark,
+            layout.silver("member_dimension"),
+            "processing_date",
+            f"{dimension_date or as_of:%Y-%m-%d}",
+            schemas.MEMBER_DIMENSION,
+        )
         if on_repeated_member == "fail" and not G.repeated_members(dimension).isEmpty():
             raise ValueError("the member dimension holds some member_id more than once")
         if on_repeated_member == "latest":

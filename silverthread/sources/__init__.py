@@ -3,6 +3,7 @@
 from .files import (
     active_members,
     driver_rows,
+    dated_partition,
     latest_partition,
     parse_events,
     read_csv,
@@ -13,6 +14,7 @@ from .files import (
 __all__ = [
     "active_members",
     "driver_rows",
+    "dated_partition",
     "latest_partition",
     "parse_events",
     "read_csv",

@@ -56,12 +56,21 @@ def parse_events(
 ) -> DataFrame:
     """Events from a column of JSON text; works on batch and streaming frames.
 
+    A text holds one event or an array of events. An unreadable text, or element of
+    an array, is one row with its text in ``_malformed``; an empty array gives none.
     The parsed record comes out of a generator, which predicates on its fields
     are not pushed through: each text is parsed once, not once per use.
     """
     full = schemas.with_malformed(schema)
     options = {"columnNameOfCorruptRecord": schemas.MALFORMED}
-    return df.select(F.inline(F.array(F.from_json(text, full, options))))
+    text = F.col(text) if isinstance(text, str) else text
+    many = F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("["))
+    pieces = F.from_json(text, T.ArrayType(T.StringType()))
+    unread = F.array(text)
+    texts = F.when(many, F.coalesce(pieces, unread)).otherwise(unread)
+    return df.select(F.explode(texts).alias("__text")).select(
+        F.inline(F.array(F.from_json("__text", full, options)))
+    )
 
 
 def read_table(
@@ -88,6 +97,19 @@ def latest_partition(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) == F.lit(newest))
 
 
+def dated_partition(
+    spark: SparkSession, path: str, column: str, value: str, schema: T.StructType
+) -> DataFrame:
+    """Rows of one value of the outermost partition column, from its directory alone.
+
+    Nothing else is listed or opened, and a value that was never written fails.
+    """
+    inner = T.StructType([f for f in schema.fields if f.name != column])
+    rows = spark.read.schema(inner).parquet(f"{path}/{column}={value}")
+    named = {f.name: f for f in schema.fields}
+    return rows.withColumn(column, F.lit(value).cast(named[column].dataType)).select(*schema.names)
+
+
 def driver_rows(
     spark: SparkSession, rows: Iterable[tuple], schema: T.StructType
 ) -> DataFrame:

@@ -1,5 +1,5 @@
 """Structured Streaming ingest of landed events."""
 
-from .ingest import dedup_events, events_stream, ingest_events
+from .ingest import events_stream, ingest_events, ingest_once
 
-__all__ = ["dedup_events", "events_stream", "ingest_events"]
+__all__ = ["events_stream", "ingest_events", "ingest_once"]

@@ -29,27 +29,6 @@ def events_stream(
     return reader.json(path)
 
 
-def dedup_events(events: DataFrame, within: str) -> DataFrame:
-    """Drop redelivered events: the first of each ``event_id`` stays.
-
-    State is kept for ``within`` of event time only, so it does not grow with the
-    stream. An event without a readable time or without an id cannot be compared
-    and passes through.
-    """
-    timed = events.withColumn(
-        "__event_time", F.col("event_timestamp").try_cast("timestamp")
-    )
-    comparable = F.col("__event_time").isNotNull() & F.col("event_id").isNotNull()
-    first = (
-        timed.filter(comparable)
-        .withWatermark("__event_time", within)
-        .dropDuplicatesWithinWatermark(["event_id"])
-    )
-    return first.drop("__event_time").unionByName(
-        timed.filter(~comparable).drop("__event_time")
-    )
-
-
 def ingest_events(
     events: DataFrame,
     out: str,
@@ -72,3 +51,49 @@ def ingest_events(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_once(
+    events: DataFrame,
+    out: str,
+    checkpoint: str,
+    keep_empty: bool = False,
+) -> StreamingQuery:
+    """Normalize what has landed, drop redelivered events, and stop.
+
+    Of each ``event_id`` one event stays, however late the first or any later
+    delivery comes: ids are compared within a batch and with those that earlier
+    batches have stored, of which only files whose times meet the batch's are read (a
+    delivery carries the time of its event).
+    An event without an id cannot be compared and passes through. Each batch is
+    rebalanced, so it writes few files, into directories of its own; a batch that is
+    run again replaces them. Columns are those of :func:`ingest_events` and ``batch``.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = F.col("event_id").isNotNull()
+        fresh = batch.where(known).dropDuplicates(["event_id"])
+        ends = fresh.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+        path = spark._jvm.org.apache.hadoop.fs.Path(out)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and ends[0] is not None:
+            near = F.col("event_timestamp").between(*ends) | F.col("event_timestamp").isNull()
+            stored = spark.read.parquet(out).where((F.col("batch") != number) & near)
+            fresh = fresh.join(stored.select("event_id").distinct(), "event_id", "left_anti")
+        rows = fresh.select(*batch.columns).unionByName(batch.where(~known))
+        wide = normalize_all(rows, keep_empty=keep_empty).withColumn("batch", F.lit(number))
+        keys = ["outcome", "domain", "batch"]
+        (
+            wide.hint("rebalance", *keys)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys)
+            .parquet(out)
+        )
+
+    return (
+        events.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

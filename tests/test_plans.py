@@ -118,8 +118,9 @@ def test_events_take_no_shuffle_and_one_parse(spark):
     documents = spark.range(10).select(F.to_json(F.struct("id")).alias("doc"))
     wide = E.normalize_all(sources.parse_events(documents, "doc"))
     text = plan(wide)
-    assert "Exchange" not in text and text.count("from_json") == 1
-    assert plan(E.bad_rows(wide, E.CLAIMS, distinct=False)).count("from_json") == 1
+    # One call takes arrays of events apart, the other parses each event.
+    assert "Exchange" not in text and text.count("from_json") == 2
+    assert plan(E.bad_rows(wide, E.CLAIMS, distinct=False)).count("from_json") == 2
 
 
 def test_split_needs_no_anti_join(spark):
@@ -182,3 +183,30 @@ def test_gold_reads_the_needed_event_columns_only(spark, tmp_path):
     text = plan(G.member_activity(facts))
     assert "ReadSchema: struct<event_id:string,member_id:string>" in text
     assert "PartitionFilters: [isnotnull(outcome" in text
+
+
+def test_hot_adjustments_are_split_when_claims_are_adjusted(spark, skewable):
+    adjustments = hot(spark).select(
+        F.col("member_id").alias("claim_id"), "member_id", F.col("n").alias("amount")
+    )
+    claims = adjustments.select("claim_id", "member_id").distinct().withColumn("x", F.rand(1))
+    joined = joins.claims_with_adjustments(claims, adjustments)
+    assert "SortMergeJoin(skew=true)" in plan(touched(joined), final=True)
+
+
+def test_keys_of_different_types_match(spark):
+    wide = spark.range(1000).withColumnRenamed("id", "k")
+    narrow = wide.select(F.col("k").cast("int"))
+    assert joins.hot_key_join(wide, narrow, "k", "inner").count() == 1000
+
+
+def test_claims_keep_their_adjustments_and_the_others_stay(spark, rows):
+    claims = spark.createDataFrame(
+        [("c1", "m1", 5.0), ("c2", "m1", 6.0), (None, "m2", 7.0)], "claim_id string, member_id string, a double"
+    )
+    adjustments = spark.createDataFrame(
+        [("c1", "m1", 1.0), ("c1", "m1", 2.0), ("c2", "m9", 3.0)], "claim_id string, member_id string, b double"
+    )
+    found = joins.claims_with_adjustments(claims, adjustments)
+    expected = claims.join(adjustments, ["claim_id", "member_id"], "left")
+    assert rows(found, *expected.columns) == rows(expected)

@@ -85,3 +85,11 @@ def test_positive_and_non_negative(spark, rows):
     assert kept(Q.non_negative_money("v")) == [0.0, 0.01]
     assert kept(Q.positive("v"))[0] == 0.01
     assert kept(Q.Rule("all", F.lit(None).cast("boolean"))) == []
+
+
+def test_rows_that_differ_in_a_nested_null_are_counted_apart(spark):
+    df = spark.sql(
+        "SELECT named_struct('a', 1, 'b', cast(null AS int)) AS s"
+        " UNION ALL SELECT named_struct('a', cast(null AS int), 'b', 1)"
+    )
+    assert Q.distinct_row_count(df.unionAll(df)).first()["records"] == 2

@@ -37,14 +37,20 @@ def test_restart_neither_loses_nor_repeats(spark, tmp_path):
     assert ingest(spark, tmp_path, stream()).count() == 2
 
 
-def test_redelivered_events_come_once(spark, tmp_path, rows):
-    landing = tmp_path / "landing"
-    again = [event("POLICY", "v1"), event("POLICY", "v1", event_id="E2")]
-    land(landing, "1.json", again)
-    land(landing, "2.json", again + [event("POLICY", "v1", event_id=None)] * 2)
-    events = streaming.dedup_events(
-        streaming.events_stream(spark, str(landing), files_per_batch=1), "1 hour"
-    )
-    found = ingest(spark, tmp_path, events)
-    assert rows(E.valid_rows(found, E.POLICY), "event_id") == [("E1",), ("E2",)]
+def test_redelivered_and_late_events_come_once(spark, tmp_path, rows):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+
+    def deliver(name, documents):
+        land(landing, name, documents)
+        streaming.ingest_once(
+            streaming.events_stream(spark, str(landing)), out, str(tmp_path / "progress")
+        ).awaitTermination()
+
+    first = event("POLICY", "v1")
+    late = {**event("POLICY", "v1", event_id="E2"), "event_timestamp": "2019-01-01T00:00:00"}
+    deliver("1.json", [first, first])
+    deliver("2.json", [late, first] + [event("POLICY", "v1", event_id=None)] * 2)
+    deliver("3.json", [late, event("POLICY", "v1", event_id="E3")])
+    found = spark.read.parquet(out)
+    assert rows(E.valid_rows(found, E.POLICY), "event_id") == [("E1",), ("E2",), ("E3",)]
     assert E.rejected_events(found).count() == 2
