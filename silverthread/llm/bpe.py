@@ -256,7 +256,7 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 def to_array(ids: Column) -> Column:
     """Packed ids as ``array<bigint>``."""
     digits = F.hex(ids)
-    places = F.sequence(F.lit(0), F.length(ids) / 4 - 1)
-    return F.when(F.length(ids) > 0, F.transform(places.cast("array<int>"), lambda i: F.conv(
+    places = F.sequence(F.lit(0), (F.length(ids) / 4).cast("int") - 1)
+    return F.when(F.length(ids) > 0, F.transform(places, lambda i: F.conv(
         F.concat(*[F.substring(digits, i * 8 + k, F.lit(2)) for k in (7, 5, 3, 1)]), 16, 10
     ).cast("long"))).otherwise(F.array().cast("array<bigint>"))
