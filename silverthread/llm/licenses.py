@@ -128,6 +128,10 @@ def canonical(text: Column) -> Column:
     plain = F.lower(text)
     plain = F.regexp_replace(plain, r"https?://(?:www\.)?", "")
     plain = F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]++", " "))
+    return _spelled(plain)
+
+
+def _spelled(plain: Column) -> Column:
     words = "|".join(sorted(EQUIVALENT, key=lambda w: (-len(w), w)))
     return F.when(plain.rlike(rf"\b(?:{words})\b"), _equal_spellings(plain)).otherwise(plain)
 
@@ -148,8 +152,8 @@ def scan_licenses(
     """Per row of ``docs``: ``doc_id``, ``license`` of the whole text, ``licenses``.
 
     ``license`` is the license whose canonical digest the whole text has, null if
-    none; ``licenses`` are those of the text, its paragraphs (parts between empty
-    lines) and its lines, sorted, each once. ``known`` has ``license`` and ``text``;
+    none; ``licenses`` are those of the text, its paragraphs (parts between lines
+    without words) and its lines, sorted, each once. ``known`` has ``license`` and ``text``;
     of several licenses with one digest the first by name counts. Null and empty
     texts have none, and so has a known text without words. Repeated rows come out as
     often as given; other columns are not used.
@@ -164,28 +168,38 @@ def scan_licenses(
         .agg(F.min("license").alias("license"), F.max(F.length("form")).alias("size"))
     )
     # One number per known license; the licenses of the world are a bounded list.
-    sizes = F.lit(sorted({r["size"] for r in digests.select("size").distinct().collect()}))
+    found = {r["size"] for r in digests.select("size").distinct().collect()}
+    sizes = F.array(*map(F.lit, sorted(found))).cast("array<int>")
     forms = docs.select(
         F.col(doc_id).alias("doc_id"),
         content_id(F.col(doc_id), F.col(text)).alias("row"),
         without_copyright(F.coalesce(F.col(text), F.lit(""))).alias("clean"),
     )
-    # A canonical form is at most twice as long as its part.
-    least = F.array_min(sizes)
-    lines = F.split("clean", "\n", -1)
-    paragraphs = F.split("clean", r"\n[ \t\r]*+\n", -1)
-    parts = F.filter(
-        F.array_distinct(F.concat(F.array("clean"), paragraphs, lines)),
-        lambda p: F.length(p) >= least / 2,
+    # Each line is brought into its form once; the forms of paragraphs and texts are
+    # put together from them, and only spellings of several words are looked at again.
+    most = max(found, default=0)
+    lines = F.transform(F.split("clean", "\n", -1), canonical)
+    # A generator keeps the forms from being made again for each use.
+    forms = forms.select("doc_id", "row", F.explode(F.array(lines)).alias("lines"))
+    forms = forms.withColumn("joined", F.array_join("lines", "\n"))
+
+    def put_together(part: Column) -> Column:
+        plain = F.trim(F.regexp_replace(part, "\n+", " "))
+        return F.when(F.length(plain) <= 2 * most, _spelled(plain))
+
+    whole = put_together(F.col("joined"))
+    paragraphs = F.transform(F.split("joined", "\n\n+", -1), put_together)
+    forms = forms.select(
+        "doc_id", "row", "lines", F.inline(F.array(F.struct(whole.alias("form"), paragraphs.alias("paragraphs"))))
     )
-    whole = canonical(F.col("clean"))
     fitting = F.filter(
-        F.transform(parts, canonical), lambda p: F.array_contains(sizes, F.length(p))
+        F.array_distinct(F.concat(F.array("form"), "paragraphs", "lines")),
+        lambda p: F.array_contains(sizes, F.length(p)),
     )
     scanned = forms.select(
         "doc_id",
         "row",
-        F.when(F.array_contains(sizes, F.length(whole)), digest(whole)).alias("whole"),
+        F.when(F.array_contains(sizes, F.length("form")), digest(F.col("form"))).alias("whole"),
         F.array_distinct(F.transform(fitting, digest)).alias("parts"),
     )
     found = (
