@@ -331,17 +331,21 @@ def classes(
         held = _texts(members.select("node").distinct(), nodes, docs, text, doc_id).select(
             "node", _shingle_array(F.col("text")).alias("sh")
         )
-        held = stage(held.join(nodes.select("node", "size", "sig"), "node"), "near_shingles")
+        held = stage(held.join(nodes.select("node", "size", "sig", "bands"), "node"), "near_shingles")
         left, right = (
             members.join(held, "node").select(
-                "band", *[F.col(c).alias(c + side) for c in ("node", "root", "size", "sig", "sh")]
+                "band", *[F.col(c).alias(c + side) for c in ("node", "root", "size", "sig", "sh", "bands")]
             )
             for side in ("_a", "_b")
         )
+        # A pair that meets in several bands is compared in the first of them.
+        place = F.array_position("bands_a", F.col("band")).cast("int")
+        left = left.withColumn("earlier", F.slice("bands_a", F.lit(1), place - 1)).drop("bands_a")
         common = F.size(F.array_intersect("sh_a", "sh_b"))
         fits = (
             (F.col("root_a") < F.col("root_b"))
             & (F.least("size_a", "size_b") >= min_similarity * F.greatest("size_a", "size_b"))
+            & ~F.arrays_overlap("earlier", "bands_b")
             & (F.expr(_EQUAL.format("sig_a", "sig_b")) >= MIN_EQUAL)
             & (common >= min_similarity * (F.col("size_a") + F.col("size_b") - common))
         )
