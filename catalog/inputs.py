@@ -49,13 +49,13 @@ def historical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as migrated members; every 40th is listed twice and every 9th
-    missing."""
-    listed = table(spark, sf_dir, "customer").filter("c_custkey % 9 <> 0").selectExpr(
+    """Customers as migrated members; every 40th is listed twice and every 9th has
+    a legacy id that no other table knows."""
+    listed = table(spark, sf_dir, "customer").selectExpr(
         "*", "explode(sequence(1, IF(c_custkey % 40 = 0, 2, 1))) AS copy"
     )
     return listed.selectExpr(
-        "concat('L', c_custkey) AS legacy_member_id",
+        "concat(IF(c_custkey % 9 <> 0, 'L', 'X'), c_custkey) AS legacy_member_id",
         "concat('M', c_custkey) AS member_id",
         "CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS ssn_raw",
         "c_mktsegment AS patient_first_name",
@@ -70,11 +70,14 @@ def migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def members_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers outside one segment, some listed twice."""
-    listed = table(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'").selectExpr(
-        "c_custkey", "explode(sequence(1, IF(c_custkey % 10 = 0, 2, 1))) AS copy"
+    """Customers, some listed twice, and those of one segment under an id that no
+    claim has."""
+    listed = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey",
+        "IF(c_mktsegment <> 'BUILDING', 'M', 'X') AS kind",
+        "explode(sequence(1, IF(c_custkey % 10 = 0, 2, 1))) AS copy",
     )
-    return listed.selectExpr("concat('M', c_custkey) AS member_id")
+    return listed.selectExpr("concat(kind, c_custkey) AS member_id")
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,11 +92,11 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned lineitems as adjustments of their order's claim. Copies of an
-    order are dropped first, so that they do not multiply its lineitems."""
-    returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    """Lineitems as adjustments of their order's claim. Copies of an order are
+    dropped first, so that they do not multiply its lineitems."""
+    lines = table(spark, sf_dir, "lineitem")
     owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").distinct()
-    joined = returned.join(owner, returned.l_orderkey == owner.o_orderkey)
+    joined = lines.join(owner, lines.l_orderkey == owner.o_orderkey)
     return joined.selectExpr(
         "CASE WHEN l_linenumber <> 6 THEN concat('A', l_orderkey * 10 + l_linenumber) END AS adjustment_id",
         "concat('C', l_orderkey) AS claim_id",

@@ -25,15 +25,16 @@ _CTES: dict[str, str] = {
                o_orderstatus AS member_segment
         FROM orders""",
     "migrated": """
-        SELECT 'L' || c_custkey AS legacy_member_id, 'M' || c_custkey AS member_id,
+        SELECT CASE WHEN c_custkey % 9 <> 0 THEN 'L' ELSE 'X' END || c_custkey AS legacy_member_id,
+               'M' || c_custkey AS member_id,
                CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS ssn_raw,
                'wave' || n AS migration_flag
         FROM customer, (VALUES (1), (2)) AS copies(n)
-        WHERE c_custkey % 9 <> 0 AND (n = 1 OR c_custkey % 40 = 0)""",
+        WHERE n = 1 OR c_custkey % 40 = 0""",
     "members_current": """
-        SELECT 'M' || c_custkey AS member_id
+        SELECT CASE WHEN c_mktsegment <> 'BUILDING' THEN 'M' ELSE 'X' END || c_custkey AS member_id
         FROM customer, (VALUES (1), (2)) AS copies(n)
-        WHERE c_mktsegment <> 'BUILDING' AND (n = 1 OR c_custkey % 10 = 0)""",
+        WHERE n = 1 OR c_custkey % 10 = 0""",
     "claims": """
         SELECT CASE WHEN o_orderkey % 41 <> 0 THEN 'C' || o_orderkey END AS claim_id,
                'M' || o_custkey AS member_id,
@@ -52,8 +53,7 @@ _CTES: dict[str, str] = {
                     ELSE l_extendedprice + l_quantity END AS adjusted_final_amount,
                CAST(l_shipdate AS DATE) AS adjustment_date
         FROM lineitem
-        JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) ON l_orderkey = o_orderkey
-        WHERE l_returnflag = 'R'""",
+        JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) ON l_orderkey = o_orderkey""",
     "revenue": """
         SELECT 'M' || o_custkey AS member_id,
                CASE WHEN o_orderkey % 7 = 0 THEN -o_totalprice
@@ -273,6 +273,11 @@ _BODIES: dict[str, str] = {
     "csv_scan": """
         SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS member_id, c_nationkey AS nation,
                c_acctbal AS balance FROM customer""",
+    "csv_header_order": """
+        SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CASE WHEN c_custkey % 2 = 1 THEN c_name END AS name,
+               c_mktsegment AS segment, c_acctbal AS balance,
+               CASE WHEN c_custkey % 2 = 1 THEN CAST(c_nationkey AS VARCHAR) END AS nation
+        FROM customer""",
     "csv_malformed": """
         SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, o_orderkey || ',n/a' AS line
         FROM orders WHERE o_orderkey % 9 = 0""",
@@ -280,7 +285,8 @@ _BODIES: dict[str, str] = {
         SELECT event_id, event_timestamp, member_id, event_category, schema_version, has_payload
         FROM feed""",
     "table_roundtrip": """
-        SELECT o_orderkey, o_totalprice, CAST(2 AS INTEGER) AS version FROM orders""",
+        SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate), CAST(2 AS INTEGER) AS version
+        FROM orders""",
     "partition_roundtrip": """
         SELECT o_orderkey, o_custkey, '2001-08-01' AS processing_date, 'Active' AS active_flag,
                CAST(2 AS BIGINT) AS dates
@@ -330,9 +336,11 @@ _BODIES: dict[str, str] = {
         SELECT {_text_days("adjustments")} FROM adjustments
         WHERE adjustment_id IS NULL OR adjustment_id NOT IN (
             SELECT adjustment_id FROM adjustments_good WHERE adjustment_id IS NOT NULL)""",
-    "revenue_clean": "SELECT * FROM revenue WHERE premium_collected >= 0",
+    "revenue_clean": """
+        SELECT *, '2001-08-01 12:00:00' AS processing_timestamp FROM revenue WHERE premium_collected >= 0""",
     "revenue_rejected": "SELECT * FROM revenue WHERE NOT coalesce(premium_collected >= 0, false)",
-    "violations_clean": "SELECT DISTINCT * FROM violations",
+    "violations_clean": """
+        SELECT DISTINCT *, '2001-08-01 12:00:00' AS processing_timestamp FROM violations""",
     "audit_project": """
         SELECT member_id, legacy_member_id, migration_flag, 'ACTIVE' AS record_status, 'VALID' AS dq_flag
         FROM migrated""",
@@ -402,8 +410,8 @@ _BODIES: dict[str, str] = {
         SELECT CAST(o_custkey AS BIGINT) AS key, o_orderkey, c_name
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "union_by_name": """
-        SELECT c_name, c_custkey, c_acctbal FROM customer
-        UNION ALL SELECT c_name, c_custkey, NULL FROM customer""",
+        SELECT * FROM customer
+        UNION ALL SELECT * REPLACE (NULL AS c_acctbal) FROM customer""",
     "except_distinct": """
         SELECT * REPLACE (CAST(claim_date AS VARCHAR) AS claim_date) FROM (
             SELECT * FROM claims EXCEPT SELECT * FROM claims WHERE claim_date >= DATE '1998-01-01')""",

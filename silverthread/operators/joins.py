@@ -83,9 +83,12 @@ def claims_with_adjustments(claims: DataFrame, adjustments: DataFrame) -> DataFr
     gives two rows, a claim never adjusted one.
 
     An inner join, which AQE can split on both sides, and the claims without an
-    adjustment: an outer join could be split on the left side only.
+    adjustment: an outer join could be split on the left side only. A further column
+    that both have comes from the adjustment as ``adjustment_<name>``.
     """
     keys = ["claim_id", "member_id"]
+    both = [c for c in adjustments.columns if c in claims.columns and c not in keys]
+    adjustments = adjustments.withColumnsRenamed({c: f"adjustment_{c}" for c in both})
     adjusted = hot_key_join(claims, adjustments, keys, "inner")
     known = adjustments.select(*keys).distinct()
     other = hot_key_join(claims, known, keys, "left_anti")

@@ -51,8 +51,10 @@ def valid_adjustments(
 
     Where several valid claims share an id, an adjustment comes out once for each
     of them it follows; ``one_date_per_claim`` compares it with the earliest of
-    them instead and keeps it once.
+    them instead and keeps it once. A ``claim_date`` among the adjustments' own
+    columns comes out as ``adjustment_claim_date``.
     """
+    adjustments = adjustments.withColumnsRenamed({"claim_date": "adjustment_claim_date"})
     if one_date_per_claim:
         valid_claims = valid_claims.groupBy("claim_id").agg(
             F.min("claim_date").alias("claim_date")

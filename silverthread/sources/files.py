@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K, schemas
@@ -11,23 +13,72 @@ from .. import constants as K, schemas
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: T.StructType | None = None,
     keep_malformed: bool = False,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """CSV with a header row.
 
-    With a schema the files are read once; without one Spark needs a second pass
-    to infer it. ``keep_malformed`` adds the raw text of records that do not fit
-    the schema, so that an unreadable field cannot pass for a missing one.
+    With a schema, columns are found by their name in the header, in any order and
+    letter case. Columns that the schema does not name follow as text. One that the
+    header lacks fails the read, unless it is ``optional``: then it is null.
+    ``path`` may be several files or folders; each is read by its own header, of
+    which one line is fetched, and a file in a folder whose header is another than
+    that of its neighbours fails the job rather than being read by position.
+
+    ``keep_malformed`` adds the raw text of records that do not fit the schema, so
+    that an unreadable field cannot pass for a missing one. Without a schema Spark
+    needs a second pass over the data to infer it.
     """
-    reader = spark.read.option("header", True)
+    paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(paths)
+    parts = [_by_header(spark, p, schema, keep_malformed, optional) for p in paths]
+    if len(parts) == 1:
+        return parts[0]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    last = [schemas.MALFORMED] if keep_malformed else []
+    return rows.select(*[f"`{c}`" for c in rows.columns if c not in last], *last)
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Names in the header of one of the files; none if there are no lines."""
+    try:
+        return spark.read.option("header", True).csv(path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+
+
+def _by_header(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keep_malformed: bool,
+    optional: Sequence[str],
+) -> DataFrame:
+    declared = {f.name.lower(): f for f in schema.fields}
+    header = _header(spark, path) or schema.names
+    found = [declared.get(name.lower(), T.StructField(name, T.StringType())) for name in header]
+    missing = set(schema.names) - {f.name for f in found}
+    if needed := sorted(missing - set(optional)):
+        raise ValueError(f"no column {', '.join(needed)} in the header of {path}")
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    in_files = T.StructType(found)
     if keep_malformed:
         reader = reader.option("columnNameOfCorruptRecord", schemas.MALFORMED)
-        schema = schemas.with_malformed(schema)
-    return reader.schema(schema).csv(path)
+        in_files = schemas.with_malformed(in_files)
+    rows = reader.schema(in_files).csv(path)
+    return rows.select(
+        *[
+            F.lit(None).cast(f.dataType).alias(f.name) if f.name in missing else f.name
+            for f in schema.fields
+        ],
+        *[f"`{f.name}`" for f in found if f.name.lower() not in declared],
+        *[schemas.MALFORMED] * keep_malformed,
+    )
 
 
 def read_events(

@@ -134,6 +134,46 @@ def test_csv_flags_unreadable_records(spark, tmp_path):
     assert dict(inferred.dtypes) == {"claim_id": "string", "amount": "string"}
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    schema = schemas.struct(claim_id="string", amount="double", note="string")
+    texts = {
+        "a": "note,claim_id,amount\nfirst,C1,1.5\n",
+        "b": "AMOUNT,claim_id,region\n2.5,C2,north\nx,C3,south\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.csv").write_text(text)
+    both = [str(tmp_path / name) for name in texts]
+    df = sources.read_csv(spark, both, schema, keep_malformed=True, optional=["note"])
+    assert df.columns == ["claim_id", "amount", "note", "region", schemas.MALFORMED]
+    assert sorted(map(tuple, df.collect())) == [
+        ("C1", 1.5, "first", None, None),
+        ("C2", 2.5, None, "north", None),
+        ("C3", None, None, "south", "x,C3,south"),
+    ]
+    assert [r["amount"] for r in sources.read_csv(spark, both[0], schema).select("amount").collect()] == [1.5]
+    with pytest.raises(ValueError, match="note"):
+        sources.read_csv(spark, both, schema)
+
+
+def test_csv_files_of_one_folder_have_one_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("member_id,violation_id\nM1,V1\n")
+    (tmp_path / "b.csv").write_text("violation_id,member_id\nV2,M2\n")
+    df = sources.read_csv(spark, str(tmp_path), schemas.VIOLATIONS)
+    for read in (df, df.select("member_id")):
+        with pytest.raises(Exception, match="header"):
+            read.collect()
+
+
+def test_csv_without_lines(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "empty.csv").write_text("")
+    (tmp_path / "b").mkdir()
+    for name in ("a", "b"):
+        df = sources.read_csv(spark, str(tmp_path / name), schemas.VIOLATIONS)
+        assert df.collect() == [] and df.columns == ["violation_id", "member_id"]
+
+
 def test_run_log_tells_success_and_failure(spark, tmp_path):
     path = str(tmp_path / "log")
     with runlog.logged_run(spark, "good", path) as run:
