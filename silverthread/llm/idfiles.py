@@ -2,18 +2,20 @@
 
 Ids are coded in blocks that are reset and checksummed on their own, so any block can
 be read, checked or lost without the others. Within a block an order-2, an order-1
-and an order-0 context each predict the next id. Counts of how often such predictions
-held, one row per order and per trust in it, are mixed into the probabilities of "the
-order-2 prediction", "the order-1 prediction", "the order-0 prediction" and "another
-id"; another id follows in four digits of 16 values under adaptive order-0 counts. A
-range coder turns this into bytes.
+and an order-0 context each predict the next id. How often such predictions held, one
+row per order and per trust in it, is mixed into the probabilities of "the order-2
+prediction", "the order-1 prediction", "the order-0 prediction" and "another id";
+another id follows in four digits of 16 values, three of them under adaptive order-0
+probabilities. A range coder turns this into bytes.
 
 The blocks of a segment are coded side by side: each step codes one id of every block
-with the same few numpy calls.
+with the same few numpy calls, in at most two steps of the range coder.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,201 +26,219 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import content_id
 
-MAGIC = b"STID1\n"
+MAGIC = b"STID2\n"
 #: Ids of a block, and of a segment; a document is never split between segments.
 BLOCK = 4096
-SEGMENT = 1024 * BLOCK
+SEGMENT = 2048 * BLOCK
+
+#: The range stays between 2**32 and 2**56; what is settled leaves in words of 24 bits.
+_WORD, _LEAST = np.uint64(24), np.uint64(1 << 32)
+_LOWER = _LEAST - np.uint64(1)
+#: Steps of the range coder per id, and so words, at most.
+_STEPS = 2
 
-_TOP, _BOTTOM, _MASK = np.uint64(1 << 24), np.uint64(1 << 16), np.uint64(0xFFFFFFFF)
-_EIGHT, _ZERO = np.uint64(8), np.uint64(0)
 _SLOTS2, _SLOTS1 = 1 << 12, 1 << 11
 _TRUST = 4  # levels of trust in a prediction
-_STEP, _LIMIT = 24, 8192  # growth and limit of the counts
+_NODES = 1 + 16 + 256  # rows of digit probabilities: one per digits before
+#: Sums of the probabilities of one row, and how slowly they move (as a shift).
+_KINDS, _KIND_RATE = 1 << 12, 5
+_DIGITS, _DIGIT_RATE = 1 << 10, 4
+#: Sums of what one step codes: a kind with its first digit, the other three digits.
+_FIRST, _REST = 3 * _KINDS * _DIGITS, _DIGITS * _DIGITS * 16
+
+
+def _level(symbols: int, total: int) -> np.ndarray:
+    """Bounds of equally likely symbols."""
+    return (np.arange(symbols + 1) * total // symbols).astype(np.int16)
+
+
+def _sure(symbols: int, total: int) -> np.ndarray:
+    """For each symbol the bounds that leave every other symbol a width of one."""
+    bound = np.arange(symbols + 1)
+    after = bound[None, :] > np.arange(symbols)[:, None]
+    return np.where(after, total - symbols + bound, bound).astype(np.int16)
+
+
+_SURE_KIND, _SURE_DIGIT = _sure(4, _KINDS), _sure(16, _DIGITS)
 
 
 class _Encoder:
-    """Range coder of several independent streams (carryless, 32 bits)."""
+    """Range coder of several independent streams; carries are settled at the end."""
 
-    def __init__(self, streams: int, room: int) -> None:
+    def __init__(self, streams: int, steps: int) -> None:
+        self.room = steps + 3
+        self.base = np.arange(streams) * self.room
         self.low = np.zeros(streams, np.uint64)
-        self.range = np.full(streams, _MASK)
-        self.out = np.zeros((streams, room), np.uint8)
-        self.at = np.zeros(streams, np.int64)
-
-    def put(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        share = self.range[rows] // total
-        low = (self.low[rows] + share * start) & _MASK
-        width = share * size
-        while True:
-            settled = (low ^ ((low + width) & _MASK)) < _TOP
-            narrow = ~settled & (width < _BOTTOM)
-            move = settled | narrow
-            if not move.any():
-                break
-            width = np.where(narrow, (_ZERO - low) & (_BOTTOM - np.uint64(1)), width)
-            moved = rows[move]
-            self.out[moved, self.at[moved]] = low[move] >> np.uint64(24)
-            self.at[moved] += 1
-            low = np.where(move, (low << _EIGHT) & _MASK, low)
-            width = np.where(move, (width << _EIGHT) & _MASK, width)
-        self.low[rows], self.range[rows] = low, width
+        self.range = np.full(streams, 1 << 56, np.uint64)
+        self.out = np.zeros(streams * self.room, np.uint32)
+        self.at = self.base.copy()
+
+    def put(self, rows: np.ndarray | slice, start: np.ndarray, size: np.ndarray, total: int) -> None:
+        share = self.range[rows] // np.uint64(total)
+        low = self.low[rows] + share * start.astype(np.uint64)
+        width = share * size.astype(np.uint64)
+        full = width < _LEAST
+        at = self.at[rows]
+        self.out[at] = low >> np.uint64(32)
+        self.at[rows] = at + full
+        self.low[rows] = np.where(full, (low & _LOWER) << _WORD, low)
+        self.range[rows] = width << (full * _WORD)
 
     def finish(self) -> list[bytes]:
-        for _ in range(4):
-            self.out[np.arange(len(self.at)), self.at] = self.low >> np.uint64(24)
-            self.at += 1
-            self.low = (self.low << _EIGHT) & _MASK
-        return [self.out[k, :n].tobytes() for k, n in enumerate(self.at.tolist())]
+        for k in range(3):
+            self.out[self.at + k] = self.low >> np.uint64(32)
+            self.low = (self.low & _LOWER) << _WORD
+        words = self.out.reshape(-1, self.room)
+        while True:
+            carry = words >> np.uint32(24)
+            if not carry.any():
+                break
+            words &= np.uint32(0xFFFFFF)
+            words[:, :-1] += carry[:, 1:]
+        as_bytes = words.astype(">u4").view(np.uint8).reshape(len(words), self.room, 4)[:, :, 1:]
+        # The last two bytes are zeros.
+        ends = 3 * (self.at - self.base) + 7
+        return [row.reshape(-1)[:end].tobytes() for row, end in zip(as_bytes, ends.tolist())]
 
 
 class _Decoder:
     def __init__(self, streams: list[bytes]) -> None:
-        room = max(map(len, streams)) + 8
-        self.data = np.zeros((len(streams), room), np.uint8)
+        room = max(7, *map(len, streams))
+        room += -(room - 7) % 3 + 3
+        data = np.zeros((len(streams), room), np.uint8)
         for k, s in enumerate(streams):
-            self.data[k, : len(s)] = np.frombuffer(s, np.uint8)
-        self.at = np.full(len(streams), 4)
-        self.low = np.zeros(len(streams), np.uint64)
-        self.range = np.full(len(streams), _MASK)
+            data[k, : len(s)] = np.frombuffer(s, np.uint8)
         self.code = np.zeros(len(streams), np.uint64)
-        for k in range(4):
-            self.code = (self.code << _EIGHT) | self.data[:, k]
-
-    def peek(self, rows: np.ndarray, total: np.ndarray) -> np.ndarray:
+        for k in range(7):
+            self.code = (self.code << np.uint64(8)) | data[:, k]
+        words = data[:, 7:].reshape(len(streams), -1, 3).astype(np.uint32)
+        words = (words[:, :, 0] << np.uint32(16)) | (words[:, :, 1] << np.uint32(8)) | words[:, :, 2]
+        self.words = words.astype(np.uint64).ravel()
+        self.range = np.full(len(streams), 1 << 56, np.uint64)
+        # A broken stream may ask for more words than there are.
+        self.last = np.arange(1, len(streams) + 1) * words.shape[1] - 1
+        self.at = self.last - words.shape[1] + 1
+
+    def peek(self, rows: np.ndarray | slice, total: int) -> np.ndarray:
         """Where in ``total`` the next symbol of each stream lies."""
-        self.share = self.range[rows] // total
-        return np.minimum(((self.code[rows] - self.low[rows]) & _MASK) // self.share, total - np.uint64(1))
+        self.share = self.range[rows] // np.uint64(total)
+        return np.minimum(self.code[rows] // self.share, np.uint64(total - 1)).astype(np.int64)
 
-    def take(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        low = (self.low[rows] + self.share * start) & _MASK
-        width = self.share * size
-        code = self.code[rows]
-        while True:
-            settled = (low ^ ((low + width) & _MASK)) < _TOP
-            narrow = ~settled & (width < _BOTTOM)
-            move = settled | narrow
-            if not move.any():
-                break
-            width = np.where(narrow, (_ZERO - low) & (_BOTTOM - np.uint64(1)), width)
-            moved = rows[move]
-            code[move] = ((code[move] << _EIGHT) | self.data[moved, np.minimum(self.at[moved], self.data.shape[1] - 1)]) & _MASK
-            self.at[moved] += 1
-            low = np.where(move, (low << _EIGHT) & _MASK, low)
-            width = np.where(move, (width << _EIGHT) & _MASK, width)
-        self.low[rows], self.range[rows], self.code[rows] = low, width, code
+    def take(self, rows: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
+        code = self.code[rows] - self.share * start.astype(np.uint64)
+        width = self.share * size.astype(np.uint64)
+        full = width < _LEAST
+        at = self.at[rows]
+        self.code[rows] = np.where(full, (code << _WORD) | self.words.take(at), code)
+        self.range[rows] = width << (full * _WORD)
+        self.at[rows] = np.minimum(at + full, self.last[rows])
 
 
-class _Predictors:
-    """The adaptive state of each block of a segment."""
+class _Model:
+    """The adaptive state of each block of a segment. Probabilities are rows of bounds."""
 
     def __init__(self, blocks: int) -> None:
-        self.id2 = np.full((blocks, _SLOTS2), -1, np.int32)
-        self.id1 = np.full((blocks, _SLOTS1), -1, np.int32)
-        self.id0 = np.full(blocks, -1, np.int32)
-        self.trust2 = np.zeros((blocks, _SLOTS2), np.int8)
-        self.trust1 = np.zeros((blocks, _SLOTS1), np.int8)
-        self.trust0 = np.zeros(blocks, np.int8)
-        # Rows of each order and trust; all start level.
-        self.kinds = np.ones((blocks, 3, _TRUST, 4), np.int32)
-        self.digits = np.ones((blocks, 1 + 16 + 256, 16), np.int32)
-        self.before = np.zeros((2, blocks), np.int64)
-
-    def look(self, rows: np.ndarray) -> None:
-        p1, p2 = self.before[0, rows], self.before[1, rows]
-        self.slot2 = ((p1 * 40503 + p2 * 2654435) >> 5) % _SLOTS2
-        self.slot1 = (p1 * 40503 >> 4) % _SLOTS1
-        self.guess = np.stack([self.id2[rows, self.slot2], self.id1[rows, self.slot1], self.id0[rows]])
-        self.trust = np.stack([self.trust2[rows, self.slot2], self.trust1[rows, self.slot1], self.trust0[rows]])
-        # The mixture: rows of counts add up, so sharper predictions weigh more.
-        self.mixed = self.kinds[rows, 0, self.trust[0]] + self.kinds[rows, 1, self.trust[1]]
-        self.mixed += self.kinds[rows, 2, self.trust[2]]
+        every = np.arange(blocks)
+        self.base2, self.base1 = every * _SLOTS2, every * _SLOTS1
+        # A prediction and its trust: 4 * id + trust.
+        self.table2 = np.full(blocks * _SLOTS2, -4, np.int32)
+        self.table1 = np.full(blocks * _SLOTS1, -4, np.int32)
+        self.held = np.full((3, blocks), -4, np.int32)
+        self.kinds = np.tile(_level(4, _KINDS), (blocks * 3 * _TRUST, 1))
+        self.kind_base = (every * 3 + np.arange(3)[:, None]) * _TRUST
+        self.kind_row = every * 5
+        self.digits = np.tile(_level(16, _DIGITS), (blocks * _NODES, 1))
+        self.p1, self.p2 = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+
+    def look(self) -> None:
+        """Predictions for the next ids, and the probabilities that they hold."""
+        near = self.p1 * 40503
+        self.at2 = self.base2 + (((near + self.p2 * 2654435) >> 5) & (_SLOTS2 - 1))
+        self.at1 = self.base1 + ((near >> 4) & (_SLOTS1 - 1))
+        self.held[0], self.held[1] = self.table2.take(self.at2), self.table1.take(self.at1)
+        self.guess, self.trust = self.held >> 2, self.held & 3
+        self.rows = self.kind_base + self.trust
+        self.parts = self.kinds.take(self.rows, axis=0)
+        # The mixture: rows add up, so sharper predictions weigh more.
+        self.mixed = self.parts[0] + self.parts[1] + self.parts[2]
 
     def kind_of(self, ids: np.ndarray) -> np.ndarray:
         """0, 1, 2: the first order that predicts the id; 3: none does."""
         hit = self.guess == ids
-        return np.where(hit.any(0), hit.argmax(0), 3)
-
-    def learn(self, rows: np.ndarray, kind: np.ndarray, ids: np.ndarray) -> None:
-        for order in range(3):
-            counts = self.kinds[rows, order, self.trust[order]]
-            counts[np.arange(len(rows)), kind] += _STEP
-            large = counts.sum(1) > _LIMIT
-            counts[large] = counts[large] // 2 + 1
-            self.kinds[rows, order, self.trust[order]] = counts
-        for order, (table, trusts, slot) in enumerate(
-            ((self.id2, self.trust2, self.slot2), (self.id1, self.trust1, self.slot1))
-        ):
-            hit = self.guess[order] == ids
-            trust = self.trust[order]
-            table[rows, slot] = np.where(hit | (trust > 1), self.guess[order], ids)
-            trusts[rows, slot] = np.where(hit, np.minimum(trust + 1, _TRUST - 1), np.where(trust > 1, trust - 2, 0))
-        hit, trust = self.guess[2] == ids, self.trust[2]
-        self.id0[rows] = np.where(hit | (trust > 0), self.guess[2], ids)
-        self.trust0[rows] = np.where(hit, np.minimum(trust + 1, _TRUST - 1), np.maximum(trust - 1, 0))
-        self.before[1, rows] = self.before[0, rows]
-        self.before[0, rows] = ids
-
-    def learn_digit(self, rows: np.ndarray, node: np.ndarray, digit: np.ndarray, counts: np.ndarray) -> None:
-        counts[np.arange(len(rows)), digit] += _STEP
-        large = counts.sum(1) > _LIMIT
-        counts[large] = counts[large] // 2 + 1
-        self.digits[rows, node] = counts
-
-
-def _node(place: int, ids: np.ndarray) -> np.ndarray:
-    """Which row of digit counts holds at a place, given the digits before it."""
-    return np.zeros(len(ids), np.int64) if place == 0 else ids + (1 if place == 1 else 17)
-
-
-def _bounds(counts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sums = np.cumsum(counts, 1)
-    every = np.arange(len(symbol))
-    size = counts[every, symbol]
-    return (sums[every, symbol] - size).astype(np.uint64), size.astype(np.uint64), sums[:, -1].astype(np.uint64)
-
-
-def _place(counts: np.ndarray, where: np.ndarray) -> np.ndarray:
-    return (np.cumsum(counts, 1) <= where[:, None].astype(np.int64)).sum(1)
+        return np.where(hit[0], 0, np.where(hit[1], 1, np.where(hit[2], 2, 3)))
+
+    def bounds(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, flat = self.kind_row + kind, self.mixed.reshape(-1)
+        start = flat.take(at).astype(np.int64)
+        return start, flat.take(at + 1) - start
+
+    def learn(self, kind: np.ndarray, ids: np.ndarray) -> None:
+        self.kinds[self.rows] = self.parts + ((_SURE_KIND.take(kind, axis=0) - self.parts) >> _KIND_RATE)
+        hit = self.guess == ids
+        missed = np.where(self.trust > 1, self.held - 2, (ids << 2).astype(np.int32))
+        self.held = np.where(hit, self.held + (self.trust < _TRUST - 1), missed)
+        self.table2[self.at2], self.table1[self.at1] = self.held[0], self.held[1]
+        self.p1, self.p2 = ids, self.p1
+
+    def learn_digits(self, rows: np.ndarray, parts: np.ndarray, digits: np.ndarray) -> None:
+        self.digits[rows] = parts + ((_SURE_DIGIT.take(digits, axis=0) - parts) >> _DIGIT_RATE)
+
+
+def _bounds(bounds: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at, flat = np.arange(len(digit)) * 17 + digit, bounds.reshape(-1)
+    start = flat.take(at).astype(np.int64)
+    return start, flat.take(at + 1) - start
+
+
+def _symbol(bounds: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """How many bounds after the first are at most ``where``: 4 or 16 of them."""
+    below = bounds[:, 1:] <= where[:, None]
+    if below.shape[1] == 4:
+        return np.bitwise_count(below.view(np.uint32)[:, 0]).astype(np.int64)
+    halves = np.bitwise_count(below.view(np.uint64)).astype(np.int64)
+    return halves[:, 0] + halves[:, 1]
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """A segment: blocks of :data:`BLOCK` ids below 65536, each with count and CRC-32."""
+    """A segment: blocks of :data:`BLOCK` ids below 65536, each with count and CRC-32.
+
+    The last block is filled up with zeros, which cost next to nothing.
+    """
     if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 16):
         raise ValueError("ids must be below 65536")
     n = len(ids)
     blocks = -(-n // BLOCK)
     if not blocks:
         return MAGIC + struct.pack("<I", 0)
-    sizes = np.full(blocks, BLOCK)
-    sizes[-1] = n - BLOCK * (blocks - 1)
-    padded = np.zeros(blocks * BLOCK, np.int64)
+    steps = min(n, BLOCK)
+    sizes = np.full(blocks, steps)
+    sizes[-1] = n - steps * (blocks - 1)
+    padded = np.zeros(blocks * steps, np.int64)
     padded[:n] = ids
-    padded = padded.reshape(blocks, BLOCK)
-    coder, state = _Encoder(blocks, 5 * BLOCK + 64), _Predictors(blocks)
-    flat = np.full(blocks, 16, np.uint64)
-    for t in range(int(sizes[0])):
-        rows = np.arange(blocks if t < sizes[-1] else blocks - 1)
-        now = padded[rows, t]
-        state.look(rows)
-        kind = state.kind_of(now)
-        coder.put(rows, *_bounds(state.mixed, kind))
-        other = rows[kind == 3]
-        if len(other):
-            value = now[kind == 3]
-            for place in range(4):
-                digit = (value >> (12 - 4 * place)) & 15
-                if place == 3:
-                    coder.put(other, digit.astype(np.uint64), flat[other] // np.uint64(16), flat[other])
-                    break
-                node = _node(place, value >> (16 - 4 * place))
-                counts = state.digits[other, node]
-                coder.put(other, *_bounds(counts, digit))
-                state.learn_digit(other, node, digit, counts)
-        state.learn(rows, kind, now)
+    by_block = padded.reshape(blocks, steps)
+    coder, model, all_rows = _Encoder(blocks, _STEPS * steps), _Model(blocks), slice(None)
+    for now in np.ascontiguousarray(by_block.T):
+        model.look()
+        kind = model.kind_of(now)
+        start, size = model.bounds(kind)
+        other = np.flatnonzero(kind == 3)
+        value = now[other]
+        digits = np.stack([value >> 12, value >> 8 & 15, value >> 4 & 15])
+        nodes = np.stack([np.zeros_like(value), 1 + (value >> 12), 17 + (value >> 8)]) + other * _NODES
+        parts = model.digits.take(nodes, axis=0)
+        (s1, z1), (s2, z2), (s3, z3) = (_bounds(parts[k], digits[k]) for k in range(3))
+        own = size[other]
+        start, size = start * _DIGITS, size * _DIGITS
+        start[other] += own * s1
+        size[other] = own * z1
+        coder.put(all_rows, start, size, _FIRST)
+        coder.put(other, (s2 * _DIGITS + z2 * s3) * 16 + z2 * z3 * (value & 15), z2 * z3, _REST)
+        model.learn_digits(nodes, parts, digits)
+        model.learn(kind, now)
     streams = coder.finish()
     heads = b"".join(
         struct.pack("<III", int(size), len(s), zlib.crc32(row[:size].astype("<u4").tobytes()))
-        for size, s, row in zip(sizes, streams, padded)
+        for size, s, row in zip(sizes, streams, by_block)
     )
     return MAGIC + struct.pack("<I", blocks) + heads + b"".join(streams)
 
@@ -234,38 +254,51 @@ def decode(data: bytes) -> np.ndarray:
     heads = [struct.unpack_from("<III", data, at + 4 + 12 * k) for k in range(blocks)]
     starts = np.cumsum([at + 4 + 12 * blocks, *(h[1] for h in heads)]).tolist()
     coder = _Decoder([data[a:b] for a, b in zip(starts, starts[1:])])
-    state = _Predictors(blocks)
-    sizes = [h[0] for h in heads]
-    ids = np.zeros((blocks, BLOCK), np.int64)
-    flat = np.full(blocks, 16, np.uint64)
-    for t in range(sizes[0]):
-        rows = np.arange(blocks if t < sizes[-1] else blocks - 1)
-        state.look(rows)
-        total = state.mixed.sum(1).astype(np.uint64)
-        kind = _place(state.mixed, coder.peek(rows, total))
-        coder.take(rows, *_bounds(state.mixed, kind)[:2])
-        now = np.where(kind < 3, state.guess[np.minimum(kind, 2), np.arange(len(rows))], 0).astype(np.int64)
-        other = rows[kind == 3]
-        if len(other):
-            value = np.zeros(len(other), np.int64)
-            for place in range(4):
-                if place == 3:
-                    digit = coder.peek(other, flat[other]).astype(np.int64)
-                    coder.take(other, digit.astype(np.uint64), flat[other] // np.uint64(16))
-                else:
-                    node = _node(place, value)
-                    counts = state.digits[other, node]
-                    digit = _place(counts, coder.peek(other, counts.sum(1).astype(np.uint64)))
-                    coder.take(other, *_bounds(counts, digit)[:2])
-                    state.learn_digit(other, node, digit, counts)
-                value = value * 16 + digit
-            now[kind == 3] = value
-        state.learn(rows, kind, now)
-        ids[rows, t] = now
-    for (size, _, crc), row in zip(heads, ids):
+    model, all_rows, every = _Model(blocks), slice(None), np.arange(blocks)
+    ids = np.zeros((heads[0][0], blocks), np.int64)
+    for t in range(len(ids)):
+        model.look()
+        where = coder.peek(all_rows, _FIRST)
+        kind = _symbol(model.mixed, where // _DIGITS)
+        start, size = model.bounds(kind)
+        other = np.flatnonzero(kind == 3)
+        own, base = size[other], other * _NODES
+        start, size = start * _DIGITS, size * _DIGITS
+        n1 = base
+        p1 = model.digits.take(n1, axis=0)
+        d1 = _symbol(p1, (where[other] - start[other]) // own)
+        s1, z1 = _bounds(p1, d1)
+        start[other] += own * s1
+        size[other] = own * z1
+        coder.take(all_rows, start, size)
+
+        where = coder.peek(other, _REST)
+        n2 = base + 1 + d1
+        p2 = model.digits.take(n2, axis=0)
+        d2 = _symbol(p2, where // (_DIGITS * 16))
+        s2, z2 = _bounds(p2, d2)
+        where = (where - s2 * _DIGITS * 16) // z2
+        n3 = base + 17 + 16 * d1 + d2
+        p3 = model.digits.take(n3, axis=0)
+        d3 = _symbol(p3, where // 16)
+        s3, z3 = _bounds(p3, d3)
+        d4 = (where - s3 * 16) // z3
+        coder.take(other, (s2 * _DIGITS + z2 * s3) * 16 + z2 * z3 * d4, z2 * z3)
+        model.learn_digits(np.stack([n1, n2, n3]), np.stack([p1, p2, p3]), np.stack([d1, d2, d3]))
+
+        now = model.guess[np.minimum(kind, 2), every].astype(np.int64)
+        now[other] = ((d1 * 16 + d2) * 16 + d3) * 16 + d4
+        model.learn(kind, now)
+        ids[t] = now
+    by_block = np.ascontiguousarray(ids.T)
+    for (size, _, crc), row in zip(heads, by_block):
         if zlib.crc32(row[:size].astype("<u4").tobytes()) != crc:
             raise ValueError("a block of token ids does not match its checksum")
-    return np.concatenate([row[:size] for size, row in zip(sizes, ids)])
+    return np.concatenate([row[:size] for row, (size, _, _) in zip(by_block, heads)])
+
+
+#: Characters that Python takes for white space and the tokenizers library does not.
+_SEPARATOR, _SPACED = re.compile("[\x1c-\x1f]"), re.compile("(?:\\S|[\x1c-\x1f])+")
 
 
 class WordEncoder:
@@ -273,24 +306,52 @@ class WordEncoder:
     of the words it has met. Words are encoded apart, which gives the ids of the whole
     text, because no token goes across white space."""
 
-    MAX_KNOWN = 400_000
+    MAX_KNOWN = 1_000_000
+    #: New words that are encoded as one text.
+    TOGETHER = 200
+    CUT = "\x1c"
 
     def __init__(self, path: str) -> None:
+        # Spark runs the tasks side by side; further threads only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        # Between new words stands a character that no other one shares its id with.
+        ids = self.tokenizer.encode(self.CUT, add_special_tokens=False).ids
+        self.cut_id = ids[0] if len(ids) == 1 else None
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.marks = re.compile("|".join(map(re.escape, [self.CUT, *(t.content for t in added.values())])))
+
+    def _learn(self, new: list[str]) -> None:
+        """The ids of words that have not been met."""
+        alone = new if self.cut_id is None else list(filter(self.marks.search, new))
+        joined = list(set(new).difference(alone)) if alone else new
+        for word in alone:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            self.known[word] = np.array(ids, "<u4").tobytes()
+        parts = [joined[k : k + self.TOGETHER] for k in range(0, len(joined), self.TOGETHER)]
+        for start in range(0, len(parts), 100):
+            some = parts[start : start + 100]
+            lines = [f" {self.CUT} ".join(part) for part in some]
+            found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+            for part, encoded in zip(some, found):
+                ids = np.array(encoded.ids, "<u4")
+                cuts = np.flatnonzero(ids == self.cut_id)
+                if len(cuts) != len(part) - 1:
+                    raise ValueError("the tokenizer does not keep words apart")
+                packed = ids.tobytes()
+                starts = [0, *(4 * cuts + 4).tolist()]
+                ends = [*(4 * cuts).tolist(), len(packed)]
+                self.known.update((w, packed[s:e]) for w, s, e in zip(part, starts, ends))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(t or "").split() for t in texts]
+        split = [_SPACED.findall(t) if t and _SEPARATOR.search(t) else (t or "").split() for t in texts]
         if len(self.known) > self.MAX_KNOWN:
             self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
+        self._learn(list(set().union(*split) - self.known.keys()))
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

@@ -282,15 +282,28 @@ def test_learned_scores_hold_out(spark):
 def test_blocks_come_back_and_are_checked():
     r = np.random.default_rng(1)
     for n in (0, 1, 4096, 9000):
-        ids = np.minimum(r.zipf(1.3, n), 49_407)
-        data = idfiles.encode(ids)
-        assert (idfiles.decode(data) == ids).all()
+        for ids in (r.integers(0, 1 << 16, n), np.full(n, 65_535), np.minimum(r.zipf(1.3, n), 49_407)):
+            data = idfiles.encode(ids)
+            assert (idfiles.decode(data) == ids).all()
     broken = bytearray(data)
     broken[-3000] ^= 64
     with pytest.raises(ValueError):
         idfiles.decode(bytes(broken))
 
 
+def test_words_encode_as_their_text_does():
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(WORD_BPE), idfiles.WordEncoder(WORD_BPE)
+    texts = [
+        "a <|endoftext|> b", "x<|startoftext|>y é́ é <|endoftext|><|endoftext|>", " ́a b̂",
+        "don't ﬁ İSTANBUL \u200b  \x1c a\x85b \x1f\x1d c ", "日本語 テスト 123abc \x1c\x1c q\x1c",
+        "a\xa0b\u2003c\u3000c\x0bd", None, "", " \n",
+    ]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert ids == np.array(library.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
 def test_files_hold_all_documents_in_order(spark, tmp_path, prose):
     from tokenizers import Tokenizer
 
