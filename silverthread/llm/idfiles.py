@@ -19,6 +19,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -356,6 +357,12 @@ class WordEncoder:
         return [b"".join(map(get, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def _word_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker: the tasks that it runs share the words met so far."""
+    return WordEncoder(path)
+
+
 def write_ids(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, text: str = "text", doc_id: str = "doc_id"
 ) -> None:
@@ -382,7 +389,7 @@ def write_ids(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = _word_encoder(tokenizer)
         ids: list[bytes] = []
         owners: list[pa.Array] = []
         counts: list[int] = []
