@@ -29,8 +29,8 @@ from .common import content_id
 
 MAGIC = b"STID2\n"
 #: Ids of a block, and of a segment; a document is never split between segments.
-BLOCK = 4096
-SEGMENT = 2048 * BLOCK
+BLOCK = 2048
+SEGMENT = 4096 * BLOCK
 
 #: The range stays between 2**32 and 2**56; what is settled leaves in words of 24 bits.
 _WORD, _LEAST = np.uint64(24), np.uint64(1 << 32)
@@ -38,7 +38,7 @@ _LOWER = _LEAST - np.uint64(1)
 #: Steps of the range coder per id, and so words, at most.
 _STEPS = 2
 
-_SLOTS2, _SLOTS1 = 1 << 12, 1 << 11
+_SLOTS2, _SLOTS1 = 1 << 11, 1 << 10
 _TRUST = 4  # levels of trust in a prediction
 _NODES = 1 + 16 + 256  # rows of digit probabilities: one per digits before
 #: Sums of the probabilities of one row, and how slowly they move (as a shift).
