@@ -1,13 +1,15 @@
 """Near-duplicates: ProbMinHash signatures, banding, verification, components.
 
 Texts with the same words are one node. A node's signature comes from the arrivals
-of one Poisson process per five-word shingle. Nodes that share a band are linked to
+of one Poisson process per five-word shingle, all of one rate, so that registers agree
+with the chance that is the similarity by which links are defined. Nodes that share a band are linked to
 its most central one if their shingles agree, linked nodes form components, and bands
 that still hold several components are compared across these.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,9 +28,9 @@ MIN_SIMILARITY = 0.8
 #: 24 bands of 5 registers: a pair at similarity 0.8 shares none with chance 7e-5.
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-#: Pairs with fewer equal registers are not compared: at similarity 0.8 the count is
-#: 96 on average, and below 72 with chance 1e-7.
-MIN_EQUAL = 72
+#: A pair as similar as asked has too few equal registers to be compared with less than
+#: this chance.
+MAX_MISS = 1e-7
 #: The nodes of a band are dealt to so many tasks when they meet its central node.
 SALTS = 8
 #: Shingles whose arrivals are drawn at a time.
@@ -39,6 +41,17 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def least_equal(similarity: float) -> int:
+    """Pairs with fewer equal registers are not compared: at that similarity the count
+    is binomial, and below this with less than :data:`MAX_MISS` chance (71 at 0.8)."""
+    below = 0.0
+    for count in range(REGISTERS + 1):
+        below += math.comb(REGISTERS, count) * similarity**count * (1 - similarity) ** (REGISTERS - count)
+        if below >= MAX_MISS:
+            return count
+    return REGISTERS
+
+
 class _WordHashes(dict):
     """64-bit hashes of words; starts anew when it is full."""
 
@@ -130,10 +143,10 @@ def _describe(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndar
     for i, text in enumerate(texts):
         text_words = words(text)
         digests.append(xxhash.xxh3_128_digest("\x1f".join(text_words)))
-        found, counts = np.unique(shingles(text_words), return_counts=True)
+        found = np.unique(shingles(text_words))
         sizes[i] = len(found)
         elements.append(found)
-        weights.append(1.0 + np.log(counts))
+        weights.append(np.ones(len(found)))
         owners.append(np.full(len(found), i - begun, np.int64))
         waiting += len(found)
         if waiting >= SHINGLES_AT_ONCE:
@@ -233,12 +246,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.where(similarity(F.col("ta"), F.col("tb")) >= least).select("a", "b")
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) with enough equal registers."""
+def _likely(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) with at least that many equal registers."""
     a = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
     joined = pairs.join(a, "a").join(b, "b")
-    return joined.where(F.expr(_EQUAL.format("sa", "sb")) >= MIN_EQUAL).select("a", "b")
+    return joined.where(F.expr(_EQUAL.format("sa", "sb")) >= least).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -281,8 +294,11 @@ def classes(
     least ``min_similarity``; a class is what links connect, and its id the smallest
     document id in it. Texts of equal words are one class whatever their length;
     those without words (null, empty, punctuation) are one class of their own.
-    Shingles are weighted by 1 + ln(count) in the signatures, not in the similarity.
+    A shingle counts once however often it stands, in the signatures too. A pair at 0.8
+    shares no band with chance 7e-5; at a lower ``min_similarity`` s that is
+    (1 - s^5)^24.
     """
+    equal = least_equal(min_similarity)
     sketched = stage(sketch(docs, text, doc_id), "near_sketch")
     nodes = stage(sketched.dropDuplicates(["node"]), "near_nodes")
     banded = nodes.where("size > 0").select("node", F.explode("bands").alias("band"))
@@ -312,7 +328,7 @@ def classes(
         .distinct(),
         "near_star",
     )
-    likely = stage(_likely(star, nodes), "near_pairs")
+    likely = stage(_likely(star, nodes, equal), "near_pairs")
     ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = stage(_texts(ends, nodes, docs, text, doc_id), "near_texts")
     edges = stage(_verified(likely, texts, min_similarity), "near_edges")
@@ -346,7 +362,7 @@ def classes(
             (F.col("root_a") < F.col("root_b"))
             & (F.least("size_a", "size_b") >= min_similarity * F.greatest("size_a", "size_b"))
             & ~F.arrays_overlap("earlier", "bands_b")
-            & (F.expr(_EQUAL.format("sig_a", "sig_b")) >= MIN_EQUAL)
+            & (F.expr(_EQUAL.format("sig_a", "sig_b")) >= equal)
             & (common >= min_similarity * (F.col("size_a") + F.col("size_b") - common))
         )
         found = left.join(right, "band").where(fits).select(

@@ -233,6 +233,26 @@ def test_near_copies_are_one_class(spark, prose):
     assert {i: c for i, (c,) in found.items()} == classes_of(prose)
 
 
+def test_copies_that_repeat_what_differs_are_one_class(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    docs = []
+    for _ in range(30):
+        body = [word() for _ in range(60)]
+        for _ in range(3):
+            line = [*body[:5], word(), "\n"]
+            docs.append(" ".join(body + ["\n"] + line * 25))
+    docs = list(enumerate(docs))
+    expected = classes_of(docs)
+    assert len(set(expected.values())) == 30
+    found = by_id(near.classes(spark.createDataFrame(docs, "doc_id bigint, text string")), "class_id")
+    assert {i: c for i, (c,) in found.items()} == expected
+
+
+def test_least_equal_registers_follow_the_similarity():
+    assert [near.least_equal(s) for s in (0.0, 0.8, 1.0)] == [0, 71, near.REGISTERS]
+
+
 def test_registers_agree_with_probability_jaccard():
     common, a, b = (np.random.default_rng(k).integers(0, 2**63, 60, dtype=np.uint64) for k in range(3))
     x, y = np.concatenate([common, a]), np.concatenate([common, b])
