@@ -62,9 +62,9 @@ def ingest_once(
     """Normalize what has landed, drop redelivered events, and stop.
 
     Of each ``event_id`` one event stays, however late the first or any later
-    delivery comes: ids are compared within a batch and with those that earlier
-    batches have stored, of which only files whose times meet the batch's are read (a
-    delivery carries the time of its event).
+    delivery comes and whatever time it carries: ids are compared within a batch and
+    with those that earlier batches have stored. Each batch reads the id column of all
+    that is stored.
     An event without an id cannot be compared and passes through. Each batch is
     rebalanced, so it writes few files, into directories of its own; a batch that is
     run again replaces them. Columns are those of :func:`ingest_events` and ``batch``.
@@ -74,11 +74,9 @@ def ingest_once(
         spark = batch.sparkSession
         known = F.col("event_id").isNotNull()
         fresh = batch.where(known).dropDuplicates(["event_id"])
-        ends = fresh.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
         path = spark._jvm.org.apache.hadoop.fs.Path(out)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and ends[0] is not None:
-            near = F.col("event_timestamp").between(*ends) | F.col("event_timestamp").isNull()
-            stored = spark.read.parquet(out).where((F.col("batch") != number) & near)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            stored = spark.read.parquet(out).where(F.col("batch") != number)
             fresh = fresh.join(stored.select("event_id").distinct(), "event_id", "left_anti")
         rows = fresh.select(*batch.columns).unionByName(batch.where(~known))
         wide = normalize_all(rows, keep_empty=keep_empty).withColumn("batch", F.lit(number))

@@ -54,3 +54,15 @@ def test_redelivered_and_late_events_come_once(spark, tmp_path, rows):
     found = spark.read.parquet(out)
     assert rows(E.valid_rows(found, E.POLICY), "event_id") == [("E1",), ("E2",), ("E3",)]
     assert E.rejected_events(found).count() == 2
+
+
+def test_a_redelivery_with_another_time_comes_once(spark, tmp_path, rows):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    first = event("POLICY", "v1")
+    others = ["2031-05-06T07:08:09", first["event_timestamp"].replace(" ", "T"), None]
+    for n, documents in enumerate([[first], *[[{**first, "event_timestamp": t}] for t in others]]):
+        land(landing, f"{n}.json", documents)
+        streaming.ingest_once(
+            streaming.events_stream(spark, str(landing)), out, str(tmp_path / "progress")
+        ).awaitTermination()
+    assert rows(spark.read.parquet(out), "event_id", "event_timestamp") == [("E1", first["event_timestamp"])]
