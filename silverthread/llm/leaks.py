@@ -27,7 +27,10 @@ MIN_SCORE = 0.6
 MIN_OVERLAP = 0.8
 MIN_PART_OVERLAP = 0.5
 SHINGLE = 5
-#: Items in one index, and words of an item that are indexed as one entry.
+#: Items of fewer words identify nothing and match nothing.
+MIN_ITEM_WORDS = SHINGLE
+#: Items in one index, and most words of an item that are indexed as one entry; longer
+#: items are cut into parts of near-equal size.
 MAX_ITEMS = 5_000
 MAX_ENTRY_WORDS = 256
 #: Entries that share one block maximum.
@@ -68,21 +71,43 @@ def _share(part: Sequence[str], passage: Sequence[str], held: set[tuple[str, ...
     return len(own & held) / len(own)
 
 
+class _Item:
+    """What a passage must hold: the whole item, its question and its answer."""
+
+    def __init__(self, text: str) -> None:
+        self.words = words(text)
+        self.parts = question_and_answer(text)
+
+    def overlap(self, passage: Sequence[str]) -> float | None:
+        """The share of the item in the passage, or None if the item, its question or
+        its answer is not there."""
+        held = _shingles(passage)
+        shares = [_share(w, passage, held) for w in (self.words, *self.parts)]
+        fine = shares[0] >= MIN_OVERLAP and min(shares[1:]) >= MIN_PART_OVERLAP
+        return shares[0] if fine else None
+
+
 class ItemIndex:
     """BM25 index of items; scores are shares of an item's score for itself."""
 
     def __init__(self, items: Sequence[tuple[object, str]], k1: float = 1.2, b: float = 0.75) -> None:
         self.items: list[object] = []
+        self.wholes: list[_Item] = []
         self.entries: list[list[str]] = []
-        self.parts: list[tuple[list[str], list[str]]] = []
+        #: Of each entry, the place of its item and its first word there.
+        self.origins: list[tuple[int, int]] = []
         for item, text in items:
-            whole = words(text)
-            for start in range(0, len(whole), MAX_ENTRY_WORDS):
-                entry = whole[start : start + MAX_ENTRY_WORDS]
-                one = len(whole) <= MAX_ENTRY_WORDS
-                self.items.append(item)
-                self.entries.append(entry)
-                self.parts.append(question_and_answer(text) if one else (entry, []))
+            whole = _Item(text)
+            size = len(whole.words)
+            if size < MIN_ITEM_WORDS:
+                continue
+            parts = -(-size // MAX_ENTRY_WORDS)
+            for k in range(parts):
+                start = size * k // parts
+                self.entries.append(whole.words[start : size * (k + 1) // parts])
+                self.origins.append((len(self.items), start))
+            self.items.append(item)
+            self.wholes.append(whole)
         self.stride = max(map(len, self.entries), default=1)
         self.vocabulary: dict[str, int] = {}
         n = len(self.entries)
@@ -109,7 +134,10 @@ class ItemIndex:
         self.term_max = np.append(self.block_max.max(1) if n else [], 0.0).astype(np.float32)
 
     def search(self, texts: Sequence[str | None], min_score: float) -> list[tuple[int, int, float, float]]:
-        """(text, entry, score, overlap) of the verified hits, best passage first."""
+        """(text, item, score, overlap) of the verified hits by their best passages.
+
+        An item in several parts is searched by each and verified as a whole, around the
+        passage of the part."""
         if not self.entries:
             return []
         vocabulary, stride = self.vocabulary.get, self.stride
@@ -131,11 +159,16 @@ class ItemIndex:
         best: dict[tuple[int, int], tuple[float, float]] = {}
         for p, entry, score in self._scored(passage, term, min_score):
             i = int(np.searchsorted(first, p, side="right")) - 1
+            item, offset = self.origins[entry]
+            whole = self.wholes[item]
+            # Words put in between may push an item's end out of the passage.
+            size, slack = len(whole.words), -(-len(whole.words) // 4)
             start = (p - int(first[i])) * stride
-            overlap = self.verify(entry, split[i][start : start + 2 * stride])
+            end = start + 2 * stride + size - offset - len(self.entries[entry]) + slack
+            overlap = whole.overlap(split[i][max(0, start - offset - slack) : end])
             if overlap is not None:
-                best[i, entry] = max(best.get((i, entry), (0.0, 0.0)), (score, overlap))
-        return [(i, entry, *best[i, entry]) for i, entry in sorted(best)]
+                best[i, item] = max(best.get((i, item), (0.0, 0.0)), (score, overlap))
+        return [(i, item, *best[i, item]) for i, item in sorted(best)]
 
     def _bounded(self, passage: np.ndarray, term: np.ndarray, least: float):
         """The rows of passages that some item could match at all."""
@@ -167,17 +200,6 @@ class ItemIndex:
                     yield int(passage[starts[begin + w]]), b * BLOCK + k, float(scores[k])
             begin = end
 
-    def verify(self, entry: int, passage: Sequence[str]) -> float | None:
-        """The shingle overlap, or None if the item, its question or its answer is
-        not in the passage."""
-        held = _shingles(passage)
-        overlap = _share(self.entries[entry], passage, held)
-        question, answer = self.parts[entry]
-        fine = overlap >= MIN_OVERLAP and all(
-            _share(part, passage, held) >= MIN_PART_OVERLAP for part in (question, answer)
-        )
-        return overlap if fine else None
-
 
 def _indexes(benchmark: DataFrame, item_id: str, text: str) -> list:
     """Broadcast indexes of at most about :data:`MAX_ITEMS` items each.
@@ -211,9 +233,10 @@ def find_leaks(
     """Pairs of a document and a benchmark item that it holds.
 
     Returns ``doc_id``, ``item_id``, ``score`` (BM25 as a share of the item's score
-    for itself) and ``overlap`` (share of its five-word shingles in the passage), one
-    row per document row and item; a longer item than 256 words is searched by parts
-    and found if one of them is. Words are compared in lower case, without
+    for itself) and ``overlap`` (share of its five-word shingles in the passage), one row per document row and item; an item longer
+    than 256 words is searched by parts of near-equal size, its score is that of the best
+    part, and it is verified as a whole. Items of fewer than five words match nothing.
+    Words are compared in lower case, without
     punctuation. Null and empty texts and items match nothing; null ids come out as
     nulls; repeated rows come out as often as given; other columns are not used.
     """
@@ -233,8 +256,8 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hits: dict[tuple[int, object], tuple[float, float]] = {}
-                for i, entry, *found in index.value.search(batch.column(1).to_pylist(), min_score):
-                    key = i, index.value.items[entry]
+                for i, item, *found in index.value.search(batch.column(1).to_pylist(), min_score):
+                    key = i, index.value.items[item]
                     hits[key] = max(hits.get(key, (0.0, 0.0)), tuple(found))
                 if not hits:
                     continue

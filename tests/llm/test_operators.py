@@ -186,6 +186,31 @@ def test_leaks_are_found_wherever_they_stand(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(81)) - {i for i, _ in expected}
 
 
+def found_items(items, texts):
+    """(text, item) of the hits."""
+    return {(i, k) for i, k, *_ in leaks.ItemIndex(list(enumerate(items))).search(texts, leaks.MIN_SCORE)}
+
+
+def numbered(tag, n):
+    return [f"{tag}{k}" for k in range(n)]
+
+
+def test_long_items_are_found_as_wholes():
+    filler = numbered("f", 400)
+    items = [[*numbered(f"i{n}x", n - 1), "the"] for n in (257, 270, 700)]
+    texts = [filler + item + filler for item in items]
+    # One word or phrase of an item, and half of one.
+    texts += [filler + ["the"], filler + items[1][-14:], filler + items[2][:350] + filler]
+    found = found_items([" ".join(i) for i in items] + ["the", "is it the"], [" ".join(t) for t in texts])
+    assert found == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_long_items_need_their_answer():
+    question, answer = " ".join(numbered("q", 300)), " ".join(numbered("a", 60))
+    texts = [f"x y z {question}. {answer}.", f"x y z {question}. other words."]
+    assert found_items([f"{question}. {answer}."], texts) == {(0, 0)}
+
+
 # --- counts -------------------------------------------------------------------
 
 
