@@ -8,6 +8,7 @@ items of the others are scored in full, and what passes is verified word by word
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import repeat
 
@@ -22,13 +23,17 @@ from .common import free_name
 
 #: A passage is a hit if it scores at least this share of the item's own score.
 MIN_SCORE = 0.6
-#: Least share of an item's five-word shingles that a passage must hold, and of the
-#: shingles of its question and of its answer.
+#: Least share of an item that a passage must hold, and of its question and of its
+#: answer. A share is that of its five-word shingles or of its words in order, whichever
+#: is more: an edit of one word breaks five shingles, a moved sentence the order.
 MIN_OVERLAP = 0.8
 MIN_PART_OVERLAP = 0.5
 SHINGLE = 5
-#: Items of fewer words identify nothing and match nothing.
+#: Items of fewer words identify nothing and match nothing; those of fewer than
+#: MIN_EDITED_WORDS must stand by their shingles, since a few words with one changed are
+#: a phrase of its own.
 MIN_ITEM_WORDS = SHINGLE
+MIN_EDITED_WORDS = 8
 #: Items in one index, and most words of an item that are indexed as one entry; longer
 #: items are cut into parts of near-equal size.
 MAX_ITEMS = 5_000
@@ -71,18 +76,57 @@ def _share(part: Sequence[str], passage: Sequence[str], held: set[tuple[str, ...
     return len(own & held) / len(own)
 
 
+class _Aligner:
+    """Share of a text's words that stand in a passage in order: one less the least word
+    edits to any run of the passage, by bit-parallel rows."""
+
+    def __init__(self, text_words: Sequence[str]) -> None:
+        self.size = len(text_words)
+        self.places: dict[str, int] = {}
+        for k, word in enumerate(text_words):
+            self.places[word] = self.places.get(word, 0) | 1 << k
+
+    def share(self, passage: Sequence[str]) -> float:
+        if not self.size:
+            return 1.0
+        full, last = (1 << self.size) - 1, 1 << self.size - 1
+        up, down, edits = full, 0, self.size
+        least = edits
+        for word in passage:
+            equal = self.places.get(word, 0)
+            level = (((equal & up) + up) ^ up) | equal
+            rise = down | (full & ~(level | up))
+            fall = up & level
+            if rise & last:
+                edits += 1
+            elif fall & last:
+                edits -= 1
+                least = min(least, edits)
+            level = equal | down
+            rise, fall = rise << 1 & full, fall << 1 & full
+            up, down = fall | (full & ~(level | rise)), rise & level
+        return 1 - least / self.size
+
+
 class _Item:
     """What a passage must hold: the whole item, its question and its answer."""
 
     def __init__(self, text: str) -> None:
         self.words = words(text)
+        self.counts = Counter(self.words)
         self.parts = question_and_answer(text)
+        self.aligners = [_Aligner(w) for w in (self.words, *self.parts)]
 
     def overlap(self, passage: Sequence[str]) -> float | None:
         """The share of the item in the passage, or None if the item, its question or
         its answer is not there."""
         held = _shingles(passage)
         shares = [_share(w, passage, held) for w in (self.words, *self.parts)]
+        if len(self.words) >= MIN_EDITED_WORDS:
+            present = set(passage)
+            common = sum(n for word, n in self.counts.items() if word in present)
+            if common >= MIN_OVERLAP * len(self.words):
+                shares = [max(s, a.share(passage)) for s, a in zip(shares, self.aligners)]
         fine = shares[0] >= MIN_OVERLAP and min(shares[1:]) >= MIN_PART_OVERLAP
         return shares[0] if fine else None
 
@@ -233,10 +277,11 @@ def find_leaks(
     """Pairs of a document and a benchmark item that it holds.
 
     Returns ``doc_id``, ``item_id``, ``score`` (BM25 as a share of the item's score
-    for itself) and ``overlap`` (share of its five-word shingles in the passage), one row per document row and item; an item longer
+    for itself) and ``overlap`` (share of its five-word shingles or of its words in order
+    in the passage, whichever is more), one row per document row and item; an item longer
     than 256 words is searched by parts of near-equal size, its score is that of the best
-    part, and it is verified as a whole. Items of fewer than five words match nothing.
-    Words are compared in lower case, without
+    part, and it is verified as a whole. Items of fewer than five words match nothing,
+    those of five to seven only by their shingles. Words are compared in lower case, without
     punctuation. Null and empty texts and items match nothing; null ids come out as
     nulls; repeated rows come out as often as given; other columns are not used.
     """

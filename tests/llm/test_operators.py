@@ -211,6 +211,41 @@ def test_long_items_need_their_answer():
     assert found_items([f"{question}. {answer}."], texts) == {(0, 0)}
 
 
+def test_edited_items_are_found():
+    r = random.Random(2)
+    items, texts, expected = [], [], set()
+    filler = numbered("f", 300)
+    for k, n in enumerate([15, 18, 22, 28, 40, 59] * 4):
+        item = numbered(f"i{k}x", n)
+        items.append(" ".join(item[:-5]) + ". " + " ".join(item[-5:]) + ".")
+        for edits in (1, 2):
+            copy = list(item)
+            for at in r.sample(range(1, n - 1), edits):
+                copy[at] = "new"
+            expected.add((len(texts), k))
+            texts.append(" ".join(filler[: r.randint(0, 300)] + copy + filler))
+        texts.append(" ".join(filler + item[: n // 2] + filler))
+    # A long one, cut into parts, with an edit in every nine words.
+    long = numbered("w", 700)
+    expected.add((len(texts), len(items)))
+    items.append(" ".join(long))
+    texts.append(" ".join(filler + [w if k % 9 else "new" for k, w in enumerate(long)] + filler))
+    assert found_items(items, texts) == expected
+
+
+def test_words_in_order_are_those_of_brute_force():
+    r = random.Random(8)
+    for _ in range(300):
+        item, passage = ([r.choice("abcd") for _ in range(r.randint(0, n))] for n in (9, 30))
+        row = [0] * (len(passage) + 1)
+        for k, word in enumerate(item, 1):
+            new = [k]
+            for j, other in enumerate(passage, 1):
+                new.append(min(row[j - 1] + (word != other), row[j] + 1, new[-1] + 1))
+            row = new
+        assert leaks._Aligner(item).share(passage) == (1 - min(row) / len(item) if item else 1)
+
+
 # --- counts -------------------------------------------------------------------
 
 
