@@ -1,16 +1,20 @@
 """License scans: look up canonical digests of texts among those of known licenses.
 
 A text is brought into a canonical form, in which wrapping, case, punctuation,
-copyright lines and equivalent spellings make no difference; its digest is joined by
-hash with the digests of known licenses. So are the digests of its lines and of its
-paragraphs, since licenses also stand inside documents.
+copyright lines and equivalent spellings make no difference; its digest is looked up
+among those of known licenses. So are the digests of its runs of consecutive lines,
+since licenses also stand inside documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+import re
+from collections.abc import Iterator
 
-from .common import content_id
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 # Spellings that count as equal, the first replaced by the second.
 EQUIVALENT = {
@@ -109,41 +113,128 @@ KNOWN: list[tuple[str, str]] = [
     ],
 ]
 
-_COPYRIGHT = r"(?mi)^[^\p{L}\p{N}©\n]*+(?:copyright\b|\(c\)|©)[^\n]*$"
+_LEAD = r"^(?:(?![\n©])[\W_])*"
+#: Lines that state a copyright: a year, a (c) or a place for the holder follows.
+_STATEMENT = re.compile(
+    _LEAD + r"(?:©|\(c\)[^\w\n]*(?:(?:19|20)\d\d|copyrights?\b)"
+    r"|copyrights?\b[^\w\n]*(?:\(c\)|©|[\[<{]|(?:c[ \t]+)?\d{4}))[^\n]*$",
+    re.M | re.I,
+)
+#: Lines that may state one of a holder: "(c)" also counts off the parts of a text.
+_DOUBTFUL = re.compile(
+    _LEAD + r"(?:\(c\)|copyrights?\b(?![ \t:]+(?:holders?|owners?|notices?|laws?|licen[cs]es?|acts?"
+    r"|statements?|and|or|in|is|to|on|of|as|for|shall|may|must|will)\b))[ \t:]+(?:by[ \t]+)?(?P<holder>[^\W\d_])[^\n]*$",
+    re.M | re.I,
+)
+_URL = re.compile(r"https?://(?:www\.)?")
+_TOKEN = re.compile(r"[^\W_]+|\n")
+_SINGLE = {word: equal.split() for word, equal in EQUIVALENT.items() if " " not in word}
+_PAIRS = {tuple(words.split()): equal.split() for words, equal in EQUIVALENT.items() if " " in words}
+_FIRSTS = {first for first, _ in _PAIRS}
 
 
-def known_licenses(spark: SparkSession) -> DataFrame:
-    """The built-in texts as ``license``, ``text``; union your own with it."""
-    return spark.createDataFrame(KNOWN, "license string, text string")
+def known_licenses(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The built-in texts as ``license``, ``text``, and those of the Parquet table at
+    ``path``, such as the full texts of licenses."""
+    built_in = spark.createDataFrame(KNOWN, "license string, text string")
+    if path is None:
+        return built_in
+    return built_in.unionByName(spark.read.parquet(path).select("license", "text"))
 
 
-def without_copyright(text: Column) -> Column:
-    """Lines that state a copyright become empty lines."""
-    return F.regexp_replace(text, _COPYRIGHT, "")
+def without_copyright(text: str) -> list[str]:
+    """The text with an empty line for each that states a copyright; if lines are in
+    doubt, first with and then without them."""
+    low = text.lower()
+    if "copyright" not in low and "(c)" not in low and "©" not in low:
+        return [text]
+    clean = _STATEMENT.sub("", text)
+    bare = _DOUBTFUL.sub(lambda m: m[0] if m["holder"].islower() else "", clean)
+    return [clean] if bare == clean else [clean, bare]
 
 
-def canonical(text: Column) -> Column:
-    """Words in lower case with single spaces; equivalent spellings made equal. Apply
-    :func:`without_copyright` first."""
-    plain = F.lower(text)
-    plain = F.regexp_replace(plain, r"https?://(?:www\.)?", "")
-    plain = F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]++", " "))
-    return _spelled(plain)
+def _paired(tokens: list[str], across: bool) -> list[str]:
+    """Equal spellings of two words, also ``across`` line ends."""
+    out, k = [], 0
+    while k < len(tokens):
+        end = k + 1
+        if tokens[k] in _FIRSTS:
+            while across and end < len(tokens) and tokens[end] == "\n":
+                end += 1
+            equal = _PAIRS.get((tokens[k], tokens[end])) if end < len(tokens) else None
+            if equal:
+                out += [equal[0], *tokens[k + 1 : end], *equal[1:]]
+                k = end + 1
+                continue
+        out.append(tokens[k])
+        k += 1
+    return out
 
 
-def _spelled(plain: Column) -> Column:
-    words = "|".join(sorted(EQUIVALENT, key=lambda w: (-len(w), w)))
-    return F.when(plain.rlike(rf"\b(?:{words})\b"), _equal_spellings(plain)).otherwise(plain)
+def canonical(text: str) -> list[list[str]]:
+    """Words in lower case and line ends, with equivalent spellings made equal; first
+    with those of two words found across line ends. Apply :func:`without_copyright`
+    first."""
+    plain = text.lower()
+    tokens = _TOKEN.findall(_URL.sub("", plain) if "http" in plain else plain)
+    if not _SINGLE.keys().isdisjoint(tokens):
+        tokens = [word for token in tokens for word in _SINGLE.get(token, (token,))]
+    if _FIRSTS.isdisjoint(tokens):
+        return [tokens]
+    forms = [_paired(tokens, True), _paired(tokens, False)]
+    return forms[:1] if forms[0] == forms[1] else forms
 
 
-def _equal_spellings(plain: Column) -> Column:
-    for word, equal in EQUIVALENT.items():
-        plain = F.regexp_replace(plain, rf"\b{word}\b", equal)
-    return plain
+def digest(words: list[str]) -> bytes:
+    return hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest()
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(text, 256)
+class Known:
+    """Digests of known forms, and the sizes of those that begin with a word."""
+
+    def __init__(self, rows: list[tuple[str, bytes, str, int]]) -> None:
+        self.licenses: dict[bytes, str] = {}
+        sizes: dict[str, set[int]] = {}
+        for license_, digest_, first, size in rows:
+            self.licenses[digest_] = min(license_, self.licenses.get(digest_, license_))
+            sizes.setdefault(first, set()).add(size)
+        self.sizes = {first: sorted(found) for first, found in sizes.items()}
+
+    def scan(self, text: str | None) -> tuple[str | None, list[str]]:
+        """The license of the whole text, and those of its runs of lines."""
+        whole, found = None, set()
+        for tokens in (t for clean in without_copyright(text or "") for t in canonical(clean)):
+            if self.sizes.keys().isdisjoint(tokens):
+                continue
+            words, ends = [], {0}
+            for token in tokens:
+                if token == "\n":
+                    ends.add(len(words))
+                else:
+                    words.append(token)
+            ends.add(len(words))
+            for start in ends - {len(words)}:
+                for size in self.sizes.get(words[start], ()):
+                    if start + size in ends:
+                        license_ = self.licenses.get(digest(words[start : start + size]))
+                        if license_ is not None:
+                            found.add(license_)
+                            whole = license_ if whole is None and size == len(words) else whole
+        return whole, sorted(found)
+
+
+def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = []
+        for license_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = [w for w in canonical(without_copyright(text or "")[0])[0] if w != "\n"]
+            if words and license_ is not None:
+                made.append((license_, digest(words), words[0], len(words)))
+        columns = list(zip(*made)) or [()] * 4
+        kinds = (pa.string(), pa.binary(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["license", "digest", "first", "size"]
+        )
 
 
 def scan_licenses(
@@ -152,70 +243,40 @@ def scan_licenses(
     """Per row of ``docs``: ``doc_id``, ``license`` of the whole text, ``licenses``.
 
     ``license`` is the license whose canonical digest the whole text has, null if
-    none; ``licenses`` are those of the text, its paragraphs (parts between lines
-    without words) and its lines, sorted, each once. ``known`` has ``license`` and ``text``;
-    of several licenses with one digest the first by name counts. Null and empty
-    texts have none, and so has a known text without words. Repeated rows come out as
-    often as given; other columns are not used.
-
-    Only parts whose canonical form is as long as a known one are hashed, and only
-    digests are joined.
+    none; ``licenses`` are those of the text and its runs of consecutive lines (a line,
+    a paragraph, several of either), sorted, each once. ``known`` has ``license`` and
+    ``text``; of several licenses with one digest the first by name counts. Null and
+    empty texts have none, and so has a known text without words. Repeated rows come out
+    as often as given; other columns are not used.
+
+    Only runs that begin with the first word of a known form and are as long are hashed.
+    The digests of the known licenses, a bounded list, are broadcast.
     """
-    digests = (
-        known.select("license", canonical(without_copyright(F.col("text"))).alias("form"))
-        .where(F.length("form") > 0)
-        .groupBy(digest(F.col("form")).alias("digest"))
-        .agg(F.min("license").alias("license"), F.max(F.length("form")).alias("size"))
-    )
-    # One number per known license; the licenses of the world are a bounded list.
-    found = {r["size"] for r in digests.select("size").distinct().collect()}
-    sizes = F.array(*map(F.lit, sorted(found))).cast("array<int>")
-    forms = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        content_id(F.col(doc_id), F.col(text)).alias("row"),
-        without_copyright(F.coalesce(F.col(text), F.lit(""))).alias("clean"),
-    )
-    # Each line is brought into its form once; the forms of paragraphs and texts are
-    # put together from them, and only spellings of several words are looked at again.
-    most = max(found, default=0)
-    lines = F.transform(F.split("clean", "\n", -1), canonical)
-    # A generator keeps the forms from being made again for each use.
-    forms = forms.select("doc_id", "row", F.explode(F.array(lines)).alias("lines"))
-    forms = forms.withColumn("joined", F.array_join("lines", "\n"))
-
-    def put_together(part: Column) -> Column:
-        plain = F.trim(F.regexp_replace(part, "\n+", " "))
-        return F.when(F.length(plain) <= 2 * most, _spelled(plain))
-
-    whole = put_together(F.col("joined"))
-    paragraphs = F.transform(F.split("joined", "\n\n+", -1), put_together)
-    forms = forms.select(
-        "doc_id", "row", "lines", F.inline(F.array(F.struct(whole.alias("form"), paragraphs.alias("paragraphs"))))
+    schema = StructType(
+        [
+            StructField("doc_id", docs.schema[doc_id].dataType),
+            StructField("license", StringType()),
+            StructField("licenses", ArrayType(StringType())),
+        ]
     )
-    fitting = F.filter(
-        F.array_distinct(F.concat(F.array("form"), "paragraphs", "lines")),
-        lambda p: F.array_contains(sizes, F.length(p)),
-    )
-    scanned = forms.select(
-        "doc_id",
-        "row",
-        F.when(F.array_contains(sizes, F.length("form")), digest(F.col("form"))).alias("whole"),
-        F.array_distinct(F.transform(fitting, digest)).alias("parts"),
-    )
-    found = (
-        scanned.select("doc_id", "row", "whole", F.explode("parts").alias("digest"))
-        .join(digests.select("digest", "license"), "digest")
-        .groupBy("doc_id", "row")
-        .agg(
-            F.max(F.when(F.col("digest") == F.col("whole"), F.col("license"))).alias("license"),
-            F.sort_array(F.collect_set("license")).alias("licenses"),
-        )
-        .withColumnsRenamed({"doc_id": "own_id", "row": "own_row"})
-    )
-    same = (F.col("row") == F.col("own_row")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
-    every = docs.select(
-        F.col(doc_id).alias("doc_id"), content_id(F.col(doc_id), F.col(text)).alias("row")
-    )
-    return every.join(found, same, "left").select(
-        "doc_id", "license", F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses")
+    rows = (
+        known.select(F.col("license").cast("string"), F.col("text").cast("string"))
+        .mapInArrow(_forms, "license string, digest binary, first string, size bigint")
+        .distinct()
+        .collect()
     )
+    held = docs.sparkSession.sparkContext.broadcast(Known([(r[0], bytes(r[1]), r[2], r[3]) for r in rows]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [held.value.scan(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([whole for whole, _ in found], pa.string()),
+                    pa.array([names for _, names in found], pa.list_(pa.string())),
+                ],
+                ["doc_id", "license", "licenses"],
+            )
+
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)

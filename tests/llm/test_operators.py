@@ -159,6 +159,35 @@ def test_licences_in_other_wrapping_and_spelling(spark):
     assert mit and found == {1: ("MIT", ["MIT"]), 2: (None, ["MIT"]), 3: (None, []), 4: (None, [])}
 
 
+def test_licences_below_copyright_lines_and_inside_documents(spark, tmp_path):
+    body = next(t for n, t in licenses.KNOWN if n == "MIT")
+    wrapped = body.replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS").replace("copyright notice", "\ncopyright notice")
+    commented = "".join(f" * {line}\n" for line in ["Copyright The Foo Authors", "", *wrapped.split("\n")])
+    own = "Part one of it:\n\n(a) give it away;\n(c) You must keep it.\n\nThe end of my license."
+    docs = [
+        (1, "(c) 2020 Someone\n\n" + body),
+        (2, wrapped),
+        (3, "/*\n" + commented + " */\n\nint main() {}\n"),
+        (4, "A read-me.\n\n" + wrapped + "\n\nMore of it.\n\nAll rights\nreserved."),
+        (5, "(c) Someone\n\n" + body),
+        (6, "Code.\n\n" + own.replace(" it", "\nit") + "\n\nMore."),
+        (7, body.replace("COPYRIGHT HOLDERS", "HOLDERS")),
+    ]
+    path = str(tmp_path / "full")
+    spark.createDataFrame([("Own-1.0", own)], "license string, text string").write.parquet(path)
+    known = licenses.known_licenses(spark, path)
+    found = by_id(licenses.scan_licenses(spark.createDataFrame(docs, "doc_id int, text string"), known), "license", "licenses")
+    assert found == {
+        1: ("MIT", ["MIT"]),
+        2: ("MIT", ["MIT"]),
+        3: (None, ["MIT"]),
+        4: (None, ["LicenseRef-all-rights-reserved", "MIT"]),
+        5: ("MIT", ["MIT"]),
+        6: (None, ["Own-1.0"]),
+        7: (None, []),
+    }
+
+
 # --- leaks --------------------------------------------------------------------
 
 
