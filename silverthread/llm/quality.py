@@ -144,14 +144,17 @@ def fit(
         .select("__id", F.col("__low").alias("__y"))
     )
     texts = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
-    # The chosen labels are at most max_labelled pairs of numbers.
+    # The chosen labels are at most max_labelled pairs of numbers, and each has one row
+    # however often its document comes.
     table = (
         texts.join(F.broadcast(known), "__id")
         .select("__id", "__y", document_statistics(F.col("__text")).alias("s"))
+        .groupBy("__id", "__y")
+        .agg(F.min("s").alias("s"))
         .select("__id", "__y", "s.*")
         .toPandas()
     )
-    table = table.sort_values(["__id", *FEATURES], kind="stable").drop_duplicates("__id")
+    table = table.sort_values("__id", kind="stable")
     x = table[list(FEATURES)].to_numpy(float)
     return trees.fit(x, table["__y"].to_numpy(float), np.array(list(FEATURES.values())))
 

@@ -273,9 +273,13 @@ def fit(
         .limit(max_labelled)
         .select("__id", "__y")
     )
-    # The chosen labels are at most max_labelled pairs of numbers.
-    texts = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(
-        F.broadcast(known), "__id"
+    # The chosen labels are at most max_labelled pairs of numbers, and each has one row
+    # however often its document comes.
+    texts = (
+        docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
+        .join(F.broadcast(known), "__id")
+        .groupBy("__id", "__y")
+        .agg(F.min("__text").alias("__text"))
     )
     for_terms = F.pmod(F.xxhash64(F.lit("terms"), "__id"), F.lit(3)) < 2
     lexicon = _lexicon(texts.where(for_terms))

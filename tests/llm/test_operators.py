@@ -450,6 +450,19 @@ def test_scores_follow_the_monotone_features():
     assert ((forest.score(x) > 0.5) == (y > 0.5)).mean() > 0.8
 
 
+def test_repeated_rows_of_a_document_are_learned_from_once(spark, monkeypatch):
+    texts = [(k, f"some words of number {k} and " + ("a moron speaks" if k % 2 else "a friend speaks")) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in range(40)], "doc_id bigint, quality int, toxic int")
+    once = spark.createDataFrame(texts, "doc_id bigint, text string")
+    often = spark.createDataFrame(texts + texts[1:2] * 200, "doc_id bigint, text string")
+    sent, whole = [], type(once).toPandas
+    monkeypatch.setattr(type(once), "toPandas", lambda self: (sent.append(len(made := whole(self))), made)[1])
+    models = [toxicity.fit(docs, labels) for docs in (once, often)]
+    assert models[0].lexicon == models[1].lexicon
+    quality.fit(often, labels)
+    assert max(sent) <= 40
+
+
 # --- odd rows -------------------------------------------------------------------
 
 
