@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from silverthread import session, sinks
@@ -11,6 +14,9 @@ from silverthread import session, sinks
 #: ASCII white space, as the contracts of the operators name it.
 BLANKS = " \t\n\x0b\x0c\r"
 
+#: Bytes of text that become Python strings at a time.
+SLICE_BYTES = 1 << 20
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -47,3 +53,16 @@ def content_id(*columns: Column) -> Column:
     """64-bit hash of a row's id and text: tells rows of one id apart, and is the
     same for repeated rows and for a repeated task."""
     return F.xxhash64(*columns)
+
+
+def in_slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose strings or binaries in ``column`` come to about
+    ``most`` bytes; a longer one is a run of its own. Nothing is copied."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy().astype(np.int64) + 1)
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(int(np.searchsorted(ends, before + most, side="right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
