@@ -119,9 +119,9 @@ def revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error events as violations, each reported twice."""
-    reported = table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(
-        "event_id", "user_id", "explode(array(1, 2)) AS copy"
+    """Events as violations, errors reported twice."""
+    reported = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "explode(sequence(1, IF(event_type = 'error', 2, 1))) AS copy"
     )
     return reported.selectExpr(
         "concat('V', event_id) AS violation_id", "concat('M', user_id) AS member_id"
@@ -186,7 +186,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.selectExpr(
         f"""to_json(struct(
             IF(id % 107 <> 0, concat('E', id), NULL) AS event_id,
-            substr(moment, 1, 19) AS event_timestamp,
+            moment AS event_timestamp,
             IF(id % 101 <> 0, concat('M', user_id), NULL) AS member_id,
             CASE kind WHEN 'purchase' THEN 'CLAIMS' WHEN 'click' THEN 'BILLING'
                  WHEN 'view' THEN 'POLICY' WHEN 'signup' THEN 'MEMBER' ELSE 'OTHER' END AS event_category,

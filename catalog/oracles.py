@@ -3,6 +3,52 @@
 from __future__ import annotations
 
 _AS_OF = "DATE '2001-08-01'"
+_NOW = "'2001-08-01 12:00:00'"
+_AMOUNT = """CASE WHEN k % 20 = 4 THEN NULL WHEN k % 20 = 6 THEN -1.5
+                            WHEN k % 20 = 8 THEN 0 ELSE value END"""
+
+
+def _leaf(category: str, nested: bool, value: str, name: str) -> str:
+    """A field that payloads of one category hold, in the nested or the flat shape."""
+    shape = f"n_event % 2 {'=' if nested else '<>'} 0"
+    return f"CASE WHEN has_payload AND event_category = '{category}' AND {shape} THEN {value} END AS {name}"
+
+
+def _amount_leaf(category: str, nested: bool, name: str) -> str:
+    number = _leaf(category, nested, f"CAST({_AMOUNT} AS DOUBLE)", name)
+    text = _leaf(category, nested, "CASE WHEN k % 20 = 4 THEN 'abc' END", f"{name}_text")
+    return f"{number},\n{text}"
+
+
+_LEAVES = ",\n".join(
+    [
+        _leaf("CLAIMS", True, "CASE WHEN k % 11 <> 0 THEN 'C' || n_event END", "nested_claim_id"),
+        _amount_leaf("CLAIMS", True, "nested_claim_amount"),
+        _leaf("CLAIMS", True, "CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 'D0' ELSE 'D0,D1' END", "diagnosis_codes"),
+        _leaf("CLAIMS", True, "CASE WHEN k % 13 <> 0 THEN 'P' || k END", "nested_provider_id"),
+        _leaf("CLAIMS", False, "CASE WHEN k % 11 <> 0 THEN 'C' || n_event END", "claim_id"),
+        _amount_leaf("CLAIMS", False, "claim_amount"),
+        _leaf("CLAIMS", False, "CASE WHEN k % 13 <> 0 THEN 'P' || k END", "provider_id"),
+        _amount_leaf("BILLING", True, "nested_payment_amount"),
+        _leaf("BILLING", True, "CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN 'CARD' ELSE 'CARD,BANK' END", "methods"),
+        _amount_leaf("BILLING", False, "payment_amount"),
+        _leaf("POLICY", True, "CASE WHEN k % 7 <> 0 THEN 'P' || n_event END", "nested_policy_id"),
+        _leaf("POLICY", True, "event_day", "coverage_start"),
+        _leaf("POLICY", True, "'2030-01-01'", "coverage_end"),
+        _leaf("POLICY", False, "CASE WHEN k % 7 <> 0 THEN 'P' || n_event END", "policy_id"),
+        *[
+            _leaf("MEMBER", nested, value, ("nested_" if nested else "") + name)
+            for nested in (True, False)
+            for name, value in (
+                ("first_name", "CASE WHEN k % 17 <> 0 THEN 'F' || k END"),
+                ("last_name", "CASE WHEN k % 19 <> 0 THEN 'G' || k END"),
+                ("email", "'mail' || n_user"),
+                ("city", "'city' || k"),
+            )
+        ],
+    ]
+)
+_ENVELOPE = "event_id, event_timestamp, member_id, event_category, schema_version"
 
 # Common table expressions, in an order in which each uses only earlier ones.
 _CTES: dict[str, str] = {
@@ -60,11 +106,10 @@ _CTES: dict[str, str] = {
                     WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS premium_collected
         FROM orders""",
     "violations": """
-        SELECT 'V' || event_id AS violation_id, 'M' || user_id AS member_id
-        FROM events WHERE event_type = 'error'""",
+        SELECT 'V' || event_id AS violation_id, 'M' || user_id AS member_id FROM events""",
     "feed": """
         SELECT CASE WHEN event_id % 107 <> 0 THEN 'E' || event_id END AS event_id,
-               substr(CAST(ts AS VARCHAR), 1, 19) AS event_timestamp,
+               CAST(ts AS VARCHAR) AS event_timestamp,
                substr(CAST(ts AS VARCHAR), 1, 10) AS event_day,
                CASE WHEN event_id % 101 <> 0 THEN 'M' || user_id END AS member_id,
                CASE event_type WHEN 'purchase' THEN 'CLAIMS' WHEN 'click' THEN 'BILLING'
@@ -102,7 +147,8 @@ _CTES: dict[str, str] = {
                CASE WHEN coverage_end_date IS NULL OR coverage_end_date > {_AS_OF}
                     THEN 'Active' ELSE 'Terminated' END AS active_flag,
                migration_flag, sha256(ssn_raw) AS masked_ssn,
-               'ACTIVE' AS record_status, 'VALID' AS dq_flag, {_AS_OF} AS processing_date
+               'ACTIVE' AS record_status, 'VALID' AS dq_flag, {_NOW} AS processing_timestamp,
+               {_AS_OF} AS processing_date
         FROM newest JOIN migrated USING (legacy_member_id)""",
     # --- claims ---
     "claims_distinct": "SELECT DISTINCT * FROM claims",
@@ -123,10 +169,11 @@ _CTES: dict[str, str] = {
             ORDER BY adjustment_date DESC NULLS LAST, adjustment_id DESC NULLS LAST,
                      original_claim_amount DESC NULLS LAST, adjustment_amount DESC NULLS LAST,
                      adjusted_final_amount DESC NULLS LAST) = 1""",
-    "fact": """
+    "fact": f"""
         SELECT claim_id, member_id, claim_date, claim_amount, adjustment_id,
                original_claim_amount, adjustment_amount, adjusted_final_amount, adjustment_date,
                coalesce(adjusted_final_amount, claim_amount) AS final_claim_amount,
+               {_NOW} AS processing_timestamp,
                'VALID' AS dq_flag, CAST(year(claim_date) AS INTEGER) AS claim_year
         FROM claims_good LEFT JOIN adjustments_good USING (claim_id, member_id)""",
     # --- events ---
@@ -231,7 +278,8 @@ _CTES: dict[str, str] = {
                CASE WHEN violations > 5 OR amount > 100000 THEN 'HIGH'
                     WHEN violations > 0 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
                CASE WHEN claim_events = 0 AND payment_events = 0
-                    THEN 'HIGH_CHURN_RISK' ELSE 'STABLE' END AS churn_flag
+                    THEN 'HIGH_CHURN_RISK' ELSE 'STABLE' END AS churn_flag,
+               {_NOW} AS processing_timestamp
         FROM filled""",
 }
 
@@ -271,8 +319,8 @@ def _text_days(kind: str) -> str:
 
 _BODIES: dict[str, str] = {
     "csv_scan": """
-        SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS member_id, c_nationkey AS nation,
-               c_acctbal AS balance FROM customer""",
+        SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS member_id, c_name AS name,
+               c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment FROM customer""",
     "csv_header_order": """
         SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CASE WHEN c_custkey % 2 = 1 THEN c_name END AS name,
                c_mktsegment AS segment, c_acctbal AS balance,
@@ -281,27 +329,25 @@ _BODIES: dict[str, str] = {
     "csv_malformed": """
         SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, o_orderkey || ',n/a' AS line
         FROM orders WHERE o_orderkey % 9 = 0""",
-    "json_scan": """
-        SELECT event_id, event_timestamp, member_id, event_category, schema_version, has_payload
-        FROM feed""",
+    "json_scan": f"SELECT {_ENVELOPE}, has_payload, {_LEAVES} FROM feed",
     "table_roundtrip": """
         SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate), CAST(2 AS INTEGER) AS version
         FROM orders""",
     "partition_roundtrip": """
-        SELECT o_orderkey, o_custkey, '2001-08-01' AS processing_date, 'Active' AS active_flag,
-               CAST(2 AS BIGINT) AS dates
+        SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate),
+               '2001-08-01' AS processing_date, 'Active' AS active_flag, CAST(2 AS BIGINT) AS dates
         FROM orders WHERE o_orderdate > DATE '1998-01-01'""",
     "claim_year_roundtrip": f"""
         SELECT {_text_days("claims")}, CAST(year(claim_date) AS INTEGER) AS claim_year FROM claims""",
     "snapshot_roundtrip": """
-        SELECT c_custkey, c_acctbal, c_mktsegment AS state, d AS run_date
+        SELECT * EXCLUDE (c_mktsegment, d), c_mktsegment AS state, d AS run_date
         FROM customer, (VALUES ('2001-07-31'), ('2001-08-01')) AS days(d)""",
     "snapshot_append": """
-        SELECT c_custkey, c_mktsegment AS state, '2001-08-01' AS run_date
+        SELECT * EXCLUDE (c_mktsegment, n), c_mktsegment AS state, '2001-08-01' AS run_date
         FROM customer, (VALUES (1), (2)) AS copies(n)""",
-    "quarantine_roundtrip": """
-        SELECT sha256(legacy_member_id) AS legacy_member_id, policy_id, gender
-        FROM (SELECT * FROM history EXCEPT SELECT * FROM history_valid)""",
+    "quarantine_roundtrip": f"""
+        SELECT * REPLACE (sha256(legacy_member_id) AS legacy_member_id) FROM (
+            SELECT {_text_days("historical")} FROM (SELECT * FROM history EXCEPT SELECT * FROM history_valid))""",
     "run_log": """
         SELECT 'member_records' AS job_name,
                (SELECT count(*) FROM history_valid) AS records_processed,
@@ -341,8 +387,9 @@ _BODIES: dict[str, str] = {
     "revenue_rejected": "SELECT * FROM revenue WHERE NOT coalesce(premium_collected >= 0, false)",
     "violations_clean": """
         SELECT DISTINCT *, '2001-08-01 12:00:00' AS processing_timestamp FROM violations""",
-    "audit_project": """
-        SELECT member_id, legacy_member_id, migration_flag, 'ACTIVE' AS record_status, 'VALID' AS dq_flag
+    "audit_project": f"""
+        SELECT member_id, legacy_member_id, migration_flag, {_NOW} AS processing_timestamp,
+               'ACTIVE' AS record_status, 'VALID' AS dq_flag
         FROM migrated""",
     "fill_zero": """
         SELECT c_custkey,
@@ -407,7 +454,8 @@ _BODIES: dict[str, str] = {
         SELECT DISTINCT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem""",
     "distinct_row_count": "SELECT count(*) AS records FROM (SELECT DISTINCT * FROM historical)",
     "join_mixed_types": """
-        SELECT CAST(o_custkey AS BIGINT) AS key, o_orderkey, c_name
+        SELECT CAST(o_custkey AS BIGINT) AS key, orders.* EXCLUDE (o_custkey)
+               REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate), customer.*
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "union_by_name": """
         SELECT * FROM customer
@@ -420,13 +468,13 @@ _BODIES: dict[str, str] = {
     "agg_violations": "SELECT * FROM sum_violations",
     "agg_claims_events": """
         SELECT member_id, count(event_id) AS streaming_claim_events, max(event_id) AS last_claim_event_id
-        FROM ev_claims GROUP BY member_id""",
+        FROM good_claims GROUP BY member_id""",
     "agg_billing_events": """
-        SELECT member_id, count(event_id) AS streaming_payment_events FROM ev_billing GROUP BY member_id""",
+        SELECT member_id, count(event_id) AS streaming_payment_events FROM good_billing GROUP BY member_id""",
     "agg_policy_events": """
-        SELECT member_id, count(event_id) AS policy_change_count FROM ev_policy GROUP BY member_id""",
+        SELECT member_id, count(event_id) AS policy_change_count FROM good_policy GROUP BY member_id""",
     "agg_member_events": """
-        SELECT member_id, count(event_id) AS member_update_count FROM ev_member GROUP BY member_id""",
+        SELECT member_id, count(event_id) AS member_update_count FROM good_member GROUP BY member_id""",
     "agg_all_facts": "SELECT * FROM activity",
     "agg_domain_tables": """
         SELECT member_id, lifetime_claim_amount, total_claim_count, lifetime_revenue, violation_count,
@@ -436,7 +484,7 @@ _BODIES: dict[str, str] = {
         LEFT JOIN (SELECT member_id, count(DISTINCT event_id) AS n FROM good_claims GROUP BY ALL) c USING (member_id)
         LEFT JOIN (SELECT member_id, count(DISTINCT event_id) AS n FROM good_billing GROUP BY ALL) b USING (member_id)""",
     "agg_distinct_events": """
-        SELECT member_id, count(DISTINCT event_id) AS streaming_claim_events FROM ev_claims GROUP BY member_id""",
+        SELECT member_id, count(DISTINCT event_id) AS streaming_claim_events FROM good_claims GROUP BY member_id""",
     "join_aggregates": """
         SELECT member_id, lifetime_claim_amount, total_claim_count, lifetime_revenue, violation_count
         FROM members_current
@@ -448,12 +496,10 @@ _BODIES: dict[str, str] = {
         for d in ("claims", "billing", "policy", "member")
         for outcome, table in (("valid", "good"), ("bad", "bad"))
     ),
-    "json_array_text": """
-        SELECT event_id, event_timestamp, member_id, event_category, schema_version FROM feed""",
-    "events_envelope_valid": """
-        SELECT event_id, member_id, event_category, schema_version FROM accepted""",
-    "events_rejected": """
-        SELECT event_id, event_timestamp, member_id,
+    "json_array_text": f"SELECT {_ENVELOPE}, {_LEAVES} FROM feed",
+    "events_envelope_valid": f"SELECT {_ENVELOPE}, {_LEAVES} FROM accepted",
+    "events_rejected": f"""
+        SELECT {_ENVELOPE}, {_LEAVES},
                CASE WHEN event_id IS NULL THEN 'event_id_missing'
                     WHEN member_id IS NULL THEN 'member_id_missing'
                     WHEN NOT has_payload THEN 'payload_missing'
@@ -485,7 +531,7 @@ _BODIES: dict[str, str] = {
             SELECT claim_id, member_id, claim_date, claim_amount, adjustment_id,
                    original_claim_amount, adjustment_amount, adjusted_final_amount, adjustment_date,
                    coalesce(adjusted_final_amount, claim_amount) AS final_claim_amount,
-                   'VALID' AS dq_flag, CAST(year(claim_date) AS INTEGER) AS claim_year
+                   {_NOW} AS processing_timestamp, 'VALID' AS dq_flag, CAST(year(claim_date) AS INTEGER) AS claim_year
             FROM claims_good LEFT JOIN adjustments_newest USING (claim_id, member_id))""",
     "risk_churn": """
         WITH o AS (SELECT o_custkey AS member, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS claims
@@ -504,6 +550,7 @@ _BODIES: dict[str, str] = {
         FROM m""",
     "member_360": "SELECT * FROM gold",
     "member_360_from_files": "SELECT *, '2001-08-01' AS run_date FROM gold",
+    "member_360_from_stream": "SELECT *, '2001-08-01' AS run_date FROM gold",
     "run_log_of_all_runs": """
         SELECT 'member_dimension' AS job_name, (SELECT count(*) FROM history_valid) AS records_processed,
                (SELECT count(*) FROM history) - (SELECT count(*) FROM history_valid) AS records_failed,

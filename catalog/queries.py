@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from silverthread import constants as K, schemas, session, sinks, sources, streaming
 from silverthread.functions import member, money, privacy, scoring
 from silverthread.operators import aggregates as A, events as E, joins, latest, quality
-from silverthread.plans import claims as C, gold as G, jobs, members as M, runlog
+from silverthread.plans import claims as C, gold as G, jobs, members as M, runlog, stream
 
 from . import inputs as I
 from .inputs import AS_OF, PROCESSED_AT, table
@@ -58,11 +58,10 @@ def _valid_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str, latest_only: bool = False) -> DataFrame:
-    path = session.scratch_path(spark, "checked_claims")
-    checked, _ = sinks.stage(_checked_claims(spark, sf_dir), path, ["is_valid"])
-    valid = quality.split_on_flag(checked, distinct_rejects=False).valid
-    adjustments = C.valid_adjustments(I.adjustments(spark, sf_dir), valid)
-    return C.claims_fact(valid, adjustments, PROCESSED_AT, latest_only)
+    return C.build_claims_fact(
+        I.members_current(spark, sf_dir), I.claims(spark, sf_dir), I.adjustments(spark, sf_dir),
+        PROCESSED_AT, latest_only, staged=True,
+    ).fact
 
 
 def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +79,37 @@ def _facts(spark: SparkSession, sf_dir: str) -> G.Facts:
     )
 
 
+#: Name of each field of a payload, flat or nested.
+_LEAVES = {
+    "nested_claim_id": "claim.id", "nested_claim_amount": "claim.amount",
+    "nested_provider_id": "provider.id", "claim_id": "claim_id", "claim_amount": "claim_amount",
+    "provider_id": "provider_id", "nested_payment_amount": "payment.amount",
+    "payment_amount": "payment_amount", "nested_policy_id": "policy.id",
+    "coverage_start": "policy.coverage.start_date", "coverage_end": "policy.coverage.end_date",
+    "policy_id": "policy_id", "nested_first_name": "profile.first_name",
+    "nested_last_name": "profile.last_name", "nested_email": "profile.email",
+    "nested_city": "profile.address.city", "first_name": "first_name", "last_name": "last_name",
+    "email": "email", "city": "city",
+}
+_ENVELOPE = ["event_id", "event_timestamp", "member_id", "event_category", "schema_version"]
+
+
+def _leaves(payload: str = "payload") -> list:
+    """Every field of a payload as a column; amounts as numbers, other text of theirs apart."""
+    out = [
+        F.array_join(f"{payload}.claim.diagnosis_codes", ",").alias("diagnosis_codes"),
+        F.array_join(f"{payload}.payment.methods", ",").alias("methods"),
+    ]
+    for name, path in _LEAVES.items():
+        value = F.col(f"{payload}.{path}")
+        if name.endswith("amount"):
+            number = value.try_cast("double")
+            out += [number.alias(name), F.when(number.isNull(), value).alias(f"{name}_text")]
+        else:
+            out.append(value.alias(name))
+    return out
+
+
 # --- scans and sinks -------------------------------------------------------
 
 
@@ -89,10 +119,14 @@ def csv_scan(spark, sf_dir):
     path = session.scratch_path(spark, "csv")
     table(spark, sf_dir, "customer").select(
         F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("member_id"),
+        F.col("c_name").alias("name"),
         F.col("c_nationkey").alias("nation"),
         F.col("c_acctbal").alias("balance"),
+        F.col("c_mktsegment").alias("segment"),
     ).write.option("header", True).csv(path)
-    schema = schemas.struct(member_id="string", nation="int", balance="double")
+    schema = schemas.struct(
+        member_id="string", name="string", nation="int", balance="double", segment="string"
+    )
     return sources.read_csv(spark, path, schema)
 
 
@@ -137,12 +171,7 @@ def json_scan(spark, sf_dir):
     path = session.scratch_path(spark, "landing")
     I.envelopes(spark, sf_dir).write.text(path)
     return sources.read_events(spark, path).select(
-        "event_id",
-        "event_timestamp",
-        "member_id",
-        "event_category",
-        "schema_version",
-        F.col("payload").isNotNull().alias("has_payload"),
+        *_ENVELOPE, F.col("payload").isNotNull().alias("has_payload"), *_leaves()
     )
 
 
@@ -161,11 +190,10 @@ def partition_roundtrip(spark, sf_dir):
     """Dated partitions survive later runs; active rows of the newest date are
     read by pruning directories."""
     path = session.scratch_path(spark, "dimension")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     for day in (AS_OF - dt.timedelta(days=1), AS_OF):
         dated = orders.select(
-            "o_orderkey",
-            "o_custkey",
+            "*",
             F.lit(day).alias("processing_date"),
             member.active_flag("o_orderdate", dt.date(1998, 1, 1)).alias("active_flag"),
         )
@@ -190,9 +218,7 @@ def claim_year_roundtrip(spark, sf_dir):
 def snapshot_roundtrip(spark, sf_dir):
     """A snapshot written twice for one date is stored once."""
     path = session.scratch_path(spark, "snapshot")
-    rows = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_acctbal", F.col("c_mktsegment").alias("state")
-    )
+    rows = table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "state")
     balanced = sinks.rebalance_for_write(rows, "state")
     for day in (AS_OF - dt.timedelta(days=1), AS_OF, AS_OF):
         sinks.write_snapshot(balanced, path, day, ["state"])
@@ -203,9 +229,7 @@ def snapshot_roundtrip(spark, sf_dir):
 def snapshot_append(spark, sf_dir):
     """Appending the same date twice keeps both copies."""
     path = session.scratch_path(spark, "snapshot")
-    rows = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_mktsegment").alias("state")
-    )
+    rows = table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "state")
     for _ in range(2):
         sinks.write_snapshot(rows, path, AS_OF, ["state"], idempotent=False)
     return sources.read_table(spark, path)
@@ -219,7 +243,7 @@ def quarantine_roundtrip(spark, sf_dir):
         I.historical(spark, sf_dir), I.migrated(spark, sf_dir), AS_OF, PROCESSED_AT
     ).rejected
     sinks.write_table(privacy.masked(bad, ["legacy_member_id"]), path)
-    return sources.read_table(spark, path).select("legacy_member_id", "policy_id", "gender")
+    return sources.read_table(spark, path)
 
 
 @query
@@ -310,7 +334,8 @@ def adjust_bad(spark, sf_dir):
         I.claims(spark, sf_dir),
         I.adjustments(spark, sf_dir),
         PROCESSED_AT,
-    )[2]
+        staged=True,
+    ).rejected_adjustments
 
 
 @query
@@ -338,9 +363,7 @@ def violations_clean(spark, sf_dir):
 def audit_project(spark, sf_dir):
     """Fixed columns, constants added, personal data dropped."""
     migrated = privacy.drop_phi(I.migrated(spark, sf_dir))
-    return M.with_audit(migrated, PROCESSED_AT).select(
-        "member_id", "legacy_member_id", "migration_flag", "record_status", "dq_flag"
-    )
+    return M.with_audit(migrated, PROCESSED_AT)
 
 
 @query
@@ -469,8 +492,10 @@ def claims_with_adjustments(spark, sf_dir):
 @query
 def unused_adjustments(spark, sf_dir):
     """Valid adjustments that name another member than their claim."""
-    valid = _valid_claims(spark, sf_dir)
-    return joins.unused_adjustments(C.valid_adjustments(I.adjustments(spark, sf_dir), valid), valid)
+    folder = session.scratch_path(spark, "claims")
+    checked, _ = sinks.stage(_checked_claims(spark, sf_dir), f"{folder}/checked", ["is_valid"])
+    valid = quality.split_on_flag(checked, distinct_rejects=False).valid
+    return C.reconcile(valid, I.adjustments(spark, sf_dir), folder).unused
 
 
 @query
@@ -490,8 +515,8 @@ def distinct_row_count(spark, sf_dir):
 @query
 def join_mixed_types(spark, sf_dir):
     """Orders of customers by a key that is int on one side and bigint on the other."""
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("key"), "c_name")
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey")
+    customer = table(spark, sf_dir, "customer").withColumn("key", F.col("c_custkey").cast("int"))
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "key")
     return joins.hot_key_join(orders, customer, "key", "inner")
 
 
@@ -504,7 +529,7 @@ def json_array_text(spark, sf_dir):
         .agg(F.concat(F.lit("["), F.array_join(F.collect_list("doc"), ","), F.lit("]")).alias("doc"))
     )
     events = sources.parse_events(by_day, "doc")
-    return events.select("event_id", "event_timestamp", "member_id", "event_category", "schema_version")
+    return events.select(*_ENVELOPE, *_leaves())
 
 
 @query
@@ -534,8 +559,8 @@ def _aggregate(name: str, fact: Query, measures: list[A.Measure], doc: str) -> N
     query(run)
 
 
-def _normalized(domain: E.Domain, keep_empty: bool = False) -> Query:
-    return lambda spark, sf_dir: E.normalize(_events(spark, sf_dir), domain, keep_empty)
+def _valid_events(domain: E.Domain) -> Query:
+    return lambda spark, sf_dir: E.split_domain(_events(spark, sf_dir), domain).valid
 
 
 _aggregate("agg_claims", _fact, A.CLAIM_MEASURES, "Claim amount and number per member.")
@@ -559,9 +584,9 @@ for _domain, _measures in (
 ):
     _aggregate(
         f"agg_{_domain.category.lower()}_events",
-        _normalized(_domain),
+        _valid_events(_domain),
         _measures,
-        "Flattened event rows per member.",
+        "Valid event rows per member.",
     )
 
 
@@ -583,7 +608,7 @@ def agg_domain_tables(spark, sf_dir):
 @query
 def agg_distinct_events(spark, sf_dir):
     """Events per member, each counted once however many rows it gave."""
-    rows = E.normalize(_events(spark, sf_dir), E.CLAIMS)
+    rows = _valid_events(E.CLAIMS)(spark, sf_dir)
     return A.aggregate_fact(A.distinct_events(rows), "member_id", A.CLAIM_EVENT_MEASURES[:1])
 
 
@@ -611,16 +636,17 @@ def dq_metrics(spark, sf_dir):
 @query
 def events_envelope_valid(spark, sf_dir):
     """Events with id, member and payload."""
-    return E.validate_events(_events(spark, sf_dir)).select(
-        "event_id", "member_id", "event_category", "schema_version"
-    )
+    return E.validate_events(_events(spark, sf_dir)).select(*_ENVELOPE, *_leaves())
 
 
 @query
 def events_rejected(spark, sf_dir):
-    """Events that enter no domain, with the reason."""
-    wide = E.normalize_all(_events(spark, sf_dir))
-    return E.rejected_events(wide).drop("raw_event")
+    """Events that enter no domain, with the reason and what their text holds."""
+    rejected = E.rejected_events(E.normalize_all(_events(spark, sf_dir)))
+    return rejected.withColumn("raw", F.from_json("raw_event", schemas.EVENT)).select(
+        *_ENVELOPE[:3], "reject_reason", "raw.event_category", "raw.schema_version",
+        *_leaves("raw.payload"),
+    )
 
 
 @query
@@ -667,16 +693,24 @@ def events_stream(spark, sf_dir):
 
 @query
 def events_dedup_stream(spark, sf_dir):
-    """The billing domain of a feed that comes in three deliveries, each event once.
+    """The billing domain of a feed that comes in four deliveries, each event once.
 
     The first has the later half of the days, the second the whole feed, so most of
-    its events are late by weeks, and the third the whole feed again.
+    its events are late by weeks, and the third and fourth the whole feed again, with
+    other times and without any.
     """
+    wide = _streamed(spark, sf_dir, streaming.ingest_once, _deliveries(spark, sf_dir))
+    return E.valid_rows(wide, E.BILLING)
+
+
+def _deliveries(spark, sf_dir) -> list[DataFrame]:
     feed = I.envelopes(spark, sf_dir)
     moment = F.get_json_object("doc", "$.event_timestamp")
     late_half = feed.where(F.dayofmonth(F.to_date(F.substring(moment, 1, 10))) > 15)
-    wide = _streamed(spark, sf_dir, streaming.ingest_once, [late_half, feed, feed])
-    return E.valid_rows(wide, E.BILLING)
+    stamp = F.lit('"event_timestamp":"[^"]*",')
+    moved = feed.select(F.regexp_replace("doc", stamp, F.lit('"event_timestamp":"2031-05-06 07:08:09",')).alias("doc"))
+    timeless = feed.select(F.regexp_replace("doc", stamp, F.lit("")).alias("doc"))
+    return [late_half, feed, moved, timeless]
 
 
 def _streamed(spark, sf_dir, ingest, deliveries=None) -> DataFrame:
@@ -694,19 +728,19 @@ def _streamed(spark, sf_dir, ingest, deliveries=None) -> DataFrame:
 @query
 def member_dimension(spark, sf_dir):
     """The member dimension."""
-    return _dimension(spark, sf_dir).drop("processing_timestamp")
+    return _dimension(spark, sf_dir)
 
 
 @query
 def claims_fact(spark, sf_dir):
     """The claims fact table."""
-    return _fact(spark, sf_dir).drop("processing_timestamp")
+    return _fact(spark, sf_dir)
 
 
 @query
 def claims_fact_latest(spark, sf_dir):
     """The claims fact table with the newest adjustment of each claim only."""
-    return _fact(spark, sf_dir, latest_only=True).drop("processing_timestamp")
+    return _fact(spark, sf_dir, latest_only=True)
 
 
 @query
@@ -749,11 +783,10 @@ def member_360(spark, sf_dir):
 
 
 def _gold_columns(gold: DataFrame) -> DataFrame:
-    rounded = gold.withColumn("engagement_score", F.round("engagement_score", 6))
-    return rounded.drop("processing_timestamp")
+    return gold.withColumn("engagement_score", F.round("engagement_score", 6))
 
 
-def land_raw(spark: SparkSession, sf_dir: str, layout: jobs.Layout) -> None:
+def land_raw(spark: SparkSession, sf_dir: str, layout: jobs.Layout, events: bool = True) -> None:
     """Write the raw tables as producers deliver them, CSV and JSON."""
     for name, build in (
         ("historical_member_policy", I.historical),
@@ -765,7 +798,8 @@ def land_raw(spark: SparkSession, sf_dir: str, layout: jobs.Layout) -> None:
         ("violations", I.violations),
     ):
         build(spark, sf_dir).write.option("header", True).csv(layout.raw(name))
-    I.envelopes(spark, sf_dir).write.text(layout.raw("events"))
+    if events:
+        I.envelopes(spark, sf_dir).write.text(layout.raw("events"))
 
 
 @query
@@ -777,6 +811,20 @@ def member_360_from_files(spark, sf_dir):
     return _gold_columns(sources.read_table(spark, layout.gold("member_360")))
 
 
+@query
+def member_360_from_stream(spark, sf_dir):
+    """The gold snapshot where the events come as a stream of four deliveries."""
+    layout = jobs.Layout(session.scratch_path(spark, "lake"))
+    land_raw(spark, sf_dir, layout, events=False)
+    for delivery in _deliveries(spark, sf_dir):
+        delivery.write.mode("append").text(layout.raw("events"))
+        stream.stream_events(spark, layout, fan=3)
+    jobs.run_members(spark, layout, AS_OF, PROCESSED_AT)
+    jobs.run_claims(spark, layout, PROCESSED_AT)
+    jobs.run_gold(spark, layout, AS_OF, PROCESSED_AT)
+    return _gold_columns(sources.read_table(spark, layout.gold("member_360")))
+
+
 @query
 def run_log_of_all_runs(spark, sf_dir):
     """What each run reports to the log."""

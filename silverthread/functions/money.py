@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY_TYPE = "decimal(18,2)"
+#: Holds amounts below 10^26, of which 10^10 add up without overflow.
+MONEY_TYPE = "decimal(28,2)"
 
 
 def money(amount: Column | str) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.money import MONEY_TYPE
+from ..functions.money import MONEY_TYPE, sum_money
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class Measure:
     def reduced(self) -> Column:
         """The aggregate of the carried values."""
         if self.how == "money":
-            return F.sum(self.name).cast("double")
+            return sum_money(self.name)
         if self.how == "count":
             return F.count(self.name)
         return F.max(self.name)

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas
+from ..functions.money import amount_from_text
 from .quality import Rule, Split, all_hold, not_null, positive, split_by_rules
 
 VALID, BAD, REJECTED = "valid", "bad", "rejected"
@@ -121,20 +123,19 @@ MEMBER = Domain(
 DOMAINS = (CLAIMS, BILLING, POLICY, MEMBER)
 
 
-def _problem(events: DataFrame) -> str:
-    """SQL for why an event cannot enter any domain; null when it can."""
-    problems = [
-        f"WHEN {name} IS NULL THEN '{name}_missing'"
-        for name in ("event_id", "member_id", "payload")
-    ]
+def _problem(events: DataFrame) -> Column:
+    """Why an event cannot enter any domain; null when it can."""
+    problem = F.when(F.lit(False), F.lit(None).cast("string"))
     if schemas.MALFORMED in events.columns:
-        problems.insert(0, f"WHEN {schemas.MALFORMED} IS NOT NULL THEN 'malformed'")
-    return f"CASE {' '.join(problems)} END"
+        problem = problem.when(F.col(schemas.MALFORMED).isNotNull(), F.lit("malformed"))
+    for name in ("event_id", "member_id", "payload"):
+        problem = problem.when(F.col(name).isNull(), F.lit(f"{name}_missing"))
+    return problem
 
 
 def validate_events(events: DataFrame) -> DataFrame:
     """Events whose envelope is complete."""
-    return events.filter(f"{_problem(events)} IS NULL")
+    return events.filter(_problem(events).isNull())
 
 
 def route(events: DataFrame, domain: Domain, version: str) -> DataFrame:
@@ -142,61 +143,66 @@ def route(events: DataFrame, domain: Domain, version: str) -> DataFrame:
     return events.filter(_is(domain, version))
 
 
-def _is(domain: Domain, version: str) -> str:
-    return f"(event_category = '{domain.category}' AND schema_version = '{version}')"
+def _is(domain: Domain, version: str) -> Column:
+    return (F.col("event_category") == domain.category) & (F.col("schema_version") == version)
 
 
-def _routable(domain: Domain) -> str:
-    versions = ", ".join(f"'{version}'" for version in domain.shapes)
-    return f"(event_category = '{domain.category}' AND schema_version IN ({versions}))"
+def _routable(domain: Domain) -> Column:
+    return (F.col("event_category") == domain.category) & F.col("schema_version").isin(*domain.shapes)
 
 
-def _by_version(domain: Domain, name: str) -> str:
-    """SQL for an output column from whichever path its version uses."""
-    picks = [
-        f"WHEN {_is(domain, version)} THEN payload.{paths[name]}"
-        for version, paths in domain.shapes.items()
-        if name in paths
-    ]
-    value = f"CASE {' '.join(picks)} END" if picks else "CAST(NULL AS STRING)"
-    return f"try_cast({value} AS DOUBLE)" if name in domain.amounts else value
+def _field(path: str) -> Column:
+    """The value at a path of the payload; names between dots are taken as they are."""
+    return reduce(lambda value, name: value.getField(name), path.split("."), F.col("payload"))
 
 
-def _elements(domains: Sequence[Domain], accepted: str) -> str:
-    """SQL for the array an event yields rows from; one null element where its
-    version has none, so that such an event yields one row."""
-    one_null = "array(CAST(NULL AS STRING))"
-    arrays = [
-        f"WHEN {_is(domain, version)} THEN payload.{paths[domain.repeated].removesuffix('[]')}"
-        for domain in domains
-        for version, paths in domain.shapes.items()
-        if domain.repeated in paths
-    ]
-    return f"CASE WHEN NOT ({accepted}) THEN {one_null} {' '.join(arrays)} ELSE {one_null} END"
+def _by_version(domain: Domain, name: str) -> Column:
+    """An output column from whichever path its version uses."""
+    value = F.when(F.lit(False), F.lit(None).cast("string"))
+    for version, paths in domain.shapes.items():
+        if name in paths:
+            value = value.when(_is(domain, version), _field(paths[name]))
+    return amount_from_text(value) if name in domain.amounts else value
+
+
+def _elements(domains: Sequence[Domain], accepted: Column) -> Column:
+    """The array an event yields rows from; one null element where its version has
+    none, so that such an event yields one row."""
+    one_null = F.array(F.lit(None).cast("string"))
+    arrays = F.when(~accepted, one_null)
+    for domain in domains:
+        for version, paths in domain.shapes.items():
+            if domain.repeated in paths:
+                own = _field(paths[domain.repeated].removesuffix("[]"))
+                arrays = arrays.when(_is(domain, version), own)
+    return arrays.otherwise(one_null)
 
 
 def _flatten(
     events: DataFrame,
     domains: Sequence[Domain],
-    kept: Sequence[str],
-    accepted: str,
+    kept: Sequence[Column],
+    accepted: Column,
     keep_empty: bool,
 ) -> DataFrame:
     """Envelope, ``kept`` columns and the columns of the domains, a row per
     element."""
-    spread = "explode_outer" if keep_empty else "explode"
+    spread = F.explode_outer if keep_empty else F.explode
     single = [(d, name) for d in domains for name in d.columns if name != d.repeated]
     repeated = [d for d in domains if d.repeated]
-    rows = events.selectExpr(
+    rows = events.select(
         *ENVELOPE,
         "event_category",
         *kept,
-        *[f"{_by_version(d, name)} AS {name}" for d, name in single],
-        f"{spread}({_elements(domains, accepted)}) AS element",
+        *[_by_version(d, name).alias(name) for d, name in single],
+        spread(_elements(domains, accepted)).alias("element"),
     )
-    return rows.selectExpr(
+    return rows.select(
         *[name for name in rows.columns if name != "element"],
-        *[f"CASE WHEN event_category = '{d.category}' THEN element END AS {d.repeated}" for d in repeated],
+        *[
+            F.when(F.col("event_category") == d.category, F.col("element")).alias(d.repeated)
+            for d in repeated
+        ],
     )
 
 
@@ -215,15 +221,14 @@ def normalize_all(
     Meant to be written, laid out by outcome and domain. For one domain without a
     table between, :func:`normalize` gives the narrower plan.
     """
-    text = ", ".join(name for name in events.columns if name != schemas.MALFORMED)
-    raw = f"to_json(struct({text}))"
+    raw = F.to_json(F.struct(*[name for name in events.columns if name != schemas.MALFORMED]))
     if schemas.MALFORMED in events.columns:
-        raw = f"coalesce({schemas.MALFORMED}, {raw})"
-    routable = " OR ".join(_routable(d) for d in domains)
-    unknown = f"CASE WHEN ({routable}) IS NOT TRUE THEN 'unknown_category_or_version' END"
-    judged = events.selectExpr("*", f"coalesce({_problem(events)}, {unknown}) AS reject_reason")
-    accepted = "reject_reason IS NULL"
-    kept = ["reject_reason", f"CASE WHEN NOT ({accepted}) THEN {raw} END AS raw_event"]
+        raw = F.coalesce(schemas.MALFORMED, raw)
+    known = F.coalesce(reduce(lambda a, b: a | b, map(_routable, domains)), F.lit(False))
+    unknown = F.when(~known, F.lit("unknown_category_or_version"))
+    judged = events.withColumn("reject_reason", F.coalesce(_problem(events), unknown))
+    accepted = F.col("reject_reason").isNull()
+    kept = [F.col("reject_reason"), F.when(~accepted, raw).alias("raw_event")]
     rows = _flatten(judged, domains, kept, accepted, keep_empty)
     outcome = F.when(F.col("reject_reason").isNotNull(), F.lit(REJECTED))
     for d in domains:
@@ -235,14 +240,14 @@ def normalize_all(
         "reject_reason",
         "raw_event",
         outcome.alias("outcome"),
-        F.expr(f"CASE WHEN {accepted} THEN event_category ELSE 'NONE' END").alias("domain"),
+        F.when(accepted, F.col("event_category")).otherwise(F.lit("NONE")).alias("domain"),
     )
 
 
 def normalize(events: DataFrame, domain: Domain, keep_empty: bool = False) -> DataFrame:
     """Rows of one domain before quality rules, from its own events only."""
     own = validate_events(events).filter(_routable(domain))
-    rows = _flatten(own, [domain], [], "true", keep_empty)
+    rows = _flatten(own, [domain], [], F.lit(True), keep_empty)
     return rows.select(*domain.output)
 
 

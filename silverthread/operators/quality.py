@@ -51,8 +51,9 @@ def positive(column: str) -> Rule:
 
 
 def non_negative_money(column: str) -> Rule:
-    """Zero or more, and an amount that cents can hold (NaN is not)."""
-    return Rule(f"{column}_negative", (F.col(column) >= 0) & money(column).isNotNull())
+    """Zero or more, and an amount that exact cents can hold (NaN is not)."""
+    held = (F.col(column) >= 0) & money(column).isNotNull()
+    return Rule(f"{column}_negative_or_not_money", held)
 
 
 def interval_in_order(start: str, end: str) -> Rule:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -14,6 +15,10 @@ from ..schemas import MALFORMED
 from ..session import scratch_path
 from ..sinks import stage
 
+_KEYS = ["claim_id", "member_id"]
+#: Order of the adjustments of one claim.
+_NEWEST = ["adjustment_date", "adjustment_id"]
+
 
 def claim_rules(amounts: tuple[float, float] = K.CLAIM_AMOUNT_RANGE) -> list[quality.Rule]:
     """Quality rules of a claim, apart from its member being known."""
@@ -43,6 +48,14 @@ def check_claims(
     return quality.flag(known, rules).drop("has_member")
 
 
+def _adjustment_rules(adjustments: DataFrame) -> list[quality.Rule]:
+    """Quality rules of an adjustment, apart from its claim's date."""
+    return [
+        *quality.readable(adjustments),
+        quality.adds_up("original_claim_amount", "adjustment_amount", "adjusted_final_amount"),
+    ]
+
+
 def valid_adjustments(
     adjustments: DataFrame, valid_claims: DataFrame, one_date_per_claim: bool = False
 ) -> DataFrame:
@@ -60,11 +73,7 @@ def valid_adjustments(
             F.min("claim_date").alias("claim_date")
         )
     dated = joins.adjust_with_claim(adjustments, valid_claims)
-    rules = [
-        *quality.readable(adjustments),
-        quality.adds_up("original_claim_amount", "adjustment_amount", "adjusted_final_amount"),
-        quality.not_before("adjustment_date", "claim_date"),
-    ]
+    rules = [*_adjustment_rules(adjustments), quality.not_before("adjustment_date", "claim_date")]
     return dated.filter(quality.all_hold(rules)).drop("claim_date")
 
 
@@ -85,12 +94,14 @@ def claims_fact(
     keeps the newest adjustment of each claim and member.
     """
     if latest_only:
-        adjustments = latest_per_key(
-            adjustments, ["claim_id", "member_id"], ["adjustment_date", "adjustment_id"]
-        )
+        adjustments = latest_per_key(adjustments, _KEYS, _NEWEST)
     joined = joins.claims_with_adjustments(
         valid_claims.drop(MALFORMED), adjustments.drop(MALFORMED)
     )
+    return _finished(joined, processed_at)
+
+
+def _finished(joined: DataFrame, processed_at: dt.datetime) -> DataFrame:
     return joined.withColumns(
         {
             "final_claim_amount": settled_amount("claim_amount", "adjusted_final_amount"),
@@ -101,29 +112,131 @@ def claims_fact(
     )
 
 
+class Reconciled(NamedTuple):
+    """What becomes of valid claims and of all adjustments.
+
+    ``adjusted``: claims with a valid adjustment of theirs; ``unadjusted``: the other
+    claims; ``valid``: valid adjustments, as :func:`valid_adjustments` gives them;
+    ``rejected``, ``unused``: see :func:`rejected_adjustments` and
+    :func:`silverthread.operators.joins.unused_adjustments`. ``n_valid`` counts ``valid``.
+    """
+
+    adjusted: DataFrame
+    unadjusted: DataFrame
+    valid: DataFrame
+    rejected: DataFrame
+    unused: DataFrame
+    n_valid: int
+
+
+_FREE, _FAILED, _FITS, _SHARED = "free", "failed", "fits", "shared"
+
+
+def reconcile(
+    valid_claims: DataFrame,
+    adjustments: DataFrame,
+    scratch: str,
+    one_date_per_claim: bool = False,
+    latest_only: bool = False,
+) -> Reconciled:
+    """Claims and adjustments brought together by claim id, once.
+
+    Claims are reduced to one row per id before they meet the adjustments, so every
+    adjustment, read and shuffled once, comes out once with its verdict and the claim
+    of its id, in one table below ``scratch`` laid out by verdict. The results are
+    filters of that table: an adjustment that fits a claim of its own member is a row
+    of the fact as it stands. Ids that several valid claims share are left to plain
+    joins; these take part only if the table has such rows.
+    """
+    claims = valid_claims.drop(MALFORMED)
+    clash = [c for c in adjustments.columns if c in claims.columns and c not in _KEYS]
+    marked = adjustments.withColumnsRenamed({c: f"adjustment_{c}" for c in clash})
+    raw = dict(zip(marked.columns, adjustments.columns))
+    # Valid adjustments keep their own names, but for the claim's date.
+    names = {new: old for new, old in raw.items() if old != "claim_date"}
+    by_id = claims.groupBy("claim_id").agg(
+        F.count(F.lit(1)).alias("__claims"), F.max(F.struct(*claims.columns)).alias("__claim")
+    )
+    met = joins.hot_key_join(marked, by_id, "claim_id", "left")
+    in_time = quality.Rule("late", F.col("adjustment_date") >= F.col("__claim.claim_date"))
+    fits = quality.all_hold([*_adjustment_rules(marked), in_time])
+    verdict = (
+        F.when(F.col("__claims").isNull(), _FREE).when(F.col("__claims") > 1, _SHARED)
+        .when(fits, _FITS).otherwise(_FAILED)
+    )
+    judged, found = stage(
+        met.withColumn("__verdict", verdict).drop("__claims"), f"{scratch}/judged", ["__verdict"],
+        fits=F.count_if(F.col("__verdict") == _FITS), shared=F.count_if(F.col("__verdict") == _SHARED),
+    )
+    single = judged.where(F.col("__verdict") == _FITS)
+    own = F.col("member_id") == F.col("__claim.member_id")
+    valid = single.select(*marked.columns).withColumnsRenamed(names)
+    unused = single.where(~F.coalesce(own, F.lit(False))).select(*marked.columns).withColumnsRenamed(names)
+    direct = single.where(own)
+    if latest_only:
+        tie = [c for c in marked.columns if c not in (*_KEYS, *_NEWEST)]
+        direct = latest_per_key(direct, _KEYS, _NEWEST, tie)
+    rest = [c for c in marked.columns if c not in (*_KEYS, MALFORMED)]
+    adjusted = direct.select(*[F.col(f"__claim.{c}").alias(c) for c in claims.columns], *rest)
+    taken, rows = direct.select(*_KEYS), found["fits"]
+    if found["shared"]:
+        wanted = judged.where(F.col("__verdict") == _SHARED).select(*marked.columns)
+        of_ids = joins.require_parent(claims, wanted.select("claim_id"), "claim_id")
+        more = valid_adjustments(wanted.withColumnsRenamed(raw), of_ids, one_date_per_claim)
+        more, found = stage(more, f"{scratch}/shared", rows=F.count(F.lit(1)))
+        valid, rows = valid.unionByName(more), rows + found["rows"]
+        unused = unused.unionByName(joins.unused_adjustments(more, of_ids))
+        if latest_only:
+            more = latest_per_key(more, _KEYS, _NEWEST)
+        more = more.withColumnsRenamed({old: new for new, old in names.items()}).drop(MALFORMED)
+        adjusted = adjusted.unionByName(joins.hot_key_join(of_ids, more, _KEYS, "inner"))
+        taken = taken.unionByName(more.select(*_KEYS))
+    unadjusted = joins.hot_key_join(claims, taken.distinct(), _KEYS, "left_anti").select(*claims.columns)
+    failed = judged.where((F.col("__verdict") != _FITS) | F.col("adjustment_id").isNull())
+    failed = failed.select(*marked.columns).withColumnsRenamed(raw)
+    rejected = joins.without_match(failed, valid.select("adjustment_id"), "adjustment_id")
+    return Reconciled(adjusted, unadjusted, valid, rejected, unused, rows)
+
+
+def fact_of(found: Reconciled, processed_at: dt.datetime) -> DataFrame:
+    """The fact table of reconciled claims."""
+    rows = found.adjusted.unionByName(found.unadjusted, allowMissingColumns=True)
+    return _finished(rows, processed_at)
+
+
+class ClaimsBuild(NamedTuple):
+    fact: DataFrame
+    rejected_claims: DataFrame
+    rejected_adjustments: DataFrame
+
+
 def build_claims_fact(
     members: DataFrame,
     claims: DataFrame,
     adjustments: DataFrame,
     processed_at: dt.datetime,
     latest_only: bool = False,
-    staged: bool = True,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+    staged: bool = False,
+    one_date_per_claim: bool = False,
+) -> ClaimsBuild:
     """The fact table, rejected claims and rejected adjustments.
 
-    Checked claims and valid adjustments have several consumers each; they are
-    written once to the shared scratch folder, and stay there for the returned
-    frames to read, unless ``staged`` is off.
+    Checked claims and adjustments have several consumers each. ``staged`` writes them
+    once to the shared scratch folder, where they stay for the returned frames to read
+    until its owner clears it (see :func:`reconcile`, whose folder the caller chooses);
+    without it nothing is written and every result computes its own inputs.
     """
     checked, spark = check_claims(claims, members), claims.sparkSession
     if staged:
-        checked, _ = stage(checked, scratch_path(spark, "checked_claims"), ["is_valid"])
+        folder = scratch_path(spark, "claims")
+        checked, _ = stage(checked, f"{folder}/checked", ["is_valid"])
+        split = quality.split_on_flag(checked, distinct_rejects=False)
+        found = reconcile(split.valid, adjustments, folder, one_date_per_claim, latest_only)
+        return ClaimsBuild(fact_of(found, processed_at), split.rejected, found.rejected)
     split = quality.split_on_flag(checked, distinct_rejects=False)
-    valid = valid_adjustments(adjustments, split.valid)
-    if staged:
-        valid, _ = stage(valid, scratch_path(spark, "valid_adjustments"))
+    valid = valid_adjustments(adjustments, split.valid, one_date_per_claim)
     fact = claims_fact(split.valid, valid, processed_at, latest_only)
-    return fact, split.rejected, rejected_adjustments(adjustments, valid)
+    return ClaimsBuild(fact, split.rejected, rejected_adjustments(adjustments, valid))
 
 
 def revenue_rules(revenue: DataFrame) -> list[quality.Rule]:
@@ -132,8 +245,11 @@ def revenue_rules(revenue: DataFrame) -> list[quality.Rule]:
 
 def clean_revenue(revenue: DataFrame, processed_at: dt.datetime) -> DataFrame:
     """Revenue rows of zero or more."""
-    kept = revenue.filter(quality.all_hold(revenue_rules(revenue))).drop(MALFORMED)
-    return kept.withColumn("processing_timestamp", F.lit(processed_at))
+    return finished_revenue(revenue.filter(quality.all_hold(revenue_rules(revenue))), processed_at)
+
+
+def finished_revenue(valid: DataFrame, processed_at: dt.datetime) -> DataFrame:
+    return valid.drop(MALFORMED).withColumn("processing_timestamp", F.lit(processed_at))
 
 
 def rejected_revenue(revenue: DataFrame) -> DataFrame:

@@ -13,11 +13,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K, schemas, session
 from ..functions import privacy
-from ..operators import events as E, joins, quality
+from ..operators import events as E, quality
 from ..operators.aggregates import total
 from ..operators.latest import latest_per_key
 from ..sinks import (
@@ -29,6 +29,7 @@ from ..sinks import (
     write_table,
     write_together,
 )
+from ..sinks.generations import Manifests
 from ..sources import dated_partition, read_csv, read_events, read_table
 from . import claims as C, gold as G, members as M
 from .runlog import Run, logged_run
@@ -52,11 +53,19 @@ class Layout:
     def quarantine(self, table: str) -> str:
         return f"{self.base}/quarantine/{table}"
 
+    def generations(self, table: str) -> str:
+        """Manifests of a silver table that grows by generations."""
+        return f"{self.base}/metadata/{table}_generations"
+
     @property
     def run_log(self) -> str:
         return f"{self.base}/metadata/run_log"
 
 
+#: The events as a stream stores them; ``generation`` is the innermost directory.
+EVENT_GENERATIONS = T.StructType([*schemas.EVENT_ROWS.fields, T.StructField("generation", T.StringType())])
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 
@@ -125,6 +134,8 @@ def run_claims(
     latest_only: bool = False,
     report_unused: bool = False,
     rebalance: bool = True,
+    one_date_per_claim: bool = False,
+    shuffle_bytes: int | None = None,
 ) -> Run:
     """Raw claims, adjustments, revenue and violations to silver tables.
 
@@ -132,10 +143,12 @@ def run_claims(
     without it each task writes a file per year it meets.
 
     ``report_unused`` also counts valid adjustments that name another member than
-    their claim and so reach neither the fact table nor quarantine.
+    their claim and so reach neither the fact table nor quarantine. For
+    ``one_date_per_claim`` see :func:`silverthread.plans.claims.valid_adjustments`, for
+    ``shuffle_bytes`` :func:`silverthread.session.tune`.
     """
     with (
-        logged_run(session.tune(spark), "claims_fact", layout.run_log) as run,
+        logged_run(session.tune(spark, shuffle_bytes), "claims_fact", layout.run_log) as run,
         session.scratch_folder(spark) as scratch,
     ):
         moment = processed_at or run.start_time
@@ -153,14 +166,16 @@ def run_claims(
         run.counts.update(claims=found["valid"], claims_bad=found["bad"])
         split = quality.split_on_flag(checked, distinct_rejects=False)
         adjustments = raw("claims_adjustments", schemas.CLAIMS_ADJUSTMENTS)
-        valid, found = stage(
-            C.valid_adjustments(adjustments, split.valid), f"{scratch}/adjustments", rows=_rows()
-        )
-        run.counts["adjustments"] = found["rows"]
+        met = C.reconcile(split.valid, adjustments, scratch, one_date_per_claim, latest_only)
+        run.counts["adjustments"] = met.n_valid
 
         revenue = raw("revenue", schemas.REVENUE)
+        judged, _ = stage(
+            quality.flag(revenue, C.revenue_rules(revenue)), f"{scratch}/revenue", ["is_valid"]
+        )
+        paid = quality.split_on_flag(judged, distinct_rejects=False)
         violations = read_csv(spark, layout.raw("violations"), schemas.VIOLATIONS)
-        fact = C.claims_fact(split.valid, valid, moment, latest_only)
+        fact = C.fact_of(met, moment)
 
         def save(name: str, df: DataFrame, write: Callable[[DataFrame], None]) -> None:
             run.counts[name] = write_counted(df, write, rows=_rows())["rows"]
@@ -177,14 +192,12 @@ def run_claims(
             )
 
         if report_unused:
-            unused = joins.unused_adjustments(valid, split.valid)
-            run.counts["adjustments_unused"] = unused.count()
-        bad = C.rejected_adjustments(adjustments, valid)
+            run.counts["adjustments_unused"] = met.unused.count()
         write_together(
             fact_table,
-            table("adjustments_bad", bad, layout.quarantine("adjustments")),
-            table("revenue", C.clean_revenue(revenue, moment), layout.silver("revenue")),
-            table("revenue_bad", C.rejected_revenue(revenue), layout.quarantine("revenue")),
+            table("adjustments_bad", met.rejected, layout.quarantine("adjustments")),
+            table("revenue", C.finished_revenue(paid.valid, moment), layout.silver("revenue")),
+            table("revenue_bad", paid.rejected, layout.quarantine("revenue")),
             table("violations", C.clean_violations(violations, moment), layout.silver("violations")),
             lambda: write_table(split.rejected, layout.quarantine("claims")),
         )
@@ -194,14 +207,19 @@ def run_claims(
 
 
 def events_table(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The normalized events of all domains and outcomes."""
-    return read_table(spark, layout.silver("events"), schemas.EVENT_ROWS)
+    """The normalized events of all domains and outcomes: what :func:`run_events` has
+    written, or the committed generations of the stream."""
+    live = Manifests(spark, layout.generations("events")).newest()
+    if live is None:
+        return read_table(spark, layout.silver("events"), schemas.EVENT_ROWS)
+    stored = read_table(spark, layout.silver("events"), EVENT_GENERATIONS)
+    return stored.where(F.col("generation").isin([g.name for g in live])).drop("generation")
 
 
 def run_events(
     spark: SparkSession,
     layout: Layout,
-    domain_tables: bool = True,
+    domain_tables: bool = False,
     keep_empty: bool = False,
     mask_members: bool = False,
     multiline: bool = False,
@@ -210,13 +228,16 @@ def run_events(
     """Landed events to normalized domain tables and quarantine.
 
     The events are parsed once, into one table laid out by outcome and domain.
-    ``domain_tables`` also writes each domain as a table of its own, from the
-    pruned files of that table; turn it off where readers use
+    ``domain_tables`` also writes the valid rows of each domain as a table of its own,
+    a second time, for readers that cannot use
     :func:`silverthread.operators.events.valid_rows`. ``rebalance`` shuffles the
     parsed rows by outcome and domain before they are written; without it every
     task writes a file for each pair it meets, millions of them for a large feed.
+    Fails where :func:`silverthread.plans.stream.stream_events` has stored events.
     """
     with logged_run(session.tune(spark), "event_domains", layout.run_log) as run:
+        if Manifests(spark, layout.generations("events")).newest() is not None:
+            raise ValueError("the events of this lake come from a stream; see plans.stream")
         events = read_events(spark, layout.raw("events"), multiline=multiline)
         wide = E.normalize_all(events, keep_empty=keep_empty)
         if mask_members:
@@ -321,11 +342,12 @@ def run_all(
     layout: Layout,
     as_of: dt.date,
     processed_at: dt.datetime | None = None,
+    domain_tables: bool = False,
 ) -> list[Run]:
     """All four runs, in the order their tables depend on each other."""
     return [
         run_members(spark, layout, as_of, processed_at),
         run_claims(spark, layout, processed_at),
-        run_events(spark, layout),
+        run_events(spark, layout, domain_tables),
         run_gold(spark, layout, as_of, processed_at),
     ]

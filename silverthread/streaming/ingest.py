@@ -6,11 +6,15 @@ keep no state, so one append-mode query writes every domain and outcome.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import schemas
+from .. import schemas, session
 from ..operators.events import normalize_all
+from ..operators.latest import latest_per_key
+from ..sinks import rebalance_for_write, stage, write_counted, write_partitioned
+from ..sinks.generations import exists
+from .ids import IdIndex
 
 
 def events_stream(
@@ -53,41 +57,66 @@ def ingest_events(
     )
 
 
+def fresh_events(batch: DataFrame, index: IdIndex, number: int, scratch: str) -> DataFrame:
+    """Events of a batch whose ids no earlier batch has delivered, each id once: the
+    newest delivery of the batch, ties settled by the other fields. Events without an
+    id cannot be compared and all stay. Written below ``scratch`` and read back."""
+    known = F.col("event_id").isNotNull()
+    ids = batch.where(known).select(F.col("event_id").alias("id")).distinct()
+    seen = index.seen(ids, number, scratch).withColumnRenamed("id", "event_id")
+    left = batch.join(seen, "event_id", "left_anti").select(*batch.columns)
+    newest = latest_per_key(left.where(known), ["event_id"], ["event_timestamp"])
+    return stage(newest.unionByName(left.where(~known)), f"{scratch}/fresh")[0]
+
+
+def add_ids(fresh: DataFrame, index: IdIndex, number: int) -> None:
+    """Add the ids of a batch to the index and commit it there."""
+    ids = fresh.where(F.col("event_id").isNotNull()).select(F.col("event_id").alias("id"))
+    index.add(ids, number)
+
+
+def write_generation(wide: DataFrame, out: str, column: str, name: str | int, **counts: Column) -> dict[str, int]:
+    """Store normalized events by outcome, domain and a generation of their own, in few
+    files. A generation that is written again is replaced."""
+    keys = ["outcome", "domain", column]
+    rows = rebalance_for_write(wide.withColumn(column, F.lit(name)), *keys)
+    if not counts:
+        write_partitioned(rows, out, keys)
+        return {}
+    return write_counted(rows, lambda df: write_partitioned(df, out, keys), **counts)
+
+
 def ingest_once(
     events: DataFrame,
     out: str,
     checkpoint: str,
     keep_empty: bool = False,
+    ids: str | None = None,
 ) -> StreamingQuery:
     """Normalize what has landed, drop redelivered events, and stop.
 
     Of each ``event_id`` one event stays, however late the first or any later
-    delivery comes and whatever time it carries: ids are compared within a batch and
-    with those that earlier batches have stored. Each batch reads the id column of all
-    that is stored.
-    An event without an id cannot be compared and passes through. Each batch is
-    rebalanced, so it writes few files, into directories of its own; a batch that is
-    run again replaces them. Columns are those of :func:`ingest_events` and ``batch``.
+    delivery comes and whatever time it carries: within a batch the newest (see
+    :func:`fresh_events`), across batches the first that was stored. The ids of earlier
+    batches are kept in ``ids`` (by default ``out`` with ``_ids`` added), where a batch
+    reads only the buckets that may hold one of its own; see :mod:`.ids`. A table that
+    was stored without them has its ids added once.
+    Each batch is rebalanced, so it writes few files, into directories of its own; a
+    batch that is run again replaces them. Columns are those of :func:`ingest_events`
+    and ``batch``.
     """
+    ids = ids or f"{out.rstrip('/')}_ids"
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        known = F.col("event_id").isNotNull()
-        fresh = batch.where(known).dropDuplicates(["event_id"])
-        path = spark._jvm.org.apache.hadoop.fs.Path(out)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            stored = spark.read.parquet(out).where(F.col("batch") != number)
-            fresh = fresh.join(stored.select("event_id").distinct(), "event_id", "left_anti")
-        rows = fresh.select(*batch.columns).unionByName(batch.where(~known))
-        wide = normalize_all(rows, keep_empty=keep_empty).withColumn("batch", F.lit(number))
-        keys = ["outcome", "domain", "batch"]
-        (
-            wide.hint("rebalance", *keys)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(out)
-        )
+        index = IdIndex(spark, ids)
+        if index.manifests.before(number) is None and number and exists(spark, out):
+            stored = spark.read.parquet(out).where(F.col("batch") < number)
+            add_ids(stored.select("event_id").distinct(), index, number - 1)
+        with session.scratch_folder(spark) as scratch:
+            fresh = fresh_events(batch, index, number, scratch)
+            write_generation(normalize_all(fresh, keep_empty=keep_empty), out, "batch", number)
+            add_ids(fresh, index, number)
 
     return (
         events.writeStream.foreachBatch(write)

@@ -118,3 +118,48 @@ def test_revenue_and_violations(spark, rows):
         [("V1", "M1"), ("V1", "M1"), ("V2", "M1")], schemas.VIOLATIONS
     )
     assert rows(C.clean_violations(violations, NOW), "violation_id") == [("V1",), ("V2",)]
+
+
+def by_joins(spark, valid, given, latest_only=False, one_date=False):
+    """The same results by the plain joins."""
+    good = C.valid_adjustments(given, valid, one_date)
+    return {
+        "fact": C.claims_fact(valid, good, NOW, latest_only),
+        "valid": good,
+        "rejected": C.rejected_adjustments(given, good),
+        "unused": C.joins.unused_adjustments(good, valid),
+    }
+
+
+@pytest.mark.parametrize("shared", [False, True])
+@pytest.mark.parametrize("latest_only, one_date", [(False, False), (True, False), (False, True)])
+def test_reconcile_gives_what_the_joins_give(spark, tmp_path, rows, shared, latest_only, one_date):
+    import itertools
+
+    days = [D(2024, 1, 1), D(2024, 3, 1), D(2024, 6, 1)]
+    known = [(f"C{k}", f"M{k % 3}", days[k % 3], 10.0 + k) for k in range(8)]
+    if shared:
+        known += [("C1", "M2", days[0], 5.0), ("C1", "M1", days[2], 6.0), ("C2", "M2", days[0], 7.0)]
+    valid = claims(spark, *known).withColumn("note", C.F.lit("n"))
+    data = []
+    for n, (claim, member, total, day) in enumerate(
+        itertools.product(["C0", "C1", "C2", "C5", "C9", None], ["M0", "M1", "M2", None], [3.0, 4.0], days)
+    ):
+        data.append((None if n % 13 == 0 else f"A{n % 50}", claim, member, 1.0, 2.0, total, day))
+    given = adjustments(spark, *data, *data[:9]).withColumn("claim_date", C.F.lit(D(2020, 2, 2)))
+    given = given.withColumn("note", C.F.lit("a"))
+    met = C.reconcile(valid, given, str(tmp_path / "scratch"), one_date, latest_only)
+    wanted = by_joins(spark, valid, given, latest_only, one_date)
+    got = {"fact": C.fact_of(met, NOW), "valid": met.valid, "rejected": met.rejected, "unused": met.unused}
+    for name, df in wanted.items():
+        assert set(got[name].columns) == set(df.columns), name
+        assert rows(got[name], *df.columns) == rows(df), name
+    assert met.n_valid == wanted["valid"].count()
+
+
+def test_reconcile_of_nothing(spark, tmp_path):
+    some = claims(spark, ("C1", "M1", D(2024, 1, 1), 1.0))
+    met = C.reconcile(some, adjustments(spark), str(tmp_path / "a"))
+    assert C.fact_of(met, NOW).count() == 1 and met.n_valid == 0 and met.rejected.count() == 0
+    met = C.reconcile(claims(spark), adjustments(spark, ("a", "C1", "M1", 1.0, 1.0, 2.0, D(2024, 1, 1))), str(tmp_path / "b"))
+    assert C.fact_of(met, NOW).count() == 0 and met.rejected.count() == 1

@@ -112,3 +112,14 @@ def test_engagement_and_churn(spark):
 
 def test_schemas_have_a_place_for_unreadable_records():
     assert schemas.with_malformed(schemas.CLAIMS).names == [*schemas.CLAIMS.names, schemas.MALFORMED]
+
+
+def test_large_amounts_are_money(spark):
+    from silverthread.functions.money import money
+    from silverthread.operators import aggregates as A
+
+    df = spark.createDataFrame([(1, 1e17), (1, 2e20), (2, 1e27)], "k int, v double")
+    held = {r.v: r.m for r in df.select("v", money("v").isNotNull().alias("m")).collect()}
+    assert held == {1e17: True, 2e20: True, 1e27: False}
+    summed = A.aggregate_fact(df.where("k = 1"), "k", [A.Measure("s", "v", "money")]).first().s
+    assert summed == 1e17 + 2e20

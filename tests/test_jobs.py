@@ -60,7 +60,7 @@ def lake(spark, tmp_path_factory):
     documents += [event("POLICY", "v1", {})] * 2
     (landing / "e.json").write_text("\n".join(json.dumps(d) for d in documents))
     layout = jobs.Layout(str(base))
-    return layout, {r.job_name: r for r in jobs.run_all(spark, layout, AS_OF)}
+    return layout, {r.job_name: r for r in jobs.run_all(spark, layout, AS_OF, domain_tables=True)}
 
 
 def test_dimension_and_quarantine(spark, lake, rows):

@@ -66,3 +66,29 @@ def test_a_redelivery_with_another_time_comes_once(spark, tmp_path, rows):
             streaming.events_stream(spark, str(landing)), out, str(tmp_path / "progress")
         ).awaitTermination()
     assert rows(spark.read.parquet(out), "event_id", "event_timestamp") == [("E1", first["event_timestamp"])]
+
+
+def test_the_newest_of_two_differing_deliveries_of_a_batch_stays(spark, tmp_path, rows):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    first = event("POLICY", "v1")
+    later = {**first, "event_timestamp": "2031-05-06 07:08:09"}
+    timeless = {**first, "event_timestamp": None}
+    land(landing, "1.json", [timeless, later, first])
+    streaming.ingest_once(
+        streaming.events_stream(spark, str(landing)), out, str(tmp_path / "progress")
+    ).awaitTermination()
+    assert rows(spark.read.parquet(out), "event_timestamp") == [("2031-05-06 07:08:09",)]
+
+
+def test_a_table_stored_without_ids_has_them_added(spark, tmp_path, rows):
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+
+    def deliver(name, documents, ids):
+        land(landing, name, documents)
+        streaming.ingest_once(
+            streaming.events_stream(spark, str(landing)), out, str(tmp_path / "progress"), ids=ids
+        ).awaitTermination()
+
+    deliver("1.json", [event("POLICY", "v1")], str(tmp_path / "a"))
+    deliver("2.json", [event("POLICY", "v1"), event("POLICY", "v1", event_id="E2")], str(tmp_path / "b"))
+    assert rows(spark.read.parquet(out), "event_id") == [("E1",), ("E2",)]
