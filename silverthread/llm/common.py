@@ -57,8 +57,11 @@ def content_id(*columns: Column) -> Column:
 
 def in_slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows whose strings or binaries in ``column`` come to about
-    ``most`` bytes; a longer one is a run of its own. Nothing is copied."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ``most`` bytes; a longer one is a run of its own. Nothing is copied. A column of
+    numbers is taken for the sizes themselves."""
+    sizes = batch.column(column)
+    if not pa.types.is_integer(sizes.type):
+        sizes = pc.fill_null(pc.binary_length(sizes), 0)
     ends = np.cumsum(sizes.to_numpy().astype(np.int64) + 1)
     begin = 0
     while begin < batch.num_rows:

@@ -23,7 +23,7 @@ from pyspark.sql.types import StructField, StructType
 
 from silverthread.operators.joins import hot_key_join
 
-from .common import SLICE_BYTES, content_id, in_slices, stage
+from .common import content_id, in_slices, stage
 
 BITS = 128
 #: Bits in which near fingerprints differ at most, and blocks that they agree in at least.
@@ -171,7 +171,7 @@ def _comparable(key: tuple) -> tuple:
 def _with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Lists of (doc_id, text, text of the document that follows)."""
     held = None
-    for batch in (part for whole in batches for part in in_slices(whole, 5, SLICE_BYTES // 4)):
+    for batch in (part for whole in batches for part in in_slices(whole, 4)):
         out = []
         ids, buckets, guests = (batch.column(k).to_pylist() for k in (0, 2, 3))
         for i, size in enumerate(batch.column(4).to_pylist()):
