@@ -1,10 +1,10 @@
 """Near-duplicates: ProbMinHash signatures, banding, verification, components.
 
-Texts with the same words are one node. A node's signature comes from the arrivals
-of one Poisson process per five-word shingle, all of one rate, so that registers agree
-with the chance that is the similarity by which links are defined. Nodes that share a band are linked to
-its most central one if their shingles agree, linked nodes form components, and bands
-that still hold several components are compared across these.
+Texts with the same words are one node. Its five-word shingles weigh by their letters
+and send points at the times of Poisson processes of these rates, so that the registers of two nodes agree with the chance that is their probability Jaccard
+similarity, the measure by which links are defined. Nodes that share a band are linked
+to its most central one if they are as similar as asked, linked nodes form components,
+and bands that still hold several components are compared across these.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BinaryType, DoubleType
 
-from .common import content_id, stage
+from .common import content_id, in_slices, stage
 
 WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -33,8 +32,10 @@ REGISTERS = BANDS * ROWS
 MAX_MISS = 1e-7
 #: The nodes of a band are dealt to so many tasks when they meet its central node.
 SALTS = 8
-#: Shingles whose arrivals are drawn at a time.
-SHINGLES_AT_ONCE = 4_000_000
+#: Shingles whose arrivals are drawn at a time, and shingles of the nodes of a band that
+#: are compared with each other at a time.
+SHINGLES_AT_ONCE = 1_000_000
+TILE_SHINGLES = 1_000_000
 
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -90,6 +91,44 @@ def shingles(text_words: list[str]) -> np.ndarray:
     return _mix(total + np.uint64(run))
 
 
+def weighted_shingles(text_words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles, ascending, and their weights: the letters of their words. So a
+    similarity is a share of the text, and a line counts once however often it stands."""
+    n = len(text_words)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    letters = np.cumsum([0, *map(len, text_words)])
+    run = min(WORDS, n)
+    found, first = np.unique(shingles(text_words), return_index=True)
+    return found, (letters[run:] - letters[:-run])[first].astype(float)
+
+
+def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
+    """The chance that two weighted sets agree in a register of :func:`signatures`: the
+    sum over common elements d of 1 / sum over all e of max(wa[e] / wa[d], wb[e] / wb[d]).
+    Plain Jaccard where all weights are equal. Elements are distinct and ascending.
+
+    In order of wa / wb, the elements from d on count by wa, those before it by wb.
+    """
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    common, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if not len(common):
+        return 0.0
+    x, y = wa[ia], wb[ib]
+    ratio = x / y
+    order = np.argsort(ratio, kind="stable")
+    x, y, ratio = x[order], y[order], ratio[order]
+    first = np.searchsorted(ratio, ratio)  # equal ratios count alike
+    from_here = (wa.sum() - x.sum()) + np.append(np.cumsum(x[::-1])[::-1], 0.0)[first]
+    before = (wb.sum() - y.sum()) + np.append(0.0, np.cumsum(y))[first]
+    return float((1 / (from_here / x + before / y)).sum())
+
+
+#: Sums of many quotients may fall short of the similarity they make by so much.
+_ROUNDING = 1e-9
+
+
 def signatures(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
     """ProbMinHash registers of each owner's weighted elements.
 
@@ -143,10 +182,10 @@ def _describe(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndar
     for i, text in enumerate(texts):
         text_words = words(text)
         digests.append(xxhash.xxh3_128_digest("\x1f".join(text_words)))
-        found = np.unique(shingles(text_words))
+        found, weight = weighted_shingles(text_words)
         sizes[i] = len(found)
         elements.append(found)
-        weights.append(np.ones(len(found)))
+        weights.append(weight)
         owners.append(np.full(len(found), i - begun, np.int64))
         waiting += len(found)
         if waiting >= SHINGLES_AT_ONCE:
@@ -166,8 +205,7 @@ def sketch(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for batch in in_slices(whole, 2):
                 digests, sizes, kept = _describe(batch.column(2).to_pylist())
                 n = len(digests)
                 with np.errstate(over="ignore"):
@@ -192,22 +230,14 @@ def sketch(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     )
 
 
-@lru_cache(maxsize=64)
-def _shingle_set(text: str) -> np.ndarray:
-    return np.unique(shingles(words(text)))
-
-
 def similarity(a: Column, b: Column) -> Column:
-    """Jaccard similarity of the five-word shingles of two texts, exactly."""
+    """Probability Jaccard similarity of the weighted shingles of two texts, exactly."""
 
-    @F.pandas_udf(DoubleType())
-    def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(left, right):
-            s, t = _shingle_set(x or ""), _shingle_set(y or "")
-            common = len(np.intersect1d(s, t, assume_unique=True))
-            out.append(common / max(len(s) + len(t) - common, 1))
-        return pd.Series(out, dtype=float)
+    @F.arrow_udf(DoubleType())
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        known = lru_cache(maxsize=64)(lambda text: weighted_shingles(words(text)))
+        pairs = zip(left, right)
+        return pa.array([probability_jaccard(*known(x.as_py() or ""), *known(y.as_py() or "")) for x, y in pairs], pa.float64())
 
     return run(a, b)
 
@@ -228,22 +258,28 @@ def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, doc_
     return texts.join(needed, same).select("node", "text").dropDuplicates(["node"])
 
 
-def _shingle_array(text: Column) -> Column:
-    @F.pandas_udf("array<bigint>")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [np.unique(shingles(words(t))).view(np.int64) for t in texts], dtype=object
-        )
+def _packed_shingles(text: Column) -> Column:
+    """Shingles and weights of a text as one binary; see :func:`_unpacked`."""
+
+    @F.arrow_udf(BinaryType())
+    def run(texts: pa.Array) -> pa.Array:
+        made = (weighted_shingles(words(t.as_py())) for t in texts)
+        return pa.array([h.tobytes() + w.tobytes() for h, w in made], pa.binary())
 
     return run(text)
 
 
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(data) // 2
+    return np.frombuffer(data, np.uint64, half // 8), np.frombuffer(data, np.float64, half // 8, half)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) of at least that similarity."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"
     )
-    return both.where(similarity(F.col("ta"), F.col("tb")) >= least).select("a", "b")
+    return both.where(similarity(F.col("ta"), F.col("tb")) >= least - _ROUNDING).select("a", "b")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
@@ -254,6 +290,106 @@ def _likely(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     return joined.where(F.expr(_EQUAL.format("sa", "sb")) >= least).select("a", "b")
 
 
+class _Tile:
+    """Nodes of one band, or of two parts of one, that are compared across roots."""
+
+    def __init__(self, rows: list[dict], least: float, equal: int) -> None:
+        self.rows, self.least, self.equal = rows, least, equal
+        self.signs = np.array([r["sig"] for r in rows], np.int32)
+        self.bands = np.array([r["bands"] for r in rows], np.int64)
+        names = {root: k for k, root in enumerate(dict.fromkeys(r["root"] for r in rows))}
+        self.root = np.array([names[r["root"]] for r in rows])
+        self.parent = list(range(len(names)))
+        self.shingles: list = [None] * len(rows)
+
+    def _find(self, root: int) -> int:
+        while self.parent[root] != root:
+            self.parent[root] = self.parent[self.parent[root]]
+            root = self.parent[root]
+        return root
+
+    def _of(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.shingles[row] is None:
+            self.shingles[row] = _unpacked(self.rows[row]["sh"])
+        return self.shingles[row]
+
+    def links(self, band: int, lo: int, hi: int) -> Iterator[tuple[bytes, bytes]]:
+        """Links across roots that are not yet connected by others of this tile.
+
+        A pair is compared in the first band that holds both, if it has enough equal
+        registers; the shingles are compared in full.
+        """
+        own = np.array([r["own"] for r in self.rows])
+        left = np.flatnonzero(own == lo)
+        right = left if lo == hi else np.flatnonzero(own == hi)
+        place = (self.bands == band).argmax(1)
+        for a in left.tolist():
+            others = right[right > a] if lo == hi else right
+            others = others[self.root[others] != self.root[a]]
+            if not len(others):
+                continue
+            alike = (self.signs[others] == self.signs[a]).sum(1) >= self.equal
+            others = others[alike]
+            before = np.arange(BANDS) < place[a]
+            met = ((self.bands[others] == self.bands[a]) & before).any(1)
+            for b in others[~met].tolist():
+                x, y = self._find(self.root[a]), self._find(self.root[b])
+                if x != y and probability_jaccard(*self._of(a), *self._of(b)) >= self.least - _ROUNDING:
+                    self.parent[x] = y
+                    yield self.rows[a]["node"], self.rows[b]["node"]
+
+
+def _residual(members: DataFrame, held: DataFrame, least: float, equal: int) -> DataFrame:
+    """Links (a, b) between nodes of one band and different roots.
+
+    ``members`` has band, node and root, ``held`` the registers, bands and shingles of
+    each node. A band with many shingles is cut into parts, and every two parts are a
+    work item of bounded size. What comes out are links alone, at most one less than
+    there are roots in a work item.
+    """
+    rows = members.join(held, "node")
+    parts = (
+        members.join(held.select("node", "size"), "node").groupBy("band")
+        .agg(F.ceil(F.sum(F.col("size") + 1) / TILE_SHINGLES).cast("int").alias("parts"))
+    )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    work = (
+        rows.withColumn("salt", salt)
+        .join(parts.select("band", "parts", salts), ["band", "salt"])
+        .withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+            "own", "node", "root", "sig", "bands", "sh",
+        )
+        .repartition("band", "lo", "hi")
+        .sortWithinPartitions("band", "lo", "hi", "node")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item, rows = None, []
+
+        def finished() -> pa.RecordBatch:
+            found = list(_Tile(rows, least, equal).links(*item)) if len(rows) > 1 else []
+            ends = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+        for batch in batches:
+            for part in in_slices(batch, 8):
+                for row in part.to_pylist():
+                    key = row["band"], row["lo"], row["hi"]
+                    if key != item:
+                        if item is not None:
+                            yield finished()
+                        item, rows = key, []
+                    rows.append(row)
+        if item is not None:
+            yield finished()
+
+    return work.mapInArrow(run, "a binary, b binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that is linked with each node of ``edges``
     (a, b), by repeated minima over neighbours and jumps from root to root. Each step
@@ -289,13 +425,13 @@ def classes(
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id``, ``row`` (see :func:`sketch`).
 
-    Two texts are linked if the Jaccard similarity of their sets of five-word shingles
-    (words in lower case, without punctuation; fewer words are one shingle) is at
-    least ``min_similarity``; a class is what links connect, and its id the smallest
+    Two texts are linked if the probability Jaccard similarity of their five-word
+    shingles (words in lower case, without punctuation; fewer words are one shingle),
+    weighted by their letters, is at least ``min_similarity``: the letters of the
+    shingles that both have, as a share of those that either has; a class is what links connect, and its id the smallest
     document id in it. Texts of equal words are one class whatever their length;
     those without words (null, empty, punctuation) are one class of their own.
-    A shingle counts once however often it stands, in the signatures too. A pair at 0.8
-    shares no band with chance 7e-5; at a lower ``min_similarity`` s that is
+    A pair at 0.8 shares no band with chance 7e-5; at a lower ``min_similarity`` s that is
     (1 - s^5)^24.
     """
     equal = least_equal(min_similarity)
@@ -345,29 +481,10 @@ def classes(
     members = stage(placed.join(mixed, "band"), "near_mixed")
     if not members.isEmpty():
         held = _texts(members.select("node").distinct(), nodes, docs, text, doc_id).select(
-            "node", _shingle_array(F.col("text")).alias("sh")
+            "node", _packed_shingles(F.col("text")).alias("sh")
         )
         held = stage(held.join(nodes.select("node", "size", "sig", "bands"), "node"), "near_shingles")
-        left, right = (
-            members.join(held, "node").select(
-                "band", *[F.col(c).alias(c + side) for c in ("node", "root", "size", "sig", "sh", "bands")]
-            )
-            for side in ("_a", "_b")
-        )
-        # A pair that meets in several bands is compared in the first of them.
-        place = F.array_position("bands_a", F.col("band")).cast("int")
-        left = left.withColumn("earlier", F.slice("bands_a", F.lit(1), place - 1)).drop("bands_a")
-        common = F.size(F.array_intersect("sh_a", "sh_b"))
-        fits = (
-            (F.col("root_a") < F.col("root_b"))
-            & (F.least("size_a", "size_b") >= min_similarity * F.greatest("size_a", "size_b"))
-            & ~F.arrays_overlap("earlier", "bands_b")
-            & (F.expr(_EQUAL.format("sig_a", "sig_b")) >= equal)
-            & (common >= min_similarity * (F.col("size_a") + F.col("size_b") - common))
-        )
-        found = left.join(right, "band").where(fits).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b")
-        )
+        found = _residual(members, held, min_similarity, equal)
         found = stage(found.distinct(), "near_edges")
         if not found.isEmpty():
             rooted = components(edges.unionAll(found))
