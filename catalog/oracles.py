@@ -255,7 +255,7 @@ _CTES: dict[str, str] = {
         FULL JOIN sum_ev_billing USING (member_id)
         FULL JOIN sum_ev_policy USING (member_id)
         FULL JOIN sum_ev_member USING (member_id)""",
-    "gold": f"""
+    "scored": f"""
         WITH filled AS (
             SELECT d.*, coalesce(lifetime_claim_amount, 0) AS amount,
                    coalesce(lifetime_revenue, 0) AS revenue,
@@ -265,9 +265,8 @@ _CTES: dict[str, str] = {
                    coalesce(streaming_payment_events, 0) AS payment_events,
                    coalesce(policy_change_count, 0) AS policy_events,
                    coalesce(member_update_count, 0) AS member_events
-            FROM dimension d LEFT JOIN activity USING (member_id)
-            WHERE active_flag = 'Active')
-        SELECT member_id, member_key, age_band, state,
+            FROM dimension d LEFT JOIN activity USING (member_id))
+        SELECT policy_id, migration_flag, active_flag, member_id, member_key, age_band, state,
                CAST(date_diff('day', enrollment_date, {_AS_OF}) AS INTEGER) AS tenure_days,
                amount AS lifetime_claim_amount, revenue AS lifetime_revenue,
                claims AS total_claim_count, violations AS violation_count,
@@ -281,6 +280,8 @@ _CTES: dict[str, str] = {
                     THEN 'HIGH_CHURN_RISK' ELSE 'STABLE' END AS churn_flag,
                {_NOW} AS processing_timestamp
         FROM filled""",
+    "gold": """
+        SELECT * EXCLUDE (policy_id, migration_flag, active_flag) FROM scored WHERE active_flag = 'Active'""",
 }
 
 _DAYS = {
@@ -326,6 +327,11 @@ _BODIES: dict[str, str] = {
                c_mktsegment AS segment, c_acctbal AS balance,
                CASE WHEN c_custkey % 2 = 1 THEN CAST(c_nationkey AS VARCHAR) END AS nation
         FROM customer""",
+    "csv_mixed_folder": """
+        SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name AS name,
+               CASE WHEN c_custkey % 3 <> 2 THEN c_acctbal END AS balance,
+               CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment END AS segment
+        FROM customer""",
     "csv_malformed": """
         SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, o_orderkey || ',n/a' AS line
         FROM orders WHERE o_orderkey % 9 = 0""",
@@ -424,6 +430,7 @@ _BODIES: dict[str, str] = {
         FROM feed WHERE event_category = 'CLAIMS' AND schema_version = 'v1'""",
     "settled_amounts": "SELECT claim_id, adjustment_id, final_claim_amount FROM fact",
     "member_latest": f"""SELECT {_text_days("historical")} FROM newest""",
+    "member_latest_incremental": f"""SELECT {_text_days("historical")} FROM newest""",
     "latest_order": """
         SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
@@ -476,6 +483,7 @@ _BODIES: dict[str, str] = {
     "agg_member_events": """
         SELECT member_id, count(event_id) AS member_update_count FROM good_member GROUP BY member_id""",
     "agg_all_facts": "SELECT * FROM activity",
+    "agg_incremental": "SELECT * FROM activity",
     "agg_domain_tables": """
         SELECT member_id, lifetime_claim_amount, total_claim_count, lifetime_revenue, violation_count,
                coalesce(c.n, 0) AS streaming_claim_events, coalesce(b.n, 0) AS streaming_payment_events,
@@ -507,6 +515,32 @@ _BODIES: dict[str, str] = {
         FROM feed
         WHERE event_id IS NULL OR member_id IS NULL OR NOT has_payload
            OR event_category = 'OTHER' OR schema_version = 'v3'""",
+    "event_unknown_paths": """
+        SELECT * FROM (WITH changed AS (
+            SELECT event_category, schema_version, n_event,
+                   CASE WHEN event_id IS NULL OR NOT has_payload OR NOT filled THEN '' ELSE right(event_id, 1) END AS last,
+                   filled, has_payload
+            FROM (SELECT *, event_category <> 'OTHER' AND (
+                      event_category <> 'POLICY' OR n_event % 2 = 0 OR k % 7 <> 0) AS filled FROM feed)),
+        added AS (
+            SELECT event_category, schema_version, unnest(CASE
+                WHEN last IN ('3', '4') THEN [{'p': 'channel', 't': 'object'}, {'p': 'channel.kind', 't': 'string'},
+                    {'p': 'channel.tags', 't': 'array'}, {'p': 'channel.tags[]', 't': 'string'},
+                    {'p': 'channel.tags[]', 't': 'string'}]
+                WHEN last = '5' THEN [{'p': 'score', 't': 'bigint'}] END) AS x FROM changed),
+        unread AS (
+            SELECT event_category, schema_version, unnest(CASE event_category
+                WHEN 'CLAIMS' THEN list_filter([CASE WHEN k % 11 <> 0 THEN 'claim_id' END, 'claim_amount',
+                    CASE WHEN k % 13 <> 0 THEN 'provider_id' END], lambda x: x IS NOT NULL)
+                WHEN 'BILLING' THEN ['payment_amount']
+                WHEN 'POLICY' THEN list_filter([CASE WHEN k % 7 <> 0 THEN 'policy_id' END], lambda x: x IS NOT NULL)
+                WHEN 'MEMBER' THEN list_filter([CASE WHEN k % 17 <> 0 THEN 'first_name' END,
+                    CASE WHEN k % 19 <> 0 THEN 'last_name' END, 'email', 'city'], lambda x: x IS NOT NULL) END) AS p
+            FROM feed WHERE has_payload AND schema_version = 'v3')
+        SELECT event_category, schema_version, x.p AS path, x.t AS kind, count(*) AS occurrences
+        FROM added WHERE x IS NOT NULL GROUP BY ALL
+        UNION ALL
+        SELECT event_category, schema_version, p, 'string', count(*) FROM unread GROUP BY ALL)""",
     "events_routed": """
         SELECT event_id, member_id, 'city' || k AS city FROM routed
         WHERE event_category = 'MEMBER' AND schema_version = 'v2'""",
@@ -551,6 +585,33 @@ _BODIES: dict[str, str] = {
     "member_360": "SELECT * FROM gold",
     "member_360_from_files": "SELECT *, '2001-08-01' AS run_date FROM gold",
     "member_360_from_stream": "SELECT *, '2001-08-01' AS run_date FROM gold",
+    "gold_backfill": f"""
+        SELECT * FROM (WITH of_date AS (
+            SELECT DATE '1998-01-01' AS run_date, DATE '1998-01-01' AS valid
+            UNION ALL SELECT DATE '2000-05-05', DATE '1998-01-01'
+            UNION ALL SELECT {_AS_OF}, {_AS_OF}),
+        known AS (
+            SELECT d.* EXCLUDE (age_band, active_flag, processing_date), run_date,
+                   CASE WHEN year(valid) - birth_year BETWEEN 18 AND 24 THEN '18-24'
+                        WHEN year(valid) - birth_year BETWEEN 25 AND 34 THEN '25-34'
+                        WHEN year(valid) - birth_year BETWEEN 35 AND 44 THEN '35-44'
+                        WHEN year(valid) - birth_year BETWEEN 45 AND 54 THEN '45-54'
+                        ELSE '55+' END AS age_band
+            FROM dimension d JOIN newest USING (legacy_member_id), of_date
+            WHERE d.coverage_end_date IS NULL OR d.coverage_end_date > valid)
+        SELECT g.member_id, g.member_key, k.age_band, g.state,
+               CAST(date_diff('day', k.enrollment_date, run_date) AS INTEGER) AS tenure_days,
+               g.* EXCLUDE (policy_id, migration_flag, active_flag, member_id, member_key, age_band, state, tenure_days), CAST(run_date AS VARCHAR) AS run_date
+        FROM known k JOIN scored g ON g.policy_id = k.policy_id AND g.migration_flag = k.migration_flag)""",
+    "run_balance": """
+        SELECT 'member_dimension' AS job_name, 'history read' AS equation,
+               (SELECT count(*) FROM historical) AS left_rows, (SELECT count(*) FROM historical) AS right_rows
+        UNION ALL SELECT 'claims_fact', 'adjustments met', (SELECT count(*) FROM adjustments), (SELECT count(*) FROM adjustments)
+        UNION ALL SELECT 'claims_fact', 'revenue split', (SELECT count(*) FROM revenue), (SELECT count(*) FROM revenue)
+        UNION ALL SELECT 'claims_fact', 'adjustments used', (SELECT count(*) FROM adjustments_good), (SELECT count(*) FROM adjustments_good)""",
+    "snapshot_clustered": """
+        SELECT * EXCLUDE (c_mktsegment), c_mktsegment AS state, '2001-08-01' AS run_date
+        FROM customer WHERE c_custkey BETWEEN 100 AND 220""",
     "run_log_of_all_runs": """
         SELECT 'member_dimension' AS job_name, (SELECT count(*) FROM history_valid) AS records_processed,
                (SELECT count(*) FROM history) - (SELECT count(*) FROM history_valid) AS records_failed,

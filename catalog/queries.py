@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from silverthread import constants as K, schemas, session, sinks, sources, streaming
 from silverthread.functions import member, money, privacy, scoring
-from silverthread.operators import aggregates as A, events as E, joins, latest, quality
-from silverthread.plans import claims as C, gold as G, jobs, members as M, runlog, stream
+from silverthread.operators import aggregates as A, drift, events as E, joins, latest, quality
+from silverthread.plans import claims as C, gold as G, incremental, jobs, members as M, runlog, stream
 
 from . import inputs as I
 from .inputs import AS_OF, PROCESSED_AT, table
@@ -149,6 +149,21 @@ def csv_header_order(spark, sf_dir):
     return sources.read_csv(spark, paths, schema, optional=["name"])
 
 
+@query
+def csv_mixed_folder(spark, sf_dir):
+    """One folder with files of three headers, and a file without rows."""
+    path = session.scratch_path(spark, "csv")
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_name AS name", "c_acctbal AS balance", "c_mktsegment AS segment"
+    )
+    landed = [["c_custkey", "name", "balance"], ["balance", "c_custkey", "name", "segment"], ["NAME", "c_custkey"]]
+    for number, names in enumerate(landed):
+        part = rows.where(F.col("c_custkey") % 3 == number).select(*names)
+        part.write.mode("append").option("header", True).csv(path)
+    schema = schemas.struct(c_custkey="bigint", name="string", balance="double")
+    return sources.read_csv(spark, path, schema, optional=["balance"], mixed_headers=True)
+
+
 @query
 def csv_malformed(spark, sf_dir):
     """Records that do not fit the schema are rejected, not read as nulls."""
@@ -445,6 +460,25 @@ def member_latest(spark, sf_dir):
     return M.latest_members(valid)
 
 
+@query
+def member_latest_incremental(spark, sf_dir):
+    """The newest valid record per member, merged day by day, with late and corrected rows.
+
+    The second half of the days comes first, then the first half, late; then records
+    that correct those of the second day, and then the second day as it was.
+    """
+    valid = quality.split_by_rules(I.historical(spark, sf_dir), M.member_rules()).valid
+    late = F.dayofmonth("effective_date") <= 15
+    kept = incremental.NewestRows(
+        spark, session.scratch_path(spark, "newest"), valid.schema, ["legacy_member_id"],
+        ["effective_date", "record_updated_ts"], buckets=8,
+    )
+    wrong = valid.where(late).withColumn("record_updated_ts", F.lit(None).cast("date"))
+    for day, rows in enumerate((valid.where(~late), wrong, valid.where(late & F.col("record_updated_ts").isNotNull()), valid.where(late))):
+        kept.merge(rows, day)
+    return kept.read()
+
+
 @query
 def latest_order(spark, sf_dir):
     """Newest order per customer, ties settled by the order key."""
@@ -596,6 +630,24 @@ def agg_all_facts(spark, sf_dir):
     return A.fill_zero(G.member_activity(_facts(spark, sf_dir)), K.ZERO_FILLED)
 
 
+@query
+def agg_incremental(spark, sf_dir):
+    """All measures of all facts, loaded on three days of which one is replaced."""
+    facts = _facts(spark, sf_dir)
+    given = G.activity_facts(facts)
+    sums = incremental.PartialSums(
+        spark, session.scratch_path(spark, "partials"), "member_id", "string",
+        [m for _, measures in given for m in measures],
+    )
+    share = F.pmod(F.xxhash64("member_id"), F.lit(3))
+    day = lambda n: [(df.where(F.coalesce(share, F.lit(0)) == n), m) for df, m in given]
+    sums.load(day(0) + day(1), "2001-07-30")
+    sums.load(day(1), "2001-07-31")
+    sums.load(day(0), "2001-07-30")
+    sums.load(day(2), "2001-08-01")
+    return A.fill_zero(sums.read(), K.ZERO_FILLED)
+
+
 @query
 def agg_domain_tables(spark, sf_dir):
     """All measures, from one table per event domain, each event counted once."""
@@ -649,6 +701,19 @@ def events_rejected(spark, sf_dir):
     )
 
 
+@query
+def event_unknown_paths(spark, sf_dir):
+    """Payload fields that no domain reads, in a feed to which producers have added some."""
+    doc, event = F.col("doc"), F.get_json_object("doc", "$.event_id")
+    added = F.when(F.substring(event, -1, 1).isin("3", "4"), F.lit('"payload":{"channel":{"kind":"web","tags":["a","b"]},')).otherwise(
+        F.when(F.substring(event, -1, 1) == "5", F.lit('"payload":{"score":7,')).otherwise(F.lit('"payload":{'))
+    )
+    empty = doc.contains('"payload":{}')
+    changed = F.when(empty, doc).otherwise(F.replace(doc, F.lit('"payload":{'), added))
+    feed = I.envelopes(spark, sf_dir).select(changed.alias("doc"))
+    return drift.unknown_paths(feed, session.scratch_path(spark, "paths"))
+
+
 @query
 def events_routed(spark, sf_dir):
     """Events of one category and version."""
@@ -825,6 +890,36 @@ def member_360_from_stream(spark, sf_dir):
     return _gold_columns(sources.read_table(spark, layout.gold("member_360")))
 
 
+@query
+def gold_backfill(spark, sf_dir):
+    """The gold table of three dates from two versions of the dimension, by one plan."""
+    older = M.build_member_dimension(
+        I.historical(spark, sf_dir), I.migrated(spark, sf_dir), dt.date(1998, 1, 1), PROCESSED_AT
+    ).valid
+    versions = older.unionByName(_dimension(spark, sf_dir))
+    days = [dt.date(1990, 1, 1), dt.date(1998, 1, 1), dt.date(2000, 5, 5), AS_OF]
+    return _gold_columns(G.backfill_member_360(versions, _facts(spark, sf_dir), days, PROCESSED_AT))
+
+
+@query
+def run_balance(spark, sf_dir):
+    """What the member and claims runs compare: rows read against rows that came out."""
+    layout = jobs.Layout(session.scratch_path(spark, "lake"))
+    land_raw(spark, sf_dir, layout, events=False)
+    jobs.run_members(spark, layout, AS_OF, PROCESSED_AT)
+    jobs.run_claims(spark, layout, PROCESSED_AT)
+    return sources.read_table(spark, layout.run_balance).drop("run_id")
+
+
+@query
+def snapshot_clustered(spark, sf_dir):
+    """A snapshot whose rows lie in ranges of the key, looked up by a few of its keys."""
+    path = session.scratch_path(spark, "snapshot")
+    rows = table(spark, sf_dir, "customer").withColumnRenamed("c_mktsegment", "state")
+    sinks.write_snapshot(sinks.cluster_for_write(rows, "c_custkey", ["state"], 20), path, AS_OF, ["state"])
+    return sources.read_table(spark, path).where(F.col("c_custkey").between(100, 220))
+
+
 @query
 def run_log_of_all_runs(spark, sf_dir):
     """What each run reports to the log."""

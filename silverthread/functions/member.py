@@ -39,6 +39,7 @@ def active_flag(coverage_end: str, as_of: dt.date) -> Column:
     return F.when(open_now, F.lit(K.ACTIVE)).otherwise(F.lit(K.TERMINATED))
 
 
-def tenure_days(enrolled: str, as_of: dt.date) -> Column:
+def tenure_days(enrolled: str, as_of: dt.date | Column) -> Column:
     """Days from enrollment to ``as_of``."""
-    return F.datediff(as_of_date(as_of), F.col(enrolled))
+    day = as_of if isinstance(as_of, Column) else as_of_date(as_of)
+    return F.datediff(day, F.col(enrolled))

@@ -84,6 +84,35 @@ def aggregate_facts(
     return wide.groupBy(key).agg(*[m.reduced().alias(m.name) for m in every])
 
 
+def partial_facts(
+    facts: Sequence[tuple[DataFrame, Sequence[Measure]]], key: str
+) -> DataFrame:
+    """Like :func:`aggregate_facts`, but exact sums that can be added up further: money
+    stays decimal, counts are null where a table lacks the key. Several frames may have
+    a measure, which is taken over all of them."""
+    carried = [carry(df, key, measures) for df, measures in facts]
+    wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), carried)
+    every = {m.name: m for _, measures in facts for m in measures}
+    return wide.groupBy(key).agg(*[_partial(m).alias(m.name) for m in every.values()])
+
+
+def _partial(m: Measure) -> Column:
+    return {"money": F.sum, "count": F.sum, "max": F.max}[m.how](m.name)
+
+
+def merged_facts(partials: DataFrame, key: str, measures: Sequence[Measure]) -> DataFrame:
+    """Measures per key from partial ones, as :func:`aggregate_facts` gives them."""
+    out = []
+    for m in measures:
+        total = _partial(m)
+        if m.how == "money":
+            total = total.cast("double")
+        elif m.how == "count":
+            total = F.coalesce(total, F.lit(0))
+        out.append(total.alias(m.name))
+    return partials.groupBy(key).agg(*out)
+
+
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace nulls of the named numeric columns by zero."""
     return df.fillna(0, subset=list(columns))

@@ -118,7 +118,8 @@ class Reconciled(NamedTuple):
     ``adjusted``: claims with a valid adjustment of theirs; ``unadjusted``: the other
     claims; ``valid``: valid adjustments, as :func:`valid_adjustments` gives them;
     ``rejected``, ``unused``: see :func:`rejected_adjustments` and
-    :func:`silverthread.operators.joins.unused_adjustments`. ``n_valid`` counts ``valid``.
+    :func:`silverthread.operators.joins.unused_adjustments`. ``n_valid`` counts ``valid``;
+    ``judged`` has every adjustment once with its verdict, and ``counts`` how many have each.
     """
 
     adjusted: DataFrame
@@ -127,9 +128,11 @@ class Reconciled(NamedTuple):
     rejected: DataFrame
     unused: DataFrame
     n_valid: int
+    judged: DataFrame
+    counts: dict[str, int]
 
 
-_FREE, _FAILED, _FITS, _SHARED = "free", "failed", "fits", "shared"
+VERDICTS = _FREE, _FAILED, _FITS, _SHARED = "free", "failed", "fits", "shared"
 
 
 def reconcile(
@@ -166,8 +169,9 @@ def reconcile(
     )
     judged, found = stage(
         met.withColumn("__verdict", verdict).drop("__claims"), f"{scratch}/judged", ["__verdict"],
-        fits=F.count_if(F.col("__verdict") == _FITS), shared=F.count_if(F.col("__verdict") == _SHARED),
+        **{f"met_{v}": F.count_if(F.col("__verdict") == v) for v in VERDICTS},
     )
+    counts = dict(found)
     single = judged.where(F.col("__verdict") == _FITS)
     own = F.col("member_id") == F.col("__claim.member_id")
     valid = single.select(*marked.columns).withColumnsRenamed(names)
@@ -178,8 +182,8 @@ def reconcile(
         direct = latest_per_key(direct, _KEYS, _NEWEST, tie)
     rest = [c for c in marked.columns if c not in (*_KEYS, MALFORMED)]
     adjusted = direct.select(*[F.col(f"__claim.{c}").alias(c) for c in claims.columns], *rest)
-    taken, rows = direct.select(*_KEYS), found["fits"]
-    if found["shared"]:
+    taken, rows = direct.select(*_KEYS), counts["met_fits"]
+    if counts["met_shared"]:
         wanted = judged.where(F.col("__verdict") == _SHARED).select(*marked.columns)
         of_ids = joins.require_parent(claims, wanted.select("claim_id"), "claim_id")
         more = valid_adjustments(wanted.withColumnsRenamed(raw), of_ids, one_date_per_claim)
@@ -195,7 +199,7 @@ def reconcile(
     failed = judged.where((F.col("__verdict") != _FITS) | F.col("adjustment_id").isNull())
     failed = failed.select(*marked.columns).withColumnsRenamed(raw)
     rejected = joins.without_match(failed, valid.select("adjustment_id"), "adjustment_id")
-    return Reconciled(adjusted, unadjusted, valid, rejected, unused, rows)
+    return Reconciled(adjusted, unadjusted, valid, rejected, unused, rows, judged, counts)
 
 
 def fact_of(found: Reconciled, processed_at: dt.datetime) -> DataFrame:

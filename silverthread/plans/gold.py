@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
 from ..functions import member, scoring
@@ -42,8 +43,10 @@ EVENT_COUNTS = {
 }
 
 
-def member_activity(facts: Facts, count_events_once: bool = False) -> DataFrame:
-    """All measures of all facts, one row per member, by a single shuffle.
+def activity_facts(
+    facts: Facts, count_events_once: bool = False
+) -> list[tuple[DataFrame, list[A.Measure]]]:
+    """The measures of all facts, with the rows they are taken from.
 
     The domains are counted in one scan of the events. Events are counted per
     flattened row; ``count_events_once`` counts each event once.
@@ -60,23 +63,25 @@ def member_activity(facts: Facts, count_events_once: bool = False) -> DataFrame:
             for domain in EVENT_COUNTS
         ],
     )
-    return A.aggregate_facts(
-        [
-            (facts.claims, A.CLAIM_MEASURES),
-            (facts.revenue, A.REVENUE_MEASURES),
-            (facts.violations, A.VIOLATION_MEASURES),
-            (
-                by_domain,
-                [A.Measure(name, domain, "count") for domain, name in EVENT_COUNTS.items()],
-            ),
-        ],
-        "member_id",
-    )
+    return [
+        (facts.claims, A.CLAIM_MEASURES),
+        (facts.revenue, A.REVENUE_MEASURES),
+        (facts.violations, A.VIOLATION_MEASURES),
+        (
+            by_domain,
+            [A.Measure(name, domain, "count") for domain, name in EVENT_COUNTS.items()],
+        ),
+    ]
+
+
+def member_activity(facts: Facts, count_events_once: bool = False) -> DataFrame:
+    """All measures of all facts, one row per member, by a single shuffle."""
+    return A.aggregate_facts(activity_facts(facts, count_events_once), "member_id")
 
 
 def score(
     members: DataFrame,
-    as_of: dt.date,
+    as_of: dt.date | Column,
     high_violations: float = K.HIGH_RISK_VIOLATIONS,
     high_amount: float = K.HIGH_RISK_CLAIM_AMOUNT,
 ) -> DataFrame:
@@ -111,6 +116,49 @@ def build_member_360(
     )
 
 
+def versions_as_of(
+    versions: Sequence[dt.date], run_dates: Sequence[dt.date]
+) -> list[tuple[dt.date, dt.date]]:
+    """(run date, version): the newest version of the dimension on or before each run
+    date, by the range in which a version is valid; dates before all versions have none."""
+    known = sorted(set(versions))
+    found = []
+    for day in sorted(set(run_dates)):
+        at = bisect.bisect_right(known, day)
+        if at:
+            found.append((day, known[at - 1]))
+    return found
+
+
+def backfill_member_360(
+    dimension: DataFrame,
+    facts: Facts,
+    run_dates: Sequence[dt.date],
+    processed_at: dt.datetime,
+    count_events_once: bool = False,
+) -> DataFrame:
+    """Gold rows of several run dates, with ``run_date``, by one plan.
+
+    ``dimension`` holds its versions by ``processing_date``. Each run date takes the
+    version that is valid on it, so a version is read once for all the dates it serves,
+    the facts are aggregated once, and the dates multiply rows only after that. Equals
+    a run of :func:`build_member_360` per date.
+    """
+    spark = dimension.sparkSession
+    versions = [r[0] for r in dimension.select("processing_date").distinct().collect()]
+    served = versions_as_of(versions, run_dates)
+    dates = spark.createDataFrame(served, "run_date date, processing_date date")
+    used = sorted({version for _, version in served})
+    members = active_members(dimension).where(F.col("processing_date").isin(used))
+    activity = member_activity(facts, count_events_once)
+    joined = A.fill_zero(joins.join_aggregates(members, [activity], "member_id"), K.ZERO_FILLED)
+    # The dates are those that were asked for, a few rows of the driver.
+    scored = score(joined.join(F.broadcast(dates), "processing_date"), F.col("run_date"))
+    return scored.withColumn("processing_timestamp", F.lit(processed_at)).select(
+        *K.MEMBER_360_COLUMNS, "run_date"
+    )
+
+
 def repeated_members(dimension: DataFrame, keys: Sequence[str] = ("member_id",)) -> DataFrame:
     """Keys that the dimension holds more than once, with their counts; the gold
     table has one row per member only if this is empty."""

@@ -9,11 +9,12 @@ Runners apply :func:`silverthread.session.tune` to the session.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import constants as K, schemas, session
 from ..functions import privacy
@@ -21,6 +22,8 @@ from ..operators import events as E, quality
 from ..operators.aggregates import total
 from ..operators.latest import latest_per_key
 from ..sinks import (
+    append_rows,
+    cluster_for_write,
     rebalance_for_write,
     stage,
     write_counted,
@@ -32,6 +35,7 @@ from ..sinks import (
 from ..sinks.generations import Manifests
 from ..sources import dated_partition, read_csv, read_events, read_table
 from . import claims as C, gold as G, members as M
+from .balance import Equation, balance_rows, check_balance
 from .runlog import Run, logged_run
 
 
@@ -61,6 +65,10 @@ class Layout:
     def run_log(self) -> str:
         return f"{self.base}/metadata/run_log"
 
+    @property
+    def run_balance(self) -> str:
+        return f"{self.base}/metadata/run_balance"
+
 
 #: The events as a stream stores them; ``generation`` is the innermost directory.
 EVENT_GENERATIONS = T.StructType([*schemas.EVENT_ROWS.fields, T.StructField("generation", T.StringType())])
@@ -74,6 +82,25 @@ def _verdicts() -> dict[str, Column]:
     return {"valid": F.count_if(F.col("is_valid")), "bad": F.count_if(~F.col("is_valid"))}
 
 
+def _watched(df: DataFrame) -> tuple[Callable[[], int], DataFrame]:
+    """``df`` with its rows counted as they are read, for one action; and that count."""
+    rows = Observation(f"read_{uuid.uuid4().hex}")
+    return (lambda: int(rows.get["rows"])), df.observe(rows, _rows().alias("rows"))
+
+
+def _balanced(
+    spark: SparkSession,
+    layout: Layout,
+    run: Run,
+    equations: Sequence[Equation],
+    **recount: Callable[[], int],
+) -> None:
+    """Check that the counts of a run add up, and append what was compared to the
+    balance table; a run whose rows do not add up fails."""
+    found = check_balance({**run.counts, **run.points}, equations, recount)
+    append_rows(balance_rows(spark, run.run_id, run.job_name, found), layout.run_balance)
+
+
 def _quarantined(df: DataFrame, mask: bool) -> DataFrame:
     return privacy.masked(df, [*K.PHI_COLUMNS, schemas.MALFORMED]) if mask else df
 
@@ -98,9 +125,11 @@ def run_members(
             keep_malformed=True,
         )
         migrated = read_csv(spark, layout.raw("migrated_members"), schemas.MIGRATED_MEMBERS)
-        checked, _ = stage(
-            M.check_history(historical), f"{scratch}/history", ["is_valid"]
+        seen, watched = _watched(historical)
+        checked, found = stage(
+            M.check_history(watched), f"{scratch}/history", ["is_valid"], **_verdicts()
         )
+        run.points.update(read=seen(), valid_copies=found["valid"], bad_copies=found["bad"])
         split = quality.split_on_flag(checked)
         rejected = _quarantined(split.rejected, mask_quarantine)
         dimension = M.dimension_from_valid(
@@ -124,6 +153,12 @@ def run_members(
 
         write_together(save, quarantine, count)
         run.processed, run.failed = run.counts["valid"], run.counts["bad"]
+        _balanced(
+            spark, layout, run, [("history read", ["read"], ["valid_copies", "bad_copies"])],
+            read=historical.count,
+            valid_copies=lambda: checked.where("is_valid").count(),
+            bad_copies=lambda: checked.where("NOT is_valid").count(),
+        )
     return run
 
 
@@ -166,13 +201,17 @@ def run_claims(
         run.counts.update(claims=found["valid"], claims_bad=found["bad"])
         split = quality.split_on_flag(checked, distinct_rejects=False)
         adjustments = raw("claims_adjustments", schemas.CLAIMS_ADJUSTMENTS)
-        met = C.reconcile(split.valid, adjustments, scratch, one_date_per_claim, latest_only)
+        seen, watched = _watched(adjustments)
+        met = C.reconcile(split.valid, watched, scratch, one_date_per_claim, latest_only)
         run.counts["adjustments"] = met.n_valid
+        run.points.update(met.counts, adjustments_read=seen())
 
         revenue = raw("revenue", schemas.REVENUE)
+        seen, watched = _watched(revenue)
         judged, _ = stage(
-            quality.flag(revenue, C.revenue_rules(revenue)), f"{scratch}/revenue", ["is_valid"]
+            quality.flag(watched, C.revenue_rules(revenue)), f"{scratch}/revenue", ["is_valid"]
         )
+        run.points["revenue_read"] = seen()
         paid = quality.split_on_flag(judged, distinct_rejects=False)
         violations = read_csv(spark, layout.raw("violations"), schemas.VIOLATIONS)
         fact = C.fact_of(met, moment)
@@ -185,14 +224,20 @@ def run_claims(
 
         def fact_table() -> None:
             path = layout.silver("claims_fact")
-            save(
-                "claims_fact",
+            found = write_counted(
                 rebalance_for_write(fact, "claim_year") if rebalance else fact,
                 lambda df: write_partitioned(df, path, ["claim_year"], replace="all"),
+                rows=_rows(),
+                adjusted=F.count("adjusted_final_amount"),
             )
-
-        if report_unused:
-            run.counts["adjustments_unused"] = met.unused.count()
+            run.counts["claims_fact"] = found["rows"]
+            run.points["fact_adjusted"] = found["adjusted"]
+
+        # Where every claim id is one claim, valid adjustments are used or unused, once.
+        once = not latest_only and not met.counts["met_shared"]
+        if report_unused or once:
+            unused = met.unused.count()
+            (run.counts if report_unused else run.points)["adjustments_unused"] = unused
         write_together(
             fact_table,
             table("adjustments_bad", met.rejected, layout.quarantine("adjustments")),
@@ -201,6 +246,16 @@ def run_claims(
             table("violations", C.clean_violations(violations, moment), layout.silver("violations")),
             lambda: write_table(split.rejected, layout.quarantine("claims")),
         )
+        equations = [
+            ("adjustments met", ["adjustments_read"], [f"met_{v}" for v in C.VERDICTS]),
+            ("revenue split", ["revenue_read"], ["revenue", "revenue_bad"]),
+        ]
+        if once:
+            equations.append(("adjustments used", ["met_fits"], ["fact_adjusted", "adjustments_unused"]))
+        _balanced(
+            spark, layout, run, equations, adjustments_read=adjustments.count, revenue_read=revenue.count,
+            **{f"met_{v}": met.judged.where(F.col("__verdict") == v).count for v in C.VERDICTS},
+        )
         run.processed = total(run.counts, "claims", "adjustments", "revenue", "violations")
         run.failed = total(run.counts, "claims_bad", "adjustments_bad", "revenue_bad")
     return run
@@ -297,6 +352,7 @@ def run_gold(
     count_events_once: bool = False,
     append: bool = False,
     dimension_date: dt.date | None = None,
+    cluster_members: bool = False,
 ) -> Run:
     """Silver tables to the member-360 snapshot of ``as_of``.
 
@@ -304,6 +360,8 @@ def run_gold(
     fails if there is none.
     ``on_repeated_member`` decides about members that the dimension holds more
     than once: ``keep`` all rows, ``fail``, or keep the ``latest`` one.
+    ``cluster_members`` writes each state in ranges of ``member_id``, so that looking up
+    a member opens a few files.
     """
     with logged_run(session.tune(spark), "member_360", layout.run_log) as run:
         dimension = dated_partition(
@@ -327,7 +385,9 @@ def run_gold(
             count_events_once,
         )
         run.counts = write_counted(
-            rebalance_for_write(gold, "state"),
+            cluster_for_write(gold, "member_id", ["state"])
+            if cluster_members
+            else rebalance_for_write(gold, "state"),
             lambda df: write_snapshot(
                 df, layout.gold("member_360"), as_of, ["state"], idempotent=not append
             ),
@@ -337,6 +397,32 @@ def run_gold(
     return run
 
 
+def run_backfill(
+    spark: SparkSession,
+    layout: Layout,
+    run_dates: Sequence[dt.date],
+    processed_at: dt.datetime | None = None,
+    count_events_once: bool = False,
+) -> Run:
+    """The member-360 snapshots of several dates by one plan, each from the dimension
+    that was valid on it (see :func:`silverthread.plans.gold.backfill_member_360`). A
+    date's snapshot is replaced state by state. Dates before the first dimension have
+    none."""
+    with logged_run(session.tune(spark), "member_360_backfill", layout.run_log) as run:
+        stored = read_table(spark, layout.silver("member_dimension"), schemas.MEMBER_DIMENSION)
+        gold = G.backfill_member_360(
+            stored, silver_facts(spark, layout), run_dates, processed_at or run.start_time,
+            count_events_once,
+        )
+        run.counts = write_counted(
+            rebalance_for_write(gold, "run_date", "state"),
+            lambda df: write_partitioned(df, layout.gold("member_360"), ["run_date", "state"]),
+            rows=_rows(),
+        )
+        run.processed = run.counts["rows"]
+    return run
+
+
 def run_all(
     spark: SparkSession,
     layout: Layout,

@@ -31,6 +31,8 @@ class Run:
     processed: int = 0
     failed: int = 0
     counts: dict[str, int] = field(default_factory=dict)
+    #: Rows at further points of the run, which its balance compares.
+    points: dict[str, int] = field(default_factory=dict)
 
 
 def log_row(

@@ -178,6 +178,10 @@ RUN_LOG = struct(
     status="string",
 )
 
+RUN_BALANCE = struct(
+    run_id="string", job_name="string", equation="string", left_rows="bigint", right_rows="bigint"
+)
+
 
 def with_malformed(schema: T.StructType) -> T.StructType:
     """``schema`` plus the column that keeps unreadable records."""

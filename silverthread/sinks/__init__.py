@@ -2,6 +2,7 @@
 
 from .tables import (
     append_rows,
+    cluster_for_write,
     rebalance_for_write,
     stage,
     write_counted,
@@ -13,6 +14,7 @@ from .tables import (
 
 __all__ = [
     "append_rows",
+    "cluster_for_write",
     "rebalance_for_write",
     "stage",
     "write_counted",

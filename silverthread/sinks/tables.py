@@ -72,6 +72,16 @@ def rebalance_for_write(df: DataFrame, *keys: str, partitions: int | None = None
     return df.hint("rebalance", partitions, *keys)
 
 
+def cluster_for_write(df: DataFrame, by: str, keys: Sequence[str] = (), files: int | None = None) -> DataFrame:
+    """Bring rows into ranges of ``by`` before a write, within each output directory of
+    ``keys``: footers then tell which files, and pages, can hold a value, so looking up
+    one reads a few of many. Ranges are made from a sample, so a hot directory is written
+    by many tasks and a small one by few; ``files`` sets their number for the table."""
+    order = [*[F.col(k) for k in keys], F.col(by)]
+    ranged = df.repartitionByRange(*order) if files is None else df.repartitionByRange(files, *order)
+    return ranged.sortWithinPartitions(*order)
+
+
 def write_counted(
     df: DataFrame, write: Callable[[DataFrame], None], **counts: Column
 ) -> dict[str, int]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from .. import constants as K, schemas
 
+#: Files that a census of headers has open at a time.
+OPENED_AT_ONCE = 32
+
 
 def read_csv(
     spark: SparkSession,
@@ -17,6 +21,7 @@ def read_csv(
     schema: T.StructType | None = None,
     keep_malformed: bool = False,
     optional: Sequence[str] = (),
+    mixed_headers: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
@@ -25,7 +30,9 @@ def read_csv(
     header lacks fails the read, unless it is ``optional``: then it is null.
     ``path`` may be several files or folders; each is read by its own header, of
     which one line is fetched, and a file in a folder whose header is another than
-    that of its neighbours fails the job rather than being read by position.
+    that of its neighbours fails the job rather than being read by position. With
+    ``mixed_headers`` the header of every file is looked at first, files are grouped by
+    it, and each group is read by its own; empty files have no rows.
 
     ``keep_malformed`` adds the raw text of records that do not fit the schema, so
     that an unreadable field cannot pass for a missing one. Without a schema Spark
@@ -34,7 +41,11 @@ def read_csv(
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
         return spark.read.option("header", True).option("inferSchema", True).csv(paths)
-    parts = [_by_header(spark, p, schema, keep_malformed, optional) for p in paths]
+    groups = header_census(spark, paths) if mixed_headers else paths
+    if not groups:
+        in_files = schemas.with_malformed(schema) if keep_malformed else schema
+        return spark.createDataFrame([], in_files)
+    parts = [_by_header(spark, p, schema, keep_malformed, optional) for p in groups]
     if len(parts) == 1:
         return parts[0]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -42,7 +53,45 @@ def read_csv(
     return rows.select(*[f"`{c}`" for c in rows.columns if c not in last], *last)
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+def header_census(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The files below ``paths`` that are not empty, in groups of one header line each.
+
+    Files are listed once and only opened for their first line, many at a time, by the
+    driver, which keeps a name and a group for each; no file is read by it. Hidden files
+    (``_`` and ``.``) are left out, compressed ones are opened by their name's ending.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    listed = []
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        fs = place.getFileSystem(conf)
+        for top in fs.globStatus(place) or []:
+            files = fs.listFiles(top.getPath(), True)
+            while files.hasNext():
+                found = files.next()
+                if found.getLen() and not found.getPath().getName().startswith(("_", ".")):
+                    listed.append((fs, found.getPath()))
+
+    def first_line(file) -> tuple[str, str]:
+        fs, place = file
+        stream, codec = fs.open(place), codecs.getCodec(place)
+        try:
+            opened = codec.createInputStream(stream) if codec is not None else stream
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, "UTF-8"))
+            return (reader.readLine() or "").removeprefix("\ufeff").strip(), place.toString()
+        finally:
+            stream.close()
+
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(max_workers=OPENED_AT_ONCE) as pool:
+        for line, name in pool.map(first_line, listed):
+            if line:
+                groups.setdefault(line, []).append(name)
+    return [sorted(files) for _, files in sorted(groups.items())]
+
+
+def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Names in the header of one of the files; none if there are no lines."""
     try:
         return spark.read.option("header", True).csv(path).columns
@@ -54,7 +103,7 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 
 def _by_header(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     keep_malformed: bool,
     optional: Sequence[str],
