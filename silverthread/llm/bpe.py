@@ -15,22 +15,25 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterable, Sequence
+import itertools
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import BinaryType
 
+from .common import in_slices
+
 #: Ranks per bitmap of the lower level.
 _SPAN = 256
-#: A worker forgets its pre-tokens before a batch once it holds so many, and does not
-#: remember longer ones.
-CACHE_ENTRIES = 500_000
-CACHE_CHARS = 64
+#: A worker forgets its pre-tokens after a batch in which it came to hold so many, or so
+#: many characters of those longer than :data:`CACHE_CHARS`.
+CACHE_ENTRIES = 400_000
+CACHE_CHARS, CACHE_LONG_CHARS = 64, 2_000_000
 #: Pre-tokens are merged together up to about so many bytes.
-MERGE_BYTES = 4 << 20
+MERGE_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,6 +42,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in (x.split() for x in lines if x.strip())}
 
 
+class _Numbers(dict):
+    """Pre-tokens numbered as they are first met."""
+
+    def __missing__(self, name: str) -> int:
+        number = self[name] = len(self)
+        return number
+
+
 class RankQueue:
     """Arrays of positions in a bucket per rank; the lowest rank comes out first."""
 
@@ -105,7 +116,7 @@ class BytePairCodec:
         # Tokens that can at once be part of a pair of lower rank than their own.
         left, right = np.divmod(table[:, 0], self.size or 1)
         self.risky = {*left[table[:, 1] < left].tolist(), *right[table[:, 1] < right].tolist()}
-        self.packed: dict[str, bytes] = {}
+        self.numbers, self.packed, self.long_chars = _Numbers(), [], 0
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that two ids make together, -1 for none."""
@@ -180,23 +191,24 @@ class BytePairCodec:
         cuts = counts.tolist()
         return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Packed ids of pre-tokens that the cache does not hold."""
-        made: dict[str, bytes] = {}
-        names, block, size = [], [], 0
+    def _learn(self, names: Sequence[str]) -> list[bytes]:
+        """Packed ids of pre-tokens."""
+        made = [b""] * len(names)
+        places, block, size = [], [], 0
 
         def finish() -> None:
-            made.update(zip(names, self.merge(block)))
-            names.clear()
+            for place, ids in zip(places, self.merge(block)):
+                made[place] = ids
+            places.clear()
             block.clear()
 
-        for name in pieces:
+        for place, name in enumerate(names):
             data = name.encode("utf-8")
             whole = self.ranks.get(data)
             if whole is not None:
-                made[name] = whole.to_bytes(4, "little")
+                made[place] = whole.to_bytes(4, "little")
                 continue
-            names.append(name)
+            places.append(place)
             block.append(data)
             size += len(data)
             if size >= MERGE_BYTES:
@@ -206,17 +218,23 @@ class BytePairCodec:
         return made
 
     def encode_batch(self, texts: Iterable[str | None]) -> list[bytes]:
-        """Ids of each text, packed as little-endian unsigned 32-bit integers."""
-        split = [self.split(t) if t else [] for t in texts]
-        needed = set().union(*split)
-        known = self.packed
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
-        known.update(self._learn(needed - known.keys()))
-        packed = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-        if len(known) > CACHE_ENTRIES or any(len(name) > CACHE_CHARS for name in needed):
-            self.packed = {k: v for k, v in known.items() if len(k) <= CACHE_CHARS}
-        return packed
+        """Ids of each text, packed as little-endian unsigned 32-bit integers.
+
+        The texts are taken one at a time and kept as numbers of their pre-tokens; new
+        pre-tokens of all of them are encoded together.
+        """
+        numbers, packed = self.numbers, self.packed
+        number = numbers.__getitem__
+        held = [np.fromiter(map(number, self.split(t)), np.int32) if t else None for t in texts]
+        if len(numbers) > len(packed):
+            new = list(itertools.islice(numbers, len(packed), None))
+            packed.extend(self._learn(new))
+            self.long_chars += sum(len(name) for name in new if len(name) > CACHE_CHARS)
+        pick = packed.__getitem__
+        out = [b"".join(map(pick, own.tolist())) if own is not None else b"" for own in held]
+        if len(packed) > CACHE_ENTRIES or self.long_chars > CACHE_LONG_CHARS:
+            self.numbers, self.packed, self.long_chars = _Numbers(), [], 0
+        return out
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
@@ -228,6 +246,17 @@ def codec(path: str, pattern: str) -> BytePairCodec:
     return BytePairCodec(read_ranks(path), pattern)
 
 
+def _strings(texts: pa.Array) -> Iterator[str | None]:
+    """The texts of an array, of which a bounded stretch is held as Python strings."""
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    for part in in_slices(batch, 0):
+        yield from part.column(0).to_pylist()
+
+
+def _decoded(packed: Iterable[bytes | None], own: BytePairCodec) -> pa.Array:
+    return pa.array((own.decode(p) if p else b"" for p in packed), pa.binary())
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """Ids of ``text`` as little-endian unsigned 32-bit integers in one binary.
 
@@ -235,9 +264,9 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     counts as empty and gives an empty binary. ``path`` is read on the workers.
     """
 
-    @F.pandas_udf(BinaryType())
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(codec(path, pattern).encode_batch(texts), dtype=object)
+    @F.arrow_udf(BinaryType())
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(codec(path, pattern).encode_batch(_strings(texts)), pa.binary())
 
     return run(text)
 
@@ -245,14 +274,26 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """Bytes of packed ids; empty for null. They need not be valid UTF-8."""
 
-    @F.pandas_udf(BinaryType())
-    def run(packed: pd.Series) -> pd.Series:
-        decode_one = codec(path, pattern).decode
-        return pd.Series([decode_one(p) if p else b"" for p in packed], dtype=object)
+    @F.arrow_udf(BinaryType())
+    def run(packed: pa.Array) -> pa.Array:
+        return _decoded((p.as_py() for p in packed), codec(path, pattern))
 
     return run(ids)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Struct of ``ids`` (see :func:`encode`) and ``decoded``, the bytes that
+    :func:`decode` gives for them, by one pass through one worker."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def run(texts: pa.Array) -> pa.Array:
+        own = codec(path, pattern)
+        ids = own.encode_batch(_strings(texts))
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), _decoded(ids, own)], ["ids", "decoded"])
+
+    return run(text)
+
+
 def to_array(ids: Column) -> Column:
     """Packed ids as ``array<bigint>``."""
     digits = F.hex(ids)
