@@ -1,8 +1,9 @@
 """Benchmark decontamination: BM25 search of every passage for benchmark items.
 
-The test items form an inverted index with block maxima. All passages of all texts
-are queries; item blocks whose maxima cannot reach the threshold are skipped, the
-items of the others are scored in full, and what passes is verified word by word.
+The test items form an inverted index of posting lists with block maxima. All passages
+of all texts are queries; WAND's pivots and the block maxima tell which blocks of items
+can reach the threshold, these are scored in full, and what passes is verified word by
+word.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .common import free_name
+from .common import free_name, in_slices
 
 #: A passage is a hit if it scores at least this share of the item's own score.
 MIN_SCORE = 0.6
@@ -40,8 +40,8 @@ MAX_ITEMS = 5_000
 MAX_ENTRY_WORDS = 256
 #: Entries that share one block maximum.
 BLOCK = 8
-#: (passage, term) rows that are summed at a time.
-ROWS_AT_ONCE = 200_000
+#: (passage, term) rows, and (passage, block) cells, that are summed at a time.
+ROWS_AT_ONCE, CELLS_AT_ONCE = 200_000, 2_000_000
 
 _WORD = re.compile(r"\w+")
 _SENTENCE_END = re.compile(r"(?<=[.?!])\s+|\n+")
@@ -172,10 +172,20 @@ class ItemIndex:
             gain /= np.bincount(columns, gain, n)[columns]
         else:
             gain = np.zeros(0)
-        self.weights = np.zeros((len(self.vocabulary), blocks, BLOCK), np.float32)
-        self.weights[rows, columns // BLOCK, columns % BLOCK] = gain
-        self.block_max = self.weights.max(2) if n else np.zeros((0, 0), np.float32)
-        self.term_max = np.append(self.block_max.max(1) if n else [], 0.0).astype(np.float32)
+        # Posting lists: for each term its entries in ascending order, in stretches of one
+        # block each, with the largest gain of the stretch and of the list.
+        order = np.lexsort((columns, rows))
+        term, entry, gain = rows[order], columns[order], gain[order].astype(np.float32)
+        cut = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (entry[1:] // BLOCK != entry[:-1] // BLOCK)))
+        cut = cut[: len(term)]
+        self.entry_of, self.gain_of = entry, gain
+        self.stretch_ends = np.append(cut, len(term))
+        self.stretch_block = entry[cut] // BLOCK
+        self.stretch_max = np.maximum.reduceat(gain, cut) if len(cut) else gain
+        self.list_starts = np.searchsorted(term[cut], np.arange(len(self.vocabulary) + 1))
+        first = self.list_starts[:-1]
+        self.term_max = np.append(np.maximum.reduceat(self.stretch_max, first) if len(first) else [], 0.0).astype(np.float32)
+        self.blocks = blocks
 
     def search(self, texts: Sequence[str | None], min_score: float) -> list[tuple[int, int, float, float]]:
         """(text, item, score, overlap) of the verified hits by their best passages.
@@ -199,7 +209,6 @@ class ItemIndex:
             keys.append((passage[later] - 1) * size + found[later])
         keys = np.unique(np.concatenate(keys))
         passage, term = np.divmod(keys, size)
-        passage, term = self._bounded(passage, term, min_score)
         best: dict[tuple[int, int], tuple[float, float]] = {}
         for p, entry, score in self._scored(passage, term, min_score):
             i = int(np.searchsorted(first, p, side="right")) - 1
@@ -214,36 +223,62 @@ class ItemIndex:
                 best[i, item] = max(best.get((i, item), (0.0, 0.0)), (score, overlap))
         return [(i, item, *best[i, item]) for i, item in sorted(best)]
 
-    def _bounded(self, passage: np.ndarray, term: np.ndarray, least: float):
-        """The rows of passages that some item could match at all."""
-        if not len(passage):
-            return passage, term
-        starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-        bound = np.add.reduceat(self.term_max[term], starts)
-        sizes = np.diff(np.append(starts, len(passage)))
-        kept = np.repeat(bound >= least, sizes)
-        return passage[kept], term[kept]
-
     def _scored(self, passage, term, least) -> Iterator[tuple[int, int, float]]:
-        """(passage, entry, score) of at least ``least``, skipping by block maxima."""
+        """(passage, entry, score) of at least ``least``, some passages at a time."""
         least = np.float32(least - 1e-4)
         starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1])) if len(passage) else []
         starts = np.append(starts, len(passage)).astype(int)
+        most = max(CELLS_AT_ONCE // max(self.blocks, 1), 1)
         begin = 0
         while begin < len(starts) - 1:
             end = int(np.searchsorted(starts, starts[begin] + ROWS_AT_ONCE, side="right")) - 1
-            end = max(end, begin + 1)
-            lo, hi = starts[begin], starts[end]
-            own = starts[begin:end] - lo
-            bound = np.add.reduceat(self.block_max[term[lo:hi]], own, axis=0)
-            which, block = np.nonzero(bound >= least)
-            for w, b in zip(which.tolist(), block.tolist()):
-                rows = term[starts[begin + w] : starts[begin + w + 1]]
-                scores = self.weights[rows, b].sum(0)
-                for k in np.flatnonzero(scores >= least).tolist():
-                    yield int(passage[starts[begin + w]]), b * BLOCK + k, float(scores[k])
+            end = min(max(end, begin + 1), begin + most)
+            rows = slice(starts[begin], starts[end])
+            names = passage[starts[begin:end]]
+            own = np.repeat(np.arange(end - begin), np.diff(starts[begin : end + 1]))
+            for which, entry, score in zip(*self._wand(own, term[rows], end - begin, least)):
+                yield int(names[which]), entry, score
             begin = end
 
+    def _wand(self, own: np.ndarray, term: np.ndarray, count: int, least: np.float32):
+        """Hits of ``count`` passages, given as (passage, term) rows.
+
+        In the order of their lists' maxima, the terms of a passage ahead of its pivot
+        cannot reach the threshold together; an entry that does is on a list from the
+        pivot on. Of the blocks that such lists touch, those whose maxima over all lists
+        stay under the threshold are skipped, and the rest are scored in full.
+        """
+        order = np.lexsort((self.term_max[term], own))
+        own, term = own[order], term[order]
+        reach = np.cumsum(self.term_max[term], dtype=np.float64)
+        first = np.searchsorted(own, np.arange(count))
+        ahead = np.append(0.0, reach)[first]
+        pivot = reach - ahead[own] >= least
+        sizes = self.list_starts[term + 1] - self.list_starts[term]
+        row, stretch = _spread(self.list_starts[term], sizes)
+        cell = own[row] * self.blocks + self.stretch_block[stretch]
+        touched = np.zeros(count * self.blocks, bool)
+        touched[cell[pivot[row]]] = True
+        bound = np.bincount(cell, self.stretch_max[stretch], count * self.blocks)
+        alive = touched & (bound >= least)
+        kept = alive[cell]
+        cell, stretch = cell[kept], stretch[kept]
+        sizes = self.stretch_ends[stretch + 1] - self.stretch_ends[stretch]
+        row, place = _spread(self.stretch_ends[stretch], sizes)
+        number = np.cumsum(alive) - 1
+        key = number[cell[row]] * BLOCK + self.entry_of[place] % BLOCK
+        scores = np.bincount(key, self.gain_of[place], int(alive.sum()) * BLOCK)
+        hits = np.flatnonzero(scores >= least)
+        found = np.flatnonzero(alive)[hits // BLOCK]
+        entry = found % self.blocks * BLOCK + hits % BLOCK
+        return (found // self.blocks).tolist(), entry.tolist(), scores[hits].tolist()
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row as often as its size says, with the places from its start on."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[row]
+
 
 def _indexes(benchmark: DataFrame, item_id: str, text: str) -> list:
     """Broadcast indexes of at most about :data:`MAX_ITEMS` items each.
@@ -299,7 +334,7 @@ def find_leaks(
 
     def searched(index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in in_slices(whole, 1)):
                 hits: dict[tuple[int, object], tuple[float, float]] = {}
                 for i, item, *found in index.value.search(batch.column(1).to_pylist(), min_score):
                     key = i, index.value.items[item]
@@ -345,9 +380,12 @@ def without_leaks(
 
 
 def _leaked(index, min_score: float):
-    @F.pandas_udf(BooleanType())
-    def run(texts: pd.Series) -> pd.Series:
-        found = {i for i, *_ in index.value.search(texts.tolist(), min_score)}
-        return pd.Series([i in found for i in range(len(texts))], dtype=bool)
+    @F.arrow_udf(BooleanType())
+    def run(texts: pa.Array) -> pa.Array:
+        flags = []
+        for part in in_slices(pa.RecordBatch.from_arrays([texts], ["text"]), 0):
+            found = {i for i, *_ in index.value.search(part.column(0).to_pylist(), min_score)}
+            flags.extend(i in found for i in range(part.num_rows))
+        return pa.array(flags, pa.bool_())
 
     return run
