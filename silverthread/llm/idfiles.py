@@ -3,17 +3,20 @@
 Ids are coded in blocks that are reset and checksummed on their own, so any block can
 be read, checked or lost without the others. Within a block an order-2, an order-1
 and an order-0 context each predict the next id. How often such predictions held, one
-row per order and per trust in it, is mixed into the probabilities of "the order-2
-prediction", "the order-1 prediction", "the order-0 prediction" and "another id";
-another id follows in four digits of 16 values, three of them under adaptive order-0
-probabilities. A range coder turns this into bytes.
-
-The blocks of a segment are coded side by side: each step codes one id of every block
-with the same few numpy calls, in at most two steps of the range coder.
+row of counts per order and per trust in it, is mixed into the probabilities of "the
+order-2 prediction", "the order-1 prediction", "the order-0 prediction" and "another
+id"; another id follows as its number of bits, under adaptive order-0 probabilities. A
+range coder turns these choices into bytes; the bits of an id below its highest, which
+are taken as equally likely, stand behind them as they are.
+
+What was learned comes into use after each stretch of :data:`STRETCH` ids, so contexts,
+mixtures and updates are made for whole stretches; the blocks of a segment are coded
+side by side, and only the step of the range coder is taken id by id.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -25,42 +28,46 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import content_id
+from .common import content_id, in_slices, stage
 
-MAGIC = b"STID2\n"
-#: Ids of a block, and of a segment; a document is never split between segments.
-BLOCK = 2048
-SEGMENT = 4096 * BLOCK
+MAGIC = b"STID3\n"
+#: Ids of a block, of a stretch, and of a segment; a document is never split between
+#: segments.
+BLOCK, STRETCH = 2048, 64
+SEGMENT = 2048 * BLOCK
 
 #: The range stays between 2**32 and 2**56; what is settled leaves in words of 24 bits.
 _WORD, _LEAST = np.uint64(24), np.uint64(1 << 32)
 _LOWER = _LEAST - np.uint64(1)
-#: Steps of the range coder per id, and so words, at most.
-_STEPS = 2
 
-_SLOTS2, _SLOTS1 = 1 << 11, 1 << 10
+_SLOTS2, _SLOTS1 = 1 << 10, 1 << 9
 _TRUST = 4  # levels of trust in a prediction
-_NODES = 1 + 16 + 256  # rows of digit probabilities: one per digits before
-#: Sums of the probabilities of one row, and how slowly they move (as a shift).
-_KINDS, _KIND_RATE = 1 << 12, 5
-_DIGITS, _DIGIT_RATE = 1 << 10, 4
-#: Sums of what one step codes: a kind with its first digit, the other three digits.
-_FIRST, _REST = 3 * _KINDS * _DIGITS, _DIGITS * _DIGITS * 16
-
-
-def _level(symbols: int, total: int) -> np.ndarray:
-    """Bounds of equally likely symbols."""
-    return (np.arange(symbols + 1) * total // symbols).astype(np.int16)
-
-
-def _sure(symbols: int, total: int) -> np.ndarray:
-    """For each symbol the bounds that leave every other symbol a width of one."""
-    bound = np.arange(symbols + 1)
-    after = bound[None, :] > np.arange(symbols)[:, None]
-    return np.where(after, total - symbols + bound, bound).astype(np.int16)
-
-
-_SURE_KIND, _SURE_DIGIT = _sure(4, _KINDS), _sure(16, _DIGITS)
+#: Sums of the probabilities of the kinds and of the numbers of bits, as powers of two.
+_KIND_BITS, _SIZE_BITS = 12, 10
+_BITS, _SCALE = np.uint64(_KIND_BITS + _SIZE_BITS), np.uint64(1 << _SIZE_BITS)
+_SIZES = 16
+#: Counts are halved beyond this, so that late ids weigh more.
+_MOST = 1 << 10
+
+
+def _scaled(counts: np.ndarray, bits: int) -> np.ndarray:
+    """Where each symbol starts among 2**bits, by the counts, each at least one wide."""
+    symbols = counts.shape[-1]
+    starts = np.zeros(counts.shape, np.int32)
+    np.cumsum(counts[..., :-1], axis=-1, out=starts[..., 1:])
+    total = starts[..., -1:] + counts[..., -1:]
+    starts *= (1 << bits) - symbols
+    starts //= total
+    starts += np.arange(symbols, dtype=np.int32)
+    return starts
+
+
+def _widths(starts: np.ndarray, place: np.ndarray, symbol: np.ndarray, symbols: int, bits: int):
+    """Start and width of a symbol in rows of starts, ``place`` being where it stands."""
+    flat = starts.reshape(-1)
+    start = flat.take(place)
+    after = flat.take(place + 1, mode="clip")
+    return start, np.where(symbol == symbols - 1, np.int32(1 << bits), after) - start
 
 
 class _Encoder:
@@ -74,16 +81,20 @@ class _Encoder:
         self.out = np.zeros(streams * self.room, np.uint32)
         self.at = self.base.copy()
 
-    def put(self, rows: np.ndarray | slice, start: np.ndarray, size: np.ndarray, total: int) -> None:
-        share = self.range[rows] // np.uint64(total)
-        low = self.low[rows] + share * start.astype(np.uint64)
-        width = share * size.astype(np.uint64)
-        full = width < _LEAST
-        at = self.at[rows]
-        self.out[at] = low >> np.uint64(32)
-        self.at[rows] = at + full
-        self.low[rows] = np.where(full, (low & _LOWER) << _WORD, low)
-        self.range[rows] = width << (full * _WORD)
+    def put(self, start: np.ndarray, width: np.ndarray) -> None:
+        """Code what lies from ``start``, ``width`` wide, of 2**_BITS for each stream."""
+        share = self.range >> _BITS
+        low = share * start
+        low += self.low
+        share *= width
+        full = share < _LEAST
+        self.out[self.at] = low >> np.uint64(32)
+        self.at += full
+        shift = full * _WORD
+        # Without a word that leaves, nothing above the lower bits must be lost.
+        low &= np.where(full, _LOWER, ~np.uint64(0))
+        self.low = low << shift
+        self.range = share << shift
 
     def finish(self) -> list[bytes]:
         for k in range(3):
@@ -114,94 +125,123 @@ class _Decoder:
             self.code = (self.code << np.uint64(8)) | data[:, k]
         words = data[:, 7:].reshape(len(streams), -1, 3).astype(np.uint32)
         words = (words[:, :, 0] << np.uint32(16)) | (words[:, :, 1] << np.uint32(8)) | words[:, :, 2]
-        self.words = words.astype(np.uint64).ravel()
+        self.words = words.ravel()
         self.range = np.full(len(streams), 1 << 56, np.uint64)
         # A broken stream may ask for more words than there are.
         self.last = np.arange(1, len(streams) + 1) * words.shape[1] - 1
         self.at = self.last - words.shape[1] + 1
 
-    def peek(self, rows: np.ndarray | slice, total: int) -> np.ndarray:
-        """Where in ``total`` the next symbol of each stream lies."""
-        self.share = self.range[rows] // np.uint64(total)
-        return np.minimum(self.code[rows] // self.share, np.uint64(total - 1)).astype(np.int64)
-
-    def take(self, rows: np.ndarray | slice, start: np.ndarray, size: np.ndarray) -> None:
-        code = self.code[rows] - self.share * start.astype(np.uint64)
-        width = self.share * size.astype(np.uint64)
-        full = width < _LEAST
-        at = self.at[rows]
-        self.code[rows] = np.where(full, (code << _WORD) | self.words.take(at), code)
-        self.range[rows] = width << (full * _WORD)
-        self.at[rows] = np.minimum(at + full, self.last[rows])
+    def take(self, share: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
+        code = self.code - share * start
+        share *= width
+        full = share < _LEAST
+        shift = full * _WORD
+        code <<= shift
+        code |= self.words.take(self.at) * full
+        self.code, self.range = code, share << shift
+        self.at += full
+        np.minimum(self.at, self.last, out=self.at)
+
+
+def _pack(values: np.ndarray, bits: np.ndarray, owner: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values of so many bits as 32-bit words, each owner's from a word of its own; and
+    where each owner starts. ``owner`` ascends."""
+    per = np.bincount(owner, bits, owners).astype(np.int64)
+    starts = np.cumsum(np.append(0, (per + 31) // 32))
+    ends = np.cumsum(bits)
+    first = np.searchsorted(owner, np.arange(owners))
+    before = np.append(ends, ends[-1:] if len(ends) else 0)
+    ahead = np.where(first > 0, before[np.maximum(first - 1, 0)], 0) if len(ends) else np.zeros(owners, np.int64)
+    place = ends - bits - ahead[owner] + 32 * starts[owner]
+    shifted = values.astype(np.uint64) << (place & 31).astype(np.uint64)
+    word = place >> 5
+    size = int(starts[-1]) + 1
+    # No two values share a bit, so sums are exact.
+    words = np.bincount(word, (shifted & np.uint64(0xFFFFFFFF)).astype(float), size)
+    words += np.bincount(word + 1, (shifted >> np.uint64(32)).astype(float), size + 1)[:size]
+    return words.astype(np.uint64).astype("<u4"), starts
 
 
 class _Model:
-    """The adaptive state of each block of a segment. Probabilities are rows of bounds."""
+    """The adaptive state of each block of a segment, as it stands in a stretch."""
 
     def __init__(self, blocks: int) -> None:
-        every = np.arange(blocks)
+        self.blocks, every = blocks, np.arange(blocks, dtype=np.int32)
         self.base2, self.base1 = every * _SLOTS2, every * _SLOTS1
         # A prediction and its trust: 4 * id + trust.
         self.table2 = np.full(blocks * _SLOTS2, -4, np.int32)
         self.table1 = np.full(blocks * _SLOTS1, -4, np.int32)
-        self.held = np.full((3, blocks), -4, np.int32)
-        self.kinds = np.tile(_level(4, _KINDS), (blocks * 3 * _TRUST, 1))
-        self.kind_base = (every * 3 + np.arange(3)[:, None]) * _TRUST
-        self.kind_row = every * 5
-        self.digits = np.tile(_level(16, _DIGITS), (blocks * _NODES, 1))
-        self.p1, self.p2 = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
-
-    def look(self) -> None:
-        """Predictions for the next ids, and the probabilities that they hold."""
-        near = self.p1 * 40503
-        self.at2 = self.base2 + (((near + self.p2 * 2654435) >> 5) & (_SLOTS2 - 1))
-        self.at1 = self.base1 + ((near >> 4) & (_SLOTS1 - 1))
-        self.held[0], self.held[1] = self.table2.take(self.at2), self.table1.take(self.at1)
-        self.guess, self.trust = self.held >> 2, self.held & 3
-        self.rows = self.kind_base + self.trust
-        self.parts = self.kinds.take(self.rows, axis=0)
-        # The mixture: rows add up, so sharper predictions weigh more.
-        self.mixed = self.parts[0] + self.parts[1] + self.parts[2]
-
-    def kind_of(self, ids: np.ndarray) -> np.ndarray:
-        """0, 1, 2: the first order that predicts the id; 3: none does."""
-        hit = self.guess == ids
-        return np.where(hit[0], 0, np.where(hit[1], 1, np.where(hit[2], 2, 3)))
-
-    def bounds(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, flat = self.kind_row + kind, self.mixed.reshape(-1)
-        start = flat.take(at).astype(np.int64)
-        return start, flat.take(at + 1) - start
-
-    def learn(self, kind: np.ndarray, ids: np.ndarray) -> None:
-        self.kinds[self.rows] = self.parts + ((_SURE_KIND.take(kind, axis=0) - self.parts) >> _KIND_RATE)
-        hit = self.guess == ids
-        missed = np.where(self.trust > 1, self.held - 2, (ids << 2).astype(np.int32))
-        self.held = np.where(hit, self.held + (self.trust < _TRUST - 1), missed)
-        self.table2[self.at2], self.table1[self.at1] = self.held[0], self.held[1]
-        self.p1, self.p2 = ids, self.p1
-
-    def learn_digits(self, rows: np.ndarray, parts: np.ndarray, digits: np.ndarray) -> None:
-        self.digits[rows] = parts + ((_SURE_DIGIT.take(digits, axis=0) - parts) >> _DIGIT_RATE)
-
-
-def _bounds(bounds: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, flat = np.arange(len(digit)) * 17 + digit, bounds.reshape(-1)
-    start = flat.take(at).astype(np.int64)
-    return start, flat.take(at + 1) - start
-
-
-def _symbol(bounds: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """How many bounds after the first are at most ``where``: 4 or 16 of them."""
-    below = bounds[:, 1:] <= where[:, None]
-    if below.shape[1] == 4:
-        return np.bitwise_count(below.view(np.uint32)[:, 0]).astype(np.int64)
-    halves = np.bitwise_count(below.view(np.uint64)).astype(np.int64)
-    return halves[:, 0] + halves[:, 1]
+        self.zero = np.full(blocks, -4, np.int32)
+        # What came of predictions, by order and trust; at first, none is believed.
+        self.kinds = np.tile(np.array([1, 1, 1, 5], np.int32), (blocks, 3, _TRUST, 1))
+        for order in range(3):
+            self.kinds[:, order, 1:, order] += 4
+        self.sizes = np.ones((blocks, _SIZES), np.int32)
+        self.row_base, self.kind_base = every * (_TRUST * _TRUST), every * (3 * _TRUST * 4)
+        self.size_base = every * _SIZES
+        self._mix()
+
+    def _mix(self) -> None:
+        """Starts of the kinds for each trust in the order-2 and the order-1 prediction,
+        and of the numbers of bits. Counts add up, so surer orders weigh more."""
+        own = self.kinds[np.arange(self.blocks), 2, self.zero & 3]
+        mixed = self.kinds[:, 0, :, None] + (self.kinds[:, 1] + own[:, None])[:, None]
+        self.kind_starts = _scaled(mixed.reshape(-1, 4), _KIND_BITS)
+        self.size_starts = _scaled(self.sizes, _SIZE_BITS)
+
+    def look(self, p1: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Slots and predictions of orders 2 and 1, and the row of kinds, after the ids
+        ``p1`` and, before it, ``p2`` (unsigned 32-bit, as products wrap)."""
+        near = p1 * np.uint32(40503)
+        far = near + p2 * np.uint32(2654435)
+        at2 = (far >> np.uint32(5) & np.uint32(_SLOTS2 - 1)).view(np.int32) + self.base2
+        at1 = (near >> np.uint32(4) & np.uint32(_SLOTS1 - 1)).view(np.int32) + self.base1
+        held2, held1 = self.table2.take(at2), self.table1.take(at1)
+        row = self.row_base + ((held2 & 3) << 2 | held1 & 3)
+        return at2, at1, held2, held1, row
+
+    def learn(self, ids, kind, at2, at1, held2, held1) -> None:
+        """Take in a stretch: arrays of steps by blocks."""
+        held = (held2, held1, self.zero)
+        own = self.kind_base + kind
+        counts = np.zeros(self.kinds.size, np.int64)
+        for order in range(3):
+            where = own + ((held[order] & 3) << 2 | order << 4)
+            counts += np.bincount(where.ravel(), minlength=self.kinds.size)
+        self.kinds += 4 * counts.reshape(self.kinds.shape).astype(np.int32)
+        self.kinds >>= (self.kinds.sum(-1, keepdims=True) > _MOST).astype(np.int32)
+        np.maximum(self.kinds, 1, out=self.kinds)
+        where = (self.size_base + _size_of(ids))[kind == 3]
+        counts = np.bincount(where, minlength=self.sizes.size).astype(np.int32)
+        self.sizes += 2 * counts.reshape(self.sizes.shape)
+        self.sizes >>= (self.sizes.sum(-1, keepdims=True) > _MOST).astype(np.int32)
+        np.maximum(self.sizes, 1, out=self.sizes)
+        # Of several ids after one context the last stays.
+        for table, at, before in ((self.table2, at2, held2), (self.table1, at1, held1)):
+            table[at.ravel()] = _next(before, ids).ravel()
+        for now in ids[:: STRETCH // 4]:
+            self.zero = _next(self.zero, now)
+        self._mix()
+
+
+def _next(held: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Predictions and trust after an id was met."""
+    trust = held & 3
+    missed = np.where(trust > 1, held - 2, ids << 2)
+    return np.where(held >> 2 == ids, held + (trust < _TRUST - 1), missed)
+
+
+#: The place of the highest bit of each id; 0 for the ids 0 and 1.
+_SIZE_OF = np.repeat(np.arange(16, dtype=np.int32), [2, *(1 << k for k in range(1, 16))])
+
+
+def _size_of(ids: np.ndarray) -> np.ndarray:
+    return _SIZE_OF.take(ids)
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """A segment: blocks of :data:`BLOCK` ids below 65536, each with count and CRC-32.
+    """A segment: blocks of :data:`BLOCK` ids below 65536, each with count, sizes of its
+    two parts and CRC-32.
 
     The last block is filled up with zeros, which cost next to nothing.
     """
@@ -212,36 +252,46 @@ def encode(ids: np.ndarray) -> bytes:
     if not blocks:
         return MAGIC + struct.pack("<I", 0)
     steps = min(n, BLOCK)
-    sizes = np.full(blocks, steps)
-    sizes[-1] = n - steps * (blocks - 1)
-    padded = np.zeros(blocks * steps, np.int64)
+    counts = np.full(blocks, steps)
+    counts[-1] = n - steps * (blocks - 1)
+    padded = np.zeros(blocks * steps, np.int32)
     padded[:n] = ids
     by_block = padded.reshape(blocks, steps)
-    coder, model, all_rows = _Encoder(blocks, _STEPS * steps), _Model(blocks), slice(None)
-    for now in np.ascontiguousarray(by_block.T):
-        model.look()
-        kind = model.kind_of(now)
-        start, size = model.bounds(kind)
-        other = np.flatnonzero(kind == 3)
-        value = now[other]
-        digits = np.stack([value >> 12, value >> 8 & 15, value >> 4 & 15])
-        nodes = np.stack([np.zeros_like(value), 1 + (value >> 12), 17 + (value >> 8)]) + other * _NODES
-        parts = model.digits.take(nodes, axis=0)
-        (s1, z1), (s2, z2), (s3, z3) = (_bounds(parts[k], digits[k]) for k in range(3))
-        own = size[other]
-        start, size = start * _DIGITS, size * _DIGITS
-        start[other] += own * s1
-        size[other] = own * z1
-        coder.put(all_rows, start, size, _FIRST)
-        coder.put(other, (s2 * _DIGITS + z2 * s3) * 16 + z2 * z3 * (value & 15), z2 * z3, _REST)
-        model.learn_digits(nodes, parts, digits)
-        model.learn(kind, now)
+    # Two zeros before the first id, as its context.
+    in_steps = np.zeros((steps + 2, blocks), np.int32)
+    in_steps[2:] = by_block.T
+    before = in_steps.view(np.uint32)
+    coder, model = _Encoder(blocks, steps), _Model(blocks)
+    missed = np.zeros((steps, blocks), bool)
+    for begin in range(0, steps, STRETCH):
+        now = in_steps[begin + 2 : begin + 2 + STRETCH]
+        end = begin + len(now)
+        at2, at1, held2, held1, row = model.look(before[begin + 1 : end + 1], before[begin:end])
+        kind = np.full(now.shape, 3, np.int32)
+        kind[model.zero >> 2 == now] = 2
+        kind[held1 >> 2 == now] = 1
+        kind[held2 >> 2 == now] = 0
+        start, width = _widths(model.kind_starts, row * 4 + kind, kind, 4, _KIND_BITS)
+        start, width = start << _SIZE_BITS, width.astype(np.int64)
+        other = np.equal(kind, 3, out=missed[begin:end])
+        size = _size_of(now)
+        low, wide = _widths(model.size_starts, model.size_base + size, size, _SIZES, _SIZE_BITS)
+        start = (start + np.where(other, width * low, 0)).astype(np.uint64)
+        width = (width * np.where(other, wide, 1 << _SIZE_BITS)).astype(np.uint64)
+        for k in range(len(now)):
+            coder.put(start[k], width[k])
+        model.learn(now, kind, at2, at1, held2, held1)
     streams = coder.finish()
+    owner, step = np.nonzero(np.ascontiguousarray(missed.T))
+    value = by_block[owner, step]
+    bits = np.maximum(_size_of(value), 1)
+    words, at = _pack(np.where(value > 1, value - (1 << _size_of(value)), value), bits, owner, blocks)
+    plain = words[:-1].tobytes()
     heads = b"".join(
-        struct.pack("<III", int(size), len(s), zlib.crc32(row[:size].astype("<u4").tobytes()))
-        for size, s, row in zip(sizes, streams, by_block)
+        struct.pack("<IIII", int(count), len(s), 4 * int(b - a), zlib.crc32(row[:count].astype("<u4").tobytes()))
+        for count, s, row, a, b in zip(counts, streams, by_block, at[:-1], at[1:])
     )
-    return MAGIC + struct.pack("<I", blocks) + heads + b"".join(streams)
+    return MAGIC + struct.pack("<I", blocks) + heads + b"".join(streams) + plain
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -252,62 +302,147 @@ def decode(data: bytes) -> np.ndarray:
     (blocks,) = struct.unpack_from("<I", data, at)
     if not blocks:
         return np.zeros(0, np.int64)
-    heads = [struct.unpack_from("<III", data, at + 4 + 12 * k) for k in range(blocks)]
-    starts = np.cumsum([at + 4 + 12 * blocks, *(h[1] for h in heads)]).tolist()
+    heads = np.frombuffer(data, "<u4", 4 * blocks, at + 4).reshape(blocks, 4).astype(np.int64)
+    starts = np.cumsum([at + 4 + 16 * blocks, *heads[:, 1]]).tolist()
     coder = _Decoder([data[a:b] for a, b in zip(starts, starts[1:])])
-    model, all_rows, every = _Model(blocks), slice(None), np.arange(blocks)
-    ids = np.zeros((heads[0][0], blocks), np.int64)
-    for t in range(len(ids)):
-        model.look()
-        where = coder.peek(all_rows, _FIRST)
-        kind = _symbol(model.mixed, where // _DIGITS)
-        start, size = model.bounds(kind)
-        other = np.flatnonzero(kind == 3)
-        own, base = size[other], other * _NODES
-        start, size = start * _DIGITS, size * _DIGITS
-        n1 = base
-        p1 = model.digits.take(n1, axis=0)
-        d1 = _symbol(p1, (where[other] - start[other]) // own)
-        s1, z1 = _bounds(p1, d1)
-        start[other] += own * s1
-        size[other] = own * z1
-        coder.take(all_rows, start, size)
-
-        where = coder.peek(other, _REST)
-        n2 = base + 1 + d1
-        p2 = model.digits.take(n2, axis=0)
-        d2 = _symbol(p2, where // (_DIGITS * 16))
-        s2, z2 = _bounds(p2, d2)
-        where = (where - s2 * _DIGITS * 16) // z2
-        n3 = base + 17 + 16 * d1 + d2
-        p3 = model.digits.take(n3, axis=0)
-        d3 = _symbol(p3, where // 16)
-        s3, z3 = _bounds(p3, d3)
-        d4 = (where - s3 * 16) // z3
-        coder.take(other, (s2 * _DIGITS + z2 * s3) * 16 + z2 * z3 * d4, z2 * z3)
-        model.learn_digits(np.stack([n1, n2, n3]), np.stack([p1, p2, p3]), np.stack([d1, d2, d3]))
-
-        now = model.guess[np.minimum(kind, 2), every].astype(np.int64)
-        now[other] = ((d1 * 16 + d2) * 16 + d3) * 16 + d4
-        model.learn(kind, now)
-        ids[t] = now
-    by_block = np.ascontiguousarray(ids.T)
-    for (size, _, crc), row in zip(heads, by_block):
-        if zlib.crc32(row[:size].astype("<u4").tobytes()) != crc:
+    plain = np.frombuffer(data[starts[-1] :].ljust(4 * int(heads[:, 2].sum() // 4) + 8, b"\0")[: 4 * int(heads[:, 2].sum() // 4) + 8], "<u4")
+    # Every pair of neighbouring words, so that any value is in one of them.
+    pairs = plain[:-1].astype(np.uint64) | plain[1:].astype(np.uint64) << np.uint64(32)
+    bit = 32 * np.cumsum(np.append(0, heads[:-1, 2] // 4))
+    last = 32 * len(pairs) - 1
+    model, steps = _Model(blocks), int(heads[0, 0])
+    ids = np.zeros((steps + 2, blocks), np.int32)
+    before = ids.view(np.uint32)
+    four = np.arange(0, 4 * blocks, 4)
+    for begin in range(0, steps, STRETCH):
+        length = min(STRETCH, steps - begin)
+        seen = [np.zeros((length, blocks), np.int32) for _ in range(5)]
+        guess0 = model.zero >> 2
+        sizes = model.size_starts.astype(np.uint16)
+        for k in range(length):
+            t = begin + k + 2
+            at2, at1, held2, held1, row = model.look(before[t - 1], before[t - 2])
+            share = coder.range >> _BITS
+            starts = model.kind_starts.take(row, axis=0)
+            wide = starts.astype(np.uint64)
+            wide *= (share << np.uint64(_SIZE_BITS))[:, None]
+            below = wide <= coder.code[:, None]
+            kind = np.bitwise_count(below.view(np.uint32)[:, 0]).astype(np.int32) - np.int32(1)
+            start, width = _widths(starts, four + kind, kind, 4, _KIND_BITS)
+            start, width = start.astype(np.uint64) << np.uint64(_SIZE_BITS), width.astype(np.uint64)
+            now = np.where(kind == 0, held2 >> 2, np.where(kind == 1, held1 >> 2, guess0))
+            other = np.flatnonzero(kind == 3)
+            own = width[other]
+            width *= _SCALE
+            part = share[other]
+            where = (coder.code[other] - part * start[other]) // (part * own)
+            where = np.minimum(where, _SCALE - np.uint64(1))
+            levels = sizes.take(other, axis=0)
+            fits = (levels <= where.astype(np.uint16)[:, None]).view(np.uint64)
+            size = np.bitwise_count(fits).sum(1, dtype=np.int32) - np.int32(1)
+            low, span = _widths(levels, np.arange(0, _SIZES * len(other), _SIZES) + size, size, _SIZES, _SIZE_BITS)
+            start[other] += own * low
+            width[other] = own * span.astype(np.uint64)
+            coder.take(share, start, width)
+            place = bit[other]
+            free = np.maximum(size, 1)
+            rest = pairs.take(place >> 5) >> (place & 31).astype(np.uint64)
+            now[other] = (rest & ((1 << free) - 1).astype(np.uint64)).astype(np.int32) + np.where(size > 0, 1 << size, 0)
+            bit[other] = np.minimum(place + free, last)
+            ids[t] = now
+            for kept, made in zip(seen, (kind, at2, at1, held2, held1)):
+                kept[k] = made
+        model.learn(ids[begin + 2 : begin + 2 + length], *seen)
+    by_block = np.ascontiguousarray(ids[2:].T)
+    counts, sums = heads[:, 0].tolist(), heads[:, 3].tolist()
+    for count, crc, row in zip(counts, sums, by_block):
+        if zlib.crc32(row[:count].astype("<u4").tobytes()) != crc:
             raise ValueError("a block of token ids does not match its checksum")
-    return np.concatenate([row[:size] for row, (size, _, _) in zip(by_block, heads)])
+    return np.concatenate([row[:count] for row, count in zip(by_block, counts)]).astype(np.int64)
 
 
 #: Characters that Python takes for white space and the tokenizers library does not.
 _SEPARATOR, _SPACED = re.compile("[\x1c-\x1f]"), re.compile("(?:\\S|[\x1c-\x1f])+")
 
 
+#: Texts of these characters only are cut into pieces without the library: their lower
+#: case and normal form are plain, and the library's pattern is known to cut them so.
+_PLAIN = re.compile("[ -&(-~\t\n\rÀ-ÖØ-öø-ÿ]*")  # no apostrophe, which the pattern treats apart
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: 0: white space, 1: letter, 2: digit, 3: another mark, of the characters below 256.
+_KIND_OF = np.array(
+    [0 if chr(k) in " \t\n\r" else 2 if 48 <= k < 58 else 1 if chr(k).isalpha() else 3 for k in range(256)],
+    np.uint8,
+)
+
+
+class _PieceTable:
+    """Ids of pieces by 64-bit hashes of theirs, sorted, in a main and a recent part.
+
+    A hash adds up random numbers, one per character and place, so that two given
+    pieces share one with chance 2**-64 whatever they are.
+    """
+
+    LONGEST = 64
+    RECENT = 1 << 16
+
+    def __init__(self) -> None:
+        draw = np.random.Generator(np.random.PCG64(20))
+        self.numbers = draw.integers(0, 1 << 64, (256, self.LONGEST), np.uint64).ravel()
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def __len__(self) -> int:
+        return sum(len(hashes) for hashes, _, _ in self.parts)
+
+    def hashes(self, text: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """Of the bytes between each two cuts, at most LONGEST of them."""
+        sizes = np.diff(cuts)
+        place = np.arange(len(text), dtype=np.int32) - np.repeat(cuts[:-1].astype(np.int32), sizes)
+        np.minimum(place, self.LONGEST - 1, out=place)
+        place += text.astype(np.int32) * self.LONGEST
+        return np.add.reduceat(self.numbers.take(place), cuts[:-1])
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each hash start, and their number; -1 where it is new."""
+        start, size = np.full(len(wanted), -1), np.zeros(len(wanted), np.int64)
+        for hashes, starts, sizes in self.parts:
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+                hit = hashes[at] == wanted
+                start[hit], size[hit] = starts[at[hit]], sizes[at[hit]]
+        return start, size
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New hashes with their ids, one after the other."""
+        end = self.used + len(ids)
+        while end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : end] = ids
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used = end
+        (main, recent), new = self.parts, (hashes, starts, sizes)
+        recent = self._joined(recent, new)
+        if len(recent[0]) > self.RECENT:
+            main, recent = self._joined(main, recent), tuple(x[:0] for x in recent)
+        self.parts = [main, recent]
+
+    @staticmethod
+    def _joined(a, b):
+        both = [np.concatenate(x) for x in zip(a, b)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)
+
+
 class WordEncoder:
     """A tokenizer of the ``tokenizers`` library that drops white space, and the ids
     of the words it has met. Words are encoded apart, which gives the ids of the whole
     text, because no token goes across white space."""
 
-    MAX_KNOWN = 1_000_000
+    MAX_KNOWN, MAX_PIECES = 300_000, 4_000_000
     #: New words that are encoded as one text.
     TOGETHER = 200
     CUT = "\x1c"
@@ -315,15 +450,42 @@ class WordEncoder:
     def __init__(self, path: str) -> None:
         # Spark runs the tasks side by side; further threads only wait for each other.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.pieces = _PieceTable()
+        # The same model, for pieces that are in lower case and cut already.
+        self.of_pieces, self.closes = Tokenizer(self.tokenizer.model), None
+        self.of_pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        if self._cuts_as_known():
+            suffix, words = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab()
+            self.closes = np.zeros(max(words.values(), default=0) + 1, bool)
+            self.closes[[i for word, i in words.items() if word.endswith(suffix)]] = True
         # Between new words stands a character that no other one shares its id with.
         ids = self.tokenizer.encode(self.CUT, add_special_tokens=False).ids
         self.cut_id = ids[0] if len(ids) == 1 else None
         added = self.tokenizer.get_added_tokens_decoder()
-        self.marks = re.compile("|".join(map(re.escape, [self.CUT, *(t.content for t in added.values())])))
+        self.special = [t.content for t in added.values()]
+        self.marks = re.compile("|".join(map(re.escape, [self.CUT, *self.special])))
+
+    def _cuts_as_known(self) -> bool:
+        """Whether the tokenizer lower-cases and cuts texts as :meth:`_plain` does."""
+        stated = json.loads(self.tokenizer.to_str())
+        steps = (stated["normalizer"] or {}).get("normalizers", [])
+        cuts = (stated["pre_tokenizer"] or {}).get("pretokenizers", [])
+        first = cuts[0] if cuts else {}
+        return (
+            [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+            and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+            and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and first["pattern"] == {"Regex": _PATTERN} and first["behavior"] == "Removed" and first["invert"]
+            and not cuts[1]["use_regex"] and not cuts[1]["add_prefix_space"]
+            and stated["model"]["type"] == "BPE" and bool(stated["model"]["end_of_word_suffix"])
+            and stated["post_processor"] is None
+        )
 
     def _learn(self, new: list[str]) -> None:
         """The ids of words that have not been met."""
@@ -347,14 +509,82 @@ class WordEncoder:
                 ends = [*(4 * cuts).tolist(), len(packed)]
                 self.known.update((w, packed[s:e]) for w, s, e in zip(part, starts, ends))
 
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and how many each has. Many are encoded in
+        one text: the last token of a piece tells that it ends there."""
+        lines = [" ".join(pieces[k : k + self.TOGETHER]) for k in range(0, len(pieces), self.TOGETHER)]
+        made = []
+        for begin in range(0, len(lines), 100):
+            found = self.of_pieces.encode_batch_fast(lines[begin : begin + 100], add_special_tokens=False)
+            made += [np.array(encoded.ids, np.uint32) for encoded in found]
+        ids = np.concatenate(made) if made else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("the tokenizer does not keep pieces apart")
+        return ids, np.diff(ends, prepend=0)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts without apostrophes, whose pieces are runs of letters or of
+        marks and single digits."""
+        # A line end belongs to no piece, so it keeps the texts apart.
+        low = "\n".join(texts).lower()
+        text = np.frombuffer(low.encode("latin-1"), np.uint8)
+        kinds = _KIND_OF[text]
+        edge = np.empty(len(kinds), bool)
+        edge[0] = True
+        np.not_equal(kinds[1:], kinds[:-1], out=edge[1:])
+        edge |= kinds == 2  # every digit is a piece
+        cuts = np.append(np.flatnonzero(edge), len(text))
+        piece = np.flatnonzero(kinds[cuts[:-1]])
+        starts, ends = cuts[piece], cuts[piece + 1]
+        table = self.pieces
+        if len(table) > self.MAX_PIECES:
+            table.clear()
+        hashes, first, back = np.unique(table.hashes(text, cuts)[piece], return_index=True, return_inverse=True)
+        at, size = table.find(hashes)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            names = [low[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            table.add(hashes[new], *self._ids_of(names))
+            at, size = table.find(hashes)
+        sizes, at = size[back], at[back]
+        # What is longer than the hash sees is encoded alone.
+        for k in np.flatnonzero(ends - starts > table.LONGEST).tolist():
+            ids, _ = self._ids_of([low[starts[k] : ends[k]]])
+            table.add(np.zeros(0, np.uint64), ids, np.zeros(0, np.int64))
+            at[k], sizes[k] = table.used - len(ids), len(ids)
+        upto = np.cumsum(sizes)
+        flat = table.ids.take(np.arange(upto[-1] if len(upto) else 0) + np.repeat(at - upto + sizes, sizes))
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        bounds = np.append(0, upto)[np.searchsorted(starts, begins)]
+        packed = flat.astype("<u4").tobytes()
+        return [packed[4 * a : 4 * b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [_SPACED.findall(t) if t and _SEPARATOR.search(t) else (t or "").split() for t in texts]
+        """Ids of each text as little-endian unsigned 32-bit integers.
+
+        A plain text is cut into pieces here and each new piece is encoded by the
+        library; of other texts each new word is, with all that the library does to it.
+        """
         if len(self.known) > self.MAX_KNOWN:
             self.known.clear()
-        self._learn(list(set().union(*split) - self.known.keys()))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        out: list[bytes] = [b""] * len(texts)
+        plain, other = [], []
+        for k, text in enumerate(texts):
+            if text:
+                fast = self.closes is not None and _PLAIN.fullmatch(text) and not any(m in text for m in self.special)
+                (plain if fast else other).append(k)
+        if plain:
+            for k, packed in zip(plain, self._plain([texts[k] for k in plain])):
+                out[k] = packed
+        split = [_SPACED.findall(t) if _SEPARATOR.search(t) else t.split() for t in map(texts.__getitem__, other)]
+        known = self.known
+        # Not a difference with the keys, which would go through all of them.
+        self._learn([w for w in set().union(*split) if w not in known])
+        get = known.__getitem__
+        for k, words in zip(other, split):
+            out[k] = b"".join(map(get, words))
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -372,7 +602,8 @@ def write_ids(
     ids first), so each file holds a stretch of the order and file ``shard`` follows
     ``shard - 1``. A row of a file is a segment: ``shard``, ``segment``, ``doc_ids``,
     ``counts`` (ids of each document with its end id), ``ids`` (see :func:`encode`).
-    Null and empty texts are a lone end id. A lost task is run again and writes the
+    Null and empty texts are a lone end id; ids of 65536 and more raise ``ValueError``.
+    A lost task is run again and writes the
     same rows; Spark commits the files of each task once.
     """
     ordered = (
@@ -410,19 +641,17 @@ def write_ids(
             ids.clear(), owners.clear(), counts.clear()
             return row
 
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                shard = batch.column(0)[0].as_py()
-                made = encoder.encode(batch.column(2).to_pylist())
-                for k, packed in enumerate(made):
-                    ids.append(packed + end)
-                    owners.append(batch.column(1).slice(k, 1))
-                    counts.append(len(packed) // 4 + 1)
-                    waiting += counts[-1]
-                    if waiting >= SEGMENT:
-                        yield finish()
-                        segment, waiting = segment + 1, 0
+        for batch in (part for whole in batches for part in in_slices(whole, 2)):
+            shard = batch.column(0)[0].as_py()
+            made = encoder.encode(batch.column(2).to_pylist())
+            for k, packed in enumerate(made):
+                ids.append(packed + end)
+                owners.append(batch.column(1).slice(k, 1))
+                counts.append(len(packed) // 4 + 1)
+                waiting += counts[-1]
+                if waiting >= SEGMENT:
+                    yield finish()
+                    segment, waiting = segment + 1, 0
         if counts:
             yield finish()
 
@@ -444,32 +673,32 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, segment, owners, counts, data = (batch.column(c)[row] for c in range(5))
+                first, owners, counts, data = (batch.column(c)[row] for c in range(4))
                 numbers = decode(data.as_py()).astype("<u4")
-                ends = np.cumsum(np.array(counts.as_py(), np.int64))
+                ends = np.cumsum(counts.values.to_numpy())
                 starts = np.append(0, ends[:-1])
                 if len(numbers) != ends[-1]:
                     raise ValueError("a segment does not have as many ids as its documents")
-                n = len(ends)
-                for a in range(0, n, 2000):
-                    b = min(a + 2000, n)
+                packed = numbers.tobytes()
+                for a in range(0, len(ends), 2000):
+                    part = slice(a, min(a + 2000, len(ends)))
+                    made = [packed[4 * s : 4 * e] for s, e in zip(starts[part].tolist(), ends[part].tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([shard.as_py()] * (b - a), pa.int32()),
-                            pa.array([segment.as_py()] * (b - a), pa.int32()),
-                            pa.array(starts[a:b]),
-                            owners.values[a:b],
-                            pa.array([numbers[s:e].tobytes() for s, e in zip(starts[a:b], ends[a:b])], pa.binary()),
+                            owners.values[part], pa.array(starts[part] + first.as_py()),
+                            pa.array(ends[part] - starts[part]), pa.array(made, pa.binary()),
                         ],
-                        ["shard", "segment", "ahead", "doc_id", "ids"],
+                        ["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    documents = files.select("shard", "segment", "doc_ids", "counts", "ids").mapInArrow(
-        run, f"shard int, segment int, ahead bigint, doc_id {kind}, ids binary"
-    )
-    # Where each segment starts: sums within a shard, and over one row per shard.
-    sizes = files.select(
-        "shard", "segment", F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, c: s + c).alias("size")
+    # Where each segment starts: sums within a shard, and over one row per shard. The
+    # segments meet their starts before they are decoded; the table of starts has a size
+    # that Spark knows, so a small one is broadcast and nothing is shuffled.
+    sizes = stage(
+        files.select(
+            "shard", "segment", F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, c: s + c).alias("size")
+        ),
+        "segment_sizes",
     )
     before = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shards = sizes.groupBy("shard").agg(F.sum("size").alias("size"))
@@ -477,13 +706,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     segments = sizes.select(
         "shard", "segment", before(Window.partitionBy("shard").orderBy("segment")).alias("segment_start")
     )
-    return (
-        documents.join(segments, ["shard", "segment"])
-        .join(shards, "shard")
-        .select(
-            "doc_id",
-            (F.col("shard_start") + F.col("segment_start") + F.col("ahead")).alias("start"),
-            (F.length("ids") / 4).cast("long").alias("n_tokens"),
-            "ids",
-        )
+    starts = stage(
+        segments.join(shards, "shard").select(
+            "shard", "segment", (F.col("shard_start") + F.col("segment_start")).alias("first")
+        ),
+        "segment_starts",
     )
+    placed = files.join(starts, ["shard", "segment"]).select("first", "doc_ids", "counts", "ids")
+    return placed.mapInArrow(run, f"doc_id {kind}, start bigint, n_tokens bigint, ids binary")
