@@ -14,11 +14,14 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .common import in_slices
+
 #: Pre-tokens of a leaf when it is made.
 LEAF = 64
 #: Pre-tokens before an edit that are encoded again: the one it touches, and one more
@@ -197,14 +200,177 @@ def apply_edits(text: str, edits: Sequence[Edit], counter: Counter) -> tuple[int
     for the edits. Edits are positions in the given text and are applied from the last
     to the first; of two that overlap, the part that a later one has replaced stays."""
     tree = TokenTree(text, counter)
-    before, pieces, again = tree.tokens, tree.encoded, 0
-    limit = len(text)
+    before, pieces = tree.tokens, tree.encoded
+    again = apply(tree, edits)
+    return before, tree.tokens, pieces, again
+
+
+class LeafTree:
+    """A document with its tree: per leaf the characters, tokens and pre-tokens, and sums
+    of characters and tokens over the leaves. Unlike a :class:`TokenTree` it does not
+    know the pre-tokens, so it is small enough to be stored with every document; an edit
+    encodes again the leaves it touches and the one before them.
+    """
+
+    def __init__(self, text: str, chars, tokens, pieces, counter: Counter) -> None:
+        self.text, self.counter, self.encoded = text, counter, 0
+        self.leaves = np.array([chars, tokens, pieces], np.int64).reshape(3, -1)
+        self._sum()
+
+    @classmethod
+    def of(cls, text: str, counter: Counter) -> LeafTree:
+        """The tree of a text that has none yet."""
+        return cls(text, *_leaves(counter.split(text), counter), counter)
+
+    def _sum(self) -> None:
+        """Subtree sums, the root's at 1."""
+        n = self.leaves.shape[1]
+        self.width = 1 << max(n - 1, 0).bit_length()
+        self.sums = np.zeros((2 * self.width, 2), np.int64)
+        self.sums[self.width : self.width + n] = self.leaves[:2].T
+        low = self.width
+        while low > 1:
+            self.sums[low // 2 : low] = self.sums[low : 2 * low].reshape(-1, 2, 2).sum(1)
+            low //= 2
+
+    @property
+    def tokens(self) -> int:
+        return int(self.sums[1, 1])
+
+    @property
+    def pieces(self) -> int:
+        return int(self.leaves[2].sum())
+
+    def _leaf(self, position: int) -> tuple[int, int]:
+        """The leaf that holds a character, and where the leaf starts."""
+        node, start = 1, 0
+        while node < self.width:
+            node *= 2
+            if position >= start + self.sums[node, 0] and self.sums[node + 1, 0] > 0:
+                start += int(self.sums[node, 0])
+                node += 1
+        return node - self.width, start
+
+    def edit(self, start: int, end: int, replacement: str) -> int:
+        """Replace characters ``start`` to ``end`` (exclusive); returns the number of
+        pre-tokens that were encoded for it."""
+        size = len(self.text)
+        start, end = min(max(start, 0), size), min(max(end, start, 0), size)
+        if start == end and not replacement:
+            return 0
+        text = self.text[:start] + replacement + self.text[end:]
+        moved = len(replacement) - (end - start)
+        first, at = self._leaf(max(start - 1, 0))
+        if first > 0:  # its pre-tokens are the context of what is touched
+            first -= 1
+            at -= int(self.leaves[0, first])
+        count = self.leaves.shape[1]
+        # Old pre-tokens fit again where a leaf starts behind the edit.
+        last, boundary = first, at
+        new: list[str] = []
+        for match in self.counter.pattern.finditer(text, at):
+            new.append(match[0])
+            while last < count and (boundary < end or boundary + moved < match.end()):
+                boundary += int(self.leaves[0, last])
+                last += 1
+            if boundary >= end and boundary + moved == match.end():
+                break
+        else:
+            last = count
+        made = np.array(_leaves(new, self.counter), np.int64).reshape(3, -1)
+        self.text = text
+        same = last - first == made.shape[1]
+        if same and made.shape[1]:
+            self.leaves[:, first:last] = made
+            nodes = np.arange(self.width + first, self.width + last)
+            self.sums[nodes] = made[:2].T
+            while nodes[0] > 1:  # only the sums on the way to the root
+                nodes = np.unique(nodes // 2)
+                self.sums[nodes] = self.sums[2 * nodes] + self.sums[2 * nodes + 1]
+        else:
+            self.leaves = np.concatenate([self.leaves[:, :first], made, self.leaves[:, last:]], axis=1)
+            self._sum()
+        self.encoded += len(new)
+        return len(new)
+
+
+def _leaves(pieces: list[str], counter: Counter) -> tuple[list[int], list[int], list[int]]:
+    """Characters, tokens and pre-tokens of leaves of so many pre-tokens."""
+    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    tokens = np.array(counter.count(pieces), np.int64)
+    starts = np.arange(0, len(pieces), LEAF)
+    if not len(starts):
+        return [], [], []
+    sizes = np.diff(np.append(starts, len(pieces)))
+    return np.add.reduceat(chars, starts).tolist(), np.add.reduceat(tokens, starts).tolist(), sizes.tolist()
+
+
+#: A stored tree: characters, tokens and pre-tokens of each leaf.
+TREE = "struct<chars: array<int>, tokens: array<int>, pieces: array<int>>"
+
+
+def tree(text: Column, path: str, pattern: str) -> Column:
+    """The tree of a text, to be stored with it: of type :data:`TREE`. A null text has
+    the tree of an empty one, which has no leaves."""
+
+    @F.arrow_udf(TREE)
+    def run(texts: pa.Array) -> pa.Array:
+        own, made = counter(path, pattern), []
+        for part in in_slices(pa.RecordBatch.from_arrays([texts], ["text"]), 0):
+            made += [_leaves(own.split(t), own) if t else ([], [], []) for t in part.column(0).to_pylist()]
+        return _trees(made)
+
+    return run(text)
+
+
+def _trees(made: list) -> pa.Array:
+    columns = [pa.array([m[k] for m in made], pa.list_(pa.int32())) for k in range(3)]
+    return pa.StructArray.from_arrays(columns, ["chars", "tokens", "pieces"])
+
+
+def edit_stored(text: Column, stored: Column, edits: Column, path: str, pattern: str) -> Column:
+    """A text and its stored tree after edits: struct of ``text``, ``tree`` (both to be
+    stored again), ``n_tokens`` before and ``n_tokens_edited`` after, ``n_pretokens`` and
+    ``n_reencoded``, the pre-tokens that were encoded for the edits.
+
+    Nothing of the text is encoded but what the edits touch, and the leaves around it.
+    ``edits`` is of type :data:`EDITS`, as for :func:`count_edited`.
+    """
+
+    @F.arrow_udf(
+        f"struct<text: string, tree: {TREE}, n_tokens: bigint, n_tokens_edited: bigint,"
+        " n_pretokens: bigint, n_reencoded: bigint>"
+    )
+    def run(texts: pa.Array, trees: pa.Array, changes: pa.Array) -> pa.Array:
+        own = counter(path, pattern)
+        out, made, numbers = [], [], []
+        for part in in_slices(pa.RecordBatch.from_arrays([texts, trees, changes], ["t", "s", "e"]), 0):
+            for t, known, es in zip(*(part.column(k).to_pylist() for k in range(3))):
+                held = LeafTree(t or "", known["chars"], known["tokens"], known["pieces"], own)
+                row = [held.tokens, 0, held.pieces, 0]
+                apply(held, [_edit(e) for e in es or [] if e])
+                row[1], row[3] = held.tokens, held.encoded
+                out.append(held.text), made.append(held.leaves.tolist()), numbers.append(row)
+        table = np.array(numbers, np.int64).reshape(-1, 4)
+        return pa.StructArray.from_arrays(
+            [pa.array(out, pa.string()), _trees(made), *[pa.array(table[:, k]) for k in range(4)]],
+            ["text", "tree", "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded"],
+        )
+
+    return run(text, stored, edits)
+
+
+def apply(held: TokenTree | LeafTree, edits: Sequence[Edit]) -> int:
+    """Apply edits, whose positions are those of the text before any, from the last to
+    the first; of two that overlap, the part that a later one has replaced stays.
+    Returns the pre-tokens that were encoded."""
+    again, limit = 0, len(held.text)
     for start, end, replacement in sorted(edits, key=lambda e: (e[0], e[1], e[2]), reverse=True):
         start = min(max(start, 0), limit)
         end = min(max(end, start), limit)
-        again += tree.edit(start, end, replacement)
+        again += held.edit(start, end, replacement)
         limit = start
-    return before, tree.tokens, pieces, again
+    return again
 
 
 _COUNTS = StructType(
