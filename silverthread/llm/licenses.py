@@ -1,9 +1,9 @@
 """License scans: look up canonical digests of texts among those of known licenses.
 
 A text is brought into a canonical form, in which wrapping, case, punctuation,
-copyright lines and equivalent spellings make no difference; its digest is looked up
-among those of known licenses. So are the digests of its runs of consecutive lines,
-since licenses also stand inside documents.
+copyright lines and equivalent spellings make no difference; its digest is joined with
+those of known licenses. So are the digests of its runs of consecutive lines, since
+licenses also stand inside documents.
 """
 
 from __future__ import annotations
@@ -11,10 +11,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
+
+from .common import content_id, in_slices, stage
 
 # Spellings that count as equal, the first replaced by the second.
 EQUIVALENT = {
@@ -79,15 +82,71 @@ http://www.apache.org/licenses/LICENSE-2.0
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 _MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
-KNOWN: list[tuple[str, str]] = [
-    ("MIT", _MIT_TERMS),
-    ("MIT", "MIT License\n\n" + _MIT_TERMS),
-    ("MIT", "The MIT License (MIT)\n\n" + _MIT_TERMS),
+_BSD_2_TERMS = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+"""
+_BSD_3_CLAUSE = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+"""
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_0BSD_TERMS = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+""" + _ISC_TERMS.split("\n\n", 1)[1]
+_MIT_0_TERMS = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.
+
+""" + _MIT_TERMS.rsplit("\n\n", 1)[1]
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+_GPL_3_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""
+_GPL_2_NOTICE = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."""
+
+#: Whole licenses, with and without the title that they go by.
+FULL: list[tuple[str, str]] = [
+    (name, title + text)
+    for name, titles, text in (
+        ("MIT", ("MIT License", "The MIT License (MIT)", "The MIT License"), _MIT_TERMS),
+        ("MIT-0", ("MIT No Attribution",), _MIT_0_TERMS),
+        ("ISC", ("ISC License",), _ISC_TERMS),
+        ("0BSD", ("BSD Zero Clause License", "Zero-Clause BSD"), _0BSD_TERMS),
+        ("BSD-2-Clause", ("BSD 2-Clause License",), _BSD_2_TERMS + _BSD_DISCLAIMER),
+        ("BSD-3-Clause", ("BSD 3-Clause License",), _BSD_2_TERMS + _BSD_3_CLAUSE + _BSD_DISCLAIMER),
+        ("Unlicense", ("The Unlicense",), _UNLICENSE),
+        ("Zlib", ("zlib License",), _ZLIB),
+    )
+    for title in ("", *(t + "\n\n" for t in titles))
+]
+#: Notices and statements that name a license.
+NOTICES: list[tuple[str, str]] = [
+    ("GPL-3.0-or-later", _GPL_3_NOTICE),
+    ("GPL-3.0-or-later", _GPL_3_NOTICE.split("\n\n")[0]),
+    ("GPL-2.0-or-later", _GPL_2_NOTICE),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
-    ("ISC", _ISC_TERMS),
-    ("ISC", "ISC License\n\n" + _ISC_TERMS),
     ("Apache-2.0", _APACHE_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."),
@@ -113,6 +172,12 @@ KNOWN: list[tuple[str, str]] = [
     ],
 ]
 
+KNOWN: list[tuple[str, str]] = [*FULL, *NOTICES]
+
+#: First words with sizes of known forms that a pass over the documents looks for; more
+#: of them go in several passes.
+GATES_AT_ONCE = 200_000
+
 _LEAD = r"^(?:(?![\n©])[\W_])*"
 #: Lines that state a copyright: a year, a (c) or a place for the holder follows.
 _STATEMENT = re.compile(
@@ -134,12 +199,16 @@ _FIRSTS = {first for first, _ in _PAIRS}
 
 
 def known_licenses(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The built-in texts as ``license``, ``text``, and those of the Parquet table at
-    ``path``, such as the full texts of licenses."""
-    built_in = spark.createDataFrame(KNOWN, "license string, text string")
+    """The built-in texts as ``license``, ``text`` and ``whole`` (whether the text is a
+    license; if not, it is a notice or statement of one), and those of the Parquet table
+    at ``path``, by default licenses."""
+    rows = [(*k, True) for k in FULL] + [(*k, False) for k in NOTICES]
+    built_in = spark.createDataFrame(rows, "license string, text string, whole boolean")
     if path is None:
         return built_in
-    return built_in.unionByName(spark.read.parquet(path).select("license", "text"))
+    table = spark.read.parquet(path)
+    whole = F.col("whole") if "whole" in table.columns else F.lit(True)
+    return built_in.unionByName(table.select("license", "text", whole.alias("whole")))
 
 
 def without_copyright(text: str) -> list[str]:
@@ -189,94 +258,116 @@ def digest(words: list[str]) -> bytes:
     return hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest()
 
 
-class Known:
-    """Digests of known forms, and the sizes of those that begin with a word."""
+def candidates(text: str | None, sizes: dict[str, list[int]]) -> list[tuple[bytes, bool]]:
+    """Digests of the text's runs of lines that begin and end as some known form, each
+    with whether the run is the whole text."""
+    found = set()
+    for tokens in (t for clean in without_copyright(text or "") for t in canonical(clean)):
+        if sizes.keys().isdisjoint(tokens):
+            continue
+        words, ends = [], {0}
+        for token in tokens:
+            if token == "\n":
+                ends.add(len(words))
+            else:
+                words.append(token)
+        ends.add(len(words))
+        for start in ends - {len(words)}:
+            for size in sizes.get(words[start], ()):
+                if start + size in ends:
+                    found.add((digest(words[start : start + size]), size == len(words)))
+    return sorted(found)
+
+
+def known_forms(known: DataFrame) -> DataFrame:
+    """``digest``, ``first`` word, ``size`` in words, ``license`` and ``whole`` of each
+    canonical form; of several licenses with one digest the first by name."""
+    whole = F.col("whole") if "whole" in known.columns else F.lit(True)
+    rows = known.select(F.col("license").cast("string"), F.col("text").cast("string"), whole.cast("boolean"))
 
-    def __init__(self, rows: list[tuple[str, bytes, str, int]]) -> None:
-        self.licenses: dict[bytes, str] = {}
-        sizes: dict[str, set[int]] = {}
-        for license_, digest_, first, size in rows:
-            self.licenses[digest_] = min(license_, self.licenses.get(digest_, license_))
-            sizes.setdefault(first, set()).add(size)
-        self.sizes = {first: sorted(found) for first, found in sizes.items()}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for every in batches for part in in_slices(every, 1)):
+            made = []
+            for license_, text, is_whole in zip(*(c.to_pylist() for c in batch.columns)):
+                words = [w for w in canonical(without_copyright(text or "")[0])[0] if w != "\n"]
+                if words and license_ is not None:
+                    made.append((digest(words), words[0], len(words), license_, bool(is_whole)))
+            columns = list(zip(*made)) or [()] * 5
+            kinds = (pa.binary(), pa.string(), pa.int64(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["digest", "first", "size", "license", "whole"]
+            )
 
-    def scan(self, text: str | None) -> tuple[str | None, list[str]]:
-        """The license of the whole text, and those of its runs of lines."""
-        whole, found = None, set()
-        for tokens in (t for clean in without_copyright(text or "") for t in canonical(clean)):
-            if self.sizes.keys().isdisjoint(tokens):
-                continue
-            words, ends = [], {0}
-            for token in tokens:
-                if token == "\n":
-                    ends.add(len(words))
-                else:
-                    words.append(token)
-            ends.add(len(words))
-            for start in ends - {len(words)}:
-                for size in self.sizes.get(words[start], ()):
-                    if start + size in ends:
-                        license_ = self.licenses.get(digest(words[start : start + size]))
-                        if license_ is not None:
-                            found.add(license_)
-                            whole = license_ if whole is None and size == len(words) else whole
-        return whole, sorted(found)
-
-
-def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = []
-        for license_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = [w for w in canonical(without_copyright(text or "")[0])[0] if w != "\n"]
-            if words and license_ is not None:
-                made.append((license_, digest(words), words[0], len(words)))
-        columns = list(zip(*made)) or [()] * 4
-        kinds = (pa.string(), pa.binary(), pa.string(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["license", "digest", "first", "size"]
-        )
+    forms = rows.mapInArrow(run, "digest binary, first string, size bigint, license string, whole boolean")
+    least = F.min(F.struct("license", "whole")).alias("of")
+    return forms.groupBy("digest").agg(F.first("first").alias("first"), F.first("size").alias("size"), least).select(
+        "digest", "first", "size", "of.license", "of.whole"
+    )
 
 
 def scan_licenses(
     docs: DataFrame, known: DataFrame, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``license`` of the whole text, ``licenses``.
+    """Per row of ``docs``: ``doc_id``, ``license`` of the whole text, ``licenses``, and
+    ``full``.
 
     ``license`` is the license whose canonical digest the whole text has, null if
-    none; ``licenses`` are those of the text and its runs of consecutive lines (a line,
-    a paragraph, several of either), sorted, each once. ``known`` has ``license`` and
-    ``text``; of several licenses with one digest the first by name counts. Null and
-    empty texts have none, and so has a known text without words. Repeated rows come out
-    as often as given; other columns are not used.
-
-    Only runs that begin with the first word of a known form and are as long are hashed.
-    The digests of the known licenses, a bounded list, are broadcast.
+    none (of several forms of the text the first by name); ``licenses`` are those of the
+    text and its runs of consecutive lines (a line, a paragraph, several of either),
+    sorted, each once; ``full`` those of them that stand there as whole licenses, not
+    as notices. ``known`` has ``license``, ``text`` and perhaps ``whole``; see
+    :func:`known_licenses`. Null and empty texts have none, and so has a known text without
+    words. Repeated rows come out as often as given; other columns are not used.
+
+    Only runs that begin with the first word of a known form and are as long are hashed;
+    their digests meet those of the known forms in a join. What the workers hold is the
+    first words and sizes, :data:`GATES_AT_ONCE` at a time, with a pass for each so many.
     """
-    schema = StructType(
-        [
-            StructField("doc_id", docs.schema[doc_id].dataType),
-            StructField("license", StringType()),
-            StructField("licenses", ArrayType(StringType())),
-        ]
+    spark = docs.sparkSession
+    source = docs.select(
+        F.col(doc_id).alias("doc_id"), content_id(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text")
     )
-    rows = (
-        known.select(F.col("license").cast("string"), F.col("text").cast("string"))
-        .mapInArrow(_forms, "license string, digest binary, first string, size bigint")
-        .distinct()
-        .collect()
+    forms = stage(known_forms(known), "license_forms")
+    gates = forms.select("first", "size").distinct()
+    passes = max(1, -(-gates.count() // GATES_AT_ONCE))
+    dealt = gates.withColumn("pass", F.pmod(F.xxhash64("first", "size"), F.lit(passes)))
+    doc_type = source.schema["doc_id"]
+    schema = StructType([doc_type]).add("row", "long").add("digest", "binary").add("is_text", "boolean")
+    found = []
+    for number in range(passes):
+        sizes: dict[str, list[int]] = {}
+        for gate in dealt.where(F.col("pass") == number).orderBy("first", "size").collect():
+            sizes.setdefault(gate.first, []).append(gate["size"])
+        held = spark.sparkContext.broadcast(sizes)
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for batch in (part for every in batches for part in in_slices(every, 2)):
+                made = [
+                    (at, *hit)
+                    for at, t in enumerate(batch.column(2).to_pylist())
+                    for hit in candidates(t, held.value)
+                ]
+                at, digests, whole = zip(*made) if made else ((), (), ())
+                rows = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows), batch.column(1).take(rows),
+                        pa.array(digests, pa.binary()), pa.array(whole, pa.bool_()),
+                    ],
+                    ["doc_id", "row", "digest", "is_text"],
+                )
+
+        found.append(source.mapInArrow(run, schema))
+    hits = reduce(lambda a, b: a.unionAll(b), found).join(forms.select("digest", "license", "whole"), "digest")
+    named = hits.groupBy(F.col("doc_id").alias("own_id"), F.col("row").alias("own_row")).agg(
+        F.min(F.when(F.col("is_text"), F.col("license"))).alias("license"),
+        F.sort_array(F.collect_set("license")).alias("licenses"),
+        F.sort_array(F.collect_set(F.when(F.col("whole"), F.col("license")))).alias("full"),
+    )
+    # A few rows: written, so that their number is known to the join with all documents.
+    named = stage(named, "license_hits")
+    same = (F.col("row") == F.col("own_row")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
+    none = F.array().cast("array<string>")
+    return source.select("doc_id", "row").join(named, same, "left").select(
+        "doc_id", "license", F.coalesce("licenses", none).alias("licenses"), F.coalesce("full", none).alias("full")
     )
-    held = docs.sparkSession.sparkContext.broadcast(Known([(r[0], bytes(r[1]), r[2], r[3]) for r in rows]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [held.value.scan(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([whole for whole, _ in found], pa.string()),
-                    pa.array([names for _, names in found], pa.list_(pa.string())),
-                ],
-                ["doc_id", "license", "licenses"],
-            )
-
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
