@@ -40,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     session.tune(spark)
     classes = near.classes(docs.select("doc_id", "text"))
     first = (
-        classes.groupBy("class_id")
+        classes.groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
         .select(F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("first_row"))
     )
@@ -67,10 +67,15 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     session.tune(spark)
     pattern = public_tokenizers.PATTERN
     held = {c: free_name([*docs.columns, "n_tokens", "ids", "round_trip"], c) for c in docs.columns if c.lower() in ("n_tokens", "ids", "round_trip")}
-    coded = docs.withColumnsRenamed(held).withColumn("ids", bpe.encode(F.col("text"), BPE_RANKS, pattern))
-    decoded = bpe.decode(F.col("ids"), BPE_RANKS, pattern)
+    renamed = docs.withColumnsRenamed(held)
+    made = free_name([*renamed.columns, "n_tokens", "ids", "round_trip"], "made")
+    coded = renamed.withColumn(made, bpe.round_trip(F.col("text"), BPE_RANKS, pattern))
+    ids, decoded = F.col(made)["ids"], F.col(made)["decoded"]
     whole = decoded == F.encode(F.coalesce(F.col("text"), F.lit("")), "utf-8")
-    return coded.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).withColumn("round_trip", whole)
+    return coded.select(
+        *renamed.columns, ids.alias("ids"), (F.length(ids) / 4).cast("long").alias("n_tokens"),
+        whole.alias("round_trip"),
+    )
 
 
 STAGES = [
@@ -81,7 +86,7 @@ STAGES = [
     ("byte-level BPE", byte_bpe),
 ]
 
-#: Trees and signatures have no SQL form; the stages are tested by brute force.
+#: Trees and signatures have no SQL form; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BLANKS, ascii_lower, content_id
+from .common import BLANKS, ascii_lower, content_id, free_name
 
 #: Lines of one key are dealt to so many tasks when they meet the frequent keys.
 SALTS = 8
@@ -76,31 +76,29 @@ def drop_frequent_lines(
         .groupBy("__doc", "__row")
         .agg(F.sort_array(F.collect_set("__at")).alias("__dropped"))
     )
-    marked = docs.withColumn("__own", row)
+    # No column of the caller's is taken for one of these, whatever its name.
+    own, doc, other, gone, every, cuts = (
+        free_name([*docs.columns, n_lines, n_dropped], n)
+        for n in ("__own", "__doc", "__row", "__dropped", "__all", "__cuts")
+    )
+    marked = docs.withColumn(own, row)
+    dropped = dropped.toDF(doc, other, gone)
     joined = marked.join(
-        dropped,
-        marked["__own"].eqNullSafe(dropped["__row"]) & marked[doc_id].eqNullSafe(dropped["__doc"]),
-        "left",
+        dropped, marked[own].eqNullSafe(dropped[other]) & marked[doc_id].eqNullSafe(dropped[doc]), "left"
     )
     lines = _lines(F.col(text))
     # The kept lines are the stretches between the dropped ones.
     kept = F.expr(
-        "array_join(flatten(transform(sequence(0, size(__dropped)), i -> slice(__all,"
-        " __cuts[i] + 2, __cuts[i + 1] - __cuts[i] - 1))), '\\n')"
+        f"array_join(flatten(transform(sequence(0, size({gone})), i -> slice({every},"
+        f" {cuts}[i] + 2, {cuts}[i + 1] - {cuts}[i] - 1))), '\\n')"
     )
     return (
-        joined.withColumn("__all", lines)
-        .withColumn(
-            "__cuts",
-            F.concat(
-                F.array(F.lit(-1)), F.col("__dropped"), F.array(F.size("__all"))
-            ),
-        )
+        joined.withColumn(every, lines)
+        .withColumn(cuts, F.concat(F.array(F.lit(-1)), F.col(gone), F.array(F.size(every))))
         .withColumn(
-            text,
-            F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(kept),
+            text, F.when(F.col(gone).isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(kept)
         )
-        .withColumn(n_lines, F.size("__all").cast("long"))
-        .withColumn(n_dropped, F.coalesce(F.size("__dropped"), F.lit(0)).cast("long"))
-        .drop("__doc", "__row", "__own", "__dropped", "__all", "__cuts")
+        .withColumn(n_lines, F.size(every).cast("long"))
+        .withColumn(n_dropped, F.coalesce(F.size(gone), F.lit(0)).cast("long"))
+        .drop(doc, other, own, gone, every, cuts)
     )

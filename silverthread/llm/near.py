@@ -423,7 +423,8 @@ def classes(
     doc_id: str = "doc_id",
     min_similarity: float = MIN_SIMILARITY,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``class_id``, ``row`` (see :func:`sketch`).
+    """One row per row of ``docs``: ``doc_id``, ``class_id``, ``row`` (see :func:`sketch`) and
+    ``root``, which tells classes apart where rows of one id are in several.
 
     Two texts are linked if the probability Jaccard similarity of their five-word
     shingles (words in lower case, without punctuation; fewer words are one shingle),
@@ -494,7 +495,7 @@ def classes(
         "node", F.coalesce("root", "node").alias("root"), "least"
     )
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    by_node = stage(named.join(ids, "root").select("node", "class_id"), "near_classes")
+    by_node = stage(named.join(ids, "root").select("node", "class_id", "root"), "near_classes")
     return sketched.select("doc", "row", "node").join(by_node, "node").select(
-        F.col("doc").alias("doc_id"), "class_id", "row"
+        F.col("doc").alias("doc_id"), "class_id", "row", "root"
     )

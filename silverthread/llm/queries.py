@@ -43,6 +43,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(pii.describe(F.col("base")), 256).alias("base_sha256"),
         pii.describe(everything).alias("spans"),
+        pii.count(F.col("added"), "secret").alias("n_secret"),
+        F.size("added").cast("long").alias("n_added"),
+        F.size(everything).cast("long").alias("n_spans"),
     )
 
 
@@ -59,13 +62,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pattern = public_tokenizers.PATTERN
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), BPE_RANKS, pattern).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), BPE_RANKS, pattern))
-    return decoded.select(
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), BPE_RANKS, pattern).alias("c"))
+    return coded.select(
         "doc_id",
-        (F.length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.length("c.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("c.ids", 256).alias("ids_sha256"),
+        F.sha2("c.decoded", 256).alias("decoded_sha256"),
     )
 
 
@@ -73,7 +75,9 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.scan_licenses(docs, licenses.known_licenses(spark))
-    return found.select("doc_id", "license", F.array_join("licenses", ",").alias("licenses"))
+    return found.select(
+        "doc_id", "license", F.array_join("licenses", ",").alias("licenses"), F.array_join("full", ",").alias("full")
+    )
 
 
 @query
@@ -86,8 +90,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text with three edits: its source is inserted after the first quarter, the
     middle 40 characters go, and its language takes the place of the 20 characters
-    before the end."""
+    before the end.
+
+    A first pass stores every document with its tree; a second reads them, and encodes
+    only what the edits touch."""
+    ranks, pattern = BPE_RANKS, public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    stored = stage(docs.withColumn("tree", counts.tree(F.col("text"), ranks, pattern)), "token_trees")
     size = F.coalesce(F.length("text"), F.lit(0))
     half = F.floor(size / 2).cast("int")
     edit = lambda start, end, new: F.struct(
@@ -98,11 +107,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         edit(half, half + 40, F.lit("")),
         edit(F.greatest(size - 20, half + 40), size, F.concat(F.lit("\n["), "lang", F.lit("]"))),
     )
-    counted = docs.select(
-        "doc_id",
-        counts.count_edited(F.col("text"), edits, BPE_RANKS, public_tokenizers.PATTERN).alias("c"),
-    )
-    return counted.select("doc_id", "c.*")
+    edited = counts.edit_stored(F.col("text"), F.col("tree"), edits, ranks, pattern)
+    counted = stored.select("doc_id", edited.alias("c"))
+    return counted.select("doc_id", *[f"c.{n}" for n in ("n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded")])
 
 
 @query
