@@ -338,7 +338,7 @@ def test_edits_of_stored_trees_as_columns(spark):
     own = counts.counter(BPE_RANKS, P.PATTERN)
     long = "some words here, and more. " * 2000
     data = [(1, long, [(100, 105, "other"), (50_000, 50_000, " new")]), (2, None, [(0, 9, "x y")]), (3, "", None),
-            (4, "one two", []), (5, "a b c", [(None, None, None), (-5, 1, None)])]
+            (4, "one two", []), (5, "a b c", [(-5, 1, None), (4, None, None)])]
     docs = spark.createDataFrame(data, f"doc_id bigint, text string, edits {counts.EDITS}")
     stored = docs.withColumn("tree", counts.tree(F.col("text"), BPE_RANKS, P.PATTERN))
     edited = counts.edit_stored(F.col("text"), F.col("tree"), F.col("edits"), BPE_RANKS, P.PATTERN)
