@@ -181,7 +181,8 @@ def base_spans(text: Column) -> Column:
 
 def _patterns(text: Column, span: Column) -> Column:
     """Patterns that lead to a span: the last word or mark before it, the last two, the
-    first one after it, its shape, and its shape after the last word."""
+    first one after it, its shape, also without the lengths of its runs of digits, and
+    its shape after the last word."""
     start, end = span["start"], span["end"]
     near = F.substring(
         text, F.greatest(start - CONTEXT_CHARS + 1, F.lit(1)), F.least(start, F.lit(CONTEXT_CHARS))
@@ -200,6 +201,7 @@ def _patterns(text: Column, span: Column) -> Column:
         F.when(F.size(words) >= 2, F.concat(F.lit("<"), last(2))),
         F.when(after != "", F.concat(F.lit(">"), after)),
         F.concat(F.lit("~"), shape),
+        F.concat(F.lit("="), F.regexp_replace(shape, "9[0-9]+", "9")),
         F.when(F.size(words) >= 1, F.concat(F.lit("<"), last(1), F.lit(" ~"), shape)),
     )
     return F.array_compact(found)
