@@ -22,8 +22,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import in_slices
 
-#: Pre-tokens of a leaf when it is made.
-LEAF = 64
+#: Pre-tokens of a leaf when it is made, and of one of a stored tree, where an edit
+#: encodes whole leaves.
+LEAF, STORED_LEAF = 64, 16
 #: Pre-tokens before an edit that are encoded again: the one it touches, and one more
 #: whose end depends on the character after it.
 BEFORE = 2
@@ -298,7 +299,7 @@ def _leaves(pieces: list[str], counter: Counter) -> tuple[list[int], list[int],
     """Characters, tokens and pre-tokens of leaves of so many pre-tokens."""
     chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
     tokens = np.array(counter.count(pieces), np.int64)
-    starts = np.arange(0, len(pieces), LEAF)
+    starts = np.arange(0, len(pieces), STORED_LEAF)
     if not len(starts):
         return [], [], []
     sizes = np.diff(np.append(starts, len(pieces)))
