@@ -172,6 +172,13 @@ class ItemIndex:
             gain /= np.bincount(columns, gain, n)[columns]
         else:
             gain = np.zeros(0)
+        # Terms are numbered by their largest gain, the order in which pivots are found.
+        largest = np.zeros(len(self.vocabulary))
+        np.maximum.at(largest, rows, gain)
+        rank = np.empty(len(largest), int)
+        rank[np.argsort(largest, kind="stable")] = np.arange(len(largest))
+        rows = rank[rows]
+        self.vocabulary = {word: int(rank[k]) for word, k in self.vocabulary.items()}
         # Posting lists: for each term its entries in ascending order, in stretches of one
         # block each, with the largest gain of the stretch and of the list.
         order = np.lexsort((columns, rows))
@@ -241,15 +248,13 @@ class ItemIndex:
             begin = end
 
     def _wand(self, own: np.ndarray, term: np.ndarray, count: int, least: np.float32):
-        """Hits of ``count`` passages, given as (passage, term) rows.
+        """Hits of ``count`` passages, given as ascending (passage, term) rows.
 
         In the order of their lists' maxima, the terms of a passage ahead of its pivot
         cannot reach the threshold together; an entry that does is on a list from the
         pivot on. Of the blocks that such lists touch, those whose maxima over all lists
         stay under the threshold are skipped, and the rest are scored in full.
         """
-        order = np.lexsort((self.term_max[term], own))
-        own, term = own[order], term[order]
         reach = np.cumsum(self.term_max[term], dtype=np.float64)
         first = np.searchsorted(own, np.arange(count))
         ahead = np.append(0.0, reach)[first]
