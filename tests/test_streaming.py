@@ -3,6 +3,7 @@ import json
 from silverthread import streaming
 from silverthread.operators import events as E
 from silverthread.sources import read_events
+from silverthread.streaming.ingest import add_ids, fresh_events
 
 from test_events import PAYLOADS, event
 
@@ -92,3 +93,25 @@ def test_a_table_stored_without_ids_has_them_added(spark, tmp_path, rows):
     deliver("1.json", [event("POLICY", "v1")], str(tmp_path / "a"))
     deliver("2.json", [event("POLICY", "v1"), event("POLICY", "v1", event_id="E2")], str(tmp_path / "b"))
     assert rows(spark.read.parquet(out), "event_id") == [("E1",), ("E2",)]
+
+
+def test_a_batch_is_read_and_parsed_once(spark, tmp_path, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            read.add(len(part))
+            yield part
+
+    def batch(*found):
+        given = spark.createDataFrame(found, "event_id string, event_timestamp string")
+        return given.mapInPandas(counted, given.schema)
+
+    index = streaming.IdIndex(spark, str(tmp_path / "ids"))
+    first = fresh_events(batch(("E1", "1"), ("E1", "2"), (None, "3")), index, 0, str(tmp_path / "a"))
+    add_ids(first, index, 0)
+    assert rows(first) == [("E1", "2"), (None, "3")]
+    assert read.value == 3
+    again = fresh_events(batch(("E1", "9"), ("E2", "4"), (None, None)), index, 1, str(tmp_path / "b"))
+    assert rows(again) == [("E2", "4"), (None, None)]
+    assert read.value == 6
