@@ -8,7 +8,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from silverthread import schemas, sinks, sources
+from catalog import queries as Q
+from silverthread import constants as K, schemas, sinks, sources
 from silverthread.operators import aggregates as A, drift
 from silverthread.operators.latest import latest_per_key
 from silverthread.plans import balance, gold as G, incremental, jobs
@@ -166,3 +167,33 @@ def test_a_look_up_opens_few_files(spark, tmp_path):
         (s := pq.ParquetFile(n).metadata.row_group(0).column(0).statistics).min <= one <= s.max for n in in_state
     )
     assert len(in_state) >= 10 and near <= 2
+
+
+def test_facts_of_several_loads_are_computed_once(spark, monkeypatch, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            read.add(len(part))
+            yield part
+
+    def fact(found, schema):
+        given = spark.createDataFrame(found, schema)
+        return given.mapInPandas(counted, given.schema)
+
+    members = [None, *(f"M{n}" for n in range(9)), "M1"]
+    facts = G.Facts(
+        fact([(m, "C1", 0.1 * n) for n, m in enumerate(members)], "member_id string, claim_id string, final_claim_amount double"),
+        fact([(m, 2.5) for m in members[3:]], "member_id string, premium_collected double"),
+        fact([("M1", "V1"), ("M1", None), (None, "V1")], "member_id string, violation_id string"),
+        fact(
+            [(m, "E1", d, o) for m in members[:5] for d in G.EVENT_COUNTS for o in ("valid", "valid", "bad")],
+            "member_id string, event_id string, domain string, outcome string",
+        ),
+    )
+    expected = rows(A.fill_zero(G.member_activity(facts), K.ZERO_FILLED))
+    before, given = read.value, sum(len(f.collect()) for f in facts)
+    monkeypatch.setattr(Q, "_facts", lambda spark, sf_dir: facts)
+    read_here = read.value
+    assert rows(Q.QUERIES["agg_incremental"](spark, "")) == expected
+    assert before == given and read.value - read_here == given
