@@ -163,3 +163,21 @@ def test_reconcile_of_nothing(spark, tmp_path):
     assert C.fact_of(met, NOW).count() == 1 and met.n_valid == 0 and met.rejected.count() == 0
     met = C.reconcile(claims(spark), adjustments(spark, ("a", "C1", "M1", 1.0, 1.0, 2.0, D(2024, 1, 1))), str(tmp_path / "b"))
     assert C.fact_of(met, NOW).count() == 0 and met.rejected.count() == 1
+
+
+def test_only_adjustments_that_fit_are_stored_with_their_claim(spark, tmp_path, rows):
+    day = dt.date(2024, 1, 1)
+    claims = spark.createDataFrame(
+        [("C1", "M1", day, 10.0), ("C2", "M2", day, 5.0)],
+        "claim_id string, member_id string, claim_date date, claim_amount double",
+    )
+    given = spark.createDataFrame(
+        [("A1", "C1", "M1", 1.0, 2.0, 3.0, day), ("A2", "C1", "M1", 1.0, 2.0, 4.0, day), ("A3", "C9", "M1", 1.0, 2.0, 3.0, day)],
+        schemas.CLAIMS_ADJUSTMENTS,
+    )
+    found = C.reconcile(claims, given, str(tmp_path))
+    assert rows(found.judged, "adjustment_id", "__verdict", "__claim.claim_id") == [
+        ("A1", "fits", "C1"), ("A2", "failed", None), ("A3", "free", None)
+    ]
+    assert rows(found.adjusted, "claim_id", "adjustment_id") == [("C1", "A1")]
+    assert rows(found.rejected, "adjustment_id") == [("A2",), ("A3",)]

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -189,3 +190,9 @@ def test_run_log_tells_success_and_failure(spark, tmp_path):
     assert found["good"]["start_time"] <= found["good"]["end_time"]
     assert found["good"]["run_id"] != found["bad"]["run_id"]
     assert found["good"]["run_id"].startswith("run_2")
+
+
+def test_lakes_are_written_by_zstd(spark, conf, tmp_path):
+    conf("spark.sql.parquet.compression.codec", "snappy")
+    sinks.write_table(session.tune_lake(spark).range(9), str(tmp_path / "t"))
+    assert glob.glob(str(tmp_path / "t" / "*.zstd.parquet"))
