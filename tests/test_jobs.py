@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from catalog import queries
 from silverthread import constants as K, schemas, sinks, sources
 from silverthread.operators import events as E
 from silverthread.plans import jobs
@@ -194,3 +195,27 @@ def test_all_writes_end_before_an_error_is_raised(spark, tmp_path):
     with pytest.raises(RuntimeError):
         sinks.write_together(fails, lambda: done.append(spark.range(3).count()))
     assert done == [3]
+
+
+def test_landed_text_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "LANDED_ROWS", 100)
+    made = {
+        "customer": "id AS c_custkey, 'n' AS c_name, 'A' AS c_mktsegment, id AS c_nationkey",
+        "orders": "id AS o_orderkey, id AS o_custkey, date '2000-01-01' AS o_orderdate, 'F' AS o_orderstatus,"
+        " 1.5D AS o_totalprice, 'p' AS o_orderpriority",
+        "lineitem": "id AS l_orderkey, 1 AS l_linenumber, 1D AS l_extendedprice, 1D AS l_quantity,"
+        " date '2000-02-01' AS l_shipdate",
+        "events": "id AS event_id, id AS user_id, 'purchase' AS event_type, timestamp '2000-01-01' AS ts,"
+        " 1D AS value, '{\"k\": 1}' AS props",
+    }
+    for name, columns in made.items():
+        spark.range(0, 1000, 1, 1).selectExpr(columns.split(", ")[0], *columns.split(", ")[1:]).write.parquet(
+            str(tmp_path / f"{name}.parquet")
+        )
+    layout = jobs.Layout(str(tmp_path / "lake"))
+    queries.land_raw(spark, str(tmp_path), layout)
+    for name in ("historical_member_policy", "claims", "revenue", "violations", "members_current", "events"):
+        assert len(list((tmp_path / "lake" / "bronze" / name).glob("part-*"))) == 10 + (name == "members_current")
+    assert sources.read_csv(spark, layout.raw("claims"), schemas.CLAIMS).count() == 1000
+    assert sources.read_csv(spark, layout.raw("claims_adjustments"), schemas.CLAIMS_ADJUSTMENTS).count() == 1000
+    assert sources.read_events(spark, layout.raw("events")).count() == 1000

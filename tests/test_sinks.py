@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,3 +197,14 @@ def test_lakes_are_written_by_zstd(spark, conf, tmp_path):
     conf("spark.sql.parquet.compression.codec", "snappy")
     sinks.write_table(session.tune_lake(spark).range(9), str(tmp_path / "t"))
     assert glob.glob(str(tmp_path / "t" / "*.zstd.parquet"))
+
+
+def test_threads_append_to_one_table(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+
+    def append(n):
+        sinks.append_rows(spark.range(n, n + 1), path)
+        return n
+
+    assert sinks.write_together(*[partial(append, n) for n in range(12)]) == list(range(12))
+    assert sorted(rows(sources.read_table(spark, path))) == [(n,) for n in range(12)]
