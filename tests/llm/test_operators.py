@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -609,3 +610,14 @@ def test_odd_ids_in_files(odd, nothing, spark, tmp_path):
 def test_digest_of_kept_text(spark):
     kept = lines.drop_frequent_lines(spark.createDataFrame([(1, None)], "doc_id int, text string"))
     assert kept.select(F.sha2("text", 256)).first()[0] == hashlib.sha256(b"").hexdigest()
+
+
+def test_python_gets_bounded_batches(spark):
+    docs = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("word "), 600).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    sizes = [r.size for r in docs.mapInArrow(run, "size bigint").collect()]
+    assert sum(sizes) > 24_000_000 and max(sizes) < 5_000_000
