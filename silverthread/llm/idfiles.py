@@ -48,20 +48,40 @@ _BITS, _SCALE = np.uint64(_KIND_BITS + _SIZE_BITS), np.uint64(1 << _SIZE_BITS)
 _SIZES = 16
 #: Counts are halved beyond this, so that late ids weigh more.
 _MOST = 1 << 10
+#: Blocks whose bits are packed at a time.
+_PACKED = 64
 
 
 def _scaled(counts: np.ndarray, bits: int) -> np.ndarray:
     """Where each symbol starts among 2**bits, by the counts, each at least one wide."""
     symbols = counts.shape[-1]
     starts = np.zeros(counts.shape, np.int32)
-    np.cumsum(counts[..., :-1], axis=-1, out=starts[..., 1:])
-    total = starts[..., -1:] + counts[..., -1:]
-    starts *= (1 << bits) - symbols
-    starts //= total
-    starts += np.arange(symbols, dtype=np.int32)
+    # Column by column, as a row is short. The quotients are exact in doubles: what is
+    # divided stays below 2**30, so no rounding reaches the next integer.
+    total = _total(counts).astype(float)
+    upto = np.zeros(total.shape)
+    for k in range(1, symbols):
+        upto += counts[..., k - 1]
+        starts[..., k] = upto * ((1 << bits) - symbols) / total
+        starts[..., k] += k
     return starts
 
 
+def _with_end(starts: np.ndarray, bits: int) -> np.ndarray:
+    """Starts and, behind the last, the end of it."""
+    out = np.full((len(starts), starts.shape[1] + 1), 1 << bits, np.uint64)
+    out[:, :-1] = starts
+    return out
+
+
+def _total(counts: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, a short one."""
+    total = counts[..., 0].copy()
+    for k in range(1, counts.shape[-1]):
+        total += counts[..., k]
+    return total
+
+
 def _widths(starts: np.ndarray, place: np.ndarray, symbol: np.ndarray, symbols: int, bits: int):
     """Start and width of a symbol in rows of starts, ``place`` being where it stands."""
     flat = starts.reshape(-1)
@@ -100,16 +120,17 @@ class _Encoder:
         for k in range(3):
             self.out[self.at + k] = self.low >> np.uint64(32)
             self.low = (self.low & _LOWER) << _WORD
-        words = self.out.reshape(-1, self.room)
+        used = self.at - self.base
+        words = self.out.reshape(-1, self.room)[:, : int(used.max()) + 3].copy()
         while True:
             carry = words >> np.uint32(24)
             if not carry.any():
                 break
             words &= np.uint32(0xFFFFFF)
             words[:, :-1] += carry[:, 1:]
-        as_bytes = words.astype(">u4").view(np.uint8).reshape(len(words), self.room, 4)[:, :, 1:]
+        as_bytes = words.astype(">u4").view(np.uint8).reshape(*words.shape, 4)[:, :, 1:]
         # The last two bytes are zeros.
-        ends = 3 * (self.at - self.base) + 7
+        ends = 3 * used + 7
         return [row.reshape(-1)[:end].tobytes() for row, end in zip(as_bytes, ends.tolist())]
 
 
@@ -131,9 +152,8 @@ class _Decoder:
         self.last = np.arange(1, len(streams) + 1) * words.shape[1] - 1
         self.at = self.last - words.shape[1] + 1
 
-    def take(self, share: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        code = self.code - share * start
-        share *= width
+    def take(self, code: np.ndarray, share: np.ndarray) -> None:
+        """Go on within a part of the range: where the code stands in it, and its width."""
         full = share < _LEAST
         shift = full * _WORD
         code <<= shift
@@ -166,7 +186,8 @@ class _Model:
     """The adaptive state of each block of a segment, as it stands in a stretch."""
 
     def __init__(self, blocks: int) -> None:
-        self.blocks, every = blocks, np.arange(blocks, dtype=np.int32)
+        # Places are 64-bit, as numpy would turn others into that for each use.
+        self.blocks, every = blocks, np.arange(blocks)
         self.base2, self.base1 = every * _SLOTS2, every * _SLOTS1
         # A prediction and its trust: 4 * id + trust.
         self.table2 = np.full(blocks * _SLOTS2, -4, np.int32)
@@ -209,12 +230,12 @@ class _Model:
             where = own + ((held[order] & 3) << 2 | order << 4)
             counts += np.bincount(where.ravel(), minlength=self.kinds.size)
         self.kinds += 4 * counts.reshape(self.kinds.shape).astype(np.int32)
-        self.kinds >>= (self.kinds.sum(-1, keepdims=True) > _MOST).astype(np.int32)
+        self.kinds >>= (_total(self.kinds) > _MOST).astype(np.int32)[..., None]
         np.maximum(self.kinds, 1, out=self.kinds)
         where = (self.size_base + _size_of(ids))[kind == 3]
         counts = np.bincount(where, minlength=self.sizes.size).astype(np.int32)
         self.sizes += 2 * counts.reshape(self.sizes.shape)
-        self.sizes >>= (self.sizes.sum(-1, keepdims=True) > _MOST).astype(np.int32)
+        self.sizes >>= (_total(self.sizes) > _MOST).astype(np.int32)[..., None]
         np.maximum(self.sizes, 1, out=self.sizes)
         # Of several ids after one context the last stays.
         for table, at, before in ((self.table2, at2, held2), (self.table1, at1, held1)):
@@ -234,6 +255,10 @@ def _next(held: np.ndarray, ids: np.ndarray) -> np.ndarray:
 #: The place of the highest bit of each id; 0 for the ids 0 and 1.
 _SIZE_OF = np.repeat(np.arange(16, dtype=np.int32), [2, *(1 << k for k in range(1, 16))])
 
+#: What an id of so many bits has beside its plain bits, and what keeps those.
+_HIGH_OF = np.array([0, *(1 << k for k in range(1, 16))], np.uint64)
+_REST_OF = np.array([1, *((1 << k) - 1 for k in range(1, 16))], np.uint64)
+
 
 def _size_of(ids: np.ndarray) -> np.ndarray:
     return _SIZE_OF.take(ids)
@@ -282,16 +307,22 @@ def encode(ids: np.ndarray) -> bytes:
             coder.put(start[k], width[k])
         model.learn(now, kind, at2, at1, held2, held1)
     streams = coder.finish()
-    owner, step = np.nonzero(np.ascontiguousarray(missed.T))
-    value = by_block[owner, step]
-    bits = np.maximum(_size_of(value), 1)
-    words, at = _pack(np.where(value > 1, value - (1 << _size_of(value)), value), bits, owner, blocks)
-    plain = words[:-1].tobytes()
+    plain, sizes = [], []
+    # Some blocks at a time, so that what is made of them stays in the caches.
+    for begin in range(0, blocks, _PACKED):
+        some = np.ascontiguousarray(missed[:, begin : begin + _PACKED].T)
+        owner = np.repeat(np.arange(len(some)), some.sum(1))
+        value = by_block[begin : begin + _PACKED][some]
+        high = _size_of(value)
+        rest = np.where(value > 1, value - (1 << high), value)
+        words, at = _pack(rest, np.maximum(high, 1), owner, len(some))
+        plain.append(words[:-1].tobytes())
+        sizes += (4 * np.diff(at)).tolist()
     heads = b"".join(
-        struct.pack("<IIII", int(count), len(s), 4 * int(b - a), zlib.crc32(row[:count].astype("<u4").tobytes()))
-        for count, s, row, a, b in zip(counts, streams, by_block, at[:-1], at[1:])
+        struct.pack("<IIII", int(count), len(s), size, zlib.crc32(row[:count].astype("<u4").tobytes()))
+        for count, s, row, size in zip(counts, streams, by_block, sizes)
     )
-    return MAGIC + struct.pack("<I", blocks) + heads + b"".join(streams) + plain
+    return b"".join([MAGIC, struct.pack("<I", blocks), heads, *streams, *plain])
 
 
 def decode(data: bytes) -> np.ndarray:
@@ -301,7 +332,7 @@ def decode(data: bytes) -> np.ndarray:
     at = len(MAGIC)
     (blocks,) = struct.unpack_from("<I", data, at)
     if not blocks:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     heads = np.frombuffer(data, "<u4", 4 * blocks, at + 4).reshape(blocks, 4).astype(np.int64)
     starts = np.cumsum([at + 4 + 16 * blocks, *heads[:, 1]]).tolist()
     coder = _Decoder([data[a:b] for a, b in zip(starts, starts[1:])])
@@ -313,42 +344,48 @@ def decode(data: bytes) -> np.ndarray:
     model, steps = _Model(blocks), int(heads[0, 0])
     ids = np.zeros((steps + 2, blocks), np.int32)
     before = ids.view(np.uint32)
-    four = np.arange(0, 4 * blocks, 4)
+    five, ends = np.arange(0, 5 * blocks, 5), np.arange(0, (_SIZES + 1) * blocks, _SIZES + 1)
     for begin in range(0, steps, STRETCH):
         length = min(STRETCH, steps - begin)
-        seen = [np.zeros((length, blocks), np.int32) for _ in range(5)]
+        seen = [np.empty((length, blocks), kind) for kind in (np.int32, np.int64, np.int64, np.int32, np.int32)]
         guess0 = model.zero >> 2
-        sizes = model.size_starts.astype(np.uint16)
+        kinds = _with_end(model.kind_starts, _KIND_BITS)
+        sizes, levels = _with_end(model.size_starts, _SIZE_BITS).ravel(), model.size_starts.astype(np.uint16)
         for k in range(length):
             t = begin + k + 2
             at2, at1, held2, held1, row = model.look(before[t - 1], before[t - 2])
-            share = coder.range >> _BITS
-            starts = model.kind_starts.take(row, axis=0)
-            wide = starts.astype(np.uint64)
-            wide *= (share << np.uint64(_SIZE_BITS))[:, None]
-            below = wide <= coder.code[:, None]
-            kind = np.bitwise_count(below.view(np.uint32)[:, 0]).astype(np.int32) - np.int32(1)
-            start, width = _widths(starts, four + kind, kind, 4, _KIND_BITS)
-            start, width = start.astype(np.uint64) << np.uint64(_SIZE_BITS), width.astype(np.uint64)
-            now = np.where(kind == 0, held2 >> 2, np.where(kind == 1, held1 >> 2, guess0))
-            other = np.flatnonzero(kind == 3)
-            own = width[other]
-            width *= _SCALE
-            part = share[other]
-            where = (coder.code[other] - part * start[other]) // (part * own)
-            where = np.minimum(where, _SCALE - np.uint64(1))
-            levels = sizes.take(other, axis=0)
-            fits = (levels <= where.astype(np.uint16)[:, None]).view(np.uint64)
-            size = np.bitwise_count(fits).sum(1, dtype=np.int32) - np.int32(1)
-            low, span = _widths(levels, np.arange(0, _SIZES * len(other), _SIZES) + size, size, _SIZES, _SIZE_BITS)
-            start[other] += own * low
-            width[other] = own * span.astype(np.uint64)
-            coder.take(share, start, width)
-            place = bit[other]
-            free = np.maximum(size, 1)
-            rest = pairs.take(place >> 5) >> (place & 31).astype(np.uint64)
-            now[other] = (rest & ((1 << free) - 1).astype(np.uint64)).astype(np.int32) + np.where(size > 0, 1 << size, 0)
-            bit[other] = np.minimum(place + free, last)
+            # Where each kind starts and the last one ends, in the scale of the code.
+            bounds = kinds.take(row, axis=0)
+            bounds *= (coder.range >> _BITS << np.uint64(_SIZE_BITS))[:, None]
+            below = (bounds[:, 1:4] <= coder.code[:, None]).view(np.int8)
+            kind = below[:, 0] + below[:, 1]
+            kind += below[:, 2]
+            place = five + kind
+            bounds = bounds.reshape(-1)
+            start = bounds.take(place)
+            place += 1
+            width = bounds.take(place) - start
+            rest = coder.code - start
+            unit = width >> np.uint64(_SIZE_BITS)
+            where = np.minimum(rest // unit, _SCALE - np.uint64(1)).astype(np.uint16)
+            # The number of bits, as if each id were another one than predicted.
+            fits = np.bitwise_count((levels <= where[:, None]).view(np.uint64))
+            size = (fits[:, 0] + fits[:, 1]).astype(np.int64)
+            size -= 1
+            place = ends + size
+            low = sizes.take(place)
+            place += 1
+            high = sizes.take(place)
+            other = kind == 3
+            coder.take(rest - unit * (low * other), np.where(other, unit * (high - low), width))
+            value = pairs.take(bit >> 5) >> (bit & 31).view(np.uint64)
+            value &= _REST_OF.take(size)
+            value += _HIGH_OF.take(size)
+            now = np.where(kind == 1, held1 >> 2, guess0)
+            now = np.where(kind == 0, held2 >> 2, now)
+            now = np.where(other, value.astype(np.int32), now)
+            bit += np.maximum(size, 1) * other
+            np.minimum(bit, last, out=bit)
             ids[t] = now
             for kept, made in zip(seen, (kind, at2, at1, held2, held1)):
                 kept[k] = made
@@ -358,7 +395,7 @@ def decode(data: bytes) -> np.ndarray:
     for count, crc, row in zip(counts, sums, by_block):
         if zlib.crc32(row[:count].astype("<u4").tobytes()) != crc:
             raise ValueError("a block of token ids does not match its checksum")
-    return np.concatenate([row[:count] for row, count in zip(by_block, counts)]).astype(np.int64)
+    return np.concatenate([row[:count] for row, count in zip(by_block, counts)])
 
 
 #: Characters that Python takes for white space and the tokenizers library does not.
@@ -376,15 +413,20 @@ _KIND_OF = np.array(
 )
 
 
+#: What keeps the first so many bytes of a little-endian word.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
 class _PieceTable:
-    """Ids of pieces by 64-bit hashes of theirs, sorted, in a main and a recent part.
+    """Ids of pieces by 64-bit keys of theirs, in slots that are found by a part of the key.
 
-    A hash adds up random numbers, one per character and place, so that two given
-    pieces share one with chance 2**-64 whatever they are.
+    A piece of up to eight bytes, none of them zero, is its own key. The key of a longer
+    one adds up random numbers, one per character and place, so that two given pieces
+    share one with chance 2**-64 whatever they are.
     """
 
     LONGEST = 64
-    RECENT = 1 << 16
+    _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self) -> None:
         draw = np.random.Generator(np.random.PCG64(20))
@@ -392,49 +434,85 @@ class _PieceTable:
         self.clear()
 
     def clear(self) -> None:
-        self.parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(2)]
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.sizes, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), 0
+        self._slots(14)
+
+    def _slots(self, bits: int) -> None:
+        self.bits, self.keys = bits, np.zeros(1 << bits, np.uint64)
+        self.entry = np.zeros(1 << bits, np.int32)
 
     def __len__(self) -> int:
-        return sum(len(hashes) for hashes, _, _ in self.parts)
-
-    def hashes(self, text: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-        """Of the bytes between each two cuts, at most LONGEST of them."""
-        sizes = np.diff(cuts)
-        place = np.arange(len(text), dtype=np.int32) - np.repeat(cuts[:-1].astype(np.int32), sizes)
-        np.minimum(place, self.LONGEST - 1, out=place)
-        place += text.astype(np.int32) * self.LONGEST
-        return np.add.reduceat(self.numbers.take(place), cuts[:-1])
-
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of each hash start, and their number; -1 where it is new."""
-        start, size = np.full(len(wanted), -1), np.zeros(len(wanted), np.int64)
-        for hashes, starts, sizes in self.parts:
-            if len(hashes):
-                at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-                hit = hashes[at] == wanted
-                start[hit], size[hit] = starts[at[hit]], sizes[at[hit]]
-        return start, size
-
-    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        """New hashes with their ids, one after the other."""
+        return self.count
+
+    def hashes(self, text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keys of pieces of ``text``, of the first LONGEST bytes of each."""
+        words = np.ndarray((len(text),), "<u8", text + bytes(8), strides=(1,))
+        keys = words[starts] & _FIRST_BYTES.take(sizes, mode="clip")
+        long = np.flatnonzero(sizes > 8)
+        if len(long):
+            size = np.minimum(sizes[long], self.LONGEST)
+            first = np.cumsum(size) - size
+            place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+            held = np.frombuffer(text, np.uint8).take(np.repeat(starts[long], size) + place)
+            place += held.astype(np.int64) * self.LONGEST
+            keys[long] = np.maximum(np.add.reduceat(self.numbers.take(place), first), np.uint64(1))
+        return keys
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * self._SPREAD >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The entry of each key; -1 where it is new."""
+        at = self._home(wanted)
+        held = self.keys.take(at)
+        found = np.where(held == wanted, self.entry.take(at), np.int32(-1))
+        left = np.flatnonzero((held != wanted) & (held != 0))
+        at = at[left]
+        while len(left):
+            at = at + 1 & len(self.keys) - 1
+            held = self.keys.take(at)
+            hit = held == wanted[left]
+            found[left[hit]] = self.entry[at[hit]]
+            on = ~hit & (held != 0)
+            left, at = left[on], at[on]
+        return found
+
+    def _insert(self, keys: np.ndarray, entries: np.ndarray) -> None:
+        at = self._home(keys)
+        while len(keys):
+            free = self.keys.take(at) == 0
+            self.keys[at[free]] = keys[free]
+            # Of several that meet in a free slot, one has it now.
+            won = free & (self.keys.take(at) == keys)
+            self.entry[at[won]] = entries[won]
+            keys, entries, at = keys[~won], entries[~won], at[~won] + 1 & len(self.keys) - 1
+
+    def add_ids(self, ids: np.ndarray) -> int:
+        """Where the ids stand that are stored now."""
         end = self.used + len(ids)
         while end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : end] = ids
-        starts = self.used + np.cumsum(sizes) - sizes
-        self.used = end
-        (main, recent), new = self.parts, (hashes, starts, sizes)
-        recent = self._joined(recent, new)
-        if len(recent[0]) > self.RECENT:
-            main, recent = self._joined(main, recent), tuple(x[:0] for x in recent)
-        self.parts = [main, recent]
-
-    @staticmethod
-    def _joined(a, b):
-        both = [np.concatenate(x) for x in zip(a, b)]
-        order = np.argsort(both[0], kind="stable")
-        return tuple(x[order] for x in both)
+        begin, self.used = self.used, end
+        return begin
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New keys, each once, with their ids, one after the other."""
+        begin, end = self.add_ids(ids), self.count + len(keys)
+        while end > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        self.starts[self.count : end] = begin + np.cumsum(sizes) - sizes
+        self.sizes[self.count : end] = sizes
+        entries = np.arange(self.count, end, dtype=np.int32)
+        self.count = end
+        if 2 * end > len(self.keys):
+            taken = np.flatnonzero(self.keys)
+            keys = np.concatenate([self.keys[taken], keys])
+            entries = np.concatenate([self.entry[taken], entries])
+            self._slots((2 * end).bit_length() + 1)
+        self._insert(keys, entries)
 
 
 class WordEncoder:
@@ -442,7 +520,7 @@ class WordEncoder:
     of the words it has met. Words are encoded apart, which gives the ids of the whole
     text, because no token goes across white space."""
 
-    MAX_KNOWN, MAX_PIECES = 300_000, 4_000_000
+    MAX_KNOWN, MAX_PIECES = 300_000, 2_000_000
     #: New words that are encoded as one text.
     TOGETHER = 200
     CUT = "\x1c"
@@ -528,31 +606,33 @@ class WordEncoder:
         marks and single digits."""
         # A line end belongs to no piece, so it keeps the texts apart.
         low = "\n".join(texts).lower()
-        text = np.frombuffer(low.encode("latin-1"), np.uint8)
-        kinds = _KIND_OF[text]
+        packed = low.encode("latin-1")
+        kinds = _KIND_OF.take(np.frombuffer(packed, np.uint8))
         edge = np.empty(len(kinds), bool)
         edge[0] = True
         np.not_equal(kinds[1:], kinds[:-1], out=edge[1:])
         edge |= kinds == 2  # every digit is a piece
-        cuts = np.append(np.flatnonzero(edge), len(text))
-        piece = np.flatnonzero(kinds[cuts[:-1]])
-        starts, ends = cuts[piece], cuts[piece + 1]
+        cuts = np.append(np.flatnonzero(edge), len(kinds))
+        piece = np.flatnonzero(kinds.take(cuts[:-1]))
+        starts = cuts.take(piece)
+        lengths = cuts.take(piece + 1) - starts
         table = self.pieces
         if len(table) > self.MAX_PIECES:
             table.clear()
-        hashes, first, back = np.unique(table.hashes(text, cuts)[piece], return_index=True, return_inverse=True)
-        at, size = table.find(hashes)
-        new = np.flatnonzero(at < 0)
+        keys = table.hashes(packed, starts, lengths)
+        entry = table.find(keys)
+        new = np.flatnonzero(entry < 0)
         if len(new):
-            names = [low[s:e] for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
-            table.add(hashes[new], *self._ids_of(names))
-            at, size = table.find(hashes)
-        sizes, at = size[back], at[back]
+            keys_new, first = np.unique(keys[new], return_index=True)
+            some = new[first]
+            names = [low[s : s + n] for s, n in zip(starts[some].tolist(), lengths[some].tolist())]
+            table.add(keys_new, *self._ids_of(names))
+            entry[new] = table.find(keys[new])
+        sizes, at = table.sizes.take(entry), table.starts.take(entry)
         # What is longer than the hash sees is encoded alone.
-        for k in np.flatnonzero(ends - starts > table.LONGEST).tolist():
-            ids, _ = self._ids_of([low[starts[k] : ends[k]]])
-            table.add(np.zeros(0, np.uint64), ids, np.zeros(0, np.int64))
-            at[k], sizes[k] = table.used - len(ids), len(ids)
+        for k in np.flatnonzero(lengths > table.LONGEST).tolist():
+            ids, _ = self._ids_of([low[starts[k] : starts[k] + lengths[k]]])
+            at[k], sizes[k] = table.add_ids(ids), len(ids)
         upto = np.cumsum(sizes)
         flat = table.ids.take(np.arange(upto[-1] if len(upto) else 0) + np.repeat(at - upto + sizes, sizes))
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
@@ -626,19 +706,22 @@ def write_ids(
         counts: list[int] = []
         shard, segment, waiting = 0, 0, 0
 
-        def finish() -> pa.RecordBatch:
-            numbers = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        def cut() -> int:
+            """How many documents come to a segment."""
+            return int(np.searchsorted(np.cumsum(counts), SEGMENT)) + 1
+
+        def finish(size: int) -> pa.RecordBatch:
+            numbers = np.frombuffer(b"".join(ids[:size]), "<u4").astype(np.int64)
             row = pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()),
                     pa.array([segment], pa.int32()),
-                    pa.ListArray.from_arrays([0, len(counts)], pa.concat_arrays(owners)),
-                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays([0, size], pa.concat_arrays(owners[:size])),
+                    pa.array([counts[:size]], pa.list_(pa.int64())),
                     pa.array([encode(numbers)], pa.binary()),
                 ],
                 names,
             )
-            ids.clear(), owners.clear(), counts.clear()
             return row
 
         for batch in (part for whole in batches for part in in_slices(whole, 2)):
@@ -649,11 +732,15 @@ def write_ids(
                 owners.append(batch.column(1).slice(k, 1))
                 counts.append(len(packed) // 4 + 1)
                 waiting += counts[-1]
-                if waiting >= SEGMENT:
-                    yield finish()
-                    segment, waiting = segment + 1, 0
+                # A rest of a quarter joins the segment before it: coding few blocks side
+                # by side takes as many steps as coding many.
+                while waiting >= SEGMENT + SEGMENT // 4:
+                    size = cut()
+                    yield finish(size)
+                    segment, waiting = segment + 1, waiting - sum(counts[:size])
+                    del ids[:size], owners[:size], counts[:size]
         if counts:
-            yield finish()
+            yield finish(len(counts))
 
     kind = docs.schema[doc_id].dataType.simpleString()
     written = ordered.mapInArrow(

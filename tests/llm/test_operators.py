@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers as P
@@ -612,6 +613,36 @@ def test_digest_of_kept_text(spark):
     assert kept.select(F.sha2("text", 256)).first()[0] == hashlib.sha256(b"").hexdigest()
 
 
+def test_a_segment_keeps_its_bytes():
+    ids = np.arange(70_000) ** 2 % 40_961
+    ids[::3] = 7
+    data = idfiles.encode(ids)
+    assert (len(data), zlib.crc32(data)) == (109_816, 3_372_529_563)
+
+
+def test_short_rest_joins_the_last_segment(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(idfiles, "SEGMENT", 40)
+    for n, segments in ((9, 1), (10, 2), (17, 2), (20, 3)):
+        path = str(tmp_path / f"ids{n}")
+        docs = spark.createDataFrame([(i, "a b c d") for i in range(n)], "doc_id bigint, text string")
+        idfiles.write_ids(docs.coalesce(1), path, WORD_BPE, 1)
+        assert spark.read.parquet(path).count() == segments
+        found = by_id(idfiles.read_ids(spark, path), "start", "n_tokens")
+        assert found == {i: (5 * i, 5) for i in range(n)}
+
+
+def test_piece_keys_stay_apart():
+    table, words = idfiles._PieceTable(), [b"ab", b"ab" * 4, b"ab" * 5, b"ab" * 5 + b"c", b"b"]
+    words += [b"%d" % k for k in range(20_000)]
+    text, sizes = b"".join(words), np.array([len(w) for w in words])
+    keys = table.hashes(text, np.cumsum(sizes) - sizes, sizes)
+    assert len(set(keys.tolist())) == len(words)
+    for part in np.array_split(np.arange(len(words)), 7):
+        assert (table.find(keys[part]) == -1).all()
+        table.add(keys[part], part.astype(np.uint32), np.ones(len(part), int))
+    assert (table.ids[table.starts[table.find(keys)]] == np.arange(len(words))).all()
+
+
 def test_python_gets_bounded_batches(spark):
     docs = spark.range(0, 8000, 1, 1).select(F.repeat(F.lit("word "), 600).alias("text"))
 
