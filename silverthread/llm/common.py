@@ -17,6 +17,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Bytes of text that become Python strings at a time.
 SLICE_BYTES = 1 << 20
 
+#: Bits that a wanted key gets in a bitmap, and bits of a bitmap at most (8 MB).
+KEY_BITS, MOST_BITS = 16, 1 << 26
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -33,6 +36,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return sinks.stage(df, session.scratch_path(df.sparkSession, name))[0]
 
 
+def mostly_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key``, a 64-bit hash, is in ``wanted`` (a written table with that
+    column), and of the others about one in :data:`KEY_BITS`: what a join would drop need
+    not be shuffled for it.
+
+    The keys are bits of a bitmap small enough to be broadcast. Where there are more than
+    fit it, more of the other rows pass.
+    """
+    bits = min(max(KEY_BITS * wanted.count(), 1 << 15), MOST_BITS)
+    slot, names = F.pmod(F.col(key), F.lit(bits)) + 1, [free_name(rows.columns, n) for n in ("bucket", "bitmap")]
+    bucket, bitmap = names
+    bitmaps = stage(
+        wanted.groupBy(F.bitmap_bucket_number(slot).alias(bucket)).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias(bitmap)
+        ),
+        "bitmaps",
+    )
+    bit = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.shiftright(bit, 3).cast("int") + 1, 1)), 16, 10)
+    held = F.getbit(byte.cast("long"), (bit % 8).cast("int")) == 1
+    return rows.withColumn(bucket, F.bitmap_bucket_number(slot)).join(F.broadcast(bitmaps), bucket).where(held).drop(*names)
+
+
 def free_name(columns: Iterable[str], wanted: str) -> str:
     """``wanted``, or the first ``wanted_N`` that no column has (in any case)."""
     taken = {c.lower() for c in columns}

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, DoubleType
 
-from .common import content_id, in_slices, stage
+from .common import content_id, in_slices, mostly_among, stage
 
 WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -196,7 +196,8 @@ def _describe(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndar
 
 def sketch(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row: ``doc``, ``row`` (hash of id and text), ``node`` (digest of the words),
-    ``size`` (distinct shingles), ``sig`` (registers as ints) and ``bands``."""
+    ``size`` (distinct shingles), ``sig`` (8 bits of each register, so that unequal ones
+    are taken for equal at times, never the other way) and ``bands``."""
     source = docs.select(
         F.col(doc_id).alias("doc"), content_id(F.col(doc_id), F.col(text)).alias("row"),
         F.col(text).alias("text"),
@@ -209,7 +210,7 @@ def sketch(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
                 digests, sizes, kept = _describe(batch.column(2).to_pylist())
                 n = len(digests)
                 with np.errstate(over="ignore"):
-                    short = (_mix(kept) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    short = (_mix(kept) >> np.uint64(56)).astype(np.uint8).view(np.int8)
                     by_band = kept.reshape(n, BANDS, ROWS)
                     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS))
                     for k in range(ROWS):
@@ -219,14 +220,14 @@ def sketch(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
                     [
                         batch.column(0), batch.column(1), pa.array(digests, pa.binary()),
                         pa.array(sizes),
-                        pa.FixedSizeListArray.from_arrays(pa.array(short.ravel()), REGISTERS).cast(pa.list_(pa.int32())),
+                        pa.FixedSizeListArray.from_arrays(pa.array(short.ravel()), REGISTERS).cast(pa.list_(pa.int8())),
                         pa.FixedSizeListArray.from_arrays(pa.array(key.ravel()), BANDS).cast(pa.list_(pa.int64())),
                     ],
                     ["doc", "row", "node", "size", "sig", "bands"],
                 )
 
     return source.mapInArrow(
-        run, f"doc {kind}, row bigint, node binary, size bigint, sig array<int>, bands array<bigint>"
+        run, f"doc {kind}, row bigint, node binary, size bigint, sig array<tinyint>, bands array<bigint>"
     )
 
 
@@ -247,15 +248,16 @@ _EQUAL = "aggregate(zip_with({}, {}, (x, y) -> if(x = y, 1, 0)), 0, (s, v) -> s
 
 def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(node, text) of the nodes in ``wanted``; the texts are read once more, and only
-    those go on from there."""
-    needed = nodes.join(wanted, "node").select("node", "doc", "row")
+    those, with a few others, are shuffled."""
+    needed = stage(nodes.join(wanted, "node").select("node", "doc", "row"), "near_needed")
     texts = docs.select(
         F.col(doc_id).alias("__doc"),
         content_id(F.col(doc_id), F.col(text)).alias("__row"),
         F.col(text).alias("text"),
     )
     same = (F.col("__row") == F.col("row")) & F.col("__doc").eqNullSafe(F.col("doc"))
-    return texts.join(needed, same).select("node", "text").dropDuplicates(["node"])
+    found = mostly_among(texts, "__row", needed.select(F.col("row").alias("__row")))
+    return found.join(needed, same).select("node", "text").dropDuplicates(["node"])
 
 
 def _packed_shingles(text: Column) -> Column:
@@ -295,7 +297,7 @@ class _Tile:
 
     def __init__(self, rows: list[dict], least: float, equal: int) -> None:
         self.rows, self.least, self.equal = rows, least, equal
-        self.signs = np.array([r["sig"] for r in rows], np.int32)
+        self.signs = np.array([r["sig"] for r in rows], np.int8)
         self.bands = np.array([r["bands"] for r in rows], np.int64)
         names = {root: k for k, root in enumerate(dict.fromkeys(r["root"] for r in rows))}
         self.root = np.array([names[r["root"]] for r in rows])
@@ -313,12 +315,9 @@ class _Tile:
             self.shingles[row] = _unpacked(self.rows[row]["sh"])
         return self.shingles[row]
 
-    def links(self, band: int, lo: int, hi: int) -> Iterator[tuple[bytes, bytes]]:
-        """Links across roots that are not yet connected by others of this tile.
-
-        A pair is compared in the first band that holds both, if it has enough equal
-        registers; the shingles are compared in full.
-        """
+    def _meetings(self, band: int, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows, each with those of other roots that it is to be compared with: a pair
+        meets in the first band that holds both, if it has enough equal registers."""
         own = np.array([r["own"] for r in self.rows])
         left = np.flatnonzero(own == lo)
         right = left if lo == hi else np.flatnonzero(own == hi)
@@ -332,62 +331,108 @@ class _Tile:
             others = others[alike]
             before = np.arange(BANDS) < place[a]
             met = ((self.bands[others] == self.bands[a]) & before).any(1)
-            for b in others[~met].tolist():
+            if not met.all():
+                yield a, others[~met]
+
+    def meeting(self, band: int, lo: int, hi: int) -> list[bytes]:
+        """Nodes that are to be compared with any other."""
+        marked = np.zeros(len(self.rows), bool)
+        for a, others in self._meetings(band, lo, hi):
+            marked[a] = marked[others] = True
+            if marked.all():
+                break
+        return [self.rows[k]["node"] for k in np.flatnonzero(marked).tolist()]
+
+    def links(self, band: int, lo: int, hi: int) -> Iterator[tuple[bytes, bytes]]:
+        """Links across roots that are not yet connected by others of this tile; the
+        shingles are compared in full."""
+        for a, others in self._meetings(band, lo, hi):
+            for b in others.tolist():
                 x, y = self._find(self.root[a]), self._find(self.root[b])
                 if x != y and probability_jaccard(*self._of(a), *self._of(b)) >= self.least - _ROUNDING:
                     self.parent[x] = y
                     yield self.rows[a]["node"], self.rows[b]["node"]
 
 
-def _residual(members: DataFrame, held: DataFrame, least: float, equal: int) -> DataFrame:
-    """Links (a, b) between nodes of one band and different roots.
-
-    ``members`` has band, node and root, ``held`` the registers, bands and shingles of
-    each node. A band with many shingles is cut into parts, and every two parts are a
-    work item of bounded size. What comes out are links alone, at most one less than
-    there are roots in a work item.
-    """
-    rows = members.join(held, "node")
+def _work(members: DataFrame, held: DataFrame) -> DataFrame:
+    """The nodes of ``members`` (band, node, root) with what ``held`` tells of them, laid
+    out by work items: a band with many shingles is cut into parts, and every two parts
+    are an item of bounded size. What ``held`` tells is shuffled by item once."""
     parts = (
         members.join(held.select("node", "size"), "node").groupBy("band")
         .agg(F.ceil(F.sum(F.col("size") + 1) / TILE_SHINGLES).cast("int").alias("parts"))
     )
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    work = (
-        rows.withColumn("salt", salt)
+    items = (
+        members.withColumn("salt", salt)
         .join(parts.select("band", "parts", salts), ["band", "salt"])
         .withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
             "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-            "own", "node", "root", "sig", "bands", "sh",
+            "own", "node", "root",
         )
+    )
+    return (
+        items.join(held.drop("size"), "node")
         .repartition("band", "lo", "hi")
         .sortWithinPartitions("band", "lo", "hi", "node")
     )
 
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], list[dict]]]:
+    """Work items (band, lo, hi) and their rows."""
+    item, rows = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = {c: batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1) for c in ("sig", "bands")}
+        at, rest = 0, batch.drop_columns(["sig", "bands"])
+        sized = rest.schema.get_field_index("sh")
+        for part in in_slices(rest, sized) if sized >= 0 else [rest]:
+            for row in part.to_pylist():
+                key = row["band"], row["lo"], row["hi"]
+                if key != item:
+                    if len(rows) > 1:
+                        yield item, rows
+                    item, rows = key, []
+                rows.append(row | {c: made[at] for c, made in own.items()})
+                at += 1
+    if len(rows) > 1:
+        yield item, rows
+
+
+def _meeting(members: DataFrame, nodes: DataFrame, least: float, equal: int) -> DataFrame:
+    """The rows of ``members`` whose nodes :func:`_residual` compares with any other of
+    their band, told from the registers alone: no text or shingle moves for the rest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, rows = None, []
+        for item, rows in _items(batches):
+            found = _Tile(rows, least, equal).meeting(*item)
+            bands = pa.array([item[0]] * len(found), pa.int64())
+            yield pa.RecordBatch.from_arrays([bands, pa.array(found, pa.binary())], ["band", "node"])
 
-        def finished() -> pa.RecordBatch:
-            found = list(_Tile(rows, least, equal).links(*item)) if len(rows) > 1 else []
-            ends = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+    work = _work(members, nodes.select("node", "size", "sig", "bands"))
+    met = work.mapInArrow(run, "band bigint, node binary").distinct()
+    return members.join(met, ["band", "node"])
+
+
+def _residual(members: DataFrame, held: DataFrame, least: float, equal: int) -> DataFrame:
+    """Links (a, b) between nodes of one band and different roots.
 
-        for batch in batches:
-            for part in in_slices(batch, 8):
-                for row in part.to_pylist():
-                    key = row["band"], row["lo"], row["hi"]
-                    if key != item:
-                        if item is not None:
-                            yield finished()
-                        item, rows = key, []
-                    rows.append(row)
-        if item is not None:
-            yield finished()
+    ``members`` has band, node and root, ``held`` the registers, bands and shingles of
+    each node. What comes out are links alone, at most one less than there are roots in
+    a work item.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for item, rows in _items(batches):
+            found = list(_Tile(rows, least, equal).links(*item))
+            ends = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
-    return work.mapInArrow(run, "a binary, b binary")
+    return _work(members, held).mapInArrow(run, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -471,15 +516,17 @@ def classes(
     edges = stage(_verified(likely, texts, min_similarity), "near_edges")
     rooted = components(edges)
 
-    # Bands that hold several components: links across them. The shingles themselves
-    # are compared as the pairs meet, so that only links come out.
+    # Bands that hold several components: links across them. Registers tell which nodes
+    # are to be compared; of these alone the shingles move, and are compared as the pairs
+    # meet, so that only links come out.
     placed = shared.join(rooted, "node", "left").select(
         "band", "node", F.coalesce("root", "node").alias("root")
     )
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
         F.col("x") != F.col("y")
     ).select("band")
-    members = stage(placed.join(mixed, "band"), "near_mixed")
+    mixed = stage(placed.join(mixed, "band"), "near_mixed")
+    members = stage(_meeting(mixed, nodes, min_similarity, equal), "near_meeting")
     if not members.isEmpty():
         held = _texts(members.select("node").distinct(), nodes, docs, text, doc_id).select(
             "node", _packed_shingles(F.col("text")).alias("sh")
