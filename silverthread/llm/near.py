@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, DoubleType
 
 from .common import content_id, in_slices, mostly_among, stage
@@ -32,10 +32,11 @@ REGISTERS = BANDS * ROWS
 MAX_MISS = 1e-7
 #: The nodes of a band are dealt to so many tasks when they meet its central node.
 SALTS = 8
-#: Shingles whose arrivals are drawn at a time, and shingles of the nodes of a band that
-#: are compared with each other at a time.
+#: Shingles whose arrivals are drawn at a time, and shingles of the nodes of a band, or
+#: nodes by their registers, that are compared with each other at a time.
 SHINGLES_AT_ONCE = 1_000_000
 TILE_SHINGLES = 1_000_000
+TILE_NODES = 4_000
 
 _WORD = re.compile(r"\w+")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -302,7 +303,6 @@ class _Tile:
         names = {root: k for k, root in enumerate(dict.fromkeys(r["root"] for r in rows))}
         self.root = np.array([names[r["root"]] for r in rows])
         self.parent = list(range(len(names)))
-        self.shingles: list = [None] * len(rows)
 
     def _find(self, root: int) -> int:
         while self.parent[root] != root:
@@ -310,10 +310,29 @@ class _Tile:
             root = self.parent[root]
         return root
 
-    def _of(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        if self.shingles[row] is None:
-            self.shingles[row] = _unpacked(self.rows[row]["sh"])
-        return self.shingles[row]
+    def _likeness(self) -> Callable[[int, np.ndarray], np.ndarray]:
+        """Similarity of a row to each of others. Where a shingle weighs the same in all
+        rows it is what both have as a share of what either has, for many rows at once."""
+        held = [_unpacked(r["sh"]) for r in self.rows]
+        found, flat = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+        ends = np.cumsum([len(h) for h, _ in held])
+        weight = np.zeros(len(found))
+        weight[flat] = weights = np.concatenate([w for _, w in held])
+        if (weight[flat] != weights).any():
+            return lambda a, others: np.array([probability_jaccard(*held[a], *held[b]) for b in others.tolist()])
+        number = np.split(flat, ends[:-1])
+        total = np.array([w.sum() for _, w in held])
+        own = np.zeros(len(found))
+
+        def run(a: int, others: np.ndarray) -> np.ndarray:
+            theirs = [number[b] for b in others.tolist()]
+            begins = np.cumsum([0, *map(len, theirs[:-1])])
+            own[number[a]] = weight[number[a]]
+            both = np.add.reduceat(own[np.concatenate(theirs)], begins)
+            own[number[a]] = 0.0
+            return both / (total[a] + total[others] - both)
+
+        return run
 
     def _meetings(self, band: int, lo: int, hi: int) -> Iterator[tuple[int, np.ndarray]]:
         """Rows, each with those of other roots that it is to be compared with: a pair
@@ -334,40 +353,51 @@ class _Tile:
             if not met.all():
                 yield a, others[~met]
 
-    def meeting(self, band: int, lo: int, hi: int) -> list[bytes]:
-        """Nodes that are to be compared with any other."""
+    def meeting(self, band: int, lo: int, hi: int) -> list[dict]:
+        """Rows that are to be compared with any other."""
         marked = np.zeros(len(self.rows), bool)
         for a, others in self._meetings(band, lo, hi):
             marked[a] = marked[others] = True
             if marked.all():
                 break
-        return [self.rows[k]["node"] for k in np.flatnonzero(marked).tolist()]
+        return [self.rows[k] for k in np.flatnonzero(marked).tolist()]
 
     def links(self, band: int, lo: int, hi: int) -> Iterator[tuple[bytes, bytes]]:
-        """Links across roots that are not yet connected by others of this tile; the
-        shingles are compared in full."""
+        """Linked roots that are not yet connected by others of this tile; the shingles
+        are compared in full."""
+        alike = None
         for a, others in self._meetings(band, lo, hi):
-            for b in others.tolist():
+            own = self._find(self.root[a])
+            others = others[[self._find(root) != own for root in self.root[others].tolist()]]
+            if not len(others):
+                continue
+            alike = alike or self._likeness()
+            for b in others[alike(a, others) >= self.least - _ROUNDING].tolist():
                 x, y = self._find(self.root[a]), self._find(self.root[b])
-                if x != y and probability_jaccard(*self._of(a), *self._of(b)) >= self.least - _ROUNDING:
+                if x != y:
                     self.parent[x] = y
-                    yield self.rows[a]["node"], self.rows[b]["node"]
+                    yield self.rows[a]["root"], self.rows[b]["root"]
 
 
-def _work(members: DataFrame, held: DataFrame) -> DataFrame:
-    """The nodes of ``members`` (band, node, root) with what ``held`` tells of them, laid
-    out by work items: a band with many shingles is cut into parts, and every two parts
-    are an item of bounded size. What ``held`` tells is shuffled by item once."""
+def _in_parts(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``members`` (band, node, root) with the ``parts`` that their band is cut into by the
+    shingles of its nodes."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     parts = (
-        members.join(held.select("node", "size"), "node").groupBy("band")
+        members.join(sizes, "node").groupBy("band")
         .agg(F.ceil(F.sum(F.col("size") + 1) / TILE_SHINGLES).cast("int").alias("parts"))
+        .select("band", "parts", salts)
     )
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    return members.withColumn("salt", salt).join(parts, ["band", "salt"]).drop("salt")
+
+
+def _work(members: DataFrame, held: DataFrame) -> DataFrame:
+    """The nodes of ``members`` (band, node, root, parts) with what ``held`` tells of them,
+    laid out by work items: every two parts of a band are an item of bounded size. What
+    ``held`` tells is shuffled by item once."""
     items = (
-        members.withColumn("salt", salt)
-        .join(parts.select("band", "parts", salts), ["band", "salt"])
-        .withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int"))
+        members.withColumn("own", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
             "band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
@@ -375,7 +405,7 @@ def _work(members: DataFrame, held: DataFrame) -> DataFrame:
         )
     )
     return (
-        items.join(held.drop("size"), "node")
+        items.join(held, "node")
         .repartition("band", "lo", "hi")
         .sortWithinPartitions("band", "lo", "hi", "node")
     )
@@ -404,26 +434,28 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int,
 
 
 def _meeting(members: DataFrame, nodes: DataFrame, least: float, equal: int) -> DataFrame:
-    """The rows of ``members`` whose nodes :func:`_residual` compares with any other of
-    their band, told from the registers alone: no text or shingle moves for the rest."""
+    """(band, node, root) of the ``members`` (band, node, root, crowd) whose nodes
+    :func:`_residual` compares with any other of their band, told from the registers
+    alone: no text or shingle moves for the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for item, rows in _items(batches):
             found = _Tile(rows, least, equal).meeting(*item)
             bands = pa.array([item[0]] * len(found), pa.int64())
-            yield pa.RecordBatch.from_arrays([bands, pa.array(found, pa.binary())], ["band", "node"])
+            ends = [pa.array([row[c] for row in found], pa.binary()) for c in ("node", "root")]
+            yield pa.RecordBatch.from_arrays([bands, *ends], ["band", "node", "root"])
 
-    work = _work(members, nodes.select("node", "size", "sig", "bands"))
-    met = work.mapInArrow(run, "band bigint, node binary").distinct()
-    return members.join(met, ["band", "node"])
+    parts = F.ceil(F.col("crowd") / TILE_NODES).cast("int").alias("parts")
+    work = _work(members.select("band", "node", "root", parts), nodes.select("node", "sig", "bands"))
+    return work.mapInArrow(run, "band bigint, node binary, root binary").distinct()
 
 
 def _residual(members: DataFrame, held: DataFrame, least: float, equal: int) -> DataFrame:
-    """Links (a, b) between nodes of one band and different roots.
+    """Different roots (a, b) of linked nodes of one band.
 
-    ``members`` has band, node and root, ``held`` the registers, bands and shingles of
-    each node. What comes out are links alone, at most one less than there are roots in
-    a work item.
+    ``members`` has band, node and root, ``held`` the size, registers, bands and shingles
+    of each node. What comes out are links alone, at most one less than there are roots
+    in a work item.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,34 +464,32 @@ def _residual(members: DataFrame, held: DataFrame, least: float, equal: int) ->
             ends = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
-    return _work(members, held).mapInArrow(run, "a binary, b binary")
+    work = _work(_in_parts(members, held.select("node", "size")), held.drop("size"))
+    return work.mapInArrow(run, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that is linked with each node of ``edges``
-    (a, b), by repeated minima over neighbours and jumps from root to root. Each step
-    is a written table, and the steps end when no root changes."""
-    links = stage(
-        edges.select("a", "b").union(edges.select("b", "a").toDF("a", "b")).distinct(), "near_links"
-    )
+    (a, b), a written table. In each step a node asks its neighbours and its root for
+    their roots and takes the smallest; each step is one written table, and the steps
+    end when no root changes."""
+    links = edges.select(F.col("a").alias("node"), F.col("b").alias("asked"))
+    links = links.unionAll(edges.select("b", "a"))
     labels = stage(
-        links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
-            "node", F.least("node", "m").alias("root")
-        ),
+        links.groupBy("node").agg(F.min("asked").alias("m")).select("node", F.least("node", "m").alias("root")),
         "near_labels",
     )
     while True:
-        seen = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy(
-            F.col("a").alias("node")
-        ).agg(F.min("root").alias("m"))
-        lower = stage(
-            labels.join(seen, "node").select("node", "root", F.least("root", "m").alias("next")),
-            "near_lower",
+        asks = links.withColumn("before", F.lit(None).cast("binary")).unionAll(
+            labels.select("node", F.col("root").alias("asked"), F.col("root").alias("before"))
         )
-        if lower.where(F.col("next") != F.col("root")).isEmpty():
-            return labels
-        roots = lower.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        labels = stage(lower.join(roots, "next").select("node", F.col("far").alias("root")), "near_labels")
+        told = labels.select(F.col("node").alias("asked"), "root")
+        labels = stage(
+            asks.join(told, "asked").groupBy("node").agg(F.min("root").alias("root"), F.min("before").alias("before")),
+            "near_labels",
+        )
+        if labels.where(F.col("root") != F.col("before")).isEmpty():
+            return labels.select("node", "root")
 
 
 def classes(
@@ -482,7 +512,8 @@ def classes(
     """
     equal = least_equal(min_similarity)
     sketched = stage(sketch(docs, text, doc_id), "near_sketch")
-    nodes = stage(sketched.dropDuplicates(["node"]), "near_nodes")
+    one = [F.first(c).alias(c) for c in sketched.columns if c != "node"]
+    nodes = stage(sketched.groupBy("node").agg(F.min("doc").alias("least"), *one), "near_nodes")
     banded = nodes.where("size > 0").select("node", F.explode("bands").alias("band"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
@@ -490,25 +521,25 @@ def classes(
         banded.groupBy("band").agg(F.count("*").alias("crowd")).where("crowd > 1")
         .select("band", "crowd", salts)
     )
+    # What the others were copied from shares bands with most of them.
+    central = F.sum("crowd").over(Window.partitionBy("node")).alias("central")
     shared = stage(
-        banded.withColumn("salt", salt).join(crowds, ["band", "salt"]).select("band", "node", "crowd"),
+        banded.withColumn("salt", salt).join(crowds, ["band", "salt"]).select("band", "node", "crowd", central),
         "near_bands",
     )
-    # What the others were copied from shares bands with most of them.
-    central = shared.groupBy("node").agg(F.sum("crowd").alias("central"))
     firsts = (
-        shared.join(central, "node")
-        .groupBy("band")
+        shared.groupBy("band")
         .agg(F.max(F.struct("central", "node")).alias("first"))
         .select("band", F.col("first.node").alias("first"), salts)
     )
-    star = stage(
+    # By one end, as the registers of that end are joined next.
+    star = (
         shared.withColumn("salt", salt)
         .join(firsts, ["band", "salt"])
         .where(F.col("node") != F.col("first"))
         .select(F.col("node").alias("a"), F.col("first").alias("b"))
-        .distinct(),
-        "near_star",
+        .repartition("a")
+        .distinct()
     )
     likely = stage(_likely(star, nodes, equal), "near_pairs")
     ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -520,27 +551,28 @@ def classes(
     # are to be compared; of these alone the shingles move, and are compared as the pairs
     # meet, so that only links come out.
     placed = shared.join(rooted, "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("root")
+        "band", "node", "crowd", F.coalesce("root", "node").alias("root")
     )
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
         F.col("x") != F.col("y")
     ).select("band")
     mixed = stage(placed.join(mixed, "band"), "near_mixed")
     members = stage(_meeting(mixed, nodes, min_similarity, equal), "near_meeting")
+    named = nodes.join(rooted, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), "least"
+    )
     if not members.isEmpty():
         held = _texts(members.select("node").distinct(), nodes, docs, text, doc_id).select(
             "node", _packed_shingles(F.col("text")).alias("sh")
         )
         held = stage(held.join(nodes.select("node", "size", "sig", "bands"), "node"), "near_shingles")
-        found = _residual(members, held, min_similarity, equal)
-        found = stage(found.distinct(), "near_edges")
+        found = stage(_residual(members, held, min_similarity, equal), "near_edges")
         if not found.isEmpty():
-            rooted = components(edges.unionAll(found))
+            tops = components(found).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            named = named.join(tops, "root", "left").select(
+                "node", F.coalesce("top", "root").alias("root"), "least"
+            )
 
-    least = sketched.groupBy("node").agg(F.min("doc").alias("least"))
-    named = least.join(rooted, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), "least"
-    )
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
     by_node = stage(named.join(ids, "root").select("node", "class_id", "root"), "near_classes")
     return sketched.select("doc", "row", "node").join(by_node, "node").select(
