@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from silverthread import streaming
 from silverthread.operators import events as E
 from silverthread.sources import read_events
@@ -115,3 +117,24 @@ def test_a_batch_is_read_and_parsed_once(spark, tmp_path, rows):
     again = fresh_events(batch(("E1", "9"), ("E2", "4"), (None, None)), index, 1, str(tmp_path / "b"))
     assert rows(again) == [("E2", "4"), (None, None)]
     assert read.value == 6
+
+
+def test_many_ids_are_not_broadcast(spark, tmp_path, conf):
+    """Their files are under the threshold of a broadcast, the table built of them is not.
+    Such a table takes whole pages of up to 64 MB."""
+    conf("spark.sql.maxBroadcastTableSize", "72m")
+
+    def batch(first, n=1_000_000):
+        return spark.range(first, first + n).selectExpr("concat('E', id) AS event_id", "'2024-01-01' AS event_timestamp")
+
+    def span(events):
+        number = F.substring("event_id", 2, 9).cast("int")
+        return tuple(events.agg(F.count("*"), F.count_distinct(number), F.min(number), F.max(number)).first())
+
+    index = streaming.IdIndex(spark, str(tmp_path / "ids"))
+    add_ids(fresh_events(batch(0), index, 0, str(tmp_path / "a")), index, 0)
+    again = fresh_events(batch(200_000), index, 1, str(tmp_path / "b"))
+    assert span(again) == (200_000, 200_000, 1_000_000, 1_199_999)
+    add_ids(again, index, 1)
+    few = fresh_events(batch(1_199_990, 20), index, 2, str(tmp_path / "c"))
+    assert span(few) == (10, 10, 1_200_000, 1_200_009)
